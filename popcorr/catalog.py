@@ -16,8 +16,12 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from popcorr.functions import kpi
 from popcorr.functions.rolling import rolling_pearson, rows_window
+from popcorr.operators import correlate, expand, metrics, model, prep, serve
 from popcorr.plans import combine as cmb
-from popcorr.plans import inputs
+from popcorr.plans import enrich, inputs, layered
+from popcorr.session import shared_dir
+from popcorr.sources import layers, schemas, testbed
+from popcorr.streaming import live
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -110,12 +114,7 @@ def q_top_n_rank(spark, sf):
     return g.unionByName(s)
 
 
-# ── slice 4: combine ─────────────────────────────────────────────────────────
-def usage_core(spark, sf, jitter: bool = True) -> DataFrame:
-    return cmb.combine(inputs.games(spark, sf), inputs.bars(spark, sf),
-                       inputs.streams(spark, sf), inputs.stream_map(spark, sf), jitter=jitter)
-
-
+# ── slice 4: combine (over the materialised formatted layer) ──────────────
 USAGE_CORE_COLUMNS = [
     "date", "game_name", "ticker", "source", "steam_rank", "steam_rank_score", "peak_ccu",
     "avg_playtime_2weeks", "review_ratio", "twitch_viewers", "twitch_rank", "twitch_rank_score",
@@ -123,9 +122,561 @@ USAGE_CORE_COLUMNS = [
     "daily_range_pct", "popularity_score", "corr_7d_popularity_price", "corr_7d_viewers_price",
     "signal", "source_is_twitch",
 ]
+ROW_KEY = ["date", "game_name", "ticker", "source", "twitch_rank"]
+
+
+def usage_core(spark, sf, jitter: bool = True, streams_present: bool = True) -> DataFrame:
+    return layered.usage_core(spark, sf, jitter=jitter, streams_present=streams_present)
 
 
 @register("combine_core")
 def q_combine_core(spark, sf):
     prepare(spark)
     return present(usage_core(spark, sf).select(*USAGE_CORE_COLUMNS))
+
+
+@register("popularity_score")
+def q_popularity_score(spark, sf):
+    prepare(spark)
+    return present(usage_core(spark, sf).select(*ROW_KEY, "popularity_score"))
+
+
+@register("rolling_corr_popularity")
+def q_rolling_corr_popularity(spark, sf):
+    prepare(spark)
+    return present(usage_core(spark, sf).select(*ROW_KEY, "popularity_score", "daily_change_pct",
+                                                "corr_7d_popularity_price"))
+
+
+@register("rolling_corr_viewers")
+def q_rolling_corr_viewers(spark, sf):
+    prepare(spark)
+    return present(usage_core(spark, sf).select(*ROW_KEY, "twitch_viewers", "daily_change_pct",
+                                                "corr_7d_viewers_price"))
+
+
+@register("signal_distribution")
+def q_signal_distribution(spark, sf):
+    prepare(spark)
+    return usage_core(spark, sf).groupBy("signal").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("union_sources")
+def q_union_sources(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    return present(cmb.joined(f["games"], f["bars"], f["streams"], f["stream_map"]))
+
+
+@register("optional_source_absent")
+def q_optional_source_absent(spark, sf):
+    """Streams missing: the optional source reads as an empty typed frame."""
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    missing = layers.layer_path(f["root"], "formatted", "twitch", "NotWritten")
+    streams = layers.read_optional(spark, missing, schemas.TWITCH_FORMATTED)
+    return present(cmb.combine(f["games"], f["bars"], streams, f["stream_map"])
+                   .select(*USAGE_CORE_COLUMNS))
+
+
+# ── joins and expansion ─────────────────────────────────────────────────────
+@register("ticker_calendar")
+def q_ticker_calendar(spark, sf):
+    prepare(spark)
+    return present(expand.ticker_calendar(inputs.bars(spark, sf)))
+
+
+@register("expand_snapshot")
+def q_expand_snapshot(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    cal = expand.ticker_calendar(f["bars"])
+    return present(expand.expand_snapshot(f["games"], cal, jitter=False)
+                   .select("name", "ticker", "date", "rank_score"))
+
+
+@register("expand_snapshot_jitter")
+def q_expand_snapshot_jitter(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    cal = expand.ticker_calendar(f["bars"])
+    return present(expand.expand_snapshot(f["games"], cal, jitter=True)
+                   .select("name", "ticker", "date", "rank_score"))
+
+
+def _stream_only(f, jitter=True):
+    cal = expand.ticker_calendar(f["bars"])
+    blocking = expand.covered_names(f["games"], cal)
+    cands = expand.stream_only_candidates(f["streams"], blocking)
+    return cal, cands
+
+
+@register("stream_only_candidates")
+def q_stream_only_candidates(spark, sf):
+    prepare(spark)
+    _, cands = _stream_only(layered.formatted_inputs(spark, sf))
+    return cands.select("rank", "game_name", "name_key")
+
+
+@register("stream_ticker_lookup")
+def q_stream_ticker_lookup(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    _, cands = _stream_only(f)
+    return expand.stream_ticker_lookup(cands, f["stream_map"]).select("rank", "name_key", "ticker")
+
+
+@register("expand_stream_only")
+def q_expand_stream_only(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    cal, cands = _stream_only(f)
+    mapped = expand.stream_ticker_lookup(cands, f["stream_map"])
+    return present(expand.expand_stream_only(mapped, cal, jitter=True))
+
+
+@register("join_stream_left")
+def q_join_stream_left(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    return (correlate.join_stream_left(cmb.prep_snapshot(f["games"]), f["streams"])
+            .select("name", "ticker", "twitch_viewers", "twitch_rank", "twitch_rank_score"))
+
+
+@register("join_steam_bars")
+def q_join_steam_bars(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    market = correlate.market_columns(cmb.prep_bars(f["bars"]))
+    left = correlate.join_stream_left(cmb.prep_snapshot(f["games"]), f["streams"])
+    return present(correlate.union_sources(correlate.snapshot_branch(left, market)))
+
+
+@register("join_stream_only_bars")
+def q_join_stream_only_bars(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    cal, cands = _stream_only(f)
+    market = correlate.market_columns(cmb.prep_bars(f["bars"]))
+    rows = expand.expand_stream_only(expand.stream_ticker_lookup(cands, f["stream_map"]), cal)
+    return present(correlate.union_sources(correlate.stream_only_branch(rows, market)))
+
+
+@register("filter_unknown")
+def q_filter_unknown(spark, sf):
+    prepare(spark)
+    return (inputs.games(spark, sf).where(F.col("ticker") != kpi.UNKNOWN_TICKER)
+            .select("rank", "name", "ticker"))
+
+
+@register("failed_tickers")
+def q_failed_tickers(spark, sf):
+    prepare(spark)
+    have = inputs.bars(spark, sf).select("ticker").distinct()
+    return testbed.tracked(spark).join(have, "ticker", "left_anti")
+
+
+@register("top_stream_per_game")
+def q_top_stream_per_game(spark, sf):
+    prepare(spark)
+    return enrich.top_stream_per_game(inputs.raw_streams(spark, sf),
+                                      testbed.read(spark, sf, "lineitem"))
+
+
+# ── projections / preparation ────────────────────────────────────────────────
+@register("null_defaults")
+def q_null_defaults(spark, sf):
+    prepare(spark)
+    s = inputs.raw_streams(spark, sf).select(
+        F.lit("streams").alias("list"), F.col("game_id").alias("id"),
+        F.col("top_stream_viewers").cast("string").alias("raw_value"),
+        F.coalesce(F.col("top_stream_viewers"), F.lit(0)).cast("string").alias("value"))
+    g = inputs.raw_games(spark, sf).select(
+        F.lit("games").alias("list"), F.col("app_id").alias("id"),
+        F.col("ticker").alias("raw_value"),
+        F.coalesce(F.col("ticker"), F.lit(kpi.UNKNOWN_TICKER)).alias("value"))
+    return s.unionByName(g)
+
+
+@register("drop_bad_dates")
+def q_drop_bad_dates(spark, sf):
+    prepare(spark)
+    ev = testbed.read(spark, sf, "events").select(
+        "event_id",
+        F.concat(F.lit("2024-01-"), F.lpad(F.get_json_object("props", "$.k"), 2, "0")).alias("date_text"))
+    return present(prep.drop_bad_dates(ev, "date_text"))
+
+
+@register("prep_zero_fill")
+def q_prep_zero_fill(spark, sf):
+    prepare(spark)
+    return (prep.zero_fill(inputs.games(spark, sf))
+            .select("rank", "name", "positive", "negative", "review_ratio", "price"))
+
+
+@register("prep_all_null_text")
+def q_prep_all_null_text(spark, sf):
+    prepare(spark)
+    raw = testbed.raw_games(testbed.read(spark, sf, "lineitem"), testbed.read(spark, sf, "part"))
+    return prep.fill_all_null_text(raw).select("rank", "name", "owners", "ticker")
+
+
+@register("prep_dates")
+def q_prep_dates(spark, sf):
+    prepare(spark)
+    return prep.dates_as_text(inputs.games(spark, sf)).select("rank", "date", "extracted_at")
+
+
+@register("clean_numeric")
+def q_clean_numeric(spark, sf):
+    prepare(spark)
+    b = inputs.bars(spark, sf)
+    grow = F.exp(F.col("volume") * F.lit(1000.0))          # overflows to +Inf
+    mixed = F.when(F.col("volume") % 2 == 0, grow).otherwise(F.col("high"))
+    raw = b.select("ticker", "date", grow.alias("x_pos"), (-grow).alias("x_neg"),
+                   (grow - grow).alias("x_nan"), mixed.alias("x_mix"), F.col("close").alias("x_ok"))
+    return present(prep.clean_all_numeric(raw))
+
+
+@register("train_window_filter")
+def q_train_window_filter(spark, sf):
+    prepare(spark)
+    return present(prep.trailing_window(usage_core(spark, sf), 30).select(*ROW_KEY, "signal"))
+
+
+@register("bars_history_window")
+def q_bars_history_window(spark, sf):
+    prepare(spark)
+    return present(prep.history_window(inputs.bars(spark, sf), testbed.RUN_DATE, 365))
+
+
+@register("bars_date_range")
+def q_bars_date_range(spark, sf):
+    prepare(spark)
+    b = inputs.bars(spark, sf)
+    return present(b.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"),
+                         F.countDistinct("ticker").alias("tickers"), F.count(F.lit(1)).alias("bars")))
+
+
+@register("parse_timestamps")
+def q_parse_timestamps(spark, sf):
+    prepare(spark)
+    ev = testbed.read(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("t"))
+    kind = F.col("event_id") % 3
+    text = (F.when(kind == 0, F.concat(F.date_format(F.col("t") + F.expr("INTERVAL 2 HOURS"),
+                                                     "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00")))
+             .when(kind == 1, F.concat(F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+             .otherwise(F.date_format("t", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    return present(ev.select("event_id", text.alias("raw"))
+                   .withColumn("parsed", kpi.parse_timestamp("raw")))
+
+
+# ── serving ─────────────────────────────────────────────────────────────────
+SERVE_STAMP = "2024-01-31 08:00:00"
+
+
+@register("doc_id")
+def q_doc_id(spark, sf):
+    prepare(spark)
+    return present(usage_core(spark, sf).select(
+        kpi.doc_id("ticker", "date", "game_name").alias("doc_id"), "game_name", "ticker", "date"))
+
+
+@register("serving_cast")
+def q_serving_cast(spark, sf):
+    prepare(spark)
+    docs = serve.serving_cast(usage_core(spark, sf), indexed_at=SERVE_STAMP)
+    return present(docs.select(*schemas.SERVING.names))
+
+
+def _served(spark, sf):
+    path = shared_dir(spark, "serving")
+    meta = serve.full_refresh(usage_core(spark, sf), path, indexed_at=SERVE_STAMP)
+    return serve.read_serving(spark, path), meta
+
+
+@register("serving_full_refresh")
+def q_serving_full_refresh(spark, sf):
+    prepare(spark)
+    docs, _ = _served(spark, sf)
+    return present(docs)
+
+
+@register("serving_count")
+def q_serving_count(spark, sf):
+    prepare(spark)
+    docs, meta = _served(spark, sf)
+    return docs.agg(F.count(F.lit(1)).alias("docs"), F.countDistinct("doc_id").alias("ids"),
+                    F.lit(meta["collisions"]).cast("long").alias("collisions"))
+
+
+@register("usage_summary")
+def q_usage_summary(spark, sf):
+    prepare(spark)
+    u = usage_core(spark, sf)
+    return u.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("ticker").alias("tickers"),
+                 F.countDistinct("game_name").alias("games"),
+                 F.countDistinct(kpi.doc_id("ticker", "date", "game_name")).alias("doc_ids"))
+
+
+# ── evaluation over (signal, viewers signal) ─────────────────────────────────
+def _labelled_pairs(spark, sf) -> DataFrame:
+    """Training rows with the popularity signal (actual) and the viewers signal (predicted)."""
+    u = prep.trailing_window(usage_core(spark, sf), model.TRAIN_DAYS)
+    return u.withColumn("viewers_signal", kpi.signal_label("corr_7d_viewers_price"))
+
+
+@register("class_counts")
+def q_class_counts(spark, sf):
+    prepare(spark)
+    return metrics.class_counts(_labelled_pairs(spark, sf), "signal", model.MAX_FOLDS)
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    prepare(spark)
+    return metrics.confusion_matrix(_labelled_pairs(spark, sf), "signal", "viewers_signal",
+                                    kpi.SIGNAL_CLASSES)
+
+
+@register("classification_scores")
+def q_classification_scores(spark, sf):
+    prepare(spark)
+    return metrics.classification_scores(_labelled_pairs(spark, sf), "signal", "viewers_signal")
+
+
+@register("classification_report")
+def q_classification_report(spark, sf):
+    prepare(spark)
+    return metrics.classification_report(_labelled_pairs(spark, sf), "signal", "viewers_signal")
+
+
+@register("cv_folds")
+def q_cv_folds(spark, sf):
+    prepare(spark)
+    train = prep.trailing_window(usage_core(spark, sf), model.TRAIN_DAYS)
+    k = model.n_folds(train)
+    return present(model.fold_assignment(train, k, ROW_KEY).select(*ROW_KEY, "signal", "fold"))
+
+
+@register("feature_matrix")
+def q_feature_matrix(spark, sf):
+    prepare(spark)
+    return present(model.feature_matrix(usage_core(spark, sf)).select(*ROW_KEY, *model.FEATURES))
+
+
+@register("label_index")
+def q_label_index(spark, sf):
+    prepare(spark)
+    train = prep.trailing_window(usage_core(spark, sf), model.TRAIN_DAYS)
+    idx = model.label_index(train).fit(train)
+    return (idx.transform(train.select("signal").distinct())
+               .select("signal", F.col("label").cast("int").alias("label_index")))
+
+
+# ── model (not SQL-expressible: rows-only check) ─────────────────────────────
+MODEL_CFG = model.ModelConfig(estimator="gbt", trees=10)
+
+
+@register("train_and_score")
+def q_train_and_score(spark, sf):
+    prepare(spark)
+    scored = model.train_and_score(usage_core(spark, sf), MODEL_CFG)
+    return present(scored.select(*ROW_KEY, "signal", *schemas.ML_COLUMNS))
+
+
+@register("avg_confidence")
+def q_avg_confidence(spark, sf):
+    prepare(spark)
+    scored = model.train_and_score(usage_core(spark, sf), MODEL_CFG)
+    return scored.agg(F.round(F.avg("ml_confidence"), 4).alias("avg_confidence"))
+
+
+@register("cv_summary")
+def q_cv_summary(spark, sf):
+    prepare(spark)
+    return model.cv_summary(model.cross_validate(usage_core(spark, sf), ROW_KEY, MODEL_CFG))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    prepare(spark)
+    return model.feature_importance(usage_core(spark, sf), MODEL_CFG)
+
+
+@register("combine_full")
+def q_combine_full(spark, sf):
+    """Whole daily flow: formatted layer -> combine -> model -> usage layer (read back)."""
+    prepare(spark)
+    usage = cmb.to_usage(model.train_and_score(usage_core(spark, sf), MODEL_CFG))
+    path = layers.layer_path(shared_dir(spark, "lake"), "usage", "correlation", "GameStockCorrelation")
+    layers.write_layer(usage, path, testbed.RUN_DATE, ["ticker", "game_name", "date"])
+    return layers.read_layer(spark, path, schemas.USAGE, testbed.RUN_DATE).drop(layers.RUN_DATE_COL)
+
+
+# ── layer I/O ───────────────────────────────────────────────────────────────
+@register("run_metrics")
+def q_run_metrics(spark, sf):
+    prepare(spark)
+    rows: list = []
+    layered.formatted_inputs(spark, sf, with_metrics=rows)
+    counts = [F.struct(F.lit(e).alias("entity"), F.lit(d).alias("date"),
+                       F.lit(n).cast("long").alias("row_count")) for e, d, n in rows]
+    return spark.range(1).select(F.inline(F.array(*counts)))
+
+
+@register("partition_inventory")
+def q_partition_inventory(spark, sf):
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    inv = []
+    for _, _, (group, entity), _, _ in layered.SPECS:
+        path = layers.layer_path(f["root"], "formatted", group, entity)
+        inv.append(layers.partition_inventory(spark, path)
+                   .groupBy(layers.RUN_DATE_COL).agg(F.sum("rows").alias("rows"))
+                   .withColumn("entity", F.lit(f"{group}/{entity}")))
+    out = inv[0]
+    for x in inv[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def _bars_envelope(spark, sf, chunk_rows=layers.ENVELOPE_CHUNK_ROWS) -> str:
+    path = shared_dir(spark, "raw_bars")
+    layers.write_envelope(inputs.raw_bars(spark, sf), path,
+                          {"source": "yahoo_finance", "date": testbed.RUN_DATE,
+                           "tickers": testbed.TRACKED_TICKERS, "failed_tickers": [],
+                           "extracted_at": testbed.RUN_EXTRACTED_AT},
+                          "records", chunk_rows)
+    return path
+
+
+@register("scan_json_envelope")
+def q_scan_json_envelope(spark, sf):
+    prepare(spark)
+    path = _bars_envelope(spark, sf)
+    return layers.read_envelope(spark, path, schemas.BARS_ENVELOPE, "records")
+
+
+@register("sink_json_envelope")
+def q_sink_json_envelope(spark, sf):
+    prepare(spark)
+    path = _bars_envelope(spark, sf, chunk_rows=40)
+    meta = layers.read_envelope_meta(spark, path, schemas.BARS_ENVELOPE, "records")
+    return meta.groupBy("source", "date").agg(F.sum("count").cast("long").alias("records"))
+
+
+@register("union_batches")
+def q_union_batches(spark, sf):
+    """Per-ticker record lists (one folder each), concatenated by one multi-path read."""
+    prepare(spark)
+    root = shared_dir(spark, "per_ticker")
+    inputs.raw_bars(spark, sf).write.partitionBy("ticker").json(root)
+    back = spark.read.schema(schemas.RAW_BAR).option("basePath", root).json(f"{root}/ticker=*")
+    return back.select(*schemas.RAW_BAR.names)
+
+
+@register("scan_parquet")
+def q_scan_parquet(spark, sf):
+    prepare(spark)
+    return present(layered.formatted_inputs(spark, sf)["bars"])
+
+
+@register("sink_parquet_roundtrip")
+def q_sink_parquet_roundtrip(spark, sf):
+    prepare(spark)
+    bars = inputs.bars(spark, sf)
+    root = shared_dir(spark, "roundtrip")
+    out = None
+    for codec in ("snappy", "gzip", "none"):
+        path = f"{root}/{codec}"
+        layers.write_layer(bars, path, testbed.RUN_DATE, ["ticker", "date"], compression=codec)
+        back = layers.read_layer(spark, path, schemas.BARS_FORMATTED, testbed.RUN_DATE)
+        back = back.drop(layers.RUN_DATE_COL).withColumn("codec", F.lit(codec))
+        out = back if out is None else out.unionByName(back)
+    return present(out)
+
+
+@register("empty_bars_schema")
+def q_empty_bars_schema(spark, sf):
+    """Bars for a run before any data: an empty frame that still has all columns."""
+    prepare(spark)
+    bars = inputs.bars(spark, sf)
+    first_day = prep.earliest_date(bars)
+    return present(prep.history_window(bars, first_day.strftime("%Y%m%d"), 365))
+
+
+@register("bad_record_split")
+def q_bad_record_split(spark, sf):
+    """Raw stream records as JSON lines; a failed fetch (no viewers) leaves a broken line."""
+    prepare(spark)
+    raw = inputs.raw_streams(spark, sf)
+    js = F.to_json(F.struct(*raw.columns))
+    text = F.when(F.col("top_stream_viewers").isNull(), F.substring(js, 1, 25)).otherwise(js)
+    path = shared_dir(spark, "raw_lines")
+    raw.select(text.alias("value")).write.text(path)
+    good, bad = layers.split_bad_records(layers.read_json_records(spark, path, schemas.RAW_STREAM),
+                                         ["rank", "game_id"])
+    return (good.agg(F.lit("good").alias("status"), F.count(F.lit(1)).alias("n"))
+            .unionByName(bad.agg(F.lit("bad").alias("status"), F.count(F.lit(1)).alias("n"))))
+
+
+# ── live quotes ─────────────────────────────────────────────────────────────
+def _ticks(spark, sf) -> DataFrame:
+    return testbed.quote_ticks(testbed.read(spark, sf, "events"))
+
+
+def _market_cap():
+    return F.col("current_price") * F.lit(1_000_000.0)
+
+
+@register("live_change_pct")
+def q_live_change_pct(spark, sf):
+    prepare(spark)
+    ctx = live.bar_context(inputs.bars(spark, sf))
+    docs = live.quote_docs(_ticks(spark, sf), ctx, market_cap=_market_cap())
+    return present(docs.select("seq", "ticker", "current_price", "previous_close", "change_pct",
+                               "market_cap", "fifty_two_week_high", "fifty_two_week_low"))
+
+
+LIVE_OUT = ["doc_id", "ticker", "timestamp", "current_price", "previous_close", "change_pct",
+            "currency", "exchange", "seq", "date"]
+
+
+def _events_stream(spark, sf) -> DataFrame:
+    ev = (spark.readStream.schema(testbed.read(spark, sf, "events").schema)
+          .option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1).parquet(sf))
+    return testbed.quote_ticks(ev)
+
+
+@register("stream_live_quotes")
+def q_stream_live_quotes(spark, sf):
+    prepare(spark)
+    ctx = live.bar_context(inputs.bars(spark, sf))
+    table, ckpt = shared_dir(spark, "live"), shared_dir(spark, "live_ckpt")
+    q = live.start_live_refresh(_events_stream(spark, sf), ctx, table, ckpt, available_now=True)
+    q.awaitTermination()
+    return present(spark.read.parquet(table).select(*LIVE_OUT))
+
+
+@register("stream_latest_per_minute")
+def q_stream_latest_per_minute(spark, sf):
+    prepare(spark)
+    ctx = live.bar_context(inputs.bars(spark, sf))
+    table, ckpt = shared_dir(spark, "live_min"), shared_dir(spark, "live_min_ckpt")
+    q = live.start_latest_per_minute(_events_stream(spark, sf), ctx, table, ckpt, available_now=True)
+    q.awaitTermination()
+    return present(spark.read.parquet(table).select(*LIVE_OUT))
+
+
+@register("live_upsert")
+def q_live_upsert(spark, sf):
+    """Upsert the same batch twice, then an empty batch: the table must be unchanged."""
+    prepare(spark)
+    ctx = live.bar_context(inputs.bars(spark, sf))
+    docs = live.quote_docs(_ticks(spark, sf), ctx)
+    table = shared_dir(spark, "live_batch")
+    live.upsert(docs, table)
+    live.upsert(docs, table)
+    live.upsert(docs.limit(0), table)
+    return present(spark.read.parquet(table).select(*LIVE_OUT))

@@ -181,14 +181,15 @@ TRACKED = f"""
 tracked AS (SELECT * FROM (VALUES {TRACKED_VALUES}) AS t(ticker))"""
 
 
-def combine_ctes(jitter: bool = True) -> str:
+def combine_ctes(jitter: bool = True, streams_present: bool = True) -> str:
     zs = z_sql("sb.name", "sb.ticker", "k.date", "s")
     zr = z_sql("so.raw_name", "so.ticker", "k.date", "r")
     zv = z_sql("so.raw_name", "so.ticker", "k.date", "v")
     steam_score = j_snapshot("sb.rank_score", zs) if jitter else "CAST(sb.rank_score AS DOUBLE)"
     stream_score = j_stream("so.score", zr) if jitter else "CAST(so.score AS DOUBLE)"
     stream_viewers = j_viewers("so.v", zv) if jitter else "so.v"
-    return ",".join([BARS, GAMES, STREAMS, SMAP]) + f""",
+    streams = STREAMS if streams_present else STREAMS.replace("FROM raw_streams)", "FROM raw_streams WHERE false)")
+    return ",".join([BARS, GAMES, streams, SMAP]) + f""",
 kpi AS (
   SELECT ticker, date, open AS stock_open, close AS stock_close, high AS stock_high, low AS stock_low,
          volume AS stock_volume, coalesce(daily_change_pct, 0.0) AS daily_change_pct,
@@ -251,3 +252,55 @@ usage AS (
 
 def with_(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select}"
+
+
+def doc_id_sql(ticker: str = "ticker", date: str = "date", game: str = "game_name") -> str:
+    return (f"concat_ws('_', replace(coalesce({ticker}, '{kpi.UNKNOWN_TICKER}'), ' ', '_'), "
+            f"replace(coalesce(strftime({date}, '%Y-%m-%d'), ''), '-', ''), "
+            f"substr(replace(coalesce({game}, ''), ' ', '_'), 1, 30))")
+
+
+TRAIN = """
+train AS (SELECT * FROM usage WHERE date >= (SELECT max(date) FROM usage) - INTERVAL 29 DAY),
+pairs AS (SELECT *, """ + signal_sql("corr_7d_viewers_price") + """ AS viewers_signal FROM train)"""
+
+PRF = """
+pc AS (SELECT signal AS actual, viewers_signal AS predicted, count(*) AS n FROM pairs GROUP BY 1, 2),
+sup AS (SELECT actual AS cls, sum(n) AS support FROM pc GROUP BY 1),
+pr AS (SELECT predicted AS cls, sum(n) AS n_pred FROM pc GROUP BY 1),
+tp AS (SELECT actual AS cls, n AS tp FROM pc WHERE actual = predicted),
+pcls AS (
+  SELECT coalesce(sup.cls, pr.cls) AS cls, CAST(coalesce(tp.tp, 0) AS DOUBLE) AS tp,
+         CAST(coalesce(sup.support, 0) AS DOUBLE) AS support, CAST(coalesce(pr.n_pred, 0) AS DOUBLE) AS n_pred
+  FROM sup FULL JOIN pr ON sup.cls = pr.cls LEFT JOIN tp ON tp.cls = coalesce(sup.cls, pr.cls)),
+prf0 AS (
+  SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS precision,
+            CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM pcls),
+prf AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+  FROM prf0)"""
+
+LIVE_CTX = """
+ctx AS (
+  SELECT ticker, date, lag(close) OVER (PARTITION BY ticker ORDER BY date) AS previous_close,
+         max(high) OVER (PARTITION BY ticker ORDER BY date_diff('day', DATE '1970-01-01', date)
+                         RANGE BETWEEN 364 PRECEDING AND 1 PRECEDING) AS fifty_two_week_high,
+         min(low) OVER (PARTITION BY ticker ORDER BY date_diff('day', DATE '1970-01-01', date)
+                        RANGE BETWEEN 364 PRECEDING AND 1 PRECEDING) AS fifty_two_week_low
+  FROM bars),
+ticks AS (
+  SELECT event_type AS ticker, CAST(ts AS TIMESTAMP) AS timestamp, value AS current_price, event_id AS seq,
+         CAST(ts AS DATE) AS date
+  FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL),
+docs AS (
+  SELECT concat_ws('_', t.ticker, strftime(t.timestamp, '%Y%m%d%H%M')) AS doc_id, t.ticker, t.timestamp,
+         t.current_price, c.previous_close,
+         CASE WHEN t.current_price <> 0 AND c.previous_close <> 0
+              THEN round((t.current_price - c.previous_close) / c.previous_close * 100, 4) END AS change_pct,
+         CASE WHEN t.current_price * 1000000.0::DOUBLE <> 0
+              THEN CAST(trunc(t.current_price * 1000000.0::DOUBLE) AS BIGINT) END AS market_cap,
+         c.fifty_two_week_high, c.fifty_two_week_low, 'USD' AS currency, '' AS exchange, t.seq, t.date
+  FROM ticks t LEFT JOIN ctx c ON t.ticker = c.ticker AND t.date = c.date),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY timestamp DESC, seq DESC) AS rn
+                 FROM docs) WHERE rn = 1)"""

@@ -55,22 +55,30 @@ def _display_name(key_col: str = "p_partkey") -> F.Column:
 def raw_bars(events: DataFrame) -> DataFrame:
     """One OHLCV bar per (event_type, day); date as raw ``yyyy-MM-dd`` text.
 
-    first/last use min_by/max_by over (ts, event_id): declarative aggregates,
-    so the partial (map-side) aggregation keeps the shuffle at one row per
-    group per input partition however skewed the event types are.
+    open/close are the values of the first/last event by (ts, event_id).
+    A struct ordering would force a sort-based aggregation over every event,
+    so this runs as two hash aggregations instead:
+      1. per (ticker, day): first/last ts, high, low, count (map-side combine,
+         one row per group per input partition however skewed the types are);
+      2. only events sitting on a group's first/last ts break ties by event_id.
+    The join in step 2 is against the tickers x days aggregate; AQE sees its
+    real (shuffle) size and broadcasts it when small - no shuffle of the
+    events - and otherwise keeps a sort-merge join with skew splitting.
     """
-    order = F.struct("ts", "event_id")
-    return (events
-            .select("event_type", "ts", "event_id", "value")
-            .groupBy(F.col("event_type").alias("ticker"),
-                     F.to_date("ts").alias("day"))
-            .agg(F.min_by("value", order).alias("open"),
-                 F.max("value").alias("high"),
-                 F.min("value").alias("low"),
-                 F.max_by("value", order).alias("close"),
-                 F.count(F.lit(1)).alias("volume"))
-            .select("ticker", F.date_format("day", "yyyy-MM-dd").alias("date"),
-                    "open", "high", "low", "close", "volume"))
+    ev = events.select(F.col("event_type").alias("ticker"), F.to_date("ts").alias("day"),
+                       "ts", "event_id", "value")
+    stats = (ev.groupBy("ticker", "day")
+               .agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"),
+                    F.max("value").alias("high"), F.min("value").alias("low"),
+                    F.count(F.lit(1)).alias("volume")))
+    at_first, at_last = F.col("ts") == F.col("t0"), F.col("ts") == F.col("t1")
+    return (ev.join(stats, ["ticker", "day"], "inner")
+              .where(at_first | at_last)
+              .groupBy("ticker", "day", "high", "low", "volume")
+              .agg(F.min_by(F.col("value"), F.when(at_first, F.col("event_id"))).alias("open"),
+                   F.max_by(F.col("value"), F.when(at_last, F.col("event_id"))).alias("close"))
+              .select("ticker", F.date_format("day", "yyyy-MM-dd").alias("date"),
+                      "open", "high", "low", "close", "volume"))
 
 
 def _part_stats_games(lineitem: DataFrame) -> DataFrame:
