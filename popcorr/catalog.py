@@ -317,7 +317,7 @@ def q_prep_zero_fill(spark, sf):
 @register("prep_all_null_text")
 def q_prep_all_null_text(spark, sf):
     prepare(spark)
-    raw = testbed.raw_games(testbed.read(spark, sf, "lineitem"), testbed.read(spark, sf, "part"))
+    raw = testbed.raw_games(inputs.part_stats(spark, sf))
     return prep.fill_all_null_text(raw).select("rank", "name", "owners", "ticker")
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
@@ -50,6 +51,7 @@ SEED = 42
 DEFAULT_TREES = 150          # boosting rounds of the reference model
 LEARNING_RATE = 0.1
 MAX_DEPTH = 3
+OVR_PARALLELISM = 5
 METRIC_COLUMNS = {"accuracy": "ml_accuracy", "f1_weighted": "ml_f1_weighted",
                   "f1_macro": "ml_f1_macro", "precision_weighted": "ml_precision",
                   "recall_weighted": "ml_recall"}
@@ -83,7 +85,9 @@ def _estimator(cfg: ModelConfig):
                                       maxDepth=cfg.max_depth, seed=cfg.seed)
     gbt = GBTClassifier(maxIter=cfg.trees, stepSize=cfg.learning_rate, maxDepth=cfg.max_depth,
                         seed=cfg.seed)
-    return OneVsRest(classifier=gbt, featuresCol="features", labelCol="label")
+    # the per-class binary models are independent: fit them concurrently
+    return OneVsRest(classifier=gbt, featuresCol="features", labelCol="label",
+                     parallelism=OVR_PARALLELISM)
 
 
 def fit(train: DataFrame, cfg: ModelConfig):
@@ -130,7 +134,8 @@ def fallback(df: DataFrame) -> DataFrame:
 def train_and_score(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFrame:
     """Train on the trailing window, score every row, attach training metrics."""
     cfg = cfg or ModelConfig()
-    fm = feature_matrix(usage)
+    # fit, training-set scoring and full scoring all read it: keep it once
+    fm = feature_matrix(usage).persist(StorageLevel.MEMORY_AND_DISK)
     train = training_rows(fm)
     if train.limit(MIN_TRAIN_ROWS).count() < MIN_TRAIN_ROWS:
         return fallback(fm)
@@ -158,7 +163,7 @@ def n_folds(train: DataFrame, label: str = LABEL) -> int:
 def cross_validate(usage: DataFrame, id_cols: list[str], cfg: ModelConfig | None = None) -> DataFrame:
     """Per-fold scores (fold, accuracy, f1_weighted, f1_macro, precision_weighted, recall_weighted)."""
     cfg = cfg or ModelConfig()
-    train = training_rows(feature_matrix(usage))
+    train = training_rows(feature_matrix(usage).persist(StorageLevel.MEMORY_AND_DISK))
     spark = usage.sparkSession
     k = n_folds(train)
     schema = "fold int, accuracy double, f1_weighted double, f1_macro double, " \
@@ -187,7 +192,7 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 def feature_importance(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFrame:
     """Importance per feature, averaged over the per-class models (one-vs-rest)."""
     cfg = cfg or ModelConfig()
-    train = training_rows(feature_matrix(usage))
+    train = training_rows(feature_matrix(usage).persist(StorageLevel.MEMORY_AND_DISK))
     model = fit(train, cfg)
     clf = model.stages[-1]
     vecs = [m.featureImportances for m in clf.models] if hasattr(clf, "models") else [clf.featureImportances]

@@ -19,28 +19,31 @@ def enrich_snapshot(raw_games: DataFrame, publisher_map: DataFrame) -> DataFrame
     return resolve_ticker(formats.null_defaults_games(raw_games), publisher_map)
 
 
-def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_snapshot(
-        testbed.raw_games(testbed.read(spark, sf_dir, "lineitem"),
-                          testbed.read(spark, sf_dir, "part")),
-        testbed.publisher_map(spark))
+def part_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testbed.part_stats(testbed.read(spark, sf_dir, "lineitem"),
+                              testbed.read(spark, sf_dir, "part"))
 
 
-def raw_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testbed.raw_streams(testbed.read(spark, sf_dir, "lineitem"),
-                               testbed.read(spark, sf_dir, "part"))
+def raw_games(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
+    stats = stats if stats is not None else part_stats(spark, sf_dir)
+    return enrich_snapshot(testbed.raw_games(stats), testbed.publisher_map(spark))
+
+
+def raw_streams(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
+    stats = stats if stats is not None else part_stats(spark, sf_dir)
+    return testbed.raw_streams(stats)
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testbed.raw_bars(testbed.read(spark, sf_dir, "events"))
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return formats.format_steam(raw_games(spark, sf_dir))
+def games(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
+    return formats.format_steam(raw_games(spark, sf_dir, stats))
 
 
-def streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return formats.format_twitch(raw_streams(spark, sf_dir))
+def streams(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
+    return formats.format_twitch(raw_streams(spark, sf_dir, stats))
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,9 @@ daily pipeline hands steps over through storage.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from popcorr.plans import combine, inputs
@@ -30,12 +33,25 @@ SPECS = [
 def formatted_inputs(spark: SparkSession, sf_dir: str, root: str | None = None,
                      run_date: str = RUN_DATE, with_metrics: list | None = None) -> dict[str, DataFrame]:
     root = root or shared_dir(spark, "lake")
-    out = {}
-    for name, build, (group, entity), schema, sort in SPECS:
+    # one aggregation of the order lines feeds both snapshot lists
+    stats = inputs.part_stats(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    builders = {"games": lambda s, d: inputs.games(s, d, stats),
+                "streams": lambda s, d: inputs.streams(s, d, stats)}
+
+    def write(spec):
+        name, build, (group, entity), schema, sort = spec
         path = layers.layer_path(root, "formatted", group, entity)
-        meta = layers.write_layer(build(spark, sf_dir), path, run_date, sort)
+        meta = layers.write_layer(builders.get(name, build)(spark, sf_dir), path, run_date, sort)
+        return name, path, schema, (f"{group}/{entity}", meta["date"], meta["row_count"])
+
+    # the four tables are independent Spark jobs: submit them concurrently
+    with ThreadPoolExecutor(max_workers=len(SPECS)) as pool:
+        written = list(pool.map(write, SPECS))
+    stats.unpersist()
+    out = {}
+    for name, path, schema, meta in written:
         if with_metrics is not None:
-            with_metrics.append((f"{group}/{entity}", meta["date"], meta["row_count"]))
+            with_metrics.append(meta)
         out[name] = layers.read_layer(spark, path, schema, run_date).drop(layers.RUN_DATE_COL)
     out["root"] = root
     return out

@@ -81,28 +81,29 @@ def raw_bars(events: DataFrame) -> DataFrame:
                       "open", "high", "low", "close", "volume"))
 
 
-def _part_stats_games(lineitem: DataFrame) -> DataFrame:
+def part_stats(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Per part, in one hash aggregation over the order lines: shipped quantity,
+    kept/returned line counts, largest line, recent quantity, revenue in cents
+    (exact integer ranking) - everything both top-N lists need."""
     is_r = F.col("l_returnflag") == "R"
     recent = F.col("l_shipdate") >= F.lit(RECENT_PLAY_SINCE).cast("timestamp_ntz")
-    return (lineitem
-            .groupBy("l_partkey")
-            .agg(F.sum("l_quantity").alias("q"),
-                 F.count(F.when(~is_r, 1)).alias("pos"),
-                 F.count(F.when(is_r, 1)).alias("neg"),
-                 F.max("l_quantity").alias("mx"),
-                 F.sum(F.when(recent, F.col("l_quantity")).otherwise(F.lit(0.0))).alias("q2")))
+    stats = (lineitem
+             .groupBy("l_partkey")
+             .agg(F.sum("l_quantity").alias("q"),
+                  F.count(F.when(~is_r, 1)).alias("pos"),
+                  F.count(F.when(is_r, 1)).alias("neg"),
+                  F.max("l_quantity").alias("mx"),
+                  F.sum(F.when(recent, F.col("l_quantity")).otherwise(F.lit(0.0))).alias("q2"),
+                  F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("r")))
+    return stats.join(part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"),
+                      F.col("l_partkey") == F.col("p_partkey"))
 
 
-def raw_games(lineitem: DataFrame, part: DataFrame, n: int = TOP_GAMES,
-              run_date: str = RUN_DATE) -> DataFrame:
+def raw_games(stats: DataFrame, n: int = TOP_GAMES, run_date: str = RUN_DATE) -> DataFrame:
     """Top-n parts by shipped quantity as raw game records (ticker unresolved)."""
-    top = (_part_stats_games(lineitem)
-           .join(part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"),
-                 F.col("l_partkey") == F.col("p_partkey"))
-           .orderBy(F.desc("q"), F.asc("p_partkey"))
-           .limit(n))
-    ranked = top.withColumn(
-        "rank", F.row_number().over(Window.orderBy(F.desc("q"), F.asc("p_partkey"))).cast("int"))
+    order = [F.desc("q"), F.asc("p_partkey")]
+    ranked = stats.orderBy(*order).limit(n).withColumn(
+        "rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
     return ranked.select(
         "rank",
         F.col("p_partkey").cast("string").alias("app_id"),
@@ -122,24 +123,15 @@ def raw_games(lineitem: DataFrame, part: DataFrame, n: int = TOP_GAMES,
     )
 
 
-def raw_streams(lineitem: DataFrame, part: DataFrame, n: int = TOP_STREAMS,
-                run_date: str = RUN_DATE) -> DataFrame:
+def raw_streams(stats: DataFrame, n: int = TOP_STREAMS, run_date: str = RUN_DATE) -> DataFrame:
     """Top-n parts by revenue (integer cents, exact rank) as raw stream records."""
-    stats = (lineitem
-             .groupBy("l_partkey")
-             .agg(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("r"),
-                  F.sum("l_quantity").alias("q")))
-    top = (stats.join(part.select("p_partkey", "p_name"),
-                      F.col("l_partkey") == F.col("p_partkey"))
-           .orderBy(F.desc("r"), F.asc("p_partkey"))
-           .limit(n))
+    order = [F.desc("r"), F.asc("p_partkey")]
     upper = F.upper(_display_name())
     name = F.when(F.col("p_partkey") % 4 == 0,
                   F.concat(F.lit("  "), upper, F.lit(" "))).otherwise(upper)
     viewers = F.when(F.col("p_partkey") % 10 == 0, F.lit(None)).otherwise(F.col("q").cast("long"))
-    return (top
-            .withColumn("rank", F.row_number().over(
-                Window.orderBy(F.desc("r"), F.asc("p_partkey"))).cast("int"))
+    return (stats.orderBy(*order).limit(n)
+            .withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
             .select("rank",
                     F.col("p_partkey").cast("string").alias("game_id"),
                     name.alias("game_name"),
