@@ -19,7 +19,7 @@ from popcorr.functions.rolling import rolling_pearson, rows_window
 from popcorr.operators import correlate, expand, metrics, model, prep, serve
 from popcorr.plans import combine as cmb
 from popcorr.plans import enrich, inputs, layered
-from popcorr.session import shared_dir
+from popcorr.session import cut_lineage, shared_dir
 from popcorr.sources import layers, schemas, testbed
 from popcorr.streaming import live
 
@@ -129,6 +129,13 @@ def usage_core(spark, sf, jitter: bool = True, streams_present: bool = True) ->
     return layered.usage_core(spark, sf, jitter=jitter, streams_present=streams_present)
 
 
+def usage_reused(spark, sf) -> DataFrame:
+    """Usage for queries that run several actions on it (a max date, class
+    counts, then the result): written once as a reliable checkpoint in the
+    shared folder instead of recomputing the combine per action."""
+    return cut_lineage(usage_core(spark, sf))
+
+
 @register("combine_core")
 def q_combine_core(spark, sf):
     prepare(spark)
@@ -341,7 +348,7 @@ def q_clean_numeric(spark, sf):
 @register("train_window_filter")
 def q_train_window_filter(spark, sf):
     prepare(spark)
-    return present(prep.trailing_window(usage_core(spark, sf), 30).select(*ROW_KEY, "signal"))
+    return present(prep.trailing_window(usage_reused(spark, sf), 30).select(*ROW_KEY, "signal"))
 
 
 @register("bars_history_window")
@@ -422,7 +429,7 @@ def q_usage_summary(spark, sf):
 # ── evaluation over (signal, viewers signal) ─────────────────────────────────
 def _labelled_pairs(spark, sf) -> DataFrame:
     """Training rows with the popularity signal (actual) and the viewers signal (predicted)."""
-    u = prep.trailing_window(usage_core(spark, sf), model.TRAIN_DAYS)
+    u = prep.trailing_window(usage_reused(spark, sf), model.TRAIN_DAYS)
     return u.withColumn("viewers_signal", kpi.signal_label("corr_7d_viewers_price"))
 
 
@@ -454,7 +461,7 @@ def q_classification_report(spark, sf):
 @register("cv_folds")
 def q_cv_folds(spark, sf):
     prepare(spark)
-    train = prep.trailing_window(usage_core(spark, sf), model.TRAIN_DAYS)
+    train = prep.trailing_window(usage_reused(spark, sf), model.TRAIN_DAYS)
     k = model.n_folds(train)
     return present(model.fold_assignment(train, k, ROW_KEY).select(*ROW_KEY, "signal", "fold"))
 
@@ -468,7 +475,7 @@ def q_feature_matrix(spark, sf):
 @register("label_index")
 def q_label_index(spark, sf):
     prepare(spark)
-    train = prep.trailing_window(usage_core(spark, sf), model.TRAIN_DAYS)
+    train = prep.trailing_window(usage_reused(spark, sf), model.TRAIN_DAYS)
     idx = model.label_index(train).fit(train)
     return (idx.transform(train.select("signal").distinct())
                .select("signal", F.col("label").cast("int").alias("label_index")))

@@ -7,9 +7,10 @@ trimmed name is not already covered by an expanded snapshot row, maps them
 to a ticker through the stream name map, and expands them the same way.
 
 Expansion is an equi-join on ``ticker`` against the (ticker, date) calendar:
-a broadcast hash join when the calendar is bounded (the usual case: tickers
-x trading days), else a salted shuffle join, so a ticker that owns a third
-of all games never lands in one task.
+a broadcast hash join when the calendar is under the broadcast threshold (the
+usual case: tickers x trading days), else a sort-merge join in which AQE
+splits a hot ticker's partition (or an explicitly salted join), so a ticker
+that owns a third of all games never lands in one task.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popcorr.functions import kpi
-from popcorr.operators.joins import bounded_broadcast, join_one_to_many
+from popcorr.operators.joins import join_one_to_many
 
 
 def ticker_calendar(bars: DataFrame) -> DataFrame:
@@ -47,13 +48,15 @@ def covered_names(snapshot: DataFrame, calendar: DataFrame, name_col: str = "nam
 
     "Covered" is decided after expansion: only names whose ticker has at least
     one date.  If no snapshot row expands at all, the unexpanded frame is
-    kept, so every snapshot name blocks (the one data-dependent branch; it
-    runs a bounded ``isEmpty`` probe).
+    kept, so every snapshot name blocks.  That data-dependent branch is an
+    uncorrelated ``NOT EXISTS`` subquery (one row, ``CollectLimit 1``) inside
+    the same lazy plan - no driver-side probe.
     """
     tickers = calendar.select("ticker").distinct()
-    expanded = snapshot.join(bounded_broadcast(tickers), "ticker", "left_semi")
-    source = snapshot if expanded.isEmpty() else expanded
-    return source.select(F.lower(F.col(name_col)).alias("name_key")).distinct()
+    expanded = snapshot.join(tickers, "ticker", "left_semi")
+    flagged = snapshot.join(tickers.withColumn("_has_dates", F.lit(True)), "ticker", "left")
+    keep = F.col("_has_dates").isNotNull() | ~expanded.exists()
+    return flagged.where(keep).select(F.lower(F.col(name_col)).alias("name_key")).distinct()
 
 
 def stream_only_candidates(streams: DataFrame, blocking: DataFrame,
@@ -69,7 +72,7 @@ def stream_only_candidates(streams: DataFrame, blocking: DataFrame,
 def stream_ticker_lookup(candidates: DataFrame, stream_map: DataFrame) -> DataFrame:
     """Exact lookup on the case-folded trimmed name; misses are dropped."""
     m = stream_map.select(F.col("name_lower").alias("name_key"), "ticker")
-    return candidates.drop("ticker").join(bounded_broadcast(m), "name_key", "inner")
+    return candidates.drop("ticker").join(m, "name_key", "inner")
 
 
 def expand_stream_only(mapped: DataFrame, calendar: DataFrame, jitter: bool = True,

@@ -2,7 +2,10 @@
 
 ``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the candidate
 side (a bounded job) and only then hints ``broadcast``; above the bound the
-join stays a shuffle join that AQE can re-plan and split for skew.
+join stays a shuffle join that AQE can re-plan and split for skew.  It is
+used where the optimizer has no size statistics for a side (computed
+frames); joins against written layer tables leave the choice to Catalyst's
+statistics-based broadcast threshold and AQE.
 
 ``salted_join_many`` joins a large, possibly skewed fact side to a modest
 side on a key where one key value may hold a third of all fact rows: the
@@ -46,12 +49,17 @@ def salted_join_many(big: DataFrame, small: DataFrame, key: str, salt_cols: list
 
 
 def join_one_to_many(big: DataFrame, small: DataFrame, key: str, salt_cols: list[str],
-                     max_rows: int = BROADCAST_MAX_ROWS, salts: int = DEFAULT_SALTS) -> DataFrame:
+                     salts: int | None = None) -> DataFrame:
     """Equi-join on one key where ``small`` fans each ``big`` row out.
 
-    Broadcast hash join when ``small`` is bounded (no shuffle of ``big`` at
-    all, so a hot key costs nothing extra); otherwise a salted shuffle join.
+    Default: a plain join.  ``small`` here is a scan/aggregate of a written
+    layer table, so Catalyst has file statistics: below
+    ``spark.sql.autoBroadcastJoinThreshold`` it plans a broadcast hash join
+    (no shuffle of ``big``; a hot key costs nothing extra), above it a
+    sort-merge join whose skewed partitions AQE splits across tasks.  With
+    ``salts`` the join is salted explicitly (for a side known to be too big
+    to broadcast with keys known to be hot).
     """
-    if fits_broadcast(small, max_rows):
-        return big.join(F.broadcast(small), key, "inner")
-    return salted_join_many(big, small, key, salt_cols, salts)
+    if salts:
+        return salted_join_many(big, small, key, salt_cols, salts)
+    return big.join(small, key, "inner")

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from popcorr.functions import kpi
 from popcorr.operators import metrics, prep
 from popcorr.operators.rank import rank_within
+from popcorr.session import cut_lineage
 
 # ── fixed values ─────────────────────────────────────────────────────────────
 FEATURES = [
@@ -134,8 +135,9 @@ def fallback(df: DataFrame) -> DataFrame:
 def train_and_score(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFrame:
     """Train on the trailing window, score every row, attach training metrics."""
     cfg = cfg or ModelConfig()
-    # fit, training-set scoring and full scoring all read it: keep it once
-    fm = feature_matrix(usage).persist(StorageLevel.MEMORY_AND_DISK)
+    # fit, training-set scoring and full scoring all read it: materialise it
+    # once (reliable checkpoint, nothing pinned in executor memory)
+    fm = cut_lineage(feature_matrix(usage))
     train = training_rows(fm)
     if train.limit(MIN_TRAIN_ROWS).count() < MIN_TRAIN_ROWS:
         return fallback(fm)
@@ -163,7 +165,7 @@ def n_folds(train: DataFrame, label: str = LABEL) -> int:
 def cross_validate(usage: DataFrame, id_cols: list[str], cfg: ModelConfig | None = None) -> DataFrame:
     """Per-fold scores (fold, accuracy, f1_weighted, f1_macro, precision_weighted, recall_weighted)."""
     cfg = cfg or ModelConfig()
-    train = training_rows(feature_matrix(usage).persist(StorageLevel.MEMORY_AND_DISK))
+    train = training_rows(cut_lineage(feature_matrix(usage)))
     spark = usage.sparkSession
     k = n_folds(train)
     schema = "fold int, accuracy double, f1_weighted double, f1_macro double, " \
@@ -192,7 +194,7 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 def feature_importance(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFrame:
     """Importance per feature, averaged over the per-class models (one-vs-rest)."""
     cfg = cfg or ModelConfig()
-    train = training_rows(feature_matrix(usage).persist(StorageLevel.MEMORY_AND_DISK))
+    train = training_rows(cut_lineage(feature_matrix(usage)))
     model = fit(train, cfg)
     clf = model.stages[-1]
     vecs = [m.featureImportances for m in clf.models] if hasattr(clf, "models") else [clf.featureImportances]

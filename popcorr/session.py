@@ -81,10 +81,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/popcorr/{name}/{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable, never local)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder.
+
+    One computation (an eager ``checkpoint()`` computes the plan twice unless
+    cached), reliable storage that survives executor loss (never a local
+    checkpoint), and the re-read carries real file statistics for the
+    optimizer's broadcast decisions.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -89,6 +89,8 @@ def test_serving_refresh_collisions_and_empty(spark, tmp_dir):
     assert "UNKNOWN_20240102_Other" in ids
     meta2 = serve.full_refresh(_usage_rows(spark).limit(0), path)
     assert meta2["written"] is False and serve.read_serving(spark, path).count() == 2
+    meta3 = serve.full_refresh(_usage_rows(spark).where("ticker IS NULL"), path)
+    assert meta3["written"] and serve.read_serving(spark, path).count() == 1   # a refresh replaces
 
 
 def _ticks(spark, rows):
