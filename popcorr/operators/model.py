@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
@@ -133,22 +132,36 @@ def fallback(df: DataFrame) -> DataFrame:
 
 
 def train_and_score(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFrame:
-    """Train on the trailing window, score every row, attach training metrics."""
+    """Train on the trailing window, score every row, attach training metrics.
+
+    Every row is scored once (materialised as a written table); the training
+    metrics are then aggregates over the scored rows of the training window,
+    not a second prediction pass.
+    """
     cfg = cfg or ModelConfig()
     # fit, training-set scoring and full scoring all read it: materialise it
-    # once (reliable checkpoint, nothing pinned in executor memory)
+    # once (a written table in the shared folder, nothing pinned in memory)
     fm = cut_lineage(feature_matrix(usage))
-    train = training_rows(fm)
+    cutoff = training_cutoff(fm)
+    train = fm.where(F.col("date") >= F.lit(cutoff)) if cutoff is not None else fm.limit(0)
     if train.limit(MIN_TRAIN_ROWS).count() < MIN_TRAIN_ROWS:
         return fallback(fm)
     model = fit(train, cfg)
-    scores = metrics.classification_scores(predict(model, train, cfg), LABEL, "ml_prediction").first()
-    scored = predict(model, fm, cfg)
+    scored = cut_lineage(predict(model, fm, cfg))
+    in_train = scored.where(F.col("date") >= F.lit(cutoff))
+    scores = metrics.classification_scores(in_train, LABEL, "ml_prediction").first()
     for k, c in METRIC_COLUMNS.items():
         scored = scored.withColumn(c, F.lit(scores[k]).cast("double"))
     return scored
 
 
+def training_cutoff(df: DataFrame, days: int = TRAIN_DAYS):
+    """First date of the trailing training window (one-row aggregate)."""
+    import datetime as _dt
+    m = prep.latest_date(df)
+    return None if m is None else m - _dt.timedelta(days=days - 1)
+
+
 def fold_assignment(train: DataFrame, k: int, id_cols: list[str], seed: int = SEED,
                     label: str = LABEL) -> DataFrame:
     """fold = (position inside the class under md5(id|seed), id) mod k."""

@@ -82,7 +82,12 @@ def write_layer(df: DataFrame, path: str, run_date: str, sort_cols: list[str] |
         .option("compression", compression)
         .partitionBy(RUN_DATE_COL)
         .parquet(path))
-    rows = obs.get.get("row_count", 0) if metrics else None
+    rows = None
+    if metrics:
+        try:
+            rows = int(obs.get.get("row_count", 0) or 0)
+        except Exception:  # noqa: BLE001 - an empty plan reports no metrics row
+            rows = 0
     return {"date": run_date, "row_count": rows, "path": path}
 
 

@@ -85,20 +85,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert(batch: DataFrame, path: str) -> int:
-    """Merge a batch of documents into the live table; returns documents written."""
+    """Merge a batch of documents into the live table; returns documents written.
+
+    The merged touched partitions are computed once into a written table in
+    the shared folder (this also cuts the lineage: the final write replaces
+    files the merge read); an empty result writes nothing.
+    """
     spark = batch.sparkSession
-    if batch.isEmpty():
-        return 0
     docs = latest_per_key(batch.select(*LIVE_COLUMNS))
     if _exists(spark, path):
         touched = docs.select("date").distinct()
         old = spark.read.parquet(path).select(*LIVE_COLUMNS)
         old = old.join(F.broadcast(touched), "date", "left_semi")
         docs = latest_per_key(old.unionByName(docs))
-    docs = cut_lineage(docs)
-    n = docs.count()
-    (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date").parquet(path))
+    merged = cut_lineage(docs, "live_merge")
+    n = merged.count()                      # reads the small written merge
+    if n == 0:
+        return 0
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("date").parquet(path))
     return n
 
 
