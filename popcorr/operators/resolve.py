@@ -9,8 +9,9 @@ skipped):
   no hit for either name -> NULL.
 
 Spark plan: the *distinct* names (not the rows) meet the small, broadcast
-map in one nested-loop join; ``min(struct(priority, ordinal, ticker))`` per
-name picks the first match; the per-name result is equi-joined back.
+map in one nested-loop join; a hash ``min`` over (priority, ordinal) packed
+into one long picks the first match per name; its ticker comes from the
+broadcast map; the per-name result is equi-joined back to the rows.
 """
 
 from __future__ import annotations
@@ -21,6 +22,11 @@ from pyspark.sql import functions as F
 from popcorr.operators.joins import bounded_broadcast
 
 
+# priority (0 = exact hit with a ticker, 1 = substring hit) and map ordinal
+# packed into one long, so the first-match pick is a hash aggregation (min)
+_PRIORITY_SHIFT = 1 << 32
+
+
 def name_matches(names: DataFrame, mapping: DataFrame) -> DataFrame:
     """Per distinct name: ``hit`` (bool) and the first-match ``ticker``."""
     m = mapping.select("ordinal", "k", F.col("ticker").alias("m_ticker"),
@@ -28,11 +34,13 @@ def name_matches(names: DataFrame, mapping: DataFrame) -> DataFrame:
     nm, nl = F.col("nm"), F.lower(F.col("nm"))
     exact = (nm == F.col("k")) & F.col("m_ticker").isNotNull()
     cond = exact | nl.contains(F.col("k_lower")) | F.col("k_lower").contains(nl)
-    hits = names.join(bounded_broadcast(m, 100_000), cond, "inner")
-    pick = F.min(F.struct(F.when(exact, 0).otherwise(1).alias("p"),
-                          F.col("ordinal"), F.col("m_ticker")))
-    return (hits.groupBy("nm").agg(pick.alias("best"))
-            .select("nm", F.lit(True).alias("hit"), F.col("best.m_ticker").alias("ticker")))
+    small_map = bounded_broadcast(m, 100_000)
+    code = F.when(exact, 0).otherwise(1).cast("long") * F.lit(_PRIORITY_SHIFT) + F.col("ordinal")
+    best = (names.join(small_map, cond, "inner")
+                 .groupBy("nm").agg(F.min(code).alias("code"))
+                 .withColumn("ordinal", (F.col("code") % F.lit(_PRIORITY_SHIFT)).cast("int")))
+    return (best.join(small_map.select("ordinal", "m_ticker"), "ordinal", "inner")
+                .select("nm", F.lit(True).alias("hit"), F.col("m_ticker").alias("ticker")))
 
 
 def resolve_ticker(df: DataFrame, mapping: DataFrame, publisher: str = "publisher",

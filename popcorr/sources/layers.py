@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
+from popcorr.session import path_exists
+
 RUN_DATE_COL = "run_date"
 # Records per raw envelope chunk.
 ENVELOPE_CHUNK_ROWS = 50_000
@@ -107,11 +109,11 @@ def read_layer(spark: SparkSession, path: str, schema: StructType | None = None,
 def read_optional(spark: SparkSession, path: str, schema: StructType,
                   run_date: str | None = None) -> DataFrame:
     """Like ``read_layer`` but a missing source yields an empty, typed frame."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     try:
-        df = read_layer(spark, path, schema, run_date)
-        df.schema  # resolve now: a missing path raises here
-        return df.drop(RUN_DATE_COL)
-    except AnalysisException:
+        return read_layer(spark, path, schema, run_date).drop(RUN_DATE_COL)
+    except AnalysisException:           # present but unreadable (e.g. no files yet)
         return spark.createDataFrame([], schema)
 
 

@@ -18,11 +18,11 @@ this sink give effectively-exactly-once output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from popcorr.functions import kpi
-from popcorr.session import cut_lineage
+from popcorr.session import cut_lineage, path_exists
 
 DOC_KEY = "doc_id"
 TICK_ORDER = ["timestamp", "seq"]
@@ -78,12 +78,6 @@ def latest_per_key(df: DataFrame, key: str = DOC_KEY, order=TICK_ORDER) -> DataF
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def upsert(batch: DataFrame, path: str) -> int:
     """Merge a batch of documents into the live table; returns documents written.
 
@@ -93,7 +87,7 @@ def upsert(batch: DataFrame, path: str) -> int:
     """
     spark = batch.sparkSession
     docs = latest_per_key(batch.select(*LIVE_COLUMNS))
-    if _exists(spark, path):
+    if path_exists(spark, path):
         touched = docs.select("date").distinct()
         old = spark.read.parquet(path).select(*LIVE_COLUMNS)
         old = old.join(F.broadcast(touched), "date", "left_semi")
