@@ -417,6 +417,18 @@ def q_serving_count(spark, sf):
                     F.lit(meta["collisions"]).cast("long").alias("collisions"))
 
 
+SAMPLE_DOCS = 3
+
+
+@register("serving_sample")
+def q_serving_sample(spark, sf):
+    """A sample of k documents (the limit is the feature), deterministic by id."""
+    prepare(spark)
+    docs, _ = _served(spark, sf)
+    return present(docs.orderBy("doc_id").limit(SAMPLE_DOCS)
+                   .select("doc_id", "date", "game_name", "ticker", "signal"))
+
+
 @register("usage_summary")
 def q_usage_summary(spark, sf):
     prepare(spark)

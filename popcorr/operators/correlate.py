@@ -48,7 +48,7 @@ def join_stream_left(snapshot: DataFrame, streams: DataFrame) -> DataFrame:
 
 
 def snapshot_branch(snapshot_with_streams: DataFrame, market: DataFrame,
-                    jitter: bool = True) -> DataFrame:
+                    jitter: bool = True, real_scores: DataFrame | None = None) -> DataFrame:
     """Expanded snapshot rows INNER JOIN bars on (ticker, date), as 'steam' rows.
 
     The expansion over the calendar and the (ticker, date) join with the
@@ -61,6 +61,12 @@ def snapshot_branch(snapshot_with_streams: DataFrame, market: DataFrame,
     if jitter:
         z = kpi.gaussian(F.col("name"), F.col("ticker"), F.col("date"), "s")
         score = kpi.jitter_snapshot_score(score, z)
+    if real_scores is not None:
+        # multi-day history: a day with its own snapshot keeps its real score
+        rows = rows.join(real_scores.select("name", "ticker", "date",
+                                            F.col("rank_score").cast("double").alias("_real")),
+                         ["name", "ticker", "date"], "left")
+        score = F.coalesce(F.col("_real"), score)
     return rows.select(
         "date", F.col("name").alias("game_name"), "ticker", F.lit("steam").alias("source"),
         F.col("rank").cast("long").alias("steam_rank"),

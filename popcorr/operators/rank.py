@@ -26,7 +26,7 @@ from popcorr.operators.joins import bounded_broadcast
 def rank_within(df: DataFrame, group: str, order: list, out: str = "pos",
                 num_partitions: int | None = None) -> DataFrame:
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     ranged = (df.repartitionByRange(n, F.col(group), *order_cols)
                 .sortWithinPartitions(F.col(group), *order_cols)
                 .withColumn("_pid", F.spark_partition_id())

@@ -173,6 +173,8 @@ SQL["serving_full_refresh"] = with_(_C + "," + _SERVING, f"SELECT {_SERV_COLS} F
 SQL["serving_count"] = with_(_C + "," + _SERVING, """
 SELECT count(*) AS docs, count(DISTINCT doc_id) AS ids, (SELECT count(*) FROM serving0) - count(*) AS collisions
 FROM serving""")
+SQL["serving_sample"] = with_(_C + "," + _SERVING, f"""
+SELECT doc_id, {d('date')} AS date, game_name, ticker, signal FROM serving ORDER BY doc_id LIMIT 3""")
 SQL["usage_summary"] = with_(_C, f"""
 SELECT count(*) AS rows, count(DISTINCT ticker) AS tickers, count(DISTINCT game_name) AS games,
        count(DISTINCT {doc_id_sql()}) AS doc_ids FROM usage""")

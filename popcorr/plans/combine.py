@@ -38,7 +38,8 @@ def empty_streams(spark) -> DataFrame:
 
 
 def joined(games: DataFrame, bars: DataFrame, streams: DataFrame | None,
-           stream_map: DataFrame, jitter: bool = True) -> DataFrame:
+           stream_map: DataFrame, jitter: bool = True,
+           real_scores: DataFrame | None = None) -> DataFrame:
     """The 19-column joined relation (both branches, UNION ALL)."""
     spark = games.sparkSession
     streams = streams if streams is not None else empty_streams(spark)
@@ -49,7 +50,8 @@ def joined(games: DataFrame, bars: DataFrame, streams: DataFrame | None,
     games_p = prep_snapshot(games)
 
     steam_rows = correlate.snapshot_branch(
-        correlate.join_stream_left(games_p, streams), market, jitter=jitter)
+        correlate.join_stream_left(games_p, streams), market, jitter=jitter,
+        real_scores=real_scores)
 
     blocking = expand.covered_names(games_p, cal)
     cands = expand.stream_only_candidates(streams, blocking)
@@ -72,6 +74,22 @@ def combine(games: DataFrame, bars: DataFrame, streams: DataFrame | None,
     return correlated(joined(games, bars, streams, stream_map, jitter))
 
 
+def combine_history(games_history: DataFrame, bars: DataFrame, streams: DataFrame | None,
+                    stream_map: DataFrame, run_date: str, jitter: bool = True) -> DataFrame:
+    """Multi-day mode over an accumulated snapshot layer (many ``run_date`` partitions).
+
+    The run's own snapshot is expanded over the price history as usual; on
+    every date for which the layer holds a snapshot of that game (same name
+    and ticker, snapshot ``date``) the real rank score replaces the jittered
+    one, so popularity varies for real as the history accumulates.
+    """
+    run = games_history.where(F.col("run_date") == run_date).drop("run_date")
+    history = (games_history.where(F.col("date").isNotNull())
+               .select("name", F.coalesce(F.col("ticker"), F.lit(kpi.UNKNOWN_TICKER)).alias("ticker"),
+                       "date", "rank_score"))
+    return correlated(joined(run, bars, streams, stream_map, jitter, real_scores=history))
+
+
 def to_usage(df: DataFrame) -> DataFrame:
     """Final usage shape: ``date`` as yyyy-MM-dd text, NaN/Inf -> NULL, fixed columns."""
     cols = []

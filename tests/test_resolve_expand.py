@@ -92,3 +92,27 @@ def test_missing_stream_defaults(spark):
     smap = spark.createDataFrame([], schemas.STREAM_MAP)
     r = combine.joined(games, bars, None, smap, jitter=False).first()
     assert (r.twitch_viewers, r.twitch_rank, r.twitch_rank_score, r.review_ratio) == (0, 999, 0.0, 0.0)
+
+
+def test_history_mode_uses_real_scores(spark):
+    d0 = dt.date(2024, 1, 1)
+    bars = spark.createDataFrame(
+        [("A", d0 + dt.timedelta(i), 10.0, 11.0, 9.0, 10.0 + i % 3, 100 + i, float(i % 3), 2.0, 20.0)
+         for i in range(10)], schemas.BARS_FORMATTED)
+
+    def snap(day, rank, run):
+        return (rank, "1", "Game", "d", "p", 1, 1, "", 1, 1, 1, 0.0, "A", None, day, 0.5, 101 - rank, run)
+
+    hist = spark.createDataFrame(
+        [snap(d0 + dt.timedelta(2), 5, "20240103"), snap(d0 + dt.timedelta(5), 20, "20240106"),
+         snap(d0 + dt.timedelta(9), 1, "20240110")],
+        schemas.STEAM_FORMATTED.add("run_date", "string"))
+    smap = spark.createDataFrame([], schemas.STREAM_MAP)
+    out = {r.date: r.steam_rank_score for r in
+           combine.combine_history(hist, bars, None, smap, "20240110").collect()}
+    assert len(out) == 10
+    assert out[d0 + dt.timedelta(2)] == 96.0 and out[d0 + dt.timedelta(5)] == 81.0
+    assert out[d0 + dt.timedelta(9)] == 100.0
+    # other days carry the run's snapshot with its deterministic jitter around 100
+    others = [v for d, v in out.items() if d not in (d0 + dt.timedelta(2), d0 + dt.timedelta(5))]
+    assert all(70.0 < v < 130.0 for v in others)
