@@ -92,8 +92,11 @@ def q_steam_format(spark, sf):
 
 @register("twitch_format")
 def q_twitch_format(spark, sf):
+    """Formatted streams; ``log_viewers`` presented at 10 decimals (engines'
+    natural logs may differ in the last bit of a double)."""
     prepare(spark)
-    return present(inputs.streams(spark, sf))
+    out = inputs.streams(spark, sf)
+    return present(out.withColumn("log_viewers", F.round("log_viewers", 10)))
 
 
 @register("ticker_resolution")

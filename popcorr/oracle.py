@@ -168,7 +168,7 @@ streams AS (
          timezone('UTC', try_strptime(extracted_at, '%Y-%m-%dT%H:%M:%S.%f%z')) AS extracted_at,
          CAST(try_strptime(date, '%Y%m%d') AS DATE) AS date,
          CAST({kpi.RANK_SCORE_BASE} - rank AS INTEGER) AS viewer_rank_score,
-         CASE WHEN coalesce(top_stream_viewers, 0) > 0 THEN ln(coalesce(top_stream_viewers, 0)) ELSE 0.0 END AS log_viewers
+         CASE WHEN coalesce(top_stream_viewers, 0) > 0 THEN ln(coalesce(top_stream_viewers, 0)) ELSE CAST(0.0 AS DOUBLE) END AS log_viewers
   FROM raw_streams)"""
 
 SMAP = f"""
@@ -226,8 +226,8 @@ so AS (
     AND lower(trim(t.game_name)) NOT IN (SELECT name_key FROM blocking)),
 stream_rows AS (
   SELECT k.date, so.game_name, so.ticker, 'twitch' AS source,
-         CAST(0 AS BIGINT) AS steam_rank, 0.0 AS steam_rank_score, CAST(0 AS BIGINT) AS peak_ccu,
-         CAST(0 AS BIGINT) AS avg_playtime_2weeks, 0.0 AS review_ratio,
+         CAST(0 AS BIGINT) AS steam_rank, CAST(0.0 AS DOUBLE) AS steam_rank_score, CAST(0 AS BIGINT) AS peak_ccu,
+         CAST(0 AS BIGINT) AS avg_playtime_2weeks, CAST(0.0 AS DOUBLE) AS review_ratio,
          CAST({stream_viewers} AS BIGINT) AS twitch_viewers, CAST(so.rank AS BIGINT) AS twitch_rank,
          {stream_score} AS twitch_rank_score,
          k.stock_open, k.stock_close, k.stock_high, k.stock_low, k.stock_volume,

@@ -27,9 +27,11 @@ SELECT rank, app_id, name, developer, publisher, positive, negative, owners, ave
        {ts('extracted_at')} AS extracted_at,
        {d('date')} AS date, review_ratio, rank_score FROM games""")
 
+# log_viewers is compared at 10 decimals: the two engines' natural logs may
+# differ in the last bit of a double
 SQL["twitch_format"] = with_(STREAMS, f"""
 SELECT rank, game_id, game_name, box_art_url, top_stream_viewers, {ts('extracted_at')} AS extracted_at,
-       {d('date')} AS date, viewer_rank_score, log_viewers FROM streams""")
+       {d('date')} AS date, viewer_rank_score, round(log_viewers, 10) AS log_viewers FROM streams""")
 
 SQL["ticker_resolution"] = with_(RAW_GAMES, """
 SELECT rank, name, publisher, developer, ticker FROM raw_games""")
