@@ -153,3 +153,13 @@ def test_stream_equals_batch(spark, tmp_dir):
         a = sorted(tuple(r) for r in spark.read.parquet(batch_path).select(*cols).collect())
         b = sorted(tuple(r) for r in spark.read.parquet(table).select(*cols).collect())
         assert a == b and len(a) > 0
+
+
+def test_live_market_cap_zero_is_null(spark):
+    t0 = dt.datetime(2024, 1, 2, 10, 0, 5)
+    ctx = spark.createDataFrame([], "ticker string, date date, previous_close double, "
+                                    "fifty_two_week_high double, fifty_two_week_low double")
+    ticks = _ticks(spark, [("A", t0, 0.0, 1), ("A", t0, 2.5, 2)])
+    docs = live.quote_docs(ticks, ctx, market_cap=F.col("current_price") * F.lit(10.0)).collect()
+    caps = sorted((r.seq, r.market_cap, r.change_pct, r.currency, r.exchange) for r in docs)
+    assert caps == [(1, None, None, "USD", ""), (2, 25, None, "USD", "")]

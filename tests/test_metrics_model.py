@@ -103,6 +103,9 @@ def test_fallback_below_ten_training_rows(spark):
 
 
 def test_train_and_score_ten_rows(spark):
+    out = model.train_and_score(_usage(spark, 10), model.ModelConfig(trees=2)).collect()
+    assert len(out) == 10                       # 10 training rows: the model trains
+    assert out[0].ml_accuracy is not None
     out = model.train_and_score(_usage(spark, 40), model.ModelConfig(trees=2)).collect()
     assert len(out) == 40
     assert all(r.ml_prediction in kpi.SIGNAL_CLASSES for r in out)

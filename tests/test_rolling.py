@@ -74,3 +74,19 @@ def test_frame_counts_rows_not_days(spark):
     w = rows_window(["g"], ["d"])
     got = [r.r for r in df.select("d", rolling_pearson("x", "y", w).alias("r")).orderBy("d").collect()]
     assert got == brute([r[2] for r in rows], [r[3] for r in rows])
+
+
+def test_duplicate_dates_are_ordered_by_tie_breaker(spark):
+    from popcorr.operators.correlate import with_rolling_correlations
+    rows = []
+    for d in range(12):
+        for src, rank in (("steam", 3), ("steam", 1), ("twitch", 2)):
+            rows.append(("g", "T", d, src, rank, float((d * 7 + rank) % 5), float((d * 3 + rank) % 4),
+                         rank * 10 + d))
+    schema = ("game_name string, ticker string, date int, source string, twitch_rank long, "
+              "popularity_score double, daily_change_pct double, twitch_viewers long")
+    a = spark.createDataFrame(rows, schema)
+    b = spark.createDataFrame(list(reversed(rows)), schema).repartition(5)
+    ra = sorted(tuple(r) for r in with_rolling_correlations(a).collect())
+    rb = sorted(tuple(r) for r in with_rolling_correlations(b).collect())
+    assert ra == rb
