@@ -29,6 +29,32 @@ SESSION_DEFAULTS = {
 }
 
 
+def scale_settings(shuffle_bytes: float, cores: int,
+                   advisory_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Partition-related settings for a job that shuffles about ``shuffle_bytes``.
+
+    The initial shuffle partition count is sized so that each partition is
+    about ``advisory_bytes`` (and at least 2 tasks per core); AQE then
+    coalesces small partitions and splits skewed ones at runtime, so one
+    setting holds from a test run to a 100 TB run.  Scans use the same
+    split size.  Example: 100 TB of shuffle on 1000 executors x 8 cores ->
+    about 400k partitions of 256 MB.
+    """
+    parts = max(2 * cores, int(-(-shuffle_bytes // advisory_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(advisory_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.files.maxPartitionBytes": str(advisory_bytes // 2),
+        # broadcast only what is clearly small; everything else sort-merge + AQE
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "popcorr", extra: dict | None = None) -> SparkSession:
     """Build (or fetch) a session with the package defaults."""

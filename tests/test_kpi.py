@@ -80,3 +80,12 @@ def test_jitter_is_deterministic_and_bounded(spark):
     assert floor == 1.0
     v = df.select(kpi.jitter_viewers(F.lit(3).cast("long"), F.lit(-10.0)).alias("v")).first().v
     assert v == 0
+
+
+def test_scale_settings():
+    from popcorr.session import scale_settings
+    small = scale_settings(10 * 1024 ** 2, cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_settings(100 * 1024 ** 4, cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
