@@ -16,6 +16,7 @@ the k folds and reads one-row metric aggregates.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
@@ -185,14 +186,17 @@ def cross_validate(usage: DataFrame, id_cols: list[str], cfg: ModelConfig | None
              "precision_weighted double, recall_weighted double"
     if k < 2:
         return spark.createDataFrame([], schema)
-    folded = fold_assignment(train, k, id_cols).persist()
-    rows = []
-    for f in range(k):
+    folded = cut_lineage(fold_assignment(train, k, id_cols), "cv_folds")
+
+    def run_fold(f: int):
         model = fit(folded.where(F.col("fold") != f), cfg)
         s = metrics.classification_scores(
             predict(model, folded.where(F.col("fold") == f), cfg), LABEL, "ml_prediction").first()
-        rows.append((f, *[float(s[m]) for m in METRIC_COLUMNS]))
-    folded.unpersist()
+        return (f, *[float(s[m]) for m in METRIC_COLUMNS])
+
+    # the k fits are independent Spark jobs: submit them concurrently
+    with ThreadPoolExecutor(max_workers=k) as pool:
+        rows = list(pool.map(run_fold, range(k)))
     return spark.createDataFrame(rows, schema)
 
 

@@ -13,11 +13,10 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from popcorr.plans import combine, inputs
-from popcorr.session import shared_dir
+from popcorr.session import cut_lineage, shared_dir
 from popcorr.sources import layers, schemas
 from popcorr.sources.testbed import RUN_DATE
 
@@ -33,8 +32,10 @@ SPECS = [
 def formatted_inputs(spark: SparkSession, sf_dir: str, root: str | None = None,
                      run_date: str = RUN_DATE, with_metrics: list | None = None) -> dict[str, DataFrame]:
     root = root or shared_dir(spark, "lake")
-    # one aggregation of the order lines feeds both snapshot lists
-    stats = inputs.part_stats(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    # one aggregation of the order lines (the largest table) feeds both
+    # snapshot lists: write it once before the concurrent writers read it (a
+    # shared cache could be filled twice by two jobs racing on it)
+    stats = cut_lineage(inputs.part_stats(spark, sf_dir), "part_stats")
     builders = {"games": lambda s, d: inputs.games(s, d, stats),
                 "streams": lambda s, d: inputs.streams(s, d, stats)}
 
@@ -47,7 +48,6 @@ def formatted_inputs(spark: SparkSession, sf_dir: str, root: str | None = None,
     # the four tables are independent Spark jobs: submit them concurrently
     with ThreadPoolExecutor(max_workers=len(SPECS)) as pool:
         written = list(pool.map(write, SPECS))
-    stats.unpersist()
     out = {}
     for name, path, schema, meta in written:
         if with_metrics is not None:
