@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from popcorr.plans import combine, inputs
-from popcorr.session import cut_lineage, shared_dir
+from popcorr.session import shared_dir
 from popcorr.sources import layers, schemas
 from popcorr.sources.testbed import RUN_DATE
 
@@ -33,11 +34,14 @@ def formatted_inputs(spark: SparkSession, sf_dir: str, root: str | None = None,
                      run_date: str = RUN_DATE, with_metrics: list | None = None) -> dict[str, DataFrame]:
     root = root or shared_dir(spark, "lake")
     # one aggregation of the order lines (the largest table) feeds both
-    # snapshot lists: write it once before the concurrent writers read it (a
-    # shared cache could be filled twice by two jobs racing on it)
-    stats = cut_lineage(inputs.part_stats(spark, sf_dir), "part_stats")
+    # snapshot lists; both writers run in the same thread, so the first fills
+    # the cache with a single scan and the second reads it (no race, no
+    # second scan); bars and the name map are written concurrently
+    stats = inputs.part_stats(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     builders = {"games": lambda s, d: inputs.games(s, d, stats),
                 "streams": lambda s, d: inputs.streams(s, d, stats)}
+    by_name = {spec[0]: spec for spec in SPECS}
+    lanes = [["games", "streams"], ["bars"], ["stream_map"]]
 
     def write(spec):
         name, build, (group, entity), schema, sort = spec
@@ -45,9 +49,16 @@ def formatted_inputs(spark: SparkSession, sf_dir: str, root: str | None = None,
         meta = layers.write_layer(builders.get(name, build)(spark, sf_dir), path, run_date, sort)
         return name, path, schema, (f"{group}/{entity}", meta["date"], meta["row_count"])
 
-    # the four tables are independent Spark jobs: submit them concurrently
-    with ThreadPoolExecutor(max_workers=len(SPECS)) as pool:
-        written = list(pool.map(write, SPECS))
+    def run_lane(names):
+        return [write(by_name[n]) for n in names]
+
+    try:
+        with ThreadPoolExecutor(max_workers=len(lanes)) as pool:
+            written = [w for lane in pool.map(run_lane, lanes) for w in lane]
+    finally:
+        stats.unpersist()
+    order = {spec[0]: i for i, spec in enumerate(SPECS)}
+    written.sort(key=lambda w: order[w[0]])
     out = {}
     for name, path, schema, meta in written:
         if with_metrics is not None:
