@@ -526,6 +526,19 @@ def q_feature_importance(spark, sf):
     return model.feature_importance(usage_core(spark, sf), MODEL_CFG)
 
 
+@register("ml_fallback")
+def q_ml_fallback(spark, sf):
+    """A run dated at the first bar day: its 365-day price history is empty, so
+    the usage is empty and the model falls back (NEUTRAL, confidence 0, NULL
+    metrics) - the result keeps the full usage schema with no rows."""
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    first_day = prep.earliest_date(f["bars"])
+    bars = prep.history_window(f["bars"], first_day.strftime("%Y%m%d"), 365)
+    usage = cmb.combine(f["games"], bars, f["streams"], f["stream_map"])
+    return cmb.to_usage(model.train_and_score(usage, MODEL_CFG))
+
+
 @register("combine_full")
 def q_combine_full(spark, sf):
     """Whole daily flow: formatted layer -> combine -> model -> usage layer (read back)."""

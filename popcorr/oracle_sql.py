@@ -252,3 +252,13 @@ _LIVE_OUT = (f"doc_id, ticker, {ts('timestamp')} AS timestamp, current_price, pr
 SQL["stream_live_quotes"] = with_(BARS + "," + LIVE_CTX, f"SELECT {_LIVE_OUT} FROM latest")
 SQL["stream_latest_per_minute"] = SQL["stream_live_quotes"]
 SQL["live_upsert"] = SQL["stream_live_quotes"]
+
+SQL["ml_fallback"] = with_(_C, """
+SELECT game_name, ticker, source, steam_rank, steam_rank_score, peak_ccu, avg_playtime_2weeks, review_ratio,
+       twitch_viewers, twitch_rank, twitch_rank_score, stock_open, stock_close, stock_high, stock_low,
+       stock_volume, daily_change_pct, daily_range_pct, strftime(date, '%Y-%m-%d') AS date, popularity_score,
+       corr_7d_popularity_price, corr_7d_viewers_price, signal, source_is_twitch,
+       'NEUTRAL' AS ml_prediction, CAST(0.0 AS DOUBLE) AS ml_confidence, CAST(NULL AS DOUBLE) AS ml_accuracy,
+       CAST(NULL AS DOUBLE) AS ml_f1_weighted, CAST(NULL AS DOUBLE) AS ml_f1_macro,
+       CAST(NULL AS DOUBLE) AS ml_precision, CAST(NULL AS DOUBLE) AS ml_recall
+FROM usage WHERE date < (SELECT min(date) FROM bars)""")
