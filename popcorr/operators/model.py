@@ -19,6 +19,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
@@ -92,11 +93,20 @@ def _estimator(cfg: ModelConfig):
 
 
 def fit(train: DataFrame, cfg: ModelConfig):
-    """Fit indexer + assembler + classifier on the feature-matrix rows of ``train``."""
+    """Fit indexer + assembler + classifier on the feature-matrix rows of ``train``.
+
+    The boosting rounds and the per-class models all iterate over the
+    training rows: they are cached for the duration of the fit (and released
+    after), so the source is scanned once, not once per pass.
+    """
     stages = [label_index(train),
               VectorAssembler(inputCols=FEATURES, outputCol="features"),
               _estimator(cfg)]
-    return Pipeline(stages=stages).fit(train)
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def _labels(model) -> list[str]:
