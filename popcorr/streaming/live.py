@@ -73,9 +73,16 @@ def quote_docs(ticks: DataFrame, context: DataFrame, market_cap=None) -> DataFra
 
 
 def latest_per_key(df: DataFrame, key: str = DOC_KEY, order=TICK_ORDER) -> DataFrame:
-    """The last document per key (groups are one minute of one ticker: tiny)."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """The last document per key by ``order``.
+
+    A ``max_by`` aggregation: map-side partial aggregation keeps one copy per
+    key and task, so replays or a hot key never put all copies in one task.
+    """
+    payload = [c for c in df.columns if c != key]
+    return (df.groupBy(key)
+              .agg(F.max_by(F.struct(*[F.col(c) for c in payload]),
+                            F.struct(*[F.col(c) for c in order])).alias("_d"))
+              .select(key, *[F.col(f"_d.{c}").alias(c) for c in payload]))
 
 
 def upsert(batch: DataFrame, path: str) -> int:
