@@ -116,6 +116,36 @@ def with_rolling_correlations(df: DataFrame, rows: int = 7) -> DataFrame:
                           rolling_pearson("twitch_viewers", "daily_change_pct", w)))
 
 
+def with_rolling_correlations_chunked(df: DataFrame, chunk_rows: int, rows: int = 7) -> DataFrame:
+    """Same result as ``with_rolling_correlations``, for groups too large for one task.
+
+    Each (game, ticker) group is numbered by its distributed position
+    (``rank.rank_within``: range-partitioned, no group in one task) and cut
+    into chunks of ``chunk_rows``; the last ``rows - 1`` rows of every chunk
+    are copied into the next chunk as context.  The window then runs per
+    (game, ticker, chunk): every frame of ``rows`` rows is complete, and the
+    context copies are dropped from the output.
+    """
+    from popcorr.operators.rank import rank_within
+    ctx_n = rows - 1
+    pos = rank_within(df, USAGE_PARTITION, USAGE_ORDER, out="_pos")
+    base = pos.withColumn("_chunk", F.floor(F.col("_pos") / chunk_rows)).withColumn("_ctx", F.lit(False))
+    # the context of chunk c is the last ctx_n rows before it, which may span several
+    # earlier chunks when chunk_rows < ctx_n: copy each row forward to every chunk
+    # whose start lies within its next ctx_n positions
+    first = F.floor((F.col("_pos") + 1) / chunk_rows)
+    last = F.floor((F.col("_pos") + ctx_n) / chunk_rows)
+    ctx = (pos.where(last >= first)
+              .withColumn("_chunk", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+              .where(F.col("_chunk") * chunk_rows > F.col("_pos"))
+              .withColumn("_ctx", F.lit(True)))
+    w = rows_window(USAGE_PARTITION + ["_chunk"], USAGE_ORDER, rows)
+    out = (base.unionByName(ctx)
+               .withColumn("corr_7d_popularity_price", rolling_pearson("popularity_score", "daily_change_pct", w))
+               .withColumn("corr_7d_viewers_price", rolling_pearson("twitch_viewers", "daily_change_pct", w)))
+    return out.where(~F.col("_ctx")).drop("_pos", "_chunk", "_ctx")
+
+
 def with_signal(df: DataFrame, corr_col: str = "corr_7d_popularity_price") -> DataFrame:
     return (df.withColumn("signal", kpi.signal_label(corr_col))
               .withColumn("source_is_twitch", (F.col("source") == "twitch").cast("int")))

@@ -23,22 +23,24 @@ from pyspark.sql import functions as F
 from popcorr.operators.joins import bounded_broadcast
 
 
-def rank_within(df: DataFrame, group: str, order: list, out: str = "pos",
+def rank_within(df: DataFrame, group, order: list, out: str = "pos",
                 num_partitions: int | None = None) -> DataFrame:
+    groups = [group] if isinstance(group, str) else list(group)
+    gcols = [F.col(g) for g in groups]
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    ranged = (df.repartitionByRange(n, F.col(group), *order_cols)
-                .sortWithinPartitions(F.col(group), *order_cols)
+    ranked = (df.repartitionByRange(n, *gcols, *order_cols)
+                .sortWithinPartitions(*gcols, *order_cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
     # rows of each group per task, and where the group starts inside the task
-    blocks = ranged.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_cnt"),
-                                                F.min("_mid").alias("_first"))
-    w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = ranked.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_cnt"),
+                                                  F.min("_mid").alias("_first"))
+    w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     # tasks x groups rows: broadcast after a size check (labels: a handful per task)
-    return (ranged.join(bounded_broadcast(offsets.select("_pid", group, "_first", "_before")),
-                        ["_pid", group])
+    return (ranked.join(bounded_broadcast(offsets.select("_pid", *groups, "_first", "_before")),
+                        ["_pid", *groups])
                   .withColumn(out, F.col("_before") + F.col("_mid") - F.col("_first"))
                   .drop("_pid", "_mid", "_first", "_before"))
 

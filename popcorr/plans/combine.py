@@ -61,17 +61,24 @@ def joined(games: DataFrame, bars: DataFrame, streams: DataFrame | None,
     return correlate.union_sources(steam_rows, stream_rows)
 
 
-def correlated(joined_df: DataFrame) -> DataFrame:
-    """Popularity score, both rolling correlations, signal label."""
-    return (joined_df.transform(correlate.with_popularity)
-                     .transform(correlate.with_rolling_correlations)
-                     .transform(correlate.with_signal))
+def correlated(joined_df: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+    """Popularity score, both rolling correlations, signal label.
+
+    ``chunk_rows`` switches the correlations to the chunked form, for data in
+    which a (game, ticker) group is too large for one task (see README).
+    """
+    scored = joined_df.transform(correlate.with_popularity)
+    if chunk_rows:
+        corr = correlate.with_rolling_correlations_chunked(scored, chunk_rows)
+    else:
+        corr = correlate.with_rolling_correlations(scored)
+    return corr.transform(correlate.with_signal)
 
 
 def combine(games: DataFrame, bars: DataFrame, streams: DataFrame | None,
-            stream_map: DataFrame, jitter: bool = True) -> DataFrame:
+            stream_map: DataFrame, jitter: bool = True, chunk_rows: int | None = None) -> DataFrame:
     """Usage table without the model columns (date kept as DateType)."""
-    return correlated(joined(games, bars, streams, stream_map, jitter))
+    return correlated(joined(games, bars, streams, stream_map, jitter), chunk_rows)
 
 
 def combine_history(games_history: DataFrame, bars: DataFrame, streams: DataFrame | None,

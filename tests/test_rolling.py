@@ -90,3 +90,20 @@ def test_duplicate_dates_are_ordered_by_tie_breaker(spark):
     ra = sorted(tuple(r) for r in with_rolling_correlations(a).collect())
     rb = sorted(tuple(r) for r in with_rolling_correlations(b).collect())
     assert ra == rb
+
+
+def test_chunked_correlations_equal_plain(spark):
+    from popcorr.operators.correlate import with_rolling_correlations, with_rolling_correlations_chunked
+    rows = []
+    for g, n in (("hot", 90), ("small", 5), ("one", 1)):
+        for d in range(n):
+            for src, rank in (("steam", 3), ("steam", 1), ("twitch", 2)):
+                rows.append((g, "T", d, src, rank, float((d * 7 + rank) % 5), float((d * 3 + rank) % 4),
+                             rank * 10 + d))
+    schema = ("game_name string, ticker string, date int, source string, twitch_rank long, "
+              "popularity_score double, daily_change_pct double, twitch_viewers long")
+    df = spark.createDataFrame(rows, schema)
+    plain = sorted(tuple(r) for r in with_rolling_correlations(df).collect())
+    for chunk in (4, 10, 25):
+        got = sorted(tuple(r) for r in with_rolling_correlations_chunked(df, chunk).collect())
+        assert got == plain, chunk
