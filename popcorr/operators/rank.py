@@ -7,8 +7,9 @@ partitioned on (g, o) - a hot group is split across many tasks - sorted
 inside each task, numbered locally, and shifted by the number of rows of the
 same group in all earlier tasks (a prefix sum over a table of at most
 tasks x groups rows).  Meant for few, possibly huge groups (class labels);
-the order must be total (end it with a unique id) so that a recomputed task
-numbers its rows the same way.
+the order must be total (end it with a unique id).  The numbered rows are
+written once to the shared folder, so every later use sees the same task
+assignment (and a lost executor does not renumber anything).
 
 ``top_n`` is the bounded global top-k: ``orderBy().limit(n)`` plans a
 TakeOrderedAndProject (per-task top-k, then a merge of k rows per task), and
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from popcorr.operators.joins import bounded_broadcast
+from popcorr.session import cut_lineage
 
 
 def rank_within(df: DataFrame, group, order: list, out: str = "pos",
@@ -29,10 +31,13 @@ def rank_within(df: DataFrame, group, order: list, out: str = "pos",
     gcols = [F.col(g) for g in groups]
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    ranked = (df.repartitionByRange(n, *gcols, *order_cols)
-                .sortWithinPartitions(*gcols, *order_cols)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id()))
+    # written once: the per-task offsets and the rows must see the same task
+    # assignment, and a re-evaluated range partitioning (sampled bounds over an
+    # input whose order can vary between runs) could assign rows differently
+    ranked = cut_lineage(df.repartitionByRange(n, *gcols, *order_cols)
+                           .sortWithinPartitions(*gcols, *order_cols)
+                           .withColumn("_pid", F.spark_partition_id())
+                           .withColumn("_mid", F.monotonically_increasing_id()), "rank_within")
     # rows of each group per task, and where the group starts inside the task
     blocks = ranked.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_cnt"),
                                                   F.min("_mid").alias("_first"))
@@ -42,7 +47,7 @@ def rank_within(df: DataFrame, group, order: list, out: str = "pos",
     return (ranked.join(bounded_broadcast(offsets.select("_pid", *groups, "_first", "_before")),
                         ["_pid", *groups])
                   .withColumn(out, F.col("_before") + F.col("_mid") - F.col("_first"))
-                  .drop("_pid", "_mid", "_first", "_before"))
+                  .select(*df.columns, out))
 
 
 def top_n(df: DataFrame, n: int, order: list, out: str = "rank") -> DataFrame:

@@ -64,3 +64,13 @@ def test_combine_same_for_any_partitioning(spark):
         results.append(Counter(tuple(r) for r in key(spark, SF_SMALL).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_chunked_combine_equals_plain_on_driver_tables(spark):
+    from popcorr.plans import combine as cmb
+    from popcorr.plans import layered
+    f = layered.formatted_inputs(spark, SF_SMALL)
+    args = (f["games"], f["bars"], f["streams"], f["stream_map"])
+    plain = Counter(tuple(r) for r in cmb.combine(*args).collect())
+    chunked = Counter(tuple(r) for r in cmb.combine(*args, chunk_rows=8).collect())
+    assert plain == chunked and sum(plain.values()) > 0
