@@ -76,6 +76,3 @@ def format_bars(raw: DataFrame) -> DataFrame:
         kpi.daily_range_pct(rng, o).cast("double").alias("daily_range_pct"),
     ).select(*schemas.BARS_COLUMNS)
 
-
-def empty_like(spark, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -17,7 +17,7 @@ FAST_KEYS = ["bars_format", "signal_label", "steam_format", "twitch_format", "ti
 
 def _norm(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.9g}")
+        return None if math.isnan(v) else v          # exact, as the driver's value hash
     return v
 
 
