@@ -286,6 +286,15 @@ def q_failed_tickers(spark, sf):
     return testbed.tracked(spark).join(have, "ticker", "left_anti")
 
 
+@register("unresolved_report")
+def q_unresolved_report(spark, sf):
+    """Dimension tickers without any bar (games mapped to them vanish)."""
+    prepare(spark)
+    cal = expand.ticker_calendar(inputs.bars(spark, sf))
+    return expand.unresolved_tickers(cal, publisher_map=testbed.publisher_map(spark),
+                                     stream_map=inputs.stream_map(spark, sf))
+
+
 @register("top_stream_per_game")
 def q_top_stream_per_game(spark, sf):
     prepare(spark)

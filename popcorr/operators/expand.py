@@ -95,3 +95,15 @@ def expand_stream_only(mapped: DataFrame, calendar: DataFrame, jitter: bool = Tr
         viewers.alias("twitch_viewers"),
         F.col("rank").cast("long").alias("twitch_rank"),
         score.alias("twitch_rank_score"))
+
+
+def unresolved_tickers(calendar: DataFrame, **dimensions: DataFrame) -> DataFrame:
+    """Tickers a dimension maps to that have no bars (their games would vanish
+    silently from the expansion): one row per (dimension, ticker)."""
+    have = calendar.select("ticker").distinct()
+    out = None
+    for name, dim in dimensions.items():
+        t = (dim.where(F.col("ticker").isNotNull())
+                .select(F.lit(name).alias("dimension"), "ticker").distinct())
+        out = t if out is None else out.unionByName(t)
+    return out.join(have, "ticker", "left_anti").select("dimension", "ticker")

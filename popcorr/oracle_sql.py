@@ -50,8 +50,8 @@ SQL["combine_core"] = with_(combine_ctes(True), f"""
 SELECT {_CORE_COLS.replace('date,', d('date') + ' AS date,', 1)} FROM usage""")
 
 # ── combine-derived keys ─────────────────────────────────────────────────────
-from popcorr.oracle import (BARS_RAW, LIVE_CTX, PRF, SMAP, TRACKED, TRAIN, doc_id_sql, j_snapshot,  # noqa: E402
-                            z_sql)
+from popcorr.oracle import (BARS_RAW, LIVE_CTX, PMAP_VALUES, PRF, SMAP, TRACKED, TRAIN, doc_id_sql,  # noqa: E402
+                            j_snapshot, z_sql)
 from popcorr.functions import kpi as _kpi  # noqa: E402
 
 _C = combine_ctes(True)
@@ -262,3 +262,11 @@ SELECT game_name, ticker, source, steam_rank, steam_rank_score, peak_ccu, avg_pl
        CAST(NULL AS DOUBLE) AS ml_f1_weighted, CAST(NULL AS DOUBLE) AS ml_f1_macro,
        CAST(NULL AS DOUBLE) AS ml_precision, CAST(NULL AS DOUBLE) AS ml_recall
 FROM usage WHERE date < (SELECT min(date) FROM bars)""")
+
+SQL["unresolved_report"] = with_(BARS + "," + SMAP + f""",
+pmap AS (SELECT * FROM (VALUES {PMAP_VALUES}) AS t(ordinal, k, ticker))""", """
+SELECT DISTINCT 'publisher_map' AS dimension, ticker FROM pmap
+WHERE ticker IS NOT NULL AND ticker NOT IN (SELECT DISTINCT ticker FROM bars)
+UNION
+SELECT DISTINCT 'stream_map' AS dimension, ticker FROM smap
+WHERE ticker IS NOT NULL AND ticker NOT IN (SELECT DISTINCT ticker FROM bars)""")

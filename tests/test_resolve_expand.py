@@ -116,3 +116,11 @@ def test_history_mode_uses_real_scores(spark):
     # other days carry the run's snapshot with its deterministic jitter around 100
     others = [v for d, v in out.items() if d not in (d0 + dt.timedelta(2), d0 + dt.timedelta(5))]
     assert all(70.0 < v < 130.0 for v in others)
+
+
+def test_unresolved_tickers(spark):
+    cal = spark.createDataFrame([("A", dt.date(2024, 1, 1))], "ticker string, date date")
+    pub = spark.createDataFrame([(0, "x", "A"), (1, "y", "GONE"), (2, "z", None)], schemas.PUBLISHER_MAP)
+    smap = spark.createDataFrame([("n", "A"), ("m", "LOST")], schemas.STREAM_MAP)
+    got = sorted(tuple(r) for r in expand.unresolved_tickers(cal, publisher_map=pub, stream_map=smap).collect())
+    assert got == [("publisher_map", "GONE"), ("stream_map", "LOST")]
