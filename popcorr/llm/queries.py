@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popcorr.llm import merkle, mixture, shards, token_count
+from popcorr.llm import (decontaminate, lang_id, license_scan, lm_score, merkle, mixture, shards,
+                         token_count)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,16 +39,49 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.pseudo_likelihood(documents(spark, sf_dir))
+
+
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its confirmed licence paragraphs, and the family of the most probable one."""
+    docs = documents(spark, sf_dir)
+    out = license_scan.scan(docs, license_scan.fit(license_scan.sample_texts(docs)))
+    sure = F.filter("found", lambda f: f["confirmed"])
+    best = F.reduce(sure, F.struct(F.lit(None).cast("string").alias("family"), F.lit(-1.0).alias("probability"), F.lit(0.0).alias("similarity")),
+                    lambda a, f: F.when(f["probability"] > a["probability"], F.struct(f["family"].alias("family"), f["probability"].alias("probability"),
+                                                                                   f["similarity"].alias("similarity"))).otherwise(a))
+    out = out.withColumn("_best", best)
+    return out.select("doc_id", "n_paragraphs", F.size(sure).alias("n_license_paragraphs"),
+                      F.coalesce("_best.family", F.lit(license_scan.UNKNOWN)).alias("license"),
+                      F.when(F.col("_best.family").isNotNull(), F.col("_best.probability")).alias("probability"),
+                      F.when(F.col("_best.family").isNotNull(), F.col("_best.similarity")).alias("similarity"),
+                      F.transform(sure, lambda f: f["paragraph"]).alias("paragraphs"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixture.mix(documents(spark, sf_dir))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(documents(spark, sf_dir))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per leaking pair of document and test item."""
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 REGISTRY = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
     "op3_fingerprints": op3_fingerprints,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op5_license_scans": op5_license_scans,
     "op6_mixing": op6_mixing,
+    "op9_language_id": op9_language_id,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {}
