@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popcorr.llm import (decontaminate, lang_id, license_scan, lm_score, merkle, mixture,
-                         ngram_join, shards, token_count)
+                         ngram_join, shards, suffix_dedup, token_count)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(documents(spark, sf_dir)).drop("spans")
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(documents(spark, sf_dir))
 
@@ -84,6 +88,7 @@ REGISTRY = {
     "op4_lm_scoring": op4_lm_scoring,
     "op5_license_scans": op5_license_scans,
     "op6_mixing": op6_mixing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
