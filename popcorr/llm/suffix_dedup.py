@@ -11,14 +11,13 @@ Texts are UTF-8 bytes (null: empty); a string never crosses documents.
    for certain - so a passage or text that a third of all documents share
    costs one segment per pack, not per document.
 2. Shard arrays.  A shard drops segments that cannot match: a shared string has
-   21 bytes or more on one side of its anchor, so a segment whose 29 bytes up
-   to the anchor's end and 29 bytes from its start occur in one document only
-   is single (segments that hold their anchor more than once are kept).  Of
-   what is left, equal segments become one, and induced sorting gives the
-   suffix array of their concatenation, block by block.  The permuted common
-   prefixes tell which neighbours agree in 50 bytes: runs of these are equal
-   strings, and a string is covered if the least id in its run is smaller than
-   its own document's.
+   21 bytes or more on one side of its anchor, so a segment whose 29 bytes
+   up to the anchor's end and 29 bytes from its start (wherever it holds its
+   anchor) occur in one document only is single.  Of what is left, equal
+   segments become one, and induced sorting gives the suffix array of their
+   concatenation, block by block.  The permuted common prefixes tell which
+   neighbours agree in 50 bytes: runs of these are equal strings, and a string
+   is covered if the least id in its run is smaller than its own document's.
 3. Documents.  Covered spans are merged per document and cut out.
 
 Merged spans are broadcast only when counted to be small (``BROADCAST_BYTES``);
@@ -187,20 +186,17 @@ def shard_spans(ids, tags, start, length, data) -> list[np.ndarray]:
     if not keep.any():
         return []
     ids, tags, start, length, place, anchor = (x[keep] for x in (ids, tags, start, length, place, anchor))
-    # where the anchor stands, and whether it stands there only
+    # everywhere the anchor stands: the bytes to its left and to its right
     at = T.ragged(place, np.maximum(length - ANCHOR + 1, 0))
     who = np.repeat(np.arange(len(ids)), np.maximum(length - ANCHOR + 1, 0))
     hit = np.flatnonzero(hashed[at] == anchor[who])
-    times = np.bincount(who[hit], minlength=len(ids))
-    mark = np.empty(len(ids), np.int64)
-    mark[who[hit][::-1]] = at[hit][::-1]
-    left, right = mark - (SIDE - ANCHOR) >= place, mark + SIDE <= place + length
-    shared = times != 1
-    for side, a in ((left, mark - (SIDE - ANCHOR)), (right, mark)):
-        rows = np.flatnonzero(side)
-        key = T.span_hashes(data, a[rows], a[rows] + SIDE) if len(rows) else np.zeros(0, T.U64)
+    mark, who = at[hit], who[hit]
+    shared = np.zeros(len(ids), bool)
+    for a, inside in ((mark - (SIDE - ANCHOR), mark - (SIDE - ANCHOR) >= place[who]), (mark, mark + SIDE <= (place + length)[who])):
+        rows = np.flatnonzero(inside)
         if len(rows):
-            shared[rows[_several(key, ids[rows])]] = True
+            key = T.span_hashes(data, a[rows], a[rows] + SIDE)
+            shared[who[rows[_several(key, ids[who[rows]])]]] = True
     if not shared.any():
         return []
     ids, tags, start, length, place, anchor = (x[shared] for x in (ids, tags, start, length, place, anchor))
