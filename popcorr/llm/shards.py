@@ -39,88 +39,109 @@ LOCAL_ENDS = 100_000
 
 
 class Ends:
-    """The sorted group ends (bytes up to the end of each group), as a written table."""
+    """The sorted group ends (bytes up to the end of each group), as a written table (end, size)."""
 
-    def __init__(self, ends: DataFrame, total: int):
-        self.ends, self.total = ends, total
-        self.local: list[int] | None = None
+    def __init__(self, ends: DataFrame | None, total: int, local: list[int] | None = None):
+        self.ends, self.total, self.local = ends, total, local
 
-    def last_upto(self, bounds: list[int], after: list[int]) -> list[int]:
-        """For each bound the last end in (after, bound]; ``after`` itself if there is none."""
+    def reach(self, starts: list[int], bounds: list[int]) -> list[int]:
+        """For each start the last end up to its bound, or else the end of the one group after it."""
         if self.local is not None:
-            return [max(a, self.local[k - 1] if (k := bisect_right(self.local, b)) else a) for b, a in zip(bounds, after)]
-        lo, hi = min(after), max(bounds)
-        row = (self.ends.where(F.col("end").between(lo, hi))
-               .agg(*[F.max(F.when(F.col("end") <= b, F.col("end"))).alias(f"b{i}") for i, b in enumerate(bounds)]).first())
-        return [a if x is None else max(a, x) for x, a in zip(row, after)]
-
-    def around(self, aim: int, cap: int, after: int) -> tuple[int, int, int]:
-        """(last end up to ``aim``, last end up to ``cap``, first end from ``aim``)."""
-        if self.local is not None:
-            return (*self.last_upto([aim, cap], [after, after]), self.first_from(aim))
+            out = []
+            for a, b in zip(starts, bounds):
+                k = bisect_right(self.local, b)
+                far = self.local[k - 1] if k else a
+                k = bisect_right(self.local, a)
+                out.append(max(far, self.local[k] if k < len(self.local) else self.total))
+            return out
         end = F.col("end")
-        row = self.ends.where(end > after).agg(F.max(F.when(end <= aim, end)), F.max(F.when(end <= cap, end)),
-                                               F.min(F.when(end >= aim, end))).first()
-        return (after if row[0] is None else row[0], after if row[1] is None else row[1],
-                self.total if row[2] is None else row[2])
+        row = self.ends.where(end > min(starts)).agg(
+            *[F.max(F.when(end <= b, end)) for b in bounds], *[F.min(F.when(end > a, end)) for a in starts]).first()
+        n = len(starts)
+        return [self.total if row[n + i] is None else max(row[i] or 0, row[n + i]) for i in range(n)]
 
-    def first_from(self, bound: int) -> int:
+    def nearest(self, aim: int) -> tuple[int, int]:
+        """(last end up to ``aim`` or 0, first end from ``aim``)."""
         if self.local is not None:
-            k = bisect_left(self.local, bound)
-            return self.local[k] if k < len(self.local) else self.total
-        x = self.ends.where(F.col("end") >= bound).agg(F.min("end")).first()[0]
-        return self.total if x is None else x
+            k, m = bisect_right(self.local, aim), bisect_left(self.local, aim)
+            return self.local[k - 1] if k else 0, self.local[m] if m < len(self.local) else self.total
+        end = F.col("end")
+        low, high = self.ends.agg(F.max(F.when(end <= aim, end)), F.min(F.when(end >= aim, end))).first()
+        return low or 0, self.total if high is None else high
 
     def greedy(self, capacities: list[int], shards: int) -> list[list[int]]:
-        """The cuts at each capacity, cut greedily."""
+        """The cuts at each capacity, cut greedily; a group above the capacity is a shard of its own."""
         at, cuts = [0] * len(capacities), [[] for _ in capacities]
         for _ in range(shards):
-            at = self.last_upto([min(a + c, self.total) for a, c in zip(at, capacities)], at)
+            at = self.reach(at, [min(a + c, self.total) for a, c in zip(at, capacities)])
             for c, a in zip(cuts, at):
                 c.append(a)
         return cuts
 
 
-def smallest_capacity(ends: Ends, largest: int, shards: int) -> int:
-    """Least capacity whose greedy cuts reach the total in ``shards`` shards."""
-    low = max(-(-ends.total // shards), largest) - 1        # every capacity up to here is too small
-    high = low + 1 + largest                                # always feasible
-    below, above = ends.greedy([low + 1, high], shards)
-    if below[-1] >= ends.total:
-        return low + 1
-    low += 1
+def smallest_capacity(ends: Ends, largest: int, shards: int, above: int = 0) -> int:
+    """Least capacity whose greedy cuts reach the total in ``shards`` shards.
+
+    ``above``: bytes of the groups that are larger than an even share; they only guide where the search starts.
+    """
+    low, high = max(0, -(-(ends.total - above) // shards) - 1), -(-ends.total // shards) + largest
+    below, over = ends.greedy([low, high], shards)
+    while below[-1] >= ends.total:                          # too high a start: go down
+        if low == 0:
+            return 0
+        high, over, low = low, below, low // 2
+        below = ends.greedy([low], shards)[0]
     while high - low > 1:
         if ends.local is None:
-            windows = None
-            for a, b in zip(below, above):
-                w = F.col("end").between(a, b)
-                windows = w if windows is None else windows | w
-            near = ends.ends.where(windows)
+            windows = F.lit(False)
+            for a, b in zip([0, *below], [0, *over]):       # where cuts can be, and the group after each
+                windows = windows | F.col("end").between(a, b + 1)
+            near = ends.ends.where(windows).select("end")
             if near.limit(LOCAL_ENDS + 1).count() <= LOCAL_ENDS:
-                ends = Ends(ends.ends, ends.total)
-                ends.local = sorted(r[0] for r in near.collect())
+                found = {r[0] for r in near.collect()} | {ends.total}
+                found |= set(ends.reach(over, over))        # the group after the last cut of each window
+                ends = Ends(ends.ends, ends.total, sorted(found))
         mid = (low + high) // 2
         cuts = ends.greedy([mid], shards)[0]
         if cuts[-1] >= ends.total:
-            high, above = mid, cuts
+            high, over = mid, cuts
         else:
             low, below = mid, cuts
     return high
 
 
-def even_cuts(ends: Ends, capacity: int, shards: int) -> list[int]:
-    """Cuts under ``capacity``, each shard's end nearest to an even share of the rest."""
-    earliest = [ends.total]
+def even_cuts(ends: Ends, capacity: int, shards: int, large: list[tuple[int, int]]) -> list[int]:
+    """Cuts under ``capacity``, each shard's end nearest to an even share of the rest.
+
+    ``large``: (start, end) of the groups above the capacity, which are shards of their own.
+    """
+    total, starts = ends.total, dict(large)
+    earliest = [total]                                      # from the last: where shard j must end at the least
     for _ in range(shards - 1):
-        earliest.append(ends.first_from(earliest[-1] - capacity) if earliest[-1] > capacity else 0)
-    earliest.reverse()                                      # earliest[j]: shard j must end here or later
+        e = earliest[-1]
+        if e <= 0:
+            earliest.append(0)
+            continue
+        one = next((a for a, b in large if b == e), None)
+        earliest.append(one if one is not None else ends.nearest(e - capacity)[1] if e > capacity else 0)
+    earliest.reverse()
     at, cuts = 0, []
     for j in range(shards):
-        aim = at + -(-(ends.total - at) // (shards - j))
-        below, cap, above = ends.around(aim, min(at + capacity, ends.total), at)
-        above = min(above, cap)
-        at = min((below, above), key=lambda e: (abs(e - aim), e))
-        at = min(max(at, earliest[j]), cap) if earliest[j] <= cap else cap
+        rest = [(a, b) for a, b in large if a >= at]
+        if at >= total:
+            cuts.append(total)
+            continue
+        if at in starts:
+            at = starts[at]
+            cuts.append(at)
+            continue
+        wall = min([a for a, _ in rest], default=total)     # a large group stands here: no shard goes beyond
+        small = total - at - sum(b - a for a, b in rest)
+        aim = min(at + -(-small // max(1, shards - j - len(rest))), wall)
+        low, high = ends.nearest(aim)
+        top = min(ends.reach([at], [min(at + capacity, total)])[0], wall)
+        options = [e for e in (low, high) if at < e <= top] or [top]
+        at = min(max(min(options, key=lambda e: (abs(e - aim), e)), earliest[j]), top)
         cuts.append(at)
     return cuts
 
@@ -141,13 +162,14 @@ def ordered_chunks(rows: DataFrame, n: int) -> DataFrame:
     # the group's end is the sum at its last chunk; all chunks of a group share a bucket
     chunks = chunks.withColumn("g_end", F.sum("b").over(Window.partitionBy("bucket").orderBy("key").rangeBetween(
         Window.unboundedPreceding, 0)))
+    chunks = chunks.withColumn("group_bytes", F.sum("b").over(Window.partitionBy("bucket", "key")))
     totals = chunks.groupBy("bucket").agg(F.sum("n").alias("tn"), F.sum("b").alias("tb"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("bucket"), F.coalesce(F.sum("tn").over(before), F.lit(0)).alias("n0"),
                            F.coalesce(F.sum("tb").over(before), F.lit(0)).alias("b0"))
     return (chunks.join(F.broadcast(totals), "bucket")
             .select("key", "salt", (F.col("n0") + F.col("n_upto") - F.col("n")).alias("rows_before"), "n",
-                    (F.col("b0") + F.col("b_upto")).alias("bytes_upto"), (F.col("b0") + F.col("g_end")).alias("end")))
+                    (F.col("b0") + F.col("b_upto")).alias("bytes_upto"), (F.col("b0") + F.col("g_end")).alias("end"), "group_bytes"))
 
 
 def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,10 +185,15 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     salts = max(MIN_SALTS, n // ROWS_PER_CHUNK)
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
     chunks = cut_lineage(ordered_chunks(rows, n), "shard_chunks")
-    largest = rows.groupBy("key").agg(F.sum("size").alias("b")).agg(F.max("b")).first()[0]
-    table = cut_lineage(chunks.where("end = bytes_upto").select("end").repartitionByRange("end").sortWithinPartitions("end"), "shard_ends")
+    table = cut_lineage(chunks.where("end = bytes_upto").select("end", "group_bytes").repartitionByRange("end").sortWithinPartitions("end"), "shard_ends")
+    even = -(-total // shards)
+    largest, above = table.agg(F.max("group_bytes"), F.sum(F.when(F.col("group_bytes") > even, F.col("group_bytes")))).first()
     ends = Ends(table, total)
-    cuts = even_cuts(ends, smallest_capacity(ends, largest, shards), shards)
+    if n <= LOCAL_ENDS:
+        ends.local = sorted(r[0] for r in table.select("end").collect())
+    capacity = smallest_capacity(ends, largest, shards, above or 0)
+    large = table.where(F.col("group_bytes") > capacity).collect()          # each is a shard: at most ``shards``
+    cuts = even_cuts(ends, capacity, shards, sorted((r["end"] - r["group_bytes"], r["end"]) for r in large))
 
     number: Column = F.lit(0)
     for c in cuts[:-1]:
