@@ -9,7 +9,9 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of ``documents``.  Lists of ids are broadcast only when
 counted to be small, and joined otherwise.  Rows with a null id stay as long as
-no stage finds a reason against their text.  Empty tables give empty results.
+no stage finds a reason against their text; rows that repeat an id with another
+text are documents of their own, except that the mix takes them equally often
+and a test item in one is held against both.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -36,10 +38,10 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, gone: DataFrame, by: str = "doc_id") -> DataFrame:
     """``docs`` but for the ids of ``gone`` (a null there stands for rows without an id)."""
     return docs.join(_small(gone.select(F.col("doc_id").alias("_id")).distinct()),
-                     F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+                     F.col(by).eqNullSafe(F.col("_id")), "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,12 +55,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of linked documents; of rows that repeat an id, one."""
     docs = docs.select(*COLUMNS)
-    rows, ids = docs.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
-    classes = ngram_join.classes(docs)
-    kept = _without(docs, classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    if rows > ids:
-        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return kept
+    rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        classes = ngram_join.classes(docs)
+        return _without(docs, classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    # ids that repeat or are missing: rows are told apart by id (null last) and text
+    own = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text"))
+    docs = docs.withColumn("_row", own)
+    classes = ngram_join.classes(docs, id_col="_row")
+    gone = classes.where(F.col("_row") != F.col("component_id")).select(F.col("_row").alias("doc_id"))
+    return _without(docs.dropDuplicates(["_row"]), gone, "_row").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
