@@ -17,8 +17,9 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from popcorr.functions import kpi
 from popcorr.functions.rolling import rolling_pearson, rows_window
 from popcorr.operators import correlate, expand, metrics, model, prep, serve
+from popcorr.operators.joins import bounded_broadcast
 from popcorr.plans import combine as cmb
-from popcorr.plans import enrich, inputs, layered
+from popcorr.plans import enrich, formats, inputs, layered
 from popcorr.session import cut_lineage, shared_dir
 from popcorr.sources import layers, schemas, testbed
 from popcorr.streaming import live
@@ -108,23 +109,18 @@ def q_ticker_resolution(spark, sf):
 @register("top_n_rank")
 def q_top_n_rank(spark, sf):
     prepare(spark)
-    g = inputs.raw_games(spark, sf).select(
+    g = inputs.raw_games(spark, sf, n=testbed.TOP_GAMES).select(
         F.lit("games").alias("list"), "rank", F.col("app_id").alias("id"),
         F.col("average_forever").alias("metric"))
-    s = inputs.raw_streams(spark, sf).select(
+    s = inputs.raw_streams(spark, sf, n=testbed.TOP_STREAMS).select(
         F.lit("streams").alias("list"), "rank", F.col("game_id").alias("id"),
         F.lit(None).cast("long").alias("metric"))
     return g.unionByName(s)
 
 
 # ── slice 4: combine (over the materialised formatted layer) ──────────────
-USAGE_CORE_COLUMNS = [
-    "date", "game_name", "ticker", "source", "steam_rank", "steam_rank_score", "peak_ccu",
-    "avg_playtime_2weeks", "review_ratio", "twitch_viewers", "twitch_rank", "twitch_rank_score",
-    "stock_open", "stock_close", "stock_high", "stock_low", "stock_volume", "daily_change_pct",
-    "daily_range_pct", "popularity_score", "corr_7d_popularity_price", "corr_7d_viewers_price",
-    "signal", "source_is_twitch",
-]
+USAGE_CORE_COLUMNS = [*schemas.JOINED_COLUMNS, "popularity_score", "corr_7d_popularity_price",
+                      "corr_7d_viewers_price", "signal", "source_is_twitch"]
 ROW_KEY = ["date", "game_name", "ticker", "source", "twitch_rank"]
 
 
@@ -275,15 +271,13 @@ def q_join_stream_only_bars(spark, sf):
 @register("filter_unknown")
 def q_filter_unknown(spark, sf):
     prepare(spark)
-    return (inputs.games(spark, sf).where(F.col("ticker") != kpi.UNKNOWN_TICKER)
-            .select("rank", "name", "ticker"))
+    return expand.known_tickers(inputs.games(spark, sf)).select("rank", "name", "ticker")
 
 
 @register("failed_tickers")
 def q_failed_tickers(spark, sf):
     prepare(spark)
-    have = inputs.bars(spark, sf).select("ticker").distinct()
-    return testbed.tracked(spark).join(have, "ticker", "left_anti")
+    return expand.failed_tickers(testbed.tracked(spark), inputs.bars(spark, sf))
 
 
 @register("unresolved_report")
@@ -292,7 +286,7 @@ def q_unresolved_report(spark, sf):
     prepare(spark)
     cal = expand.ticker_calendar(inputs.bars(spark, sf))
     return expand.unresolved_tickers(cal, publisher_map=testbed.publisher_map(spark),
-                                     stream_map=inputs.stream_map(spark, sf))
+                                     stream_map=inputs.stream_map(spark, sf), tracked=testbed.tracked(spark))
 
 
 @register("top_stream_per_game")
@@ -303,17 +297,23 @@ def q_top_stream_per_game(spark, sf):
 
 
 # ── projections / preparation ────────────────────────────────────────────────
+def with_holes(raw_games: DataFrame) -> DataFrame:
+    """Raw game records in which some keys are missing."""
+    part = F.col("app_id").cast("long")
+    return raw_games.withColumns({
+        "developer": F.when(part % 7 != 0, F.col("developer")), "owners": F.when(part % 5 != 0, F.col("owners")),
+        "positive": F.when(part % 9 != 0, F.col("positive"))})
+
+
 @register("null_defaults")
 def q_null_defaults(spark, sf):
     prepare(spark)
-    s = inputs.raw_streams(spark, sf).select(
-        F.lit("streams").alias("list"), F.col("game_id").alias("id"),
-        F.col("top_stream_viewers").cast("string").alias("raw_value"),
-        F.coalesce(F.col("top_stream_viewers"), F.lit(0)).cast("string").alias("value"))
-    g = inputs.raw_games(spark, sf).select(
-        F.lit("games").alias("list"), F.col("app_id").alias("id"),
-        F.col("ticker").alias("raw_value"),
-        F.coalesce(F.col("ticker"), F.lit(kpi.UNKNOWN_TICKER)).alias("value"))
+    stats = inputs.part_stats(spark, sf)
+    s = formats.format_twitch(testbed.raw_streams(stats)).select(
+        F.lit("streams").alias("list"), F.col("game_id").alias("id"), F.lit(None).cast("string").alias("developer"),
+        F.lit(None).cast("string").alias("owners"), F.col("top_stream_viewers").alias("count_value"))
+    g = formats.null_defaults_games(with_holes(testbed.raw_games(stats))).select(
+        F.lit("games").alias("list"), F.col("app_id").alias("id"), "developer", "owners", F.col("positive").alias("count_value"))
     return s.unionByName(g)
 
 
@@ -336,8 +336,8 @@ def q_prep_zero_fill(spark, sf):
 @register("prep_all_null_text")
 def q_prep_all_null_text(spark, sf):
     prepare(spark)
-    raw = testbed.raw_games(inputs.part_stats(spark, sf))
-    return prep.fill_all_null_text(raw).select("rank", "name", "owners", "ticker")
+    raw = with_holes(testbed.raw_games(inputs.part_stats(spark, sf)))
+    return prep.fill_all_null_text(raw).select("rank", "name", "developer", "owners", "ticker")
 
 
 @register("prep_dates")
@@ -535,17 +535,18 @@ def q_feature_importance(spark, sf):
     return model.feature_importance(usage_core(spark, sf), MODEL_CFG)
 
 
+FALLBACK_DAYS = 7
+
+
 @register("ml_fallback")
 def q_ml_fallback(spark, sf):
-    """A run dated at the first bar day: its 365-day price history is empty, so
-    the usage is empty and the model falls back (NEUTRAL, confidence 0, NULL
-    metrics) - the result keeps the full usage schema with no rows."""
+    """A run of the first game by name over the last week of bars: 1 to 9 rows
+    to train on, so the model falls back (NEUTRAL, confidence 0, NULL metrics)."""
     prepare(spark)
-    f = layered.formatted_inputs(spark, sf)
-    first_day = prep.earliest_date(f["bars"])
-    bars = prep.history_window(f["bars"], first_day.strftime("%Y%m%d"), 365)
-    usage = cmb.combine(f["games"], bars, f["streams"], f["stream_map"])
-    return cmb.to_usage(model.train_and_score(usage, MODEL_CFG))
+    usage = usage_reused(spark, sf)
+    first = usage.agg(F.min("game_name")).first()[0]
+    week = prep.trailing_window(usage.where(F.col("game_name") == first), FALLBACK_DAYS)
+    return cmb.to_usage(model.train_and_score(week, MODEL_CFG))
 
 
 @register("combine_full")
@@ -554,11 +555,61 @@ def q_combine_full(spark, sf):
     prepare(spark)
     usage = cmb.to_usage(model.train_and_score(usage_core(spark, sf), MODEL_CFG))
     path = layers.layer_path(shared_dir(spark, "lake"), "usage", "correlation", "GameStockCorrelation")
-    layers.write_layer(usage, path, testbed.RUN_DATE, ["ticker", "game_name", "date"])
-    return layers.read_layer(spark, path, schemas.USAGE, testbed.RUN_DATE).drop(layers.RUN_DATE_COL)
+    layers.write_layer(usage, path, testbed.RUN_DATE, ["ticker", "game_name", "date"], range_sorted=True)
+    back = layers.read_layer(spark, path, schemas.USAGE, testbed.RUN_DATE).drop(layers.RUN_DATE_COL)
+    return back.select(*USAGE_CORE_COLUMNS, _ml_ok())
 
 
 # ── layer I/O ───────────────────────────────────────────────────────────────
+ML_OK = "ml_ok"
+
+
+def _ml_ok() -> F.Column:
+    """Whether a row's model columns can be right: a known class, confidence in (0, 1], scores in [0, 1]."""
+    ok = F.col("ml_prediction").isin(*kpi.SIGNAL_CLASSES) & (F.col("ml_confidence") > 0) & (F.col("ml_confidence") <= 1)
+    for c in model.METRIC_COLUMNS.values():
+        ok = ok & F.col(c).between(0, 1)
+    return F.coalesce(ok, F.lit(False)).alias(ML_OK)
+
+
+@register("serving_model")
+def q_serving_model(spark, sf):
+    """Usage with model -> serving table; the model columns, whose values SQL cannot know, as one check."""
+    prepare(spark)
+    path = shared_dir(spark, "serving")
+    serve.full_refresh(cmb.to_usage(model.train_and_score(usage_core(spark, sf), MODEL_CFG)), path, indexed_at=SERVE_STAMP)
+    docs = serve.read_serving(spark, path)
+    return present(docs.select(*[c for c in schemas.SERVING.names if c not in schemas.ML_COLUMNS], _ml_ok()))
+
+
+@register("model_metrics_check")
+def q_model_metrics_check(spark, sf):
+    """The five stored training scores against scores computed again from the stored predictions."""
+    prepare(spark)
+    scored = cut_lineage(model.train_and_score(usage_core(spark, sf), MODEL_CFG))
+    again = metrics.classification_scores(prep.trailing_window(scored, model.TRAIN_DAYS), model.LABEL, "ml_prediction")
+    stored = scored.select(*model.METRIC_COLUMNS.values()).distinct()
+    both = stored.crossJoin(again.select(*[F.col(k).alias(f"again_{k}") for k in model.METRIC_COLUMNS]))   # one row each
+    return both.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("metric"), (F.col(c) == F.col(f"again_{k}")).alias("equal"))
+        for k, c in model.METRIC_COLUMNS.items()])).alias("x")).select("x.metric", "x.equal")
+
+
+HISTORY_DAY = "2024-01-15"
+
+
+@register("combine_history")
+def q_combine_history(spark, sf):
+    """A layer with two snapshots: on the earlier one's day its real scores replace the jittered ones."""
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    earlier = f["games"].withColumns({"date": F.to_date(F.lit(HISTORY_DAY)), "rank_score": F.col("rank_score") + 5,
+                                      "run_date": F.lit(HISTORY_DAY.replace("-", ""))})
+    both = f["games"].withColumn("run_date", F.lit(testbed.RUN_DATE)).unionByName(earlier)
+    out = cmb.combine_history(both, f["bars"], f["streams"], f["stream_map"], testbed.RUN_DATE)
+    return present(out.select(*USAGE_CORE_COLUMNS))
+
+
 @register("run_metrics")
 def q_run_metrics(spark, sf):
     prepare(spark)
@@ -587,9 +638,11 @@ def q_partition_inventory(spark, sf):
 
 def _bars_envelope(spark, sf, chunk_rows=layers.ENVELOPE_CHUNK_ROWS) -> str:
     path = shared_dir(spark, "raw_bars")
-    layers.write_envelope(inputs.raw_bars(spark, sf), path,
+    bars = cut_lineage(inputs.raw_bars(spark, sf), "raw_bars")
+    failed = [r[0] for r in expand.failed_tickers(testbed.tracked(spark), bars).orderBy("ticker").collect()]   # of the fixed list
+    layers.write_envelope(bars, path,
                           {"source": "yahoo_finance", "date": testbed.RUN_DATE,
-                           "tickers": testbed.TRACKED_TICKERS, "failed_tickers": [],
+                           "tickers": testbed.TRACKED_TICKERS, "failed_tickers": failed,
                            "extracted_at": testbed.RUN_EXTRACTED_AT},
                           "records", chunk_rows)
     return path
@@ -607,7 +660,56 @@ def q_sink_json_envelope(spark, sf):
     prepare(spark)
     path = _bars_envelope(spark, sf, chunk_rows=40)
     meta = layers.read_envelope_meta(spark, path, schemas.BARS_ENVELOPE, "records")
-    return meta.groupBy("source", "date").agg(F.sum("count").cast("long").alias("records"))
+    return (meta.groupBy("source", "date", F.array_join("failed_tickers", ",").alias("failed_tickers"))
+                .agg(F.sum("count").cast("long").alias("records")))
+
+
+def _from_envelope(spark, records: DataFrame, schema, field: str) -> DataFrame:
+    """Raw records written as envelopes and read again: where a format step starts."""
+    path = shared_dir(spark, "raw_snapshot")
+    layers.write_envelope(records, path, {"source": "testbed", "date": testbed.RUN_DATE}, field)
+    return layers.read_envelope(spark, path, schema, field)
+
+
+@register("games_from_envelope")
+def q_games_from_envelope(spark, sf):
+    """Raw JSON envelopes of games -> formatted games."""
+    prepare(spark)
+    raw = _from_envelope(spark, inputs.raw_games(spark, sf), schemas.GAMES_ENVELOPE, "games")
+    return present(formats.format_steam(raw))
+
+
+@register("streams_from_envelope")
+def q_streams_from_envelope(spark, sf):
+    prepare(spark)
+    raw = _from_envelope(spark, inputs.raw_streams(spark, sf), schemas.STREAMS_ENVELOPE, "games")
+    return present(formats.format_twitch(raw).withColumn("log_viewers", F.round("log_viewers", 10)))
+
+
+@register("bars_from_envelope")
+def q_bars_from_envelope(spark, sf):
+    prepare(spark)
+    return present(formats.format_bars(layers.read_envelope(spark, _bars_envelope(spark, sf), schemas.BARS_ENVELOPE, "records")))
+
+
+@register("layer_sort_order")
+def q_layer_sort_order(spark, sf):
+    """Per formatted layer: rows, and rows that stand in their file after a row they should precede."""
+    prepare(spark)
+    f = layered.formatted_inputs(spark, sf)
+    out = None
+    for _, _, (group, entity), schema, sort in layered.SPECS:
+        if sort is None:
+            continue
+        rows = spark.read.schema(schema).parquet(layers.layer_path(f["root"], "formatted", group, entity)).select(
+            F.struct(*sort).alias("k"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("i"))
+        # a row and the one before it in its file, joined by place rather than by a window over a whole file
+        prev = rows.select(F.col("k").alias("p"), "file", (F.col("i") + 1).alias("i"))
+        one = (rows.join(prev, ["file", "i"], "left")
+                   .agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("p") > F.col("k"), 1)).alias("violations"))
+                   .withColumn("entity", F.lit(f"{group}/{entity}")))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("union_batches")
@@ -670,6 +772,11 @@ def _ticks(spark, sf) -> DataFrame:
     return testbed.quote_ticks(testbed.read(spark, sf, "events"))
 
 
+def bar_context(spark, sf) -> DataFrame:
+    """The bar context as a small written table, broadcast behind a check of its size: no refresh computes it again."""
+    return bounded_broadcast(cut_lineage(live.bar_context(inputs.bars(spark, sf)), "bar_context"))
+
+
 def _market_cap():
     return F.col("current_price") * F.lit(1_000_000.0)
 
@@ -677,7 +784,7 @@ def _market_cap():
 @register("live_change_pct")
 def q_live_change_pct(spark, sf):
     prepare(spark)
-    ctx = live.bar_context(inputs.bars(spark, sf))
+    ctx = bar_context(spark, sf)
     docs = live.quote_docs(_ticks(spark, sf), ctx, market_cap=_market_cap())
     return present(docs.select("seq", "ticker", "current_price", "previous_close", "change_pct",
                                "market_cap", "fifty_two_week_high", "fifty_two_week_low"))
@@ -696,31 +803,79 @@ def _events_stream(spark, sf) -> DataFrame:
 @register("stream_live_quotes")
 def q_stream_live_quotes(spark, sf):
     prepare(spark)
-    ctx = live.bar_context(inputs.bars(spark, sf))
+    ctx = bar_context(spark, sf)
     table, ckpt = shared_dir(spark, "live"), shared_dir(spark, "live_ckpt")
     q = live.start_live_refresh(_events_stream(spark, sf), ctx, table, ckpt, available_now=True)
     q.awaitTermination()
-    return present(spark.read.parquet(table).select(*LIVE_OUT))
+    return present(live.read_live(spark, table).select(*LIVE_OUT))
 
 
 @register("stream_latest_per_minute")
 def q_stream_latest_per_minute(spark, sf):
     prepare(spark)
-    ctx = live.bar_context(inputs.bars(spark, sf))
+    ctx = bar_context(spark, sf)
     table, ckpt = shared_dir(spark, "live_min"), shared_dir(spark, "live_min_ckpt")
     q = live.start_latest_per_minute(_events_stream(spark, sf), ctx, table, ckpt, available_now=True)
     q.awaitTermination()
-    return present(spark.read.parquet(table).select(*LIVE_OUT))
+    return present(live.read_live(spark, table).select(*LIVE_OUT))
+
+
+def _shuffled_files(spark, sf) -> str:
+    """The events in four parts out of time order, each part files of its own."""
+    root = shared_dir(spark, "event_files")
+    events = testbed.read(spark, sf, "events")
+    for i in range(4):
+        events.where(F.pmod(F.col("event_id") * 7 + 3, F.lit(4)) == i).write.parquet(f"{root}/part={i}")
+    return root
+
+
+def _multi_batch(spark, sf, start) -> DataFrame:
+    """One micro-batch for each file of ``_shuffled_files``."""
+    prepare(spark)
+    stream = (spark.readStream.schema(testbed.read(spark, sf, "events").schema)
+              .option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(_shuffled_files(spark, sf)))
+    table, ckpt = shared_dir(spark, "live_parts"), shared_dir(spark, "live_parts_ckpt")
+    start(testbed.quote_ticks(stream), bar_context(spark, sf), table, ckpt, available_now=True).awaitTermination()
+    return present(live.read_live(spark, table).select(*LIVE_OUT))
+
+
+@register("stream_latest_multi_batch")
+def q_stream_latest_multi_batch(spark, sf):
+    """Events in several micro-batches, out of order: every minute's latest tick is kept."""
+    return _multi_batch(spark, sf, live.start_latest_per_minute)
+
+
+@register("stream_refresh_multi_batch")
+def q_stream_refresh_multi_batch(spark, sf):
+    return _multi_batch(spark, sf, live.start_live_refresh)
+
+
+@register("live_dirty_quotes")
+def q_live_dirty_quotes(spark, sf):
+    """Ticks with NaN, infinite, NULL and 0 prices and caps, caps beyond a long, and some with currency or exchange."""
+    prepare(spark)
+    k, value = F.col("event_id"), F.col("value")
+    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+    ticks = testbed.read(spark, sf, "events").select(
+        F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("timestamp"), k.alias("seq"),
+        F.when(k % 8 == 0, nan).when(k % 8 == 1, inf).when(k % 8 == 2, F.lit(None)).when(k % 8 == 3, F.lit(0.0)).otherwise(value).alias("current_price"),
+        F.when(k % 5 == 0, nan).when(k % 5 == 1, F.lit(0.0)).when(k % 5 == 2, F.lit(None)).when(k % 5 == 3, value * 1_000_000.0)
+         .otherwise(F.lit(1e300)).alias("market_cap"),
+        F.when(k % 3 == 0, F.lit("EUR")).alias("currency"), F.when(k % 4 == 0, F.lit("XPAR")).alias("exchange"),
+        F.when(k % 6 == 0, -value).alias("fifty_two_week_low"))
+    docs = live.quote_docs(ticks, bar_context(spark, sf))
+    return present(docs.select("seq", "ticker", "current_price", "previous_close", "change_pct", "market_cap",
+                               "fifty_two_week_low", "currency", "exchange"))
 
 
 @register("live_upsert")
 def q_live_upsert(spark, sf):
     """Upsert the same batch twice, then an empty batch: the table must be unchanged."""
     prepare(spark)
-    ctx = live.bar_context(inputs.bars(spark, sf))
+    ctx = bar_context(spark, sf)
     docs = live.quote_docs(_ticks(spark, sf), ctx)
     table = shared_dir(spark, "live_batch")
     live.upsert(docs, table)
     live.upsert(docs, table)
     live.upsert(docs.limit(0), table)
-    return present(spark.read.parquet(table).select(*LIVE_OUT))
+    return present(live.read_live(spark, table).select(*LIVE_OUT))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from popcorr.functions import kpi
 from popcorr.functions.rolling import rolling_pearson, rows_window
+from popcorr.operators.expand import known_tickers
 from popcorr.operators.joins import join_one_to_many
 from popcorr.sources import schemas
 
@@ -55,7 +56,7 @@ def snapshot_branch(snapshot_with_streams: DataFrame, market: DataFrame,
     bars collapse into one equi-join on ticker: every bar row is one
     calendar date (duplicates fan out the same way in both forms).
     """
-    s = snapshot_with_streams.where(F.col("ticker") != kpi.UNKNOWN_TICKER).drop("date")
+    s = known_tickers(snapshot_with_streams).drop("date")
     rows = join_one_to_many(s, market, "ticker", salt_cols=["name", "ticker"])
     score = F.col("rank_score").cast("double")
     if jitter:

@@ -107,3 +107,13 @@ def unresolved_tickers(calendar: DataFrame, **dimensions: DataFrame) -> DataFram
                 .select(F.lit(name).alias("dimension"), "ticker").distinct())
         out = t if out is None else out.unionByName(t)
     return out.join(have, "ticker", "left_anti").select("dimension", "ticker")
+
+
+def failed_tickers(tracked: DataFrame, bars: DataFrame) -> DataFrame:
+    """Tracked tickers for which no bar was fetched."""
+    return tracked.join(bars.select("ticker").distinct(), "ticker", "left_anti")
+
+
+def known_tickers(snapshot: DataFrame) -> DataFrame:
+    """Snapshot rows whose ticker was resolved."""
+    return snapshot.where(F.col("ticker") != kpi.UNKNOWN_TICKER)

@@ -110,8 +110,7 @@ raw_games0 AS (
          CAST(q AS BIGINT) AS average_forever, CAST(q2 AS BIGINT) AS average_2weeks,
          CAST(mx AS BIGINT) AS peak_ccu, CAST(p_size * 100 AS VARCHAR) AS price,
          '{tb.RUN_EXTRACTED_AT}' AS extracted_at, '{tb.RUN_DATE}' AS date
-  FROM ga JOIN part ON p_partkey = l_partkey
-  ORDER BY q DESC, p_partkey LIMIT {tb.TOP_GAMES}),
+  FROM ga JOIN part ON p_partkey = l_partkey),
 pmap AS (SELECT * FROM (VALUES {PMAP_VALUES}) AS t(ordinal, k, ticker)),
 names AS (
   SELECT publisher AS nm FROM raw_games0 WHERE publisher IS NOT NULL AND publisher <> ''
@@ -153,13 +152,13 @@ sa AS (
 raw_streams AS (
   SELECT CAST(row_number() OVER (ORDER BY r DESC, p_partkey) AS INTEGER) AS rank,
          CAST(p_partkey AS VARCHAR) AS game_id,
-         CASE WHEN p_partkey % 4 = 0 THEN concat('  ', upper(concat(p_name, ' #', CAST(p_partkey AS VARCHAR))), ' ')
+         CASE WHEN p_partkey % 50 = {tb.BLANK_NAME_REST} THEN '   '
+              WHEN p_partkey % 4 = 0 THEN concat('  ', upper(concat(p_name, ' #', CAST(p_partkey AS VARCHAR))), ' ')
               ELSE upper(concat(p_name, ' #', CAST(p_partkey AS VARCHAR))) END AS game_name,
          '' AS box_art_url,
          CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(q AS BIGINT) END AS top_stream_viewers,
          '{tb.RUN_EXTRACTED_AT}' AS extracted_at, '{tb.RUN_DATE}' AS date
-  FROM sa JOIN part ON p_partkey = l_partkey
-  ORDER BY r DESC, p_partkey LIMIT {tb.TOP_STREAMS})"""
+  FROM sa JOIN part ON p_partkey = l_partkey)"""
 
 STREAMS = RAW_STREAMS + f""",
 streams AS (
@@ -181,11 +180,13 @@ TRACKED = f"""
 tracked AS (SELECT * FROM (VALUES {TRACKED_VALUES}) AS t(ticker))"""
 
 
-def combine_ctes(jitter: bool = True, streams_present: bool = True) -> str:
+def combine_ctes(jitter: bool = True, streams_present: bool = True, real_day: str | None = None) -> str:
     zs = z_sql("sb.name", "sb.ticker", "k.date", "s")
     zr = z_sql("so.raw_name", "so.ticker", "k.date", "r")
     zv = z_sql("so.raw_name", "so.ticker", "k.date", "v")
     steam_score = j_snapshot("sb.rank_score", zs) if jitter else "CAST(sb.rank_score AS DOUBLE)"
+    if real_day:
+        steam_score = f"CASE WHEN k.date = DATE '{real_day}' THEN CAST(sb.rank_score + 5 AS DOUBLE) ELSE {steam_score} END"
     stream_score = j_stream("so.score", zr) if jitter else "CAST(so.score AS DOUBLE)"
     stream_viewers = j_viewers("so.v", zv) if jitter else "so.v"
     streams = STREAMS if streams_present else STREAMS.replace("FROM raw_streams)", "FROM raw_streams WHERE false)")
@@ -291,7 +292,7 @@ ctx AS (
 ticks AS (
   SELECT event_type AS ticker, CAST(ts AS TIMESTAMP) AS timestamp, value AS current_price, event_id AS seq,
          CAST(ts AS DATE) AS date
-  FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL),
+  FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL),
 docs AS (
   SELECT concat_ws('_', t.ticker, strftime(t.timestamp, '%Y%m%d%H%M')) AS doc_id, t.ticker, t.timestamp,
          t.current_price, c.previous_close,

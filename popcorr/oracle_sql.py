@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from popcorr.sources import testbed as _tb
 from popcorr.oracle import (BARS, GAMES, RAW_GAMES, RAW_STREAMS, STREAMS, combine_ctes, corr_sql, d, j_stream, j_viewers,
                             signal_sql, ts, with_)
 
@@ -36,10 +37,10 @@ SELECT rank, game_id, game_name, box_art_url, top_stream_viewers, {ts('extracted
 SQL["ticker_resolution"] = with_(RAW_GAMES, """
 SELECT rank, name, publisher, developer, ticker FROM raw_games""")
 
-SQL["top_n_rank"] = with_(RAW_GAMES + "," + RAW_STREAMS, """
-SELECT 'games' AS list, rank, app_id AS id, average_forever AS metric FROM raw_games0
+SQL["top_n_rank"] = with_(RAW_GAMES + "," + RAW_STREAMS, f"""
+SELECT 'games' AS list, rank, app_id AS id, average_forever AS metric FROM raw_games0 WHERE rank <= {_tb.TOP_GAMES}
 UNION ALL
-SELECT 'streams' AS list, rank, game_id AS id, CAST(NULL AS BIGINT) AS metric FROM raw_streams""")
+SELECT 'streams' AS list, rank, game_id AS id, CAST(NULL AS BIGINT) AS metric FROM raw_streams WHERE rank <= {_tb.TOP_STREAMS}""")
 
 _CORE_COLS = ("date, game_name, ticker, source, steam_rank, steam_rank_score, peak_ccu, avg_playtime_2weeks, "
               "review_ratio, twitch_viewers, twitch_rank, twitch_rank_score, stock_open, stock_close, stock_high, "
@@ -111,10 +112,11 @@ FROM raw_streams s LEFT JOIN li ON li.l_partkey = CAST(s.game_id AS BIGINT) AND
 
 # ── preparation ─────────────────────────────────────────────────────────────
 SQL["null_defaults"] = with_(RAW_GAMES + "," + RAW_STREAMS, f"""
-SELECT 'streams' AS list, game_id AS id, CAST(top_stream_viewers AS VARCHAR) AS raw_value,
-       CAST(coalesce(top_stream_viewers, 0) AS VARCHAR) AS value FROM raw_streams
+SELECT 'streams' AS list, game_id AS id, CAST(NULL AS VARCHAR) AS developer, CAST(NULL AS VARCHAR) AS owners,
+       coalesce(top_stream_viewers, 0) AS count_value FROM raw_streams
 UNION ALL
-SELECT 'games', app_id, ticker, coalesce(ticker, '{_kpi.UNKNOWN_TICKER}') FROM raw_games""")
+SELECT 'games', app_id, CASE WHEN CAST(app_id AS BIGINT) % 7 = 0 THEN '' ELSE developer END, '' AS owners,
+       CASE WHEN CAST(app_id AS BIGINT) % 9 = 0 THEN 0 ELSE positive END FROM raw_games0""")
 SQL["drop_bad_dates"] = f"""
 SELECT event_id, date_text, {d('dt')} AS date FROM (
   SELECT event_id, date_text, CAST(try_strptime(date_text, '%Y-%m-%d') AS DATE) AS dt FROM (
@@ -122,7 +124,9 @@ SELECT event_id, date_text, {d('dt')} AS date FROM (
 WHERE dt IS NOT NULL"""
 SQL["prep_zero_fill"] = with_(GAMES, """
 SELECT rank, name, positive, negative, coalesce(review_ratio, 0.0) AS review_ratio, price FROM games""")
-SQL["prep_all_null_text"] = with_(RAW_GAMES, "SELECT rank, name, owners, '' AS ticker FROM raw_games0")
+SQL["prep_all_null_text"] = with_(RAW_GAMES, """
+SELECT rank, name, CASE WHEN CAST(app_id AS BIGINT) % 7 <> 0 THEN developer END AS developer,
+       CASE WHEN CAST(app_id AS BIGINT) % 5 <> 0 THEN owners END AS owners, '' AS ticker FROM raw_games0""")
 SQL["prep_dates"] = with_(GAMES, f"""
 SELECT rank, {d('date')} AS date, coalesce({d('extracted_at')}, '') AS extracted_at FROM games""")
 _clean = "CASE WHEN isinf({0}) OR isnan({0}) THEN NULL ELSE {0} END"
@@ -229,8 +233,26 @@ UNION ALL SELECT '20240131', count(*), 'yahoo/GamingStocks' FROM bars
 UNION ALL SELECT '20240131', count(*), 'dims/StreamNames' FROM smap""")
 SQL["scan_json_envelope"] = with_(BARS_RAW, "SELECT ticker, date, open, high, low, close, volume FROM bars_raw")
 SQL["union_batches"] = SQL["scan_json_envelope"]
-SQL["sink_json_envelope"] = with_(BARS_RAW, """
-SELECT 'yahoo_finance' AS source, '20240131' AS date, count(*) AS records FROM bars_raw""")
+SQL["sink_json_envelope"] = with_(BARS_RAW + "," + TRACKED, """
+SELECT 'yahoo_finance' AS source, '20240131' AS date, count(*) AS records,
+       (SELECT string_agg(ticker, ',' ORDER BY ticker) FROM tracked
+        WHERE ticker NOT IN (SELECT ticker FROM bars_raw)) AS failed_tickers FROM bars_raw""")
+SQL["games_from_envelope"] = SQL["steam_format"]
+SQL["streams_from_envelope"] = SQL["twitch_format"]
+SQL["bars_from_envelope"] = SQL["bars_format"]
+SQL["layer_sort_order"] = with_(",".join([BARS, GAMES, STREAMS]), """
+SELECT 'steam/TopGames' AS entity, count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM games
+UNION ALL SELECT 'twitch/TopGames', count(*), 0 FROM streams
+UNION ALL SELECT 'yahoo/GamingStocks', count(*), 0 FROM bars""")
+SQL["serving_model"] = with_(_C + "," + _SERVING, "SELECT " + ", ".join(
+    c for c in _SERV_COLS.split(", ") if not c.startswith("ml_")) + ", TRUE AS ml_ok FROM serving")
+SQL["model_metrics_check"] = """
+SELECT metric, TRUE AS equal FROM (VALUES ('accuracy'), ('f1_weighted'), ('f1_macro'), ('precision_weighted'),
+                                          ('recall_weighted')) AS t(metric)"""
+SQL["combine_full"] = with_(_C, f"""
+SELECT {_CORE_COLS.replace('date,', d('date') + ' AS date,', 1)}, TRUE AS ml_ok FROM usage""")
+SQL["combine_history"] = with_(combine_ctes(True, real_day="2024-01-15"), f"""
+SELECT {_CORE_COLS.replace('date,', d('date') + ' AS date,', 1)} FROM usage""")
 SQL["scan_parquet"] = SQL["bars_format"]
 SQL["sink_parquet_roundtrip"] = with_(BARS, f"""
 SELECT ticker, {d('date')} AS date, open, high, low, close, volume, daily_change_pct, daily_range,
@@ -252,6 +274,20 @@ _LIVE_OUT = (f"doc_id, ticker, {ts('timestamp')} AS timestamp, current_price, pr
 SQL["stream_live_quotes"] = with_(BARS + "," + LIVE_CTX, f"SELECT {_LIVE_OUT} FROM latest")
 SQL["stream_latest_per_minute"] = SQL["stream_live_quotes"]
 SQL["live_upsert"] = SQL["stream_live_quotes"]
+SQL["stream_latest_multi_batch"] = SQL["stream_live_quotes"]
+SQL["stream_refresh_multi_batch"] = SQL["stream_live_quotes"]
+SQL["live_dirty_quotes"] = with_(BARS + "," + LIVE_CTX + """,
+dirty AS (
+  SELECT *, CASE WHEN seq % 8 IN (0, 1, 2) THEN NULL WHEN seq % 8 = 3 THEN 0.0::DOUBLE ELSE current_price END AS price,
+         CASE WHEN seq % 5 = 3 AND current_price <> 0 THEN CAST(trunc(current_price * 1000000.0::DOUBLE) AS BIGINT) END AS cap
+  FROM ticks)""", """
+SELECT t.seq, t.ticker, t.price AS current_price, c.previous_close,
+       CASE WHEN t.price <> 0 AND c.previous_close <> 0
+            THEN round((t.price - c.previous_close) / c.previous_close * 100, 4) END AS change_pct,
+       t.cap AS market_cap, CASE WHEN t.seq % 6 = 0 THEN -t.current_price ELSE c.fifty_two_week_low END AS fifty_two_week_low,
+       CASE WHEN t.seq % 3 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
+       CASE WHEN t.seq % 4 = 0 THEN 'XPAR' ELSE '' END AS exchange
+FROM dirty t LEFT JOIN ctx c ON t.ticker = c.ticker AND t.date = c.date""")
 
 SQL["ml_fallback"] = with_(_C, """
 SELECT game_name, ticker, source, steam_rank, steam_rank_score, peak_ccu, avg_playtime_2weeks, review_ratio,
@@ -261,12 +297,15 @@ SELECT game_name, ticker, source, steam_rank, steam_rank_score, peak_ccu, avg_pl
        'NEUTRAL' AS ml_prediction, CAST(0.0 AS DOUBLE) AS ml_confidence, CAST(NULL AS DOUBLE) AS ml_accuracy,
        CAST(NULL AS DOUBLE) AS ml_f1_weighted, CAST(NULL AS DOUBLE) AS ml_f1_macro,
        CAST(NULL AS DOUBLE) AS ml_precision, CAST(NULL AS DOUBLE) AS ml_recall
-FROM usage WHERE date < (SELECT min(date) FROM bars)""")
+FROM usage WHERE game_name = (SELECT min(game_name) FROM usage)
+  AND date >= (SELECT max(date) FROM usage WHERE game_name = (SELECT min(game_name) FROM usage)) - INTERVAL 6 DAY""")
 
-SQL["unresolved_report"] = with_(BARS + "," + SMAP + f""",
+SQL["unresolved_report"] = with_(BARS + "," + SMAP + "," + TRACKED + f""",
 pmap AS (SELECT * FROM (VALUES {PMAP_VALUES}) AS t(ordinal, k, ticker))""", """
 SELECT DISTINCT 'publisher_map' AS dimension, ticker FROM pmap
 WHERE ticker IS NOT NULL AND ticker NOT IN (SELECT DISTINCT ticker FROM bars)
 UNION
 SELECT DISTINCT 'stream_map' AS dimension, ticker FROM smap
-WHERE ticker IS NOT NULL AND ticker NOT IN (SELECT DISTINCT ticker FROM bars)""")
+WHERE ticker IS NOT NULL AND ticker NOT IN (SELECT DISTINCT ticker FROM bars)
+UNION
+SELECT DISTINCT 'tracked' AS dimension, ticker FROM tracked WHERE ticker NOT IN (SELECT DISTINCT ticker FROM bars)""")

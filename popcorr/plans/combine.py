@@ -61,11 +61,30 @@ def joined(games: DataFrame, bars: DataFrame, streams: DataFrame | None,
     return correlate.union_sources(steam_rows, stream_rows)
 
 
+#: Rows of a (game, ticker) group that one window task may hold; beyond, groups are cut into chunks.
+CHUNK_ROWS = 200_000
+
+
+def largest_group(games: DataFrame, bars: DataFrame, streams: DataFrame | None) -> int:
+    """An upper bound on the rows of any (game, ticker) group of the joined relation.
+
+    Equal games x streams of one name x dates of one ticker, each the maximum
+    of a small aggregate over a snapshot or the bars, so the joined relation
+    itself is not computed for it.
+    """
+    def most(df: DataFrame, *keys) -> int:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+    dates, same = most(bars, "ticker"), most(games, "name", "ticker")
+    by_name = most(streams, F.lower(F.trim(F.col("game_name")))) if streams is not None else 0
+    return dates * (max(1, same) * max(1, by_name) + by_name)
+
+
 def correlated(joined_df: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     """Popularity score, both rolling correlations, signal label.
 
-    ``chunk_rows`` switches the correlations to the chunked form, for data in
-    which a (game, ticker) group is too large for one task (see README).
+    With ``chunk_rows`` the correlations take the chunked form (equal results),
+    for data in which a (game, ticker) group may be too large for one task.
     """
     scored = joined_df.transform(correlate.with_popularity)
     if chunk_rows:
@@ -77,7 +96,13 @@ def correlated(joined_df: DataFrame, chunk_rows: int | None = None) -> DataFrame
 
 def combine(games: DataFrame, bars: DataFrame, streams: DataFrame | None,
             stream_map: DataFrame, jitter: bool = True, chunk_rows: int | None = None) -> DataFrame:
-    """Usage table without the model columns (date kept as DateType)."""
+    """Usage table without the model columns (date kept as DateType).
+
+    Unless the caller gives ``chunk_rows``, a bound on the largest group
+    decides whether the rolling windows run in chunks.
+    """
+    if chunk_rows is None and largest_group(games, bars, streams) > CHUNK_ROWS:
+        chunk_rows = CHUNK_ROWS
     return correlated(joined(games, bars, streams, stream_map, jitter), chunk_rows)
 
 
@@ -94,7 +119,8 @@ def combine_history(games_history: DataFrame, bars: DataFrame, streams: DataFram
     history = (games_history.where(F.col("date").isNotNull())
                .select("name", F.coalesce(F.col("ticker"), F.lit(kpi.UNKNOWN_TICKER)).alias("ticker"),
                        "date", "rank_score"))
-    return correlated(joined(run, bars, streams, stream_map, jitter, real_scores=history))
+    chunk_rows = CHUNK_ROWS if largest_group(run, bars, streams) > CHUNK_ROWS else None
+    return correlated(joined(run, bars, streams, stream_map, jitter, real_scores=history), chunk_rows)
 
 
 def to_usage(df: DataFrame) -> DataFrame:

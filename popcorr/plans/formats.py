@@ -60,17 +60,17 @@ def format_twitch(raw: DataFrame) -> DataFrame:
 
 
 def format_bars(raw: DataFrame) -> DataFrame:
-    """Daily bars: typed date, zero defaults, change / range KPIs, fixed column order."""
-    o = F.coalesce(F.col("open"), F.lit(0.0))
-    h = F.coalesce(F.col("high"), F.lit(0.0))
-    lo = F.coalesce(F.col("low"), F.lit(0.0))
-    c = F.coalesce(F.col("close"), F.lit(0.0))
+    """Daily bars: typed date, NaN and missing values -> 0, change / range KPIs, fixed column order."""
+    o, h, lo, c = (F.coalesce(kpi.clean_numeric(F.col(x).cast("double")), F.lit(0.0)) for x in ("open", "high", "low", "close"))
+    volume = F.col("volume")
+    if raw.schema["volume"].dataType.typeName() in ("double", "float"):
+        volume = kpi.clean_numeric(volume)
     rng = kpi.daily_range(h, lo)
     return raw.select(
         F.col("ticker"),
         kpi.parse_date("date", "yyyy-MM-dd").alias("date"),
         o.alias("open"), h.alias("high"), lo.alias("low"), c.alias("close"),
-        F.coalesce(F.col("volume").cast("long"), F.lit(0).cast("long")).alias("volume"),
+        F.coalesce(volume.cast("long"), F.lit(0).cast("long")).alias("volume"),
         kpi.daily_change_pct(o, c).cast("double").alias("daily_change_pct"),
         rng.alias("daily_range"),
         kpi.daily_range_pct(rng, o).cast("double").alias("daily_range_pct"),

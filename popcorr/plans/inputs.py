@@ -1,7 +1,7 @@
 """Formatted inputs built from the driver tables of one scale directory.
 
-    raw games   = top parts by quantity -> ticker resolution (enrich) -> format
-    raw streams = top parts by revenue -> format
+    raw games   = parts by quantity -> ticker resolution (enrich) -> format
+    raw streams = parts by revenue -> format
     raw bars    = events per (type, day) -> format
 """
 
@@ -24,14 +24,15 @@ def part_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                               testbed.read(spark, sf_dir, "part"))
 
 
-def raw_games(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
+def raw_games(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None, n: int | None = None) -> DataFrame:
+    """Raw game records of all parts, or of the first ``n`` by rank."""
     stats = stats if stats is not None else part_stats(spark, sf_dir)
-    return enrich_snapshot(testbed.raw_games(stats), testbed.publisher_map(spark))
+    return enrich_snapshot(testbed.raw_games(stats, n), testbed.publisher_map(spark))
 
 
-def raw_streams(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
+def raw_streams(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None, n: int | None = None) -> DataFrame:
     stats = stats if stats is not None else part_stats(spark, sf_dir)
-    return testbed.raw_streams(stats)
+    return testbed.raw_streams(stats, n)
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,7 +46,8 @@ def formatted_inputs(spark: SparkSession, sf_dir: str, root: str | None = None,
     def write(spec):
         name, build, (group, entity), schema, sort = spec
         path = layers.layer_path(root, "formatted", group, entity)
-        meta = layers.write_layer(builders.get(name, build)(spark, sf_dir), path, run_date, sort)
+        meta = layers.write_layer(builders.get(name, build)(spark, sf_dir), path, run_date, sort,
+                                  range_sorted=name == "bars", skip_empty=name in ("games", "streams"))
         return name, path, schema, (f"{group}/{entity}", meta["date"], meta["row_count"])
 
     def run_lane(names):
@@ -63,7 +64,7 @@ def formatted_inputs(spark: SparkSession, sf_dir: str, root: str | None = None,
     for name, path, schema, meta in written:
         if with_metrics is not None:
             with_metrics.append(meta)
-        out[name] = layers.read_layer(spark, path, schema, run_date).drop(layers.RUN_DATE_COL)
+        out[name] = layers.read_optional(spark, path, schema, run_date)
     out["root"] = root
     return out
 

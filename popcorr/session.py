@@ -10,6 +10,7 @@ when the session has none (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -76,8 +77,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Reads ``spark.checkpoint.dir`` (or the SparkContext's checkpoint dir).
-    Only when neither is set - a local run or a test - a fresh private folder
-    is created and registered, so that ``DataFrame.checkpoint()`` works.
+    Only when neither is set on a local master - a local run or a test - a
+    fresh private folder is created and registered, so that
+    ``DataFrame.checkpoint()`` works.  On any other master a machine-local
+    folder would be seen by one machine only, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -87,6 +90,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - non-classic sessions
             root = None
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="popcorr-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:

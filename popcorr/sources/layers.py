@@ -10,12 +10,12 @@ array in one task), the reader ``inline``s the array of every envelope.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
-from pyspark.errors import AnalysisException
 
-from popcorr.session import path_exists
+from popcorr.session import cut_lineage, path_exists
 
 RUN_DATE_COL = "run_date"
 # Records per raw envelope chunk.
@@ -30,15 +30,17 @@ def layer_path(root: str, layer: str, group: str, entity: str) -> str:
 # ── raw envelopes ────────────────────────────────────────────────────────────
 def write_envelope(records: DataFrame, path: str, meta: dict, array_field: str,
                    chunk_rows: int = ENVELOPE_CHUNK_ROWS) -> None:
-    """Write records as JSON-lines envelopes of at most ~``chunk_rows`` records.
+    """Write records as JSON-lines envelopes of about ``chunk_rows`` records.
 
-    Records are spread over ``ceil(n / chunk_rows)`` hash buckets (a salt
-    from the row position keeps identical rows apart), each bucket becomes
-    one envelope carrying ``meta`` plus its own ``count``.
+    Records are written once (the upstream runs once) and spread over
+    ``ceil(n / chunk_rows)`` buckets by a hash of their own columns, so a
+    retried task deals them the same way; each bucket becomes one envelope
+    carrying ``meta`` plus its own ``count``.
     """
+    records = cut_lineage(records, "envelope")
     n = records.count()
     chunks = max(1, -(-n // chunk_rows))
-    bucket = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks))
+    bucket = F.pmod(F.xxhash64(*records.columns), F.lit(chunks))
     meta_cols = [F.lit(v).alias(k) if not isinstance(v, list)
                  else F.array(*[F.lit(x) for x in v]).cast("array<string>").alias(k)
                  for k, v in meta.items()]
@@ -67,15 +69,23 @@ def read_envelope_meta(spark: SparkSession, path: str, envelope_schema: StructTy
 
 # ── formatted / usage Parquet ────────────────────────────────────────────────
 def write_layer(df: DataFrame, path: str, run_date: str, sort_cols: list[str] | None = None,
-                compression: str = "snappy", metrics: bool = True) -> dict:
+                compression: str = "snappy", metrics: bool = True, range_sorted: bool = False,
+                skip_empty: bool = False) -> dict:
     """Overwrite one ``run_date`` partition of a layer table; return run metadata.
 
-    Rows are sorted within output partitions only (no global sort).  The row
-    count is observed during the write itself (no second pass).
+    Rows are sorted within output files; with ``range_sorted`` they are range
+    partitioned first, so the files follow each other in order too.  With
+    ``skip_empty`` an empty frame writes nothing and leaves what is there.
+    The row count is observed during the write itself (no second pass).
     """
+    if skip_empty and df.isEmpty():
+        return {"date": run_date, "row_count": 0, "path": path, "written": False}
     out = df.withColumn(RUN_DATE_COL, F.lit(run_date))
     if sort_cols:
+        if range_sorted:
+            out = out.repartitionByRange(*sort_cols)
         out = out.sortWithinPartitions(*sort_cols)
+    rows = None
     obs = Observation("layer_write")
     if metrics:
         out = out.observe(obs, F.count(F.lit(1)).alias("row_count"))
@@ -84,13 +94,22 @@ def write_layer(df: DataFrame, path: str, run_date: str, sort_cols: list[str] |
         .option("compression", compression)
         .partitionBy(RUN_DATE_COL)
         .parquet(path))
-    rows = None
     if metrics:
-        try:
-            rows = int(obs.get.get("row_count", 0) or 0)
-        except Exception:  # noqa: BLE001 - an empty plan reports no metrics row
-            rows = 0
-    return {"date": run_date, "row_count": rows, "path": path}
+        rows = _observed_rows(obs, df.sparkSession, path, run_date)
+    return {"date": run_date, "row_count": rows, "path": path, "written": True}
+
+
+def _observed_rows(obs: Observation, spark: SparkSession, path: str, run_date: str) -> int:
+    """The observed count.  A plan that was optimised to an empty relation observes nothing:
+    the written partition is then counted, so a failure shows as an error and not as 0 rows."""
+    try:
+        seen = obs.get
+    except Py4JJavaError:
+        seen = {}
+    if "row_count" in seen:
+        return int(seen["row_count"])
+    target = f"{path}/{RUN_DATE_COL}={run_date}"
+    return spark.read.parquet(target).count() if path_exists(spark, target) else 0
 
 
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -108,13 +127,10 @@ def read_layer(spark: SparkSession, path: str, schema: StructType | None = None,
 
 def read_optional(spark: SparkSession, path: str, schema: StructType,
                   run_date: str | None = None) -> DataFrame:
-    """Like ``read_layer`` but a missing source yields an empty, typed frame."""
+    """Like ``read_layer`` but a missing source yields an empty, typed frame (any other trouble is an error)."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    try:
-        return read_layer(spark, path, schema, run_date).drop(RUN_DATE_COL)
-    except AnalysisException:           # present but unreadable (e.g. no files yet)
-        return spark.createDataFrame([], schema)
+    return read_layer(spark, path, schema, run_date).drop(RUN_DATE_COL)
 
 
 def partition_inventory(spark: SparkSession, path: str) -> DataFrame:

@@ -8,16 +8,18 @@ stream_map   lower-case part names of a subset of parts -> ticker
 publisher_map, tracked  fixed dimension rows
 
 Every frame is derived lazily from the given tables, so its cost grows with
-them; the top-N steps use ``orderBy(...).limit(n)`` (a bounded
-TakeOrderedAndProject) before any ranking window, so no step funnels a whole
-table into one task.
+them; all parts are ranked by the distributed ranking (no window over a whole
+table); only the top-N report takes the first n rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from popcorr.operators.rank import rank_within, top_n
 from popcorr.session import table_path
 from popcorr.sources import schemas
 
@@ -26,6 +28,7 @@ RUN_DATE = "20240131"                      # snapshot day (yyyyMMdd); bars end t
 RUN_EXTRACTED_AT = "2024-01-31T08:00:00.123456+00:00"
 TOP_GAMES = 100
 TOP_STREAMS = 300
+BLANK_NAME_REST = 7                        # streams of parts with p_partkey % 50 = 7 have a blank name
 RECENT_PLAY_SINCE = "2001-07-01 00:00:00"  # lower bound of the "last two weeks" play column
 # Publisher/developer -> ticker map, in match order ("Brand#1" is a substring of Brand#10..19).
 PUBLISHER_MAP_ROWS = [
@@ -52,31 +55,26 @@ def _display_name(key_col: str = "p_partkey") -> F.Column:
     return F.concat(F.col("p_name"), F.lit(" #"), F.col(key_col).cast("string"))
 
 
+def packed_order(*parts: F.Column) -> F.Column:
+    """Longs (the first up to 10^18, the second not negative) as one decimal that orders like them."""
+    high, low = parts
+    return (high.cast("decimal(18,0)") * F.lit(Decimal(10) ** 19) + low.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def raw_bars(events: DataFrame) -> DataFrame:
     """One OHLCV bar per (event_type, day); date as raw ``yyyy-MM-dd`` text.
 
     open/close are the values of the first/last event by (ts, event_id).
-    A struct ordering would force a sort-based aggregation over every event,
-    so this runs as two hash aggregations instead:
-      1. per (ticker, day): first/last ts, high, low, count (map-side combine,
-         one row per group per input partition however skewed the types are);
-      2. only events sitting on a group's first/last ts break ties by event_id.
-    The join in step 2 is against the tickers x days aggregate; AQE sees its
-    real (shuffle) size and broadcasts it when small - no shuffle of the
-    events - and otherwise keeps a sort-merge join with skew splitting.
+    One scan and one hash aggregation with map-side combine: (ts, event_id)
+    is packed into one decimal, a type that hash aggregation updates in
+    place, so a task hands on one row per (ticker, day) and no event is
+    shuffled, however skewed the types are.
     """
-    ev = events.select(F.col("event_type").alias("ticker"), F.to_date("ts").alias("day"),
-                       "ts", "event_id", "value")
-    stats = (ev.groupBy("ticker", "day")
-               .agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"),
-                    F.max("value").alias("high"), F.min("value").alias("low"),
-                    F.count(F.lit(1)).alias("volume")))
-    at_first, at_last = F.col("ts") == F.col("t0"), F.col("ts") == F.col("t1")
-    return (ev.join(stats, ["ticker", "day"], "inner")
-              .where(at_first | at_last)
-              .groupBy("ticker", "day", "high", "low", "volume")
-              .agg(F.min_by(F.col("value"), F.when(at_first, F.col("event_id"))).alias("open"),
-                   F.max_by(F.col("value"), F.when(at_last, F.col("event_id"))).alias("close"))
+    ev = events.select(F.col("event_type").alias("ticker"), F.to_date("ts").alias("day"), "value",
+                       packed_order(F.unix_micros(F.col("ts").cast("timestamp")), F.col("event_id")).alias("at"))
+    return (ev.groupBy("ticker", "day")
+              .agg(F.min_by("value", "at").alias("open"), F.max("value").alias("high"), F.min("value").alias("low"),
+                   F.max_by("value", "at").alias("close"), F.count(F.lit(1)).alias("volume"))
               .select("ticker", F.date_format("day", "yyyy-MM-dd").alias("date"),
                       "open", "high", "low", "close", "volume"))
 
@@ -99,11 +97,16 @@ def part_stats(lineitem: DataFrame, part: DataFrame) -> DataFrame:
                       F.col("l_partkey") == F.col("p_partkey"))
 
 
-def raw_games(stats: DataFrame, n: int = TOP_GAMES, run_date: str = RUN_DATE) -> DataFrame:
-    """Top-n parts by shipped quantity as raw game records (ticker unresolved)."""
-    order = [F.desc("q"), F.asc("p_partkey")]
-    ranked = stats.orderBy(*order).limit(n).withColumn(
-        "rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
+def ranked_by(stats: DataFrame, order: list, n: int | None) -> DataFrame:
+    """``stats`` with its 1-based rank: the first ``n`` rows (a bounded top-n), or all by distributed ranking."""
+    if n is not None:
+        return top_n(stats, n, order)
+    return rank_within(stats, [], order, out="rank").withColumn("rank", (F.col("rank") + 1).cast("int"))
+
+
+def raw_games(stats: DataFrame, n: int | None = None, run_date: str = RUN_DATE) -> DataFrame:
+    """Parts by shipped quantity as raw game records (ticker unresolved): all, or the first ``n``."""
+    ranked = ranked_by(stats, [F.desc("q"), F.asc("p_partkey")], n)
     return ranked.select(
         "rank",
         F.col("p_partkey").cast("string").alias("app_id"),
@@ -123,15 +126,13 @@ def raw_games(stats: DataFrame, n: int = TOP_GAMES, run_date: str = RUN_DATE) ->
     )
 
 
-def raw_streams(stats: DataFrame, n: int = TOP_STREAMS, run_date: str = RUN_DATE) -> DataFrame:
-    """Top-n parts by revenue (integer cents, exact rank) as raw stream records."""
-    order = [F.desc("r"), F.asc("p_partkey")]
+def raw_streams(stats: DataFrame, n: int | None = None, run_date: str = RUN_DATE) -> DataFrame:
+    """Parts by revenue (integer cents, exact rank) as raw stream records: all, or the first ``n``."""
     upper = F.upper(_display_name())
-    name = F.when(F.col("p_partkey") % 4 == 0,
-                  F.concat(F.lit("  "), upper, F.lit(" "))).otherwise(upper)
+    name = (F.when(F.col("p_partkey") % 50 == BLANK_NAME_REST, F.lit("   "))
+             .when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("  "), upper, F.lit(" "))).otherwise(upper))
     viewers = F.when(F.col("p_partkey") % 10 == 0, F.lit(None)).otherwise(F.col("q").cast("long"))
-    return (stats.orderBy(*order).limit(n)
-            .withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
+    return (ranked_by(stats, [F.desc("r"), F.asc("p_partkey")], n)
             .select("rank",
                     F.col("p_partkey").cast("string").alias("game_id"),
                     name.alias("game_name"),

@@ -1,38 +1,43 @@
 """Live quote refresh on Structured Streaming.
 
 T1  a stream of quote ticks, triggered every 5 minutes (``availableNow`` in tests)
-T3  per-tick KPI: change vs previous close (NULL when either is NULL or 0),
-    market cap 0 -> NULL, defaults currency 'USD', exchange ''
-T4  incomplete ticks (no ticker / no price) are skipped; an empty batch writes nothing
-T2  one document per (ticker, minute): the later tick replaces the earlier one
+T3  per-tick KPI: change vs previous close (NULL when either is NULL or 0), every
+    number cleaned first (NaN and infinite -> NULL), market cap 0 -> NULL,
+    defaults currency 'USD', exchange '' where the quote carries none
+T4  ticks without ticker or timestamp are skipped; an empty batch writes nothing
+T2  one document per (ticker, minute): the later tick replaces the earlier one,
+    also when it comes in a later micro-batch or out of order
 S10/T5  keyed upsert into the live table, never delete (series kept forever)
 
-The live table is Parquet partitioned by ``date``.  An upsert reads only the
-date partitions the batch touches (partition pruning through a semi-join on
-the batch's dates - at most a few calendar days, a proven bound), merges,
-keeps the latest document per id, cuts lineage with a reliable checkpoint
-(the write replaces files the plan read) and overwrites just those
-partitions.  Replaying a batch is idempotent, so the checkpointed stream +
-this sink give effectively-exactly-once output.
+The live table is a list of (date, version): each date's documents are Parquet
+files of the version that last wrote it (``popcorr.sources.versions``).  An
+upsert reads only the dates its batch touches, merges, writes them to a folder
+of its own and publishes a new list by one atomic rename; superseded folders
+are removed.  A crash at any point leaves the published list as it was, and
+replaying a batch gives the same documents, so the checkpointed stream and this
+sink are effectively exactly-once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from popcorr.functions import kpi
-from popcorr.session import cut_lineage, path_exists
+from popcorr.sources import schemas, versions
 
 DOC_KEY = "doc_id"
 TICK_ORDER = ["timestamp", "seq"]
-WATERMARK = "10 minutes"
 TRIGGER = "5 minutes"
+PART = "_date"          # folder name of a date; the column itself stays in the files
 DEFAULT_CURRENCY, DEFAULT_EXCHANGE = "USD", ""
 
-LIVE_COLUMNS = ["doc_id", "ticker", "timestamp", "current_price", "previous_close", "change_pct",
-                "market_cap", "fifty_two_week_high", "fifty_two_week_low", "currency", "exchange",
-                "fetched_at", "seq", "date"]
+LIVE_SCHEMA = StructType([StructField(DOC_KEY, StringType()), *schemas.QUOTE.fields,
+                          StructField("seq", LongType()), StructField("date", DateType())])
+LIVE_COLUMNS = LIVE_SCHEMA.names
 
 
 def bar_context(bars: DataFrame) -> DataFrame:
@@ -50,33 +55,52 @@ def bar_context(bars: DataFrame) -> DataFrame:
 
 
 def quote_docs(ticks: DataFrame, context: DataFrame, market_cap=None) -> DataFrame:
-    """Ticks (ticker, timestamp, current_price, seq) -> live documents.
+    """Ticks -> live documents.
 
-    Works on a batch or a streaming frame (stream-static join with the bar
-    context, which is tickers x days).
+    A tick has ticker, timestamp, current_price and seq; where it also carries
+    previous_close, market_cap, fifty_two_week_high/low, currency or exchange,
+    its own value counts, and the bar context or the default fills what is
+    missing.  Works on a batch or a streaming frame (stream-static join with
+    the bar context, which is tickers x days).
     """
-    t = ticks.where(F.col("ticker").isNotNull() & F.col("timestamp").isNotNull()
-                    & F.col("current_price").isNotNull())
-    t = t.withColumn("date", F.to_date("timestamp"))
+    def number(c) -> F.Column:
+        return kpi.clean_numeric((F.col(c) if isinstance(c, str) else c).cast("double"))
+
+    own = [c for c in schemas.QUOTE.names if c in ticks.columns]
+    t = (ticks.where(F.col("ticker").isNotNull() & F.col("timestamp").isNotNull())
+              .withColumn("date", F.to_date("timestamp"))
+              .withColumnsRenamed({c: f"own_{c}" for c in own if c not in ("ticker", "timestamp", "current_price")}))
     j = t.join(context, ["ticker", "date"], "left")
-    cap = market_cap if market_cap is not None else F.lit(None).cast("double")
+
+    def value(c: str) -> F.Column:
+        return F.coalesce(number(f"own_{c}"), number(c)) if c in own else number(c)
+
+    if market_cap is not None:
+        cap = number(market_cap)
+    else:
+        cap = number("own_market_cap") if "market_cap" in own else F.lit(None).cast("double")
+
+    def text(c: str, default: str) -> F.Column:
+        return F.coalesce(F.col(f"own_{c}"), F.lit(default)) if c in own else F.lit(default)
+
+    j = j.select("ticker", "date", "timestamp", "seq", number("current_price").alias("current_price"),
+                 *[value(c).alias(c) for c in ("previous_close", "fifty_two_week_high", "fifty_two_week_low")],
+                 F.when(cap != 0, cap.try_cast("long")).alias("market_cap"),
+                 text("currency", DEFAULT_CURRENCY).alias("currency"), text("exchange", DEFAULT_EXCHANGE).alias("exchange"))
     return j.select(
         F.concat_ws("_", F.col("ticker"), F.date_format("timestamp", "yyyyMMddHHmm")).alias("doc_id"),
-        "ticker", "timestamp",
-        kpi.clean_numeric(F.col("current_price")).alias("current_price"),
-        kpi.clean_numeric(F.col("previous_close")).alias("previous_close"),
-        kpi.change_pct("current_price", "previous_close").alias("change_pct"),
-        F.when(cap != 0, cap.cast("long")).alias("market_cap"),
-        "fifty_two_week_high", "fifty_two_week_low",
-        F.lit(DEFAULT_CURRENCY).alias("currency"), F.lit(DEFAULT_EXCHANGE).alias("exchange"),
+        "ticker", "timestamp", "current_price", "previous_close",
+        kpi.change_pct("current_price", "previous_close").alias("change_pct"), "market_cap",
+        "fifty_two_week_high", "fifty_two_week_low", "currency", "exchange",
         F.col("timestamp").alias("fetched_at"), "seq", "date")
 
 
 def latest_per_key(df: DataFrame, key: str = DOC_KEY, order=TICK_ORDER) -> DataFrame:
     """The last document per key by ``order``.
 
-    A ``max_by`` aggregation: map-side partial aggregation keeps one copy per
-    key and task, so replays or a hot key never put all copies in one task.
+    ``max_by`` over structs is a sort aggregation, in both its halves; the
+    half before the shuffle leaves one copy per key and task, so replays or a
+    hot key never put all copies in one task.
     """
     payload = [c for c in df.columns if c != key]
     return (df.groupBy(key)
@@ -85,27 +109,48 @@ def latest_per_key(df: DataFrame, key: str = DOC_KEY, order=TICK_ORDER) -> DataF
               .select(key, *[F.col(f"_d.{c}").alias(c) for c in payload]))
 
 
+def _manifest(spark: SparkSession, path: str) -> dict[str, str]:
+    """date -> version whose folder holds that date's documents."""
+    return dict(line.split("\t") for line in versions.current(spark, path) or [])
+
+
+def _files(path: str, manifest: dict[str, str]) -> list[str]:
+    return [f"{path}/data/{v}/{PART}={d}" for d, v in sorted(manifest.items())]
+
+
+def read_live(spark: SparkSession, path: str) -> DataFrame:
+    """The published live table."""
+    files = _files(path, _manifest(spark, path))
+    return spark.read.schema(LIVE_SCHEMA).parquet(*files) if files else spark.createDataFrame([], LIVE_SCHEMA)
+
+
 def upsert(batch: DataFrame, path: str) -> int:
-    """Merge a batch of documents into the live table; returns documents written.
+    """Merge a batch of documents into the live table; returns the documents of the dates it touched.
 
-    The merged touched partitions are computed once into a written table in
-    the shared folder (this also cuts the lineage: the final write replaces
-    files the merge read); an empty result writes nothing.
+    The batch is reduced and written once (its plan may be a whole stream's);
+    its dates - days of one refresh - are listed in the driver, the published
+    documents of only those dates are merged in, and the result is published.
     """
-    spark = batch.sparkSession
-    docs = latest_per_key(batch.select(*LIVE_COLUMNS))
-    if path_exists(spark, path):
-        touched = docs.select("date").distinct()
-        old = spark.read.parquet(path).select(*LIVE_COLUMNS)
-        old = old.join(F.broadcast(touched), "date", "left_semi")
-        docs = latest_per_key(old.unionByName(docs))
-    merged = cut_lineage(docs, "live_merge")
-    n = merged.count()                      # reads the small written merge
-    if n == 0:
+    spark, path = batch.sparkSession, path.rstrip("/")
+    version = uuid.uuid4().hex
+    staged = f"{path}/staged/{version}"
+    latest_per_key(batch.select(*[F.col(f.name).cast(f.dataType) for f in LIVE_SCHEMA.fields])).write.parquet(staged)
+    docs = spark.read.schema(LIVE_SCHEMA).parquet(staged)
+    dates = [r[0] for r in docs.select(F.date_format("date", "yyyy-MM-dd")).distinct().collect()]
+    if not dates:
+        versions.delete(spark, f"{path}/staged")
         return 0
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("date").parquet(path))
-    return n
+    manifest = _manifest(spark, path)
+    old = _files(path, {d: manifest[d] for d in dates if d in manifest})
+    if old:
+        docs = latest_per_key(spark.read.schema(LIVE_SCHEMA).parquet(*old).unionByName(docs))
+    docs.withColumn(PART, F.date_format("date", "yyyy-MM-dd")).write.partitionBy(PART).parquet(f"{path}/data/{version}")
+    manifest.update({d: version for d in dates})
+    written = spark.read.schema(LIVE_SCHEMA).parquet(*_files(path, {d: version for d in dates})).count()
+    versions.publish(spark, path, [f"{d}\t{v}" for d, v in sorted(manifest.items())])
+    versions.prune(spark, path, "data")
+    versions.delete(spark, f"{path}/staged")
+    return written
 
 
 def upsert_sink(path: str):
@@ -124,25 +169,17 @@ def start_live_refresh(ticks_stream: DataFrame, context: DataFrame, table_path:
     return w.start()
 
 
-def latest_per_minute_stream(docs_stream: DataFrame) -> DataFrame:
-    """T2 as a stateful streaming aggregation: last tick per (ticker, 1-minute window).
+def start_latest_per_minute(ticks_stream: DataFrame, context: DataFrame, table_path: str,
+                            checkpoint: str, available_now: bool = False):
+    """Per micro-batch the last tick of each (ticker, minute), then an upsert by that document id.
 
-    The watermark bounds the state (old windows are dropped); update mode
-    emits a group whenever it changes, and the upsert sink keeps the latest.
+    No watermark and no state that expires: a tick that comes late, in any
+    later micro-batch, still meets its minute's document in the table, and the
+    later one by (timestamp, seq) stays.
     """
-    order = F.struct(*[F.col(c) for c in TICK_ORDER])
-    cols = [c for c in LIVE_COLUMNS if c not in ("ticker",)]
-    return (docs_stream.withWatermark("timestamp", WATERMARK)
-            .groupBy("ticker", F.window("timestamp", "1 minute").alias("minute"))
-            .agg(F.max_by(F.struct(*cols), order).alias("d"))
-            .select("ticker", "d.*")
-            .select(*LIVE_COLUMNS))
-
+    def last_of_minute(batch: DataFrame, batch_id: int) -> None:
+        upsert(latest_per_key(batch.select(*LIVE_COLUMNS), DOC_KEY), table_path)
 
-def start_latest_per_minute(ticks_stream: DataFrame, context: DataFrame, table_path: str,
-                            checkpoint: str, available_now: bool = False):
-    agg = latest_per_minute_stream(quote_docs(ticks_stream, context))
-    w = (agg.writeStream.outputMode("update").foreachBatch(upsert_sink(table_path))
-            .option("checkpointLocation", checkpoint))
+    w = quote_docs(ticks_stream, context).writeStream.foreachBatch(last_of_minute).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=TRIGGER)
     return w.start()
