@@ -47,7 +47,7 @@ LENGTH, ANCHOR = 50, 8
 #: Bytes on one side of an anchor that any shared string has at least, with the anchor.
 SIDE = ANCHOR + (LENGTH - ANCHOR) // 2
 #: Text that a task packs together, a piece of a long text, raw segment bytes of a shard, and of a suffix array.
-PACK_BYTES, PIECE, SHARD_BYTES, ARRAY_BYTES = 24 << 20, 1 << 20, 6 << 20, 2 << 20
+PACK_BYTES, PIECE, SHARD_BYTES, ARRAY_BYTES = 16 << 20, 1 << 20, 4 << 20, 2 << 20
 #: Segment bytes for a byte of text: each segment has some 22 strings of its own.
 BLOWUP = 3.3
 BROADCAST_BYTES = 32 << 20
