@@ -20,8 +20,9 @@ is broadcast.  The global order puts rare shingles first.
   the one below.
 
 Joining.  Never all pairs of a group: in round 1 each indexed group links its
-members to its least member only (a star), and those pairs are verified on
-their whole sets.  Components of the links follow.  In round 2 only pairs of a
+members to its least member only (a star).  A pair's shared shingles among the
+least third of both sets (in hash order) bound its whole overlap; pairs whose
+bound is too low end there, the others are verified on their whole sets.  Components of the links follow.  In round 2 only pairs of a
 group that lie in different components are left to verify.  A group of
 thousands of near copies is thus settled by a few pairs a member, and every
 link between components is still tested, whatever the size of a group.
@@ -49,6 +50,10 @@ WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 FREQUENT, FREQUENT_SHARE = 24, 1_000_000
 #: Frequent shingles a class has on average; index rows and set bytes that a task works on.
 CLASS_SIZE, ROWS_PER_TASK, BYTES_PER_TASK = 16, 400_000, 32 << 20
+#: Of each set the survey keeps this part, by hash order, as 32-bit heads.
+PREFIX_PART = 3
+#: Rows (key, id) that may be broadcast to fetch sets.
+BROADCAST_ROWS = 1_000_000
 #: Shingles that a survey task holds, and sets it remembers to skip repeats.
 TASK_SHINGLES, TASK_SETS = 3_000_000, 500_000
 
@@ -88,10 +93,10 @@ class _New:
 
 
 def survey(thin: DataFrame) -> DataFrame:
-    """One pass over (id, text).  kind 0: id, n (size), key (set).  kind 1: key (a shingle that a task met
-    in two different sets or more), n (in how many)."""
+    """One pass over (id, text).  kind 0: id, n (size), key (set), and where a task first met the set
+    its prefix (packed).  kind 1: key (a shingle that a task met in two different sets or more), n (in how many)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new, held, size, names = _New(), [], 0, ["kind", "id", "n", "key"]
+        new, held, size, names = _New(), [], 0, ["kind", "id", "n", "key", "prefix"]
         kind_type = None
 
         def folded():
@@ -105,22 +110,27 @@ def survey(thin: DataFrame) -> DataFrame:
         for b in batches:
             kind_type = b.column(0).type
             ns, keys = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+            heads: list[bytes | None] = [None] * b.num_rows
             for start, n, key, at, value in _sets(b, 1):
                 ns[start:start + len(n)], keys[start:start + len(n)] = n, key
-                part = np.repeat(new(key, n), n)
+                fresh = new(key, n)
+                for i in np.flatnonzero(fresh):
+                    heads[start + i] = (value[at[i]:at[i] + n[i] // PREFIX_PART + 1] >> T.U64(32)).astype("<u4").tobytes()
+                part = np.repeat(fresh, n)
                 held.append((value[part], np.ones(int(part.sum()), np.int64)))
                 size += len(held[-1][0])
                 if size > TASK_SHINGLES:
                     held = [folded()]
                     size = len(held[0][0])
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int8)), b.column(0), pa.array(ns), pa.array(keys)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int8)), b.column(0), pa.array(ns), pa.array(keys),
+                                              pa.array(heads, pa.binary())], names)
         if size:
             value, n = folded()
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(value), np.int8)), pa.nulls(len(value), kind_type),
-                                              pa.array(n), pa.array(value.view(np.int64))], names)
+                                              pa.array(n), pa.array(value.view(np.int64)), pa.nulls(len(value), pa.binary())], names)
 
     kind = thin.schema["id"].dataType.simpleString()
-    return thin.mapInArrow(run, f"kind tinyint, id {kind}, n bigint, key bigint")
+    return thin.mapInArrow(run, f"kind tinyint, id {kind}, n bigint, key bigint, prefix binary")
 
 
 def band(n: int) -> int:
@@ -262,10 +272,38 @@ def open_pairs(rows: DataFrame, tasks: int) -> DataFrame:
     return rows.select("signature", "key", "n", "component", "pivot").repartition(tasks, "signature").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def overlap_bound(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> int:
+    """An upper bound on the overlap of two sets from their sorted prefixes of 32-bit heads."""
+    end = min(x[-1], y[-1])                                    # below it both prefixes are complete
+    x, y = x[:np.searchsorted(x, end)], y[:np.searchsorted(y, end)]
+    if not len(x) or not len(y):
+        return min(nx - len(x), ny - len(y))
+    in_y = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+    in_x = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+    return max(int(in_y.sum()), int(in_x.sum())) + min(nx - len(x), ny - len(y))
+
+
+def plausible(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose prefixes (key, n, prefix) leave room for a link."""
+    side = lambda k, x: prefixes.select(F.col("key").alias(k), F.col("n").alias(f"n{x}"), F.col("prefix").alias(x))
+    both = pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "nx", "x", "ny", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nx, ny = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            rows = [i for i in range(batch.num_rows) if (NUMERATOR + DENOMINATOR) * overlap_bound(
+                np.frombuffer(batch.column(3)[i].as_buffer(), "<u4"), int(nx[i]),
+                np.frombuffer(batch.column(5)[i].as_buffer(), "<u4"), int(ny[i])) >= NUMERATOR * int(nx[i] + ny[i])]
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(rows, pa.int64())) for k in (0, 1)], ["a", "b"])
+
+    return both.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def shingle_sets(thin: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, shingles): the packed sorted set of each wanted key; ``wanted`` has key and the id of a document that has it."""
+    """(key, shingles): the packed sorted set of each wanted key; ``wanted`` (written) has key and the id of a
+    document that has it, and is broadcast when counted to be small, so that no text is shuffled."""
     kind = wanted.select("id", F.col("key").alias("want"))
-    texts = thin.join(kind, "id").select("want", "text")
+    texts = thin.join(F.broadcast(kind) if wanted.count() <= BROADCAST_ROWS else kind, "id").select("want", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -275,7 +313,7 @@ def shingle_sets(thin: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array([value[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())],
                                                  ["key", "shingles"])
 
-    return texts.mapInArrow(run, "key bigint, shingles binary").dropDuplicates(["key"])
+    return texts.mapInArrow(run, "key bigint, shingles binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -303,7 +341,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a[rows]), pa.array(b[rows]), pa.array(common, pa.int64()), pa.array(united, pa.int64())],
                                              ["a", "b", "common", "united"])
 
-    return both.mapInArrow(run, "a bigint, b bigint, common bigint, united bigint")
+    return both.mapInArrow(run, "a bigint, b bigint, common bigint, united bigint").distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -321,19 +359,24 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     tasks = max(8, -(-total // (3 * ROWS_PER_TASK)))
     groups = cut_lineage(shared(index(thin, frequent), tasks), "join_index")
 
+    prefixes = seen.where("kind = 0 and prefix is not null").select("key", "n", "prefix")
+    ids = members.where("n_shingles > 0 and id is not null").groupBy("key").agg(F.min("id").alias("id"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = cut_lineage(plausible(pairs, prefixes), "join_near")
+        keys = near.select(F.col("a").alias("key")).union(near.select(F.col("b").alias("key"))).distinct()
+        sets = cut_lineage(shingle_sets(thin, cut_lineage(keys.join(ids, "key"), "join_keys")), "join_sets")
+        return cut_lineage(verify(near, sets), "join_links")
+
     stars = (groups.where("key <> pivot and least(n, pivot_n) * 100L >= greatest(n, pivot_n) * 75L")
              .select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct())
     stars = cut_lineage(stars, "join_pairs")
-    ids = members.where("n_shingles > 0 and id is not null").groupBy("key").agg(F.min("id").alias("id"))
-    wanted = groups.select("key").distinct().join(ids, "key")
-    sets = cut_lineage(shingle_sets(thin, wanted), "join_sets")
-    links = cut_lineage(verify(stars, sets), "join_links")
+    links = linked(stars)
     parts = cut_lineage(components(links), "join_parts")
     few = max(8, tasks // 4)
     rows = groups.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     rest = open_pairs(rows, few).join(stars, ["a", "b"], "left_anti")
-    more = cut_lineage(verify(rest, sets), "join_links")
-    return members, links.unionByName(more)
+    return members, links.unionByName(linked(rest))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

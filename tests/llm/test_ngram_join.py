@@ -94,6 +94,21 @@ def test_prefixes_of_linked_sets_meet():
         assert np.intersect1d(sig[who == 0], sig[who == 1]).size
 
 
+def test_overlap_bound_is_never_below_the_overlap():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        pool = rng.integers(0, 2**64, int(rng.integers(1, 80)), dtype=np.uint64) >> np.uint64(rng.integers(0, 30))
+        x, y = (np.unique(rng.choice(pool, int(rng.integers(1, len(pool) + 1)))) for _ in range(2))
+        heads = [(s[:len(s) // ngram_join.PREFIX_PART + 1] >> np.uint64(32)).astype("<u4") for s in (x, y)]
+        assert ngram_join.overlap_bound(heads[0], len(x), heads[1], len(y)) >= len(np.intersect1d(x, y))
+
+
+def test_sets_by_a_join_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+    rows = copies(5)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(40)]
