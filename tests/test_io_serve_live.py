@@ -107,10 +107,10 @@ def test_live_upsert_latest_and_idempotent(spark, tmp_dir):
                                           ("A", t0 + dt.timedelta(minutes=5), 0.0, 3), (None, t0, 1.0, 4)]), ctx)
     path = os.path.join(tmp_dir, "live")
     live.upsert(docs, path)
-    first = sorted(tuple(r) for r in spark.read.parquet(path).select("doc_id", "current_price", "change_pct").collect())
+    first = sorted(tuple(r) for r in live.read_live(spark, path).select("doc_id", "current_price", "change_pct").collect())
     live.upsert(docs, path)
     live.upsert(docs.limit(0), path)
-    again = sorted(tuple(r) for r in spark.read.parquet(path).select("doc_id", "current_price", "change_pct").collect())
+    again = sorted(tuple(r) for r in live.read_live(spark, path).select("doc_id", "current_price", "change_pct").collect())
     assert first == again
     assert first == [("A_202401021000", 12.0, 20.0), ("A_202401021005", 0.0, None)]
 
@@ -150,8 +150,8 @@ def test_stream_equals_batch(spark, tmp_dir):
         q = start(testbed.quote_ticks(stream), ctx, table, shared_dir(spark, "ckpt"), available_now=True)
         q.awaitTermination()
         cols = ["doc_id", "current_price", "change_pct", "seq"]
-        a = sorted(tuple(r) for r in spark.read.parquet(batch_path).select(*cols).collect())
-        b = sorted(tuple(r) for r in spark.read.parquet(table).select(*cols).collect())
+        a = sorted(tuple(r) for r in live.read_live(spark, batch_path).select(*cols).collect())
+        b = sorted(tuple(r) for r in live.read_live(spark, table).select(*cols).collect())
         assert a == b and len(a) > 0
 
 
