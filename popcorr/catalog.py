@@ -506,20 +506,31 @@ def q_label_index(spark, sf):
 
 
 # ── model (not SQL-expressible: rows-only check) ─────────────────────────────
-MODEL_CFG = model.ModelConfig(estimator="gbt", trees=10)
+MODEL_CFG = model.ModelConfig(estimator="gbt")          # all boosting rounds
+_TRAINED: dict[tuple[str, str], tuple[DataFrame, list]] = {}
+
+
+def trained(spark, sf) -> tuple[DataFrame, list]:
+    """(scored usage, feature importances) of the one daily training run; the
+    scored rows are a written table that all model queries of a session read."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        scored, fitted = model.fit_and_score(usage_core(spark, sf), MODEL_CFG)
+        _TRAINED[key] = cut_lineage(scored, "scored"), model.importances(fitted) if fitted else []
+    return _TRAINED[key]
 
 
 @register("train_and_score")
 def q_train_and_score(spark, sf):
     prepare(spark)
-    scored = model.train_and_score(usage_core(spark, sf), MODEL_CFG)
+    scored, _ = trained(spark, sf)
     return present(scored.select(*ROW_KEY, "signal", *schemas.ML_COLUMNS))
 
 
 @register("avg_confidence")
 def q_avg_confidence(spark, sf):
     prepare(spark)
-    scored = model.train_and_score(usage_core(spark, sf), MODEL_CFG)
+    scored, _ = trained(spark, sf)
     return scored.agg(F.round(F.avg("ml_confidence"), 4).alias("avg_confidence"))
 
 
@@ -532,7 +543,7 @@ def q_cv_summary(spark, sf):
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     prepare(spark)
-    return model.feature_importance(usage_core(spark, sf), MODEL_CFG)
+    return spark.createDataFrame(trained(spark, sf)[1], "feature string, importance double")
 
 
 FALLBACK_DAYS = 7
@@ -553,13 +564,24 @@ def q_ml_fallback(spark, sf):
 def q_combine_full(spark, sf):
     """Whole daily flow: formatted layer -> combine -> model -> usage layer (read back)."""
     prepare(spark)
-    usage = cmb.to_usage(model.train_and_score(usage_core(spark, sf), MODEL_CFG))
+    usage = cmb.to_usage(trained(spark, sf)[0])
     path = layers.layer_path(shared_dir(spark, "lake"), "usage", "correlation", "GameStockCorrelation")
     layers.write_layer(usage, path, testbed.RUN_DATE, ["ticker", "game_name", "date"], range_sorted=True)
     back = layers.read_layer(spark, path, schemas.USAGE, testbed.RUN_DATE).drop(layers.RUN_DATE_COL)
     return back.select(*USAGE_CORE_COLUMNS, _ml_ok())
 
 
+@register("model_quality")
+def q_model_quality(spark, sf):
+    """The trained model against always guessing the most frequent class, and its confidence against its hit rate."""
+    prepare(spark)
+    scored = prep.trailing_window(trained(spark, sf)[0], model.TRAIN_DAYS)
+    hit = F.col("ml_prediction") == F.col(model.LABEL)
+    most = scored.groupBy(model.LABEL).count().agg(F.max("count")).first()[0]
+    return scored.agg((F.avg(hit.cast("int")) > F.lit(most) / F.count(F.lit(1))).alias("better_than_guessing"),
+                      F.count(F.when(F.col("ml_confidence").isNull(), 1)).alias("rows_without_confidence"))
+
+
 # ── layer I/O ───────────────────────────────────────────────────────────────
 ML_OK = "ml_ok"
 
@@ -577,7 +599,7 @@ def q_serving_model(spark, sf):
     """Usage with model -> serving table; the model columns, whose values SQL cannot know, as one check."""
     prepare(spark)
     path = shared_dir(spark, "serving")
-    serve.full_refresh(cmb.to_usage(model.train_and_score(usage_core(spark, sf), MODEL_CFG)), path, indexed_at=SERVE_STAMP)
+    serve.full_refresh(cmb.to_usage(trained(spark, sf)[0]), path, indexed_at=SERVE_STAMP)
     docs = serve.read_serving(spark, path)
     return present(docs.select(*[c for c in schemas.SERVING.names if c not in schemas.ML_COLUMNS], _ml_ok()))
 
@@ -586,7 +608,7 @@ def q_serving_model(spark, sf):
 def q_model_metrics_check(spark, sf):
     """The five stored training scores against scores computed again from the stored predictions."""
     prepare(spark)
-    scored = cut_lineage(model.train_and_score(usage_core(spark, sf), MODEL_CFG))
+    scored, _ = trained(spark, sf)
     again = metrics.classification_scores(prep.trailing_window(scored, model.TRAIN_DAYS), model.LABEL, "ml_prediction")
     stored = scored.select(*model.METRIC_COLUMNS.values()).distinct()
     both = stored.crossJoin(again.select(*[F.col(k).alias(f"again_{k}") for k in model.METRIC_COLUMNS]))   # one row each

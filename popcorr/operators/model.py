@@ -149,6 +149,11 @@ def train_and_score(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFra
     metrics are then aggregates over the scored rows of the training window,
     not a second prediction pass.
     """
+    return fit_and_score(usage, cfg)[0]
+
+
+def fit_and_score(usage: DataFrame, cfg: ModelConfig | None = None):
+    """(``train_and_score`` rows, the fitted pipeline or None for the fallback)."""
     cfg = cfg or ModelConfig()
     # fit, training-set scoring and full scoring all read it: materialise it
     # once (a written table in the shared folder, nothing pinned in memory)
@@ -156,14 +161,14 @@ def train_and_score(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFra
     cutoff = training_cutoff(fm)
     train = fm.where(F.col("date") >= F.lit(cutoff)) if cutoff is not None else fm.limit(0)
     if train.limit(MIN_TRAIN_ROWS).count() < MIN_TRAIN_ROWS:
-        return fallback(fm)
+        return fallback(fm), None
     model = fit(train, cfg)
     scored = cut_lineage(predict(model, fm, cfg))
     in_train = scored.where(F.col("date") >= F.lit(cutoff))
     scores = metrics.classification_scores(in_train, LABEL, "ml_prediction").first()
     for k, c in METRIC_COLUMNS.items():
         scored = scored.withColumn(c, F.lit(scores[k]).cast("double"))
-    return scored
+    return scored, model
 
 
 def training_cutoff(df: DataFrame, days: int = TRAIN_DAYS):
@@ -222,9 +227,11 @@ def feature_importance(usage: DataFrame, cfg: ModelConfig | None = None) -> Data
     """Importance per feature, averaged over the per-class models (one-vs-rest)."""
     cfg = cfg or ModelConfig()
     train = training_rows(cut_lineage(feature_matrix(usage)))
-    model = fit(train, cfg)
-    clf = model.stages[-1]
+    return usage.sparkSession.createDataFrame(importances(fit(train, cfg)), "feature string, importance double")
+
+
+def importances(fitted) -> list[tuple[str, float]]:
+    """(feature, importance) of a fitted pipeline, in feature order."""
+    clf = fitted.stages[-1]
     vecs = [m.featureImportances for m in clf.models] if hasattr(clf, "models") else [clf.featureImportances]
-    rows = [(name, round(float(sum(v[i] for v in vecs) / len(vecs)), 4))
-            for i, name in enumerate(FEATURES)]
-    return usage.sparkSession.createDataFrame(rows, "feature string, importance double")
+    return [(name, round(float(sum(v[i] for v in vecs) / len(vecs)), 4)) for i, name in enumerate(FEATURES)]

@@ -251,6 +251,7 @@ SELECT metric, TRUE AS equal FROM (VALUES ('accuracy'), ('f1_weighted'), ('f1_ma
                                           ('recall_weighted')) AS t(metric)"""
 SQL["combine_full"] = with_(_C, f"""
 SELECT {_CORE_COLS.replace('date,', d('date') + ' AS date,', 1)}, TRUE AS ml_ok FROM usage""")
+SQL["model_quality"] = "SELECT TRUE AS better_than_guessing, CAST(0 AS BIGINT) AS rows_without_confidence"
 SQL["combine_history"] = with_(combine_ctes(True, real_day="2024-01-15"), f"""
 SELECT {_CORE_COLS.replace('date,', d('date') + ' AS date,', 1)} FROM usage""")
 SQL["scan_parquet"] = SQL["bars_format"]
