@@ -6,8 +6,8 @@ one shingle).  Two documents link when 100 x |common| >= 75 x |union|.
 Shingles and sets are 64-bit hashes; documents of equal sets are one set here.
 
 Token classes.  A survey of all documents finds the frequent shingles; the
-threshold is a millionth of all shingles, so their list has a proven bound and
-is broadcast.  The global order puts rare shingles first.
+threshold is raised until at most ``MOST_FREQUENT`` remain, so their list has a
+proven bound and is broadcast.  The global order puts rare shingles first.
 - Rare shingles are indexed singly.
 - Frequent ones are dealt into classes by hash, and within a class pairs of
   shingles (2-combinations) are indexed; a prefix that has k shingles of such a
@@ -23,9 +23,13 @@ Joining.  Never all pairs of a group: in round 1 each indexed group links its
 members to its least member only (a star).  A pair's shared shingles among the
 least third of both sets (in hash order) bound its whole overlap; pairs whose
 bound is too low end there, the others are verified on their whole sets.  Components of the links follow.  In round 2 only pairs of a
-group that lie in different components are left to verify.  A group of
+group that lie in different components are left to verify.  Groups of more than
+``LARGE`` members first get a second star around their most shared member: the
+one with the most shingles that occur elsewhere among the members of all large
+groups.  That number also bounds the overlap of a set with any other member, so
+pairs whose smaller number is too low for a link need no test.  A group of
 thousands of near copies is thus settled by a few pairs a member, and every
-link between components is still tested, whatever the size of a group.
+pair between components that could link is still tested.
 
 Null or empty texts and texts without words have an empty set, 0 shingles,
 and are linked with nothing.  Repeated rows are linked like equal texts.
@@ -46,8 +50,10 @@ from popcorr.llm.graph import components
 from popcorr.session import cut_lineage
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
-#: A shingle is frequent from this count, or from a millionth of all shingles if that is more.
-FREQUENT, FREQUENT_SHARE = 24, 1_000_000
+#: A shingle is frequent from this count on; the count is doubled until so many are left at most.
+FREQUENT, MOST_FREQUENT = 24, 1_000_000
+#: Members of an index group from which on it is large.
+LARGE = 32
 #: Frequent shingles a class has on average; index rows and set bytes that a task works on.
 CLASS_SIZE, ROWS_PER_TASK, BYTES_PER_TASK = 16, 400_000, 32 << 20
 #: Of each set the survey keeps this part, by hash order, as 32-bit heads.
@@ -231,35 +237,36 @@ def shared(indexed: DataFrame, tasks: int) -> DataFrame:
         run, "signature bigint, key bigint, n int, pivot bigint, pivot_n int")
 
 
-def open_pairs(rows: DataFrame, tasks: int) -> DataFrame:
-    """(a, b) of groups: pairs in different components, of fitting sizes, without the pivot (those are round 1's).
+def open_pairs(rows: DataFrame, tasks: int, size: int | None = None) -> DataFrame:
+    """(a, b) of groups: pairs in different components, of fitting sizes, without the pivot (its pairs were tested).
 
-    ``rows``: signature, key, n, component, pivot.  Pairs come as they are made; a task holds its rows, not its pairs.
+    ``rows``: signature, key, n, component, pivot, most (a bound on the set's overlap with any other member); groups
+    of more than ``size`` members are left out.  Pairs come as they are made; a task holds its rows, not its pairs.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (g := _groups(batches, 2)) is None:
+        if (g := _groups(batches, 3)) is None:
             return
-        (_, key, n, part, pivot), first, size = g
+        (_, key, n, part, pivot, most), first, sizes = g
         a, b, held = [], [], 0
 
         def out():
             both = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
 
-        for f, s in zip(first, size):
+        for f, s in zip(first, sizes):
             rows = slice(f, f + s)
             c = part[rows]
-            if s < 3 or (c == c[0]).all():
+            if s < 3 or (size and s > size) or (c == c[0]).all():
                 continue
-            own = key[rows] != pivot[rows]
-            k, m, c = key[rows][own], n[rows][own].astype(np.int64), c[own]
+            own = (key[rows] != pivot[rows]) & (most[rows] * DENOMINATOR >= n[rows].astype(np.int64) * NUMERATOR)
+            k, m, c, o = key[rows][own], n[rows][own].astype(np.int64), c[own], most[rows][own]
             order = np.argsort(m, kind="stable")
-            k, m, c = k[order], m[order], c[order]
+            k, m, c, o = k[order], m[order], c[order], o[order]
             upto = np.searchsorted(m * NUMERATOR, m * DENOMINATOR, "right")      # sizes 75 |y| <= 100 |x|
             for lo in range(0, len(k), 512):
                 i = np.repeat(np.arange(lo, min(lo + 512, len(k))), np.maximum(upto[lo:lo + 512] - np.arange(lo, min(lo + 512, len(k))) - 1, 0))
                 j = T.ragged(np.arange(lo, min(lo + 512, len(k))) + 1, np.maximum(upto[lo:lo + 512] - np.arange(lo, min(lo + 512, len(k))) - 1, 0))
-                apart = c[i] != c[j]
+                apart = (c[i] != c[j]) & (np.minimum(o[i], o[j]) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (m[i] + m[j]))
                 a.append(np.minimum(k[i[apart]], k[j[apart]]))
                 b.append(np.maximum(k[i[apart]], k[j[apart]]))
                 held += int(apart.sum())
@@ -269,7 +276,37 @@ def open_pairs(rows: DataFrame, tasks: int) -> DataFrame:
         if held:
             yield out()
 
-    return rows.select("signature", "key", "n", "component", "pivot").repartition(tasks, "signature").mapInArrow(run, "a bigint, b bigint").distinct()
+    return (rows.select("signature", "key", "n", "component", "pivot", F.col("most").cast("long").alias("most"))
+            .repartition(tasks, "signature").mapInArrow(run, "a bigint, b bigint").distinct())
+
+
+def large_groups(rows: DataFrame, tasks: int) -> DataFrame:
+    """(signature, key, n, component) of the groups of more than ``LARGE`` members that hold several components."""
+    least = LARGE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (g := _groups(batches, 1)) is None:
+            return
+        cols, first, size = g
+        mixed = np.minimum.reduceat(cols[3], first) != np.maximum.reduceat(cols[3], first) if len(first) else np.zeros(0, bool)
+        keep = np.repeat((size > least) & mixed, size)
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], ["signature", "key", "n", "component"])
+
+    return (rows.select("signature", "key", "n", "component").repartition(tasks, "signature")
+            .mapInArrow(run, "signature bigint, key bigint, n int, component bigint"))
+
+
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """(key, most): of each set (key, shingles) how many shingles occur in another of the sets too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for key, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                value = np.frombuffer(raw.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), key)), pa.array(value)], ["key", "shingle"])
+
+    each = sets.mapInArrow(run, "key bigint, shingle bigint")
+    several = each.groupBy("shingle").agg(F.min("key").alias("x"), F.max("key").alias("y")).where("x <> y").select("shingle")
+    return each.join(several, "shingle", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("most"))
 
 
 def overlap_bound(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> int:
@@ -353,9 +390,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     seen = cut_lineage(survey(thin), "join_survey")
     members = seen.where("kind = 0").select("id", F.col("n").alias("n_shingles"), "key")
     total = members.agg(F.sum("n_shingles")).first()[0] or 0
-    least = max(FREQUENT, total // FREQUENT_SHARE)
-    often = seen.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key").collect()
-    frequent = np.sort(np.array([r[0] for r in often], np.int64).view(T.U64))       # at most total / least of them
+    counted = seen.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
+    least = FREQUENT
+    while counted.where(F.col("n") >= least).count() > MOST_FREQUENT:
+        least *= 2
+    often = counted.where(F.col("n") >= least).select("key").collect()
+    frequent = np.sort(np.array([r[0] for r in often], np.int64).view(T.U64))       # at most MOST_FREQUENT
     tasks = max(8, -(-total // (3 * ROWS_PER_TASK)))
     groups = cut_lineage(shared(index(thin, frequent), tasks), "join_index")
 
@@ -372,11 +412,32 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
              .select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct())
     stars = cut_lineage(stars, "join_pairs")
     links = linked(stars)
-    parts = cut_lineage(components(links), "join_parts")
     few = max(8, tasks // 4)
-    rows = groups.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    rest = open_pairs(rows, few).join(stars, ["a", "b"], "left_anti")
-    return members, links.unionByName(linked(rest))
+
+    def parted(rows: DataFrame, links: DataFrame) -> DataFrame:
+        parts = cut_lineage(components(links.select("a", "b")), "join_parts").withColumnRenamed("node", "key")
+        return rows.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
+
+    rows = cut_lineage(parted(groups, links).withColumn("most", F.col("n")), "join_open")
+    small = linked(open_pairs(rows, few, LARGE).join(stars, ["a", "b"], "left_anti"))
+    links = cut_lineage(links.unionByName(small), "join_links")
+
+    large = cut_lineage(large_groups(rows, few), "join_large")
+    if large.isEmpty():
+        return members, links
+    keys = cut_lineage(large.select("key").distinct().join(ids, "key"), "join_keys")
+    most = cut_lineage(shared_counts(cut_lineage(shingle_sets(thin, keys).dropDuplicates(["key"]), "join_sets")), "join_most")
+    large = large.join(most, "key")
+    hub = large.groupBy("signature").agg(F.max("most").alias("most"))       # the most shared member of each group
+    hub = large.join(hub, ["signature", "most"]).groupBy("signature").agg(F.min("key").alias("pivot"))
+    large = cut_lineage(large.join(hub, "signature"), "join_large")
+    hubs = (large.where("key <> pivot and most * 100L >= n * 75L")
+            .select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct())
+    hubs = cut_lineage(hubs.join(stars, ["a", "b"], "left_anti"), "join_pairs")
+    links = cut_lineage(links.unionByName(linked(hubs)), "join_links")
+    rest = open_pairs(parted(large.drop("component"), links), few)
+    rest = rest.join(stars, ["a", "b"], "left_anti").join(hubs, ["a", "b"], "left_anti")
+    return members, cut_lineage(links.unionByName(linked(rest)), "join_links")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

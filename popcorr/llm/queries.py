@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from popcorr.llm import (decontaminate, lang_id, license_scan, lm_score, merkle, mixture,
                          ngram_join, shards, suffix_dedup, token_count)
+from popcorr.llm.oracle import SQL  # noqa: F401
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,5 +94,3 @@ REGISTRY = {
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
 }
-
-SQL: dict[str, str] = {}

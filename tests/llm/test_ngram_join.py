@@ -72,8 +72,9 @@ def test_near_copies(spark):
 def test_frequent_classes_lose_no_link(spark, monkeypatch):
     # nearly every shingle that repeats is frequent, so links are found by combinations
     monkeypatch.setattr(ngram_join, "FREQUENT", 2)
-    for size, seed in ((16, 2), (4, 3)):
+    for size, large, seed in ((16, 32, 2), (4, 3, 3)):
         monkeypatch.setattr(ngram_join, "CLASS_SIZE", size)
+        monkeypatch.setattr(ngram_join, "LARGE", large)
         rows = copies(seed)
         assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)) == brute(rows)
 
@@ -103,6 +104,21 @@ def test_overlap_bound_is_never_below_the_overlap():
         assert ngram_join.overlap_bound(heads[0], len(x), heads[1], len(y)) >= len(np.intersect1d(x, y))
 
 
+def test_one_large_group_of_near_copies(spark, monkeypatch):
+    # copies of one text with few to many edits: some link to most others, some to none
+    monkeypatch.setattr(ngram_join, "LARGE", 8)
+    rng = random.Random(11)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(150)]
+    rows = []
+    for i in range(150):
+        now = list(base)
+        for _ in range(rng.randint(0, 8)):
+            now[rng.randrange(150)] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(now)))
+    rows += [(200 + i, t) for i, (_, t) in enumerate(copies(12, 4, 10))]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+
+
 def test_sets_by_a_join_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
     rows = copies(5)
