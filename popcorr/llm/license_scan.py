@@ -225,10 +225,17 @@ def fit(texts: list[str | None], seed: int = 11) -> Model:
     return model
 
 
-def sample_texts(docs: DataFrame, text_col: str = "text", n: int = SAMPLE_DOCS) -> list[str | None]:
-    """At most ``n`` texts, chosen by hash, for the unknown class."""
-    t = docs.select(F.col(text_col).alias("t")).where("t is not null")
-    return [r[0] for r in t.orderBy(F.xxhash64("t"), "t").limit(n).collect()]
+def sample_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SAMPLE_DOCS) -> list[str | None]:
+    """At most ``n`` texts, chosen by a hash of id and text, for the unknown class.
+
+    The rows are counted first and a share of them that gives about 1.5 x ``n`` is
+    filtered out by the hash in the scan, so the tasks together hand on that many
+    texts, however many tasks there are; of these the least by hash are taken.
+    """
+    rows = docs.select(F.col(text_col).alias("t"), F.xxhash64(id_col, text_col).alias("h")).where("t is not null")
+    share = min(1.0, 1.5 * n / max(1, rows.count()))
+    place = F.shiftrightunsigned("h", 11).cast("double") / F.lit(float(1 << 53))
+    return [r[0] for r in rows.where(place < share).orderBy("h", "t").limit(n).collect()]
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
