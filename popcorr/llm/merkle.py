@@ -39,11 +39,9 @@ def _sha(c: Column) -> Column:
 
 
 def tree(text: Column) -> Column:
-    """struct(leaf array<string> of full digests, mark array<boolean>) is folded here to the fingerprint string."""
-    pieces = leaves(text)
-    marked = F.array_join(F.transform(pieces, lambda p: F.concat(
+    """The leaf digests in one string, ";" after the last leaf of a paragraph and "," after others; ``fold`` takes it."""
+    return F.array_join(F.transform(leaves(text), lambda p: F.concat(
         _sha(p), F.when(F.endswith(p, F.lit("\n")), F.lit(";")).otherwise(F.lit(",")))), "")
-    return marked
 
 
 def fold(marked: Column) -> Column:
