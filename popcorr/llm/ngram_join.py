@@ -60,8 +60,8 @@ CLASS_SIZE, ROWS_PER_TASK, BYTES_PER_TASK = 16, 400_000, 32 << 20
 PREFIX_PART = 3
 #: Rows (key, id) that may be broadcast to fetch sets.
 BROADCAST_ROWS = 1_000_000
-#: Shingles that a survey task holds, and sets it remembers to skip repeats.
-TASK_SHINGLES, TASK_SETS = 3_000_000, 500_000
+#: Shingles that a survey task holds, sets it remembers to skip repeats, and rows of an Arrow batch.
+TASK_SHINGLES, TASK_SETS, BATCH_ROWS = 1_000_000, 500_000, 1000
 
 
 def set_keys(value: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -382,6 +382,12 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``_join`` with small Arrow batches: its rows carry whole texts and sets."""
+    with T.arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _join(docs, id_col, text_col)
+
+
+def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(members, links): members are (id, n_shingles, key), links verified pairs (a, b, common, united) of set keys.
 
     Links hold a spanning set for each class of sets, and every link between sets that round 1 left in different classes.

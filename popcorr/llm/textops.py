@@ -7,6 +7,7 @@ batch holds, and keep no state between slices.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,18 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+@contextmanager
+def arrow_rows(spark, n: int):
+    """Arrow batches of at most ``n`` rows for the jobs run inside, so that rows of some 10 KB stay a few MB a batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixing function."""
     x = (x ^ (x >> U64(30))) * _M1
