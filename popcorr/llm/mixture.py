@@ -7,14 +7,20 @@ are ranked by their random odds divided by their inclusion odds,
 
     rank = (U / (1 - U)) / (p / (1 - p)),   odds of p = source odds x sqrt(size / mean size)
 
-and taken in that order while the words fit; one closing document - the one
-whose size is nearest to the words still missing - is added if that brings the
-source nearer to its target.  U is a hash of the document id, so reruns agree.
-The source's own odds are the same for all its documents and cancel in the order.
+and taken in that order as long as they fit; a document that does not fit is
+skipped.  When none that is left fits, one closing document - the one whose size
+is nearest to the words still missing - is added if that brings the source nearer
+to its target.  U is a hash of the document id, so reruns agree.  The source's
+own odds are the same for all its documents and cancel in the order.
+With ``skip=False`` the order ends for good at the first document that does not
+fit, as the SQL of ``op6_mixing`` says; a source may then stay far from its target.
 
 A source may hold a third of all rows, so no source is ever sorted in one
 task: words are summed per (source, rank bucket) first, the bucket in which
-the target falls is found from those sums, and only that bucket is ordered.
+the target falls is found from those sums, and only that bucket is ordered.  Skipping
+goes by rounds: each repeats this over the documents left that fit what is
+missing.  A round ends before a document longer than what it leaves, so it takes
+a part of the gap at random and rounds grow with the logarithm of the gap.
 Broadcasts: the table of sources, when counted to be small; else a join.
 
 Null text has 0 words and 0 taken.  Null source is a source of its own (last).
@@ -75,8 +81,35 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return per.select("source", "source_size", "n", target.alias("target"))
 
 
+def _take(rows: DataFrame, fits: Column, small) -> DataFrame:
+    """``rows`` with extra = 1 also for those that ``fits`` marks and that, in rank order, come before the first one over ``room``."""
+    # the bucket in which each source's room ends, and the words before it
+    sums = rows.where(fits).groupBy("source", "room", "bucket").agg(F.sum("size").alias("words"))
+    w = Window.partitionBy("source").orderBy("bucket")
+    edge = (sums.withColumn("upto", F.sum("words").over(w))
+                .where("upto > room")
+                .groupBy(F.col("source").alias("_s")).agg(F.min("bucket").alias("edge"),
+                                                          F.min(F.col("upto") - F.col("words")).alias("before")))
+    edge = cut_lineage(edge, "mix_edges")
+    rows = rows.join(small(edge), rows["source"].eqNullSafe(edge["_s"]), "left").drop("_s")
+    at_edge = fits & F.coalesce(F.col("bucket") == F.col("edge"), F.lit(False))
+    inside = (rows.where(at_edge)
+              .withColumn("upto", F.col("before") + F.sum("size").over(
+                  Window.partitionBy("source").orderBy("rank", "id").rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("extra", (F.col("upto") <= F.col("room")).cast("int")).drop("upto"))
+    before = (F.col("bucket") < F.col("edge")) | (F.col("edge").isNull() & (F.col("room") > 0))
+    return inside.unionByName(rows.where(~at_edge).withColumn(
+        "extra", F.when(fits & F.coalesce(before, F.lit(False)), F.lit(1)).otherwise(F.col("extra"))))
+
+
+def _gaps(chosen: DataFrame) -> DataFrame:
+    """(source, words still missing) for every source."""
+    return (chosen.groupBy("source", "rest").agg(F.sum(F.col("size") * F.col("extra")).alias("_got"))
+                  .select(F.col("source").alias("_s"), (F.col("rest") - F.col("_got")).alias("gap")))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        seed: str = SEED) -> DataFrame:
+        seed: str = SEED, skip: bool = True) -> DataFrame:
     """(id, source, size, source_size, target, copies) for every row of ``docs``."""
     sizes = cut_lineage(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                                     word_count(F.col(text_col)).alias("size"),
@@ -96,29 +129,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
               .withColumn("rank", F.when(F.col("size") > 0, (F.col("u") / (1 - F.col("u"))) / tilt))
               .withColumn("bucket", F.floor(F.col("rank") / (1 + F.col("rank")) * buckets).cast("int")))
 
-    # the bucket in which each source's remaining words end, and the words before it
-    sums = ranked.where("size > 0").groupBy("source", "rest", "bucket").agg(F.sum("size").alias("words"))
-    w = Window.partitionBy("source").orderBy("bucket")
-    edge = (sums.withColumn("upto", F.sum("words").over(w))
-                .where("upto > rest")
-                .groupBy(F.col("source").alias("_s")).agg(F.min("bucket").alias("edge"),
-                                                          F.min(F.col("upto") - F.col("words")).alias("before")))
-    edge = cut_lineage(edge, "mix_edges")
-    ranked = ranked.join(small(edge), ranked["source"].eqNullSafe(edge["_s"]), "left").drop("_s")
-
-    inside = (ranked.where("bucket = edge")
-              .withColumn("upto", F.col("before") + F.sum("size").over(
-                  Window.partitionBy("source").orderBy("rank", "id").rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("extra", (F.col("upto") <= F.col("rest")).cast("int")).drop("upto"))
-    others = ranked.where("bucket is null or edge is null or bucket <> edge").withColumn(
-        "extra", F.coalesce((F.col("bucket") < F.col("edge")) | (F.col("edge").isNull() & F.col("bucket").isNotNull() & (F.col("rest") > 0)),
-                            F.lit(False)).cast("int"))
-    chosen = cut_lineage(inside.unionByName(others).select(
-        "id", "source", "size", "source_size", "target", "base", "rest", "extra"), "mix_chosen")
+    keep = ["id", "source", "size", "source_size", "target", "base", "rest", "rank", "bucket", "extra"]
+    ranked = ranked.withColumn("extra", F.lit(0))
+    chosen = cut_lineage(_take(ranked.withColumn("room", F.col("rest")), F.col("size") > 0, small).select(*keep), "mix_chosen")
+    gap = cut_lineage(_gaps(chosen), "mix_gaps")
+    while skip:
+        fits = (F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("room"))
+        rows = chosen.join(small(gap), chosen["source"].eqNullSafe(gap["_s"])).drop("_s").withColumnRenamed("gap", "room")
+        if rows.where(fits).isEmpty():
+            break
+        chosen = cut_lineage(_take(rows, fits, small).select(*keep), "mix_chosen")
+        gap = cut_lineage(_gaps(chosen), "mix_gaps")
 
     # the closing document: of those left out, the one whose size is nearest to what is missing
-    gap = (chosen.groupBy("source", "rest").agg(F.sum(F.col("size") * F.col("extra")).alias("_got"))
-                 .select(F.col("source").alias("_s"), (F.col("rest") - F.col("_got")).alias("gap")))
     left = chosen.where("extra = 0 and size > 0")
     left = (left.join(small(gap), left["source"].eqNullSafe(gap["_s"])).drop("_s")
                 .withColumn("off", F.abs(F.col("gap") - F.col("size"))).where("off < gap"))

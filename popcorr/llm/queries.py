@@ -61,7 +61,7 @@ def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixture.mix(documents(spark, sf_dir))
+    out = mixture.mix(documents(spark, sf_dir), skip=False)          # as its SQL, which ends at the first document that does not fit
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 

@@ -1,3 +1,5 @@
+import hashlib
+import math
 import re
 from collections import defaultdict
 
@@ -61,3 +63,37 @@ def test_texts_without_words(spark):
 
 def test_empty_table(empty):
     assert mixture.mix(empty).count() == 0
+
+
+def _one_by_one(rows):
+    """copies by id: walk each source in rank order, take what fits, then one closing document."""
+    by = defaultdict(list)
+    for i, n, s in rows:
+        by[s].append((i, n))
+    target, copies = _targets({s: sum(n for _, n in d) for s, d in by.items()}), {}
+    for s, docs in by.items():
+        total = sum(n for _, n in docs)
+        base = int(target[s] // total)
+        gap, left = target[s] - base * total, []
+
+        def rank(d, mean=total / len(docs)):
+            u = (int(hashlib.md5(f"{d[0]}|{mixture.SEED}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            return u / (1 - u) / math.sqrt(d[1] / mean)
+
+        for i, n in sorted(docs, key=rank):
+            copies[i] = base + (n <= gap)
+            gap -= n if n <= gap else 0
+            left += [(i, n)] if copies[i] == base else []
+        near = min(((abs(gap - n), i) for i, n in left), default=(gap, None))
+        if near[0] < gap:
+            copies[near[1]] += 1
+    return copies
+
+
+def test_a_very_long_document_does_not_end_the_sample(spark):
+    sizes = [(1000 * s + i, 200 if i else 50_000, f"s{s}") for s in range(5) for i in range(301)]
+    sizes += [(10_000 + i, 1 + 3 ** (i % 9), "tail") for i in range(400)]
+    out = mixture.mix(spark.createDataFrame([(i, "w " * n, s) for i, n, s in sizes], "doc_id long, text string, source string")).toPandas()
+    assert dict(zip(out.doc_id, out.copies)) == _one_by_one(sizes)
+    per = out.assign(taken=out["size"] * out["copies"]).groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
+    assert ((per.taken - per.target).abs() <= 100).all()
