@@ -8,7 +8,11 @@ Words are runs of letters, digits and non-ASCII bytes, with A-Z lowered.
    around that place are aligned with the item (Smith-Waterman: match 2,
    mismatch -1, gap -1).  similarity = best score / (2 x item words): 1 is an
    exact copy, and each edit costs in proportion, so edited or paraphrased
-   copies score below 1.  Pairs of at least ``least`` are leaks.
+   copies score below 1.  Pairs of at least ``least`` with at least
+   ``LEAST_WORDS`` aligned (equal) words are leaks.
+3. A few shared words are common language, not a copy.  So an item of fewer than
+   ``LEAST_WORDS`` words leaks only by an exact copy of all of it, and one of fewer
+   than ``ALONE_WORDS``, which any text may hold, only if the document is that item.
 
 The test items are a stated query set: they are taken in blocks of a bounded
 number of bytes (``BLOCK_BYTES``), each block broadcast to all documents.
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 from popcorr.llm import textops as T
 
 SEED_WORDS, LEAST = 2, 0.5
+LEAST_WORDS, ALONE_WORDS = 8, 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bytes of item texts broadcast at a time; windows aligned together.
 BLOCK_BYTES, ALIGN_TOGETHER = 16 << 20, 2048
@@ -99,13 +104,15 @@ class Items:
         return (np.concatenate(at), np.concatenate(which)) if at else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def smith_waterman(items: np.ndarray, lengths: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def smith_waterman(items: np.ndarray, lengths: np.ndarray, windows: np.ndarray, scale: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Best local score of each item row (its first ``lengths`` words) in each window row, and the column where it ends.
 
+    With a ``scale`` over the item's words: score x scale + the equal words of that alignment.
     Row by row over the item; gaps along the window are a running maximum.  0 in a window matches nothing.
     """
     c, w = windows.shape
-    step = np.arange(w, dtype=np.int32) * -GAP
+    step = np.arange(w, dtype=np.int32) * (-GAP * scale)
+    match = MATCH * scale + (scale > 1)
     h = np.zeros((c, w), np.int32)
     best, end = np.zeros(c, np.int32), np.zeros(c, np.int64)
     rows = np.arange(c)
@@ -113,7 +120,7 @@ def smith_waterman(items: np.ndarray, lengths: np.ndarray, windows: np.ndarray)
         live = (i < lengths)[:, None]
         diagonal = np.zeros_like(h)
         diagonal[:, 1:] = h[:, :-1]
-        e = np.maximum(diagonal + np.where(items[:, i:i + 1] == windows, np.int32(MATCH), np.int32(MISMATCH)), h + GAP)
+        e = np.maximum(diagonal + np.where(items[:, i:i + 1] == windows, np.int32(match), np.int32(MISMATCH * scale)), h + GAP * scale)
         np.maximum(e, 0, out=e)
         h = np.where(live, np.maximum.accumulate(e + step, axis=1) - step, 0)
         col = h.argmax(axis=1)
@@ -156,6 +163,17 @@ def _windows(items: Items, doc_words: np.ndarray, before: np.ndarray):
     return doc[k], item[k], lo, np.minimum(lo + span[k], hi[k])
 
 
+def _enough(score: int, item: np.ndarray, window: np.ndarray, doc_size: int) -> bool:
+    """Whether so many words are equal that it is a copy: see 3. above."""
+    if len(item) < LEAST_WORDS:
+        return score == MATCH * len(item) and (len(item) >= ALONE_WORDS or doc_size == len(item))
+    if score >= MATCH * LEAST_WORDS:                     # every equal word gives MATCH at most
+        return True
+    scale = len(item) + 1
+    best, _ = smith_waterman(item[None, :], np.array([len(item)]), window[None, :], scale)
+    return int(best[0]) % scale >= LEAST_WORDS
+
+
 def align(items: Items, doc_words: np.ndarray, before: np.ndarray, least: float):
     """(document, item, similarity, first word, last word + 1) of the best alignment of each leaking pair in a slice."""
     places = _windows(items, doc_words, before)
@@ -180,6 +198,8 @@ def align(items: Items, doc_words: np.ndarray, before: np.ndarray, least: float)
             key = (int(doc[x]), int(item[x]))
             if key in found and found[key][0] >= near[r]:
                 continue
+            if not _enough(int(best[r]), items.words[item[x]], win[r], int(before[doc[x] + 1] - before[doc[x]])):
+                continue
             # the start is where the reversed item ends in the reversed window up to the end found
             back = win[r:r + 1, end[r]::-1]
             _, e = smith_waterman(items.words[item[x]][::-1][None, :], size[item[x]][None], back)

@@ -81,6 +81,28 @@ def test_an_item_copied_everywhere_keeps_its_seeds(spark):
     assert sorted(r.doc_id for r in found) == list(range(1, 100, 2))
 
 
+def test_common_phrases_of_short_items_are_no_leaks(spark):
+    rng = random.Random(4)
+    fill = lambda n: " ".join(sentence(rng, n))
+    items = [(1, "yes"), (2, "new york"), (3, "what is it called"), (4, "so what is the capital of old france"),
+             (5, "what then is the capital of the far country"), (6, "who wrote the book about the green house by the lake")]
+    clean = [f"{fill(20)} yes {fill(20)}", f"{fill(9)} new york {fill(9)}", f"{fill(9)} what is it {fill(9)}", f"{fill(9)} is it called {fill(9)}",
+             f"{fill(9)} is the capital of {fill(9)}", f"{fill(9)} then is the capital of the {fill(9)}", f"{fill(9)} the book about the green house by {fill(9)}"]
+    leaky = [("Yes.", 1), ("New York", 2), (f"{fill(9)} What is it called? {fill(9)}", 3), (f"{fill(9)} so what is the capital of old france {fill(9)}", 4),
+             (f"{fill(9)} what then is the capital of the very far country {fill(9)}", 5),
+             (f"{fill(9)} who wrote the old book about a green house by the lake {fill(9)}", 6)]
+    rows = list(enumerate(clean + [t for t, _ in leaky]))
+    found = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(len(clean) + k, i) for k, (_, i) in enumerate(leaky)}
+
+
+def test_equal_words_of_an_alignment():
+    item = np.arange(1, 13, dtype=np.uint64)
+    window = np.array([1, 2, 99, 4, 5, 6, 8, 9, 99, 11, 12], np.uint64)          # two changed, one lost: 9 equal words
+    best, _ = decontaminate.smith_waterman(item[None], np.array([12]), window[None], 13)
+    assert divmod(int(best[0]), 13) == (2 * 9 - 3, 9)
+
+
 def test_edge_rows(edge, edge_list, spark):
     passage = next(t for d, t, _, _ in edge_list if d == 101)
     items = spark.createDataFrame([(7, passage), (8, None), (9, ""), (10, "one"), (None, "words that nobody has written here"), (7, passage)],
