@@ -1,6 +1,9 @@
 """Licence scans: a trained paragraph classifier, confirmed by template comparison.
 
-A paragraph is a line.  Its features are the word 1- to 3-grams that occur in
+A paragraph is a line, or a wrapped notice: lines one after the other, without an
+empty one between, that mostly hold word pairs of the templates (``LIKE``) and are
+no notice each alone; they are joined, and numbered as their first line.  Marks of
+comments are no words and so fall away.  A paragraph's features are the word 1- to 3-grams that occur in
 the training paragraphs (a sparse vector, scaled by the root of its words), and
 a multinomial logistic regression gives a probability per licence family and
 for the unknown class.  Training paragraphs are the templates with words left
@@ -21,6 +24,7 @@ family that is first by name.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,6 +62,7 @@ TEMPLATES = {
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-2.0-only",
     ],
     "GPL-3.0": [
@@ -84,10 +89,14 @@ TEMPLATES = {
         "This document is confidential and proprietary and may not be reproduced or distributed without prior written permission.",
     ],
 }
+#: Words that name a family, to be asked for beside the word pairs (none yet).
+NAMES: dict[str, list[str]] = {}
 UNKNOWN = "unknown"
 FAMILIES = [*sorted(TEMPLATES), UNKNOWN]
 SAMPLE_DOCS, SAMPLE_PARAGRAPHS, VARIANTS = 400, 6000, 40
 UNKNOWN_QUANTILE, CONFIRM = 0.999, 0.6
+#: Share of a wrapped notice's line that is word pairs of templates.
+LIKE = 0.3
 GRAMS, EPOCHS, RATE, DECAY = 3, 150, 0.5, 1e-4
 
 
@@ -118,7 +127,8 @@ class Model:
     def __init__(self, grams: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float = 1.0, threshold: float = 0.5):
         self.grams, self.weights, self.bias = grams, weights, bias
         self.temperature, self.threshold = temperature, threshold
-        self.templates = [(FAMILIES.index(f), _pairs(line)) for f in sorted(TEMPLATES) for line in TEMPLATES[f]]
+        self.templates = _templates()
+        self.pairs = np.array(sorted(set().union(*(t for _, t, _ in self.templates))), T.U64)
 
     def lookup(self, g: np.ndarray) -> np.ndarray:
         """Number of each gram, -1 if not known."""
@@ -135,9 +145,81 @@ class Model:
         return out / np.sqrt(np.maximum(n, 1))[:, None] + self.bias
 
     def confirm(self, line: str, family: int) -> float:
-        """Greatest share of a template line's word pairs, over the family's lines, that the paragraph has."""
-        have = _pairs(line)
-        return max(len(have & t) / len(t) for f, t in self.templates if f == family)
+        """Greatest share of a template line's word pairs, over the family's lines whose naming words the paragraph has, that the paragraph has."""
+        return max((near for f, near in comparisons(line, self.templates) if f == family), default=0.0)
+
+    def wrapped(self, lines: list[str]) -> list[tuple[int, int, int, float, float, str]]:
+        """(first line, last line + 1, family, probability, similarity, text) of the notices wrapped over ``lines``."""
+        out, taken = [], set()
+        for near, lo, hi, family in notices(lines, self.templates):
+            if taken & set(range(lo, hi)):
+                continue
+            text = " ".join(lines[lo:hi])
+            raw = np.frombuffer(text.encode(), np.uint8)
+            _, _, _, n, grams = paragraph_grams(raw, np.array([0, len(raw)]))
+            p = softmax(self.logits(n, grams) / self.temperature)[0]
+            if p[:-1].argmax() == family and p[family] > self.threshold:
+                out.append((lo, hi, family, float(p[family]), near, text))
+                taken |= set(range(lo, hi))
+        return out
+
+
+def _plain(line: str) -> str:
+    return " " + " ".join(re.findall(r"[a-z0-9\x80-\U0010ffff]+", line.lower())) + " "
+
+
+def _templates() -> list[tuple[int, set[int], list[str]]]:
+    """(family, word pairs, naming words) of every template line."""
+    return [(FAMILIES.index(f), _pairs(line), [f" {x} " for x in NAMES.get(f, []) if f" {x} " in _plain(line)])
+            for f in sorted(TEMPLATES) for line in TEMPLATES[f]]
+
+
+def comparisons(line: str, templates) -> list[tuple[int, float]]:
+    """(family, share of its word pairs) of every template whose naming words ``line`` has."""
+    have, plain = _pairs(line), _plain(line)
+    return [(f, len(have & t) / len(t)) for f, t, names in templates if all(x in plain for x in names)]
+
+
+def notices(lines: list[str], templates) -> list[tuple[float, int, int, int]]:
+    """(similarity, first line, last line + 1, family) of runs of ``lines`` that, joined, a template confirms; the most alike first."""
+    own = [_pairs(line) for line in lines]
+    found = []
+
+    def share(lo: int, hi: int, family: int) -> float:
+        return max((x for k, x in comparisons(" ".join(lines[lo:hi]), templates) if k == family), default=0.0)
+
+    for f, t, _ in templates:
+        has = [bool(x & t) for x in own]
+        at = 0
+        while at < len(lines):                           # runs of lines that the template has a part in; a line of one word is in between
+            stop = at
+            while stop < len(lines) and (has[stop] or (stop > at and len(lines[stop].split()) < 2)):
+                stop += 1
+            lo, hi = at, stop
+            near = share(lo, hi, f) if hi - lo > 1 else 0.0
+            if near >= CONFIRM:                          # without lines at the ends that add nothing
+                while hi - lo > 1 and share(lo + 1, hi, f) >= near:
+                    lo += 1
+                while hi - lo > 1 and share(lo, hi - 1, f) >= near:
+                    hi -= 1
+                found.append((near, lo, hi, f))
+            at = stop + 1
+    return sorted(found, key=lambda x: (-x[0], x[2] - x[1], x[1:]))
+
+
+def like_lines(n: np.ndarray, grams, pairs: np.ndarray) -> np.ndarray:
+    """Lines whose word pairs are the templates' for a good part, and lines of one word."""
+    g, para, _ = grams[1]
+    all_pairs = np.bincount(para, minlength=len(n))
+    known = np.bincount(para[np.isin(g, pairs)], minlength=len(n))
+    return (known > 0) & (known >= LIKE * all_pairs) | (n == 1)
+
+
+def runs_of(mark: np.ndarray, doc: np.ndarray) -> list[tuple[int, int]]:
+    """(first, last + 1) of the runs of two or more marked lines of one document."""
+    at = np.flatnonzero(mark)
+    cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(doc[at]) != 0)) + 1
+    return [(int(r[0]), int(r[-1]) + 1) for r in np.split(at, cut) if len(r) > 1]
 
 
 def _pairs(line: str) -> set[int]:
@@ -151,13 +233,29 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _wrapped_lines(text: str, templates) -> list[str]:
+    """The lines of ``text`` that are part of a wrapped notice."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    doc, begin, end, n, grams = paragraph_grams(raw, np.array([0, len(raw)]))
+    pairs = np.array(sorted(set().union(*(t for _, t, _ in templates))), T.U64)
+    out, mark = [], like_lines(n, grams, pairs)
+    every = [raw[a:b].tobytes().decode().rstrip("\n") for a, b in zip(begin, end)]
+    for i in np.flatnonzero(mark):
+        mark[i] = not any(near >= CONFIRM for _, near in comparisons(every[i], templates))
+    for a, b in runs_of(mark, doc):
+        lines = every[a:b]
+        out += [x for _, lo, hi, _ in notices(lines, templates) for x in lines[lo:hi]]
+    return out
+
+
 def training_paragraphs(texts: list[str | None], seed: int = 11) -> tuple[list[str], np.ndarray]:
     """Paragraphs and their classes: variants of the templates, and unknown ones from ``texts``."""
     rng = np.random.default_rng(seed)
-    all_pairs = [_pairs(line) for lines in TEMPLATES.values() for line in lines]
-    other = sorted({p for t in texts if t for p in t.split("\n") if p.strip()})
+    templates = _templates()
+    wrapped = {p for t in texts if t for p in _wrapped_lines(t, templates)}
+    other = sorted({p for t in texts if t for p in t.split("\n") if p.strip()} - wrapped)
     other = [other[i] for i in rng.permutation(len(other))[:SAMPLE_PARAGRAPHS]]
-    other = [p for p in other if not any(len(t & have) >= 0.5 * len(t) for have in [_pairs(p)] for t in all_pairs)]
+    other = [p for p in other if not any(near >= CONFIRM for _, near in comparisons(p, templates))]
     filler = [w for p in other[:500] for w in p.split()] or ["text"]
     lines, label = list(other), [len(FAMILIES) - 1] * len(other)
     for k, family in enumerate(FAMILIES[:-1]):
@@ -259,10 +357,21 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 p = softmax(m.logits(n, grams) / m.temperature)
                 best = p[:, :-1].argmax(axis=1)
                 top = p[np.arange(len(best)), best]
+                alone = np.zeros(len(n), bool)
+
+                def text_of(i, data=data, begin=begin, end=end):
+                    return data[begin[i]:end[i]].tobytes().decode().rstrip("\n")
+
                 for i in np.flatnonzero((top > m.threshold) & (n > 0)):
-                    line = data[begin[i]:end[i]].tobytes().decode().rstrip("\n")
+                    line = text_of(i)
                     near = m.confirm(line, int(best[i]))
+                    alone[i] = near >= CONFIRM
                     found[start + doc[i]].append((int(i - first[doc[i]]), FAMILIES[best[i]], float(top[i]), near, near >= CONFIRM, line))
+                for a, z in runs_of(like_lines(n, grams, m.pairs) & ~alone, doc):
+                    row, zero = start + doc[a], a - int(first[doc[a]])
+                    for lo, hi, family, prob, near, text in m.wrapped([text_of(i) for i in range(a, z)]):
+                        found[row] = sorted([x for x in found[row] if not zero + lo <= x[0] < zero + hi]
+                                            + [(zero + lo, FAMILIES[family], prob, near, True, text)])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(paragraphs),
                  pa.array([[dict(zip(("paragraph", "family", "probability", "similarity", "confirmed", "text"), f)) for f in x] for x in found],

@@ -118,3 +118,23 @@ def test_licence_lines_of_the_documents(spark):
 def test_fit_without_any_text():
     model = license_scan.fit([])
     assert model.threshold >= 0.5
+
+
+def test_wrapped_notices(spark):
+    import textwrap
+
+    lines = [(f, line) for f, x in license_scan.TEMPLATES.items() for line in x if len(line) > 100]
+    rows, want = [], []
+    for family, line in lines:
+        for width, mark in ((40, "# "), (72, " * "), (60, "")):
+            body = "\n".join(mark + x for x in textwrap.wrap(line, width))
+            rows.append((len(rows), f"some prose before it\n\n{body}\n\nand some prose after it"))
+            want.append(family)
+    mit = ('Copyright (c) 2020 A. Writer\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n'
+           'of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\n'
+           'to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software.')
+    rows.append((len(rows), mit))
+    want.append("MIT")
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), _model(spark)).collect()}
+    assert [(i, w) for i, w in enumerate(want) if {f.family for f in got[i].found if f.confirmed} != {w}] == []
+    assert [f.paragraph for f in got[len(rows) - 1].found if f.confirmed] == [2]
