@@ -14,7 +14,8 @@ Calibration: a quarter of the training paragraphs is kept back; a temperature
 is fitted to it, and a paragraph counts as a family only if the family's
 probability exceeds that of ``UNKNOWN_QUANTILE`` of the unknown ones there.
 Confirmation: the share of a template line's word pairs that the paragraph has
-(``CONFIRM``); a predicted family without it is reported, not confirmed.
+(``CONFIRM``), and the words that name the licence in that line (``NAMES``) stand in
+the paragraph one after the other, so "CC BY-SA 4.0" is not "CC BY 4.0"; a predicted family without it is reported, not confirmed.
 
 The model (some thousand n-grams x families) is broadcast; all paragraphs of
 all documents are scanned in a narrow pass.  Null and empty texts have no
@@ -36,6 +37,11 @@ from popcorr.llm import textops as T
 
 # Short public notices and lines of well-known licences, by family.
 TEMPLATES = {
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
@@ -59,6 +65,26 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
+    "CC-BY-NC-ND": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-ND-4.0",
+    ],
+    "CC-BY-NC-SA": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-SA-4.0",
+    ],
+    "CC-BY-ND": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
+    ],
+    "CC-BY-SA": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
@@ -89,8 +115,23 @@ TEMPLATES = {
         "This document is confidential and proprietary and may not be reproduced or distributed without prior written permission.",
     ],
 }
-#: Words that name a family, to be asked for beside the word pairs (none yet).
-NAMES: dict[str, list[str]] = {}
+#: Words that name a family; a template's own ones must all stand in a paragraph that it confirms.
+NAMES = {
+    "AGPL-3.0": ["gnu affero general public license", "version 3", "agpl 3 0"],
+    "Apache-2.0": ["apache license", "version 2 0", "license 2 0", "apache 2 0"],
+    "BSD": ["bsd license", "bsd 3 clause"],
+    "CC-BY": ["cc by 4 0", "attribution 4 0"],
+    "CC-BY-NC": ["cc by nc 4 0", "attribution noncommercial 4 0"],
+    "CC-BY-NC-ND": ["cc by nc nd 4 0", "attribution noncommercial noderivatives 4 0"],
+    "CC-BY-NC-SA": ["cc by nc sa 4 0", "attribution noncommercial sharealike 4 0"],
+    "CC-BY-ND": ["cc by nd 4 0", "attribution noderivatives 4 0"],
+    "CC-BY-SA": ["cc by sa 4 0", "attribution sharealike 4 0"],
+    "GPL-2.0": ["gnu general public license", "version 2", "gpl 2 0"],
+    "GPL-3.0": ["gnu general public license", "version 3", "gpl 3 0"],
+    "LGPL": ["gnu lesser general public license"],
+    "MIT": ["mit license", "identifier mit"],
+    "MPL-2.0": ["mozilla public license", "v 2 0", "mpl 2 0"],
+}
 UNKNOWN = "unknown"
 FAMILIES = [*sorted(TEMPLATES), UNKNOWN]
 SAMPLE_DOCS, SAMPLE_PARAGRAPHS, VARIANTS = 400, 6000, 40

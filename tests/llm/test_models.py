@@ -138,3 +138,18 @@ def test_wrapped_notices(spark):
     got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), _model(spark)).collect()}
     assert [(i, w) for i, w in enumerate(want) if {f.family for f in got[i].found if f.confirmed} != {w}] == []
     assert [f.paragraph for f in got[len(rows) - 1].found if f.confirmed] == [2]
+
+
+def test_near_misses_are_not_the_family_they_resemble(spark):
+    near = {"Licensed under CC BY-SA 4.0.": "CC-BY-SA", "Licensed under CC BY-ND 4.0.": "CC-BY-ND", "Licensed under CC BY-XY 4.0.": None,
+            "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+            "This work is licensed under the GNU Other General Public License, version 3.": None,
+            "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA",
+            "This work is licensed under the GNU General Public License, version 4.": None,
+            "Licensed under the Apache License, Version 1.1.": None}
+    docs = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string")
+    got = {r.doc_id: {f.family for f in r.found if f.confirmed} for r in license_scan.scan(docs, _model(spark)).collect()}
+    assert [got[i] for i in range(len(near))] == [{f} if f else set() for f in near.values()]
+    _, label = license_scan.training_paragraphs(["Licensed under CC BY-XY 4.0."])
+    lines, _ = license_scan.training_paragraphs(["Licensed under CC BY-XY 4.0.\nReleased under the MIT License."])
+    assert lines[0] == "Licensed under CC BY-XY 4.0." and label[0] == len(license_scan.FAMILIES) - 1
