@@ -19,6 +19,11 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="session")
+def sf_small():
+    return SF_SMALL
+
+
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="popcorr-test-")

@@ -8,7 +8,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 
 FAST_KEYS = ["bars_format", "signal_label", "steam_format", "twitch_format", "ticker_resolution",
              "combine_core", "stream_only_candidates", "classification_scores", "cv_folds",
@@ -40,16 +39,16 @@ def test_every_oracle_key_is_registered():
 
 
 @pytest.fixture(scope="module")
-def duck():
+def duck(sf_small):
     con = duckdb.connect()
     for t in ["part", "lineitem", "events"]:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(sf_small, t)}.parquet')")
     return con
 
 
 @pytest.mark.parametrize("key", FAST_KEYS)
-def test_matches_oracle_small(spark, duck, key):
-    sdf = E.queries()[key](spark, SF_SMALL)
+def test_matches_oracle_small(spark, duck, key, sf_small):
+    sdf = E.queries()[key](spark, sf_small)
     srows = [tuple(r) for r in sdf.collect()]
     res = duck.execute(E.oracle_sql()[key])
     dcols = [d[0] for d in res.description]
@@ -57,20 +56,20 @@ def test_matches_oracle_small(spark, duck, key):
     assert _bag(sdf.columns, srows) == _bag(dcols, res.fetchall())
 
 
-def test_combine_same_for_any_partitioning(spark):
+def test_combine_same_for_any_partitioning(spark, sf_small):
     key = E.queries()["combine_core"]
     results = []
     for n in (1, 4, 16):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
-        results.append(Counter(tuple(r) for r in key(spark, SF_SMALL).collect()))
+        results.append(Counter(tuple(r) for r in key(spark, sf_small).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
 
 
-def test_chunked_combine_equals_plain_on_driver_tables(spark):
+def test_chunked_combine_equals_plain_on_driver_tables(spark, sf_small):
     from popcorr.plans import combine as cmb
     from popcorr.plans import layered
-    f = layered.formatted_inputs(spark, SF_SMALL)
+    f = layered.formatted_inputs(spark, sf_small)
     args = (f["games"], f["bars"], f["streams"], f["stream_map"])
     plain = Counter(tuple(r) for r in cmb.combine(*args).collect())
     chunked = Counter(tuple(r) for r in cmb.combine(*args, chunk_rows=8).collect())

@@ -132,19 +132,18 @@ def test_multiline_envelope_and_missing_array(spark, tmp_dir):
     assert a.price == "999" and a.positive == 5            # number widened to text by the schema
 
 
-def test_stream_equals_batch(spark, tmp_dir):
+def test_stream_equals_batch(spark, tmp_dir, sf_small):
     """T1-T5 under availableNow give the same table as the batch upsert."""
-    from conftest import SF_SMALL
     from popcorr.plans import inputs
     from popcorr.session import shared_dir
     from popcorr.sources import testbed
 
-    ctx = live.bar_context(inputs.bars(spark, SF_SMALL))
-    events = testbed.read(spark, SF_SMALL, "events")
+    ctx = live.bar_context(inputs.bars(spark, sf_small))
+    events = testbed.read(spark, sf_small, "events")
     batch_path = os.path.join(tmp_dir, "live_batch")
     live.upsert(live.quote_docs(testbed.quote_ticks(events), ctx), batch_path)
     stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-              .parquet(SF_SMALL))
+              .parquet(sf_small))
     for start in (live.start_live_refresh, live.start_latest_per_minute):
         table = os.path.join(tmp_dir, start.__name__)
         q = start(testbed.quote_ticks(stream), ctx, table, shared_dir(spark, "ckpt"), available_now=True)
