@@ -80,4 +80,36 @@ reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, b
 SELECT reach.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.r) AS component_id
 FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id"""
 
-SQL = {"op3_fingerprints": FINGERPRINTS, "op6_mixing": MIXING, "op8_ngram_join": NGRAM_JOIN}
+FILTER_AUDIT = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+least AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+f AS (SELECT d.doc_id, d.part,
+             (CASE WHEN len(w) < 100 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END)
+             + (CASE WHEN 100 * (length(d.t) - length(regexp_replace(d.t, '[A-Z]', '', 'g'))) > 10 * length(d.t) THEN 4 ELSE 0 END)
+             + (CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 8 ELSE 0 END)
+             + (CASE WHEN l.first_id < d.doc_id THEN 16 ELSE 0 END) AS bits
+      FROM d JOIN least l ON l.t = d.t),
+l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT f.part, f.bits, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic, count(*) AS n
+      FROM f LEFT JOIN l ON l.doc_id = f.doc_id GROUP BY 1, 2, 3, 4),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT x AS filter_order, bit AS used FROM letters
+      UNION ALL SELECT filter_order || x, used + bit FROM o JOIN letters ON (used & bit) = 0),
+s AS (SELECT filter_order, k AS step, substr(filter_order, k, 1) AS letter, 1 << (ascii(substr(filter_order, k, 1)) - 65) AS bit,
+             list_sum(list_transform(range(1, k), lambda j: 1 << (ascii(substr(filter_order, CAST(j AS INTEGER), 1)) - 65))) AS before
+      FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS k FROM o WHERE used = 31)),
+r AS (SELECT part, filter_order, step, letter,
+             sum(CASE WHEN (bits & (bit | b)) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN (bits & bit) <> 0 AND (bits & b) = 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN (bits & bit) <> 0 AND (bits & b) <> 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN bits = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN (bits & bit) <> 0 AND (bits & b) = 0 AND good THEN n ELSE 0 END) AS good_lost,
+             sum(CASE WHEN (bits & bit) <> 0 AND (bits & b) = 0 AND toxic THEN n ELSE 0 END) AS toxic_lost
+      FROM c, (SELECT filter_order, step, letter, CAST(bit AS INTEGER) AS bit, CAST(coalesce(before, 0) AS INTEGER) AS b FROM s) GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM r"""
+
+SQL = {"op13_filter_audit": FILTER_AUDIT, "op3_fingerprints": FINGERPRINTS, "op6_mixing": MIXING, "op8_ngram_join": NGRAM_JOIN}

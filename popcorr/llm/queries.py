@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popcorr.llm import (decontaminate, lang_id, license_scan, lm_score, merkle, mixture,
+from popcorr.llm import (decontaminate, filter_audit, lang_id, license_scan, lm_score, merkle, mixture,
                          ngram_join, shards, suffix_dedup, token_count)
 from popcorr.llm.oracle import SQL  # noqa: F401
 
@@ -82,6 +82,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 REGISTRY = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
@@ -93,4 +97,5 @@ REGISTRY = {
     "op8_ngram_join": op8_ngram_join,
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
