@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popcorr.llm import (decontaminate, filter_audit, lang_id, license_scan, lm_score, merkle, mixture,
-                         ngram_join, shards, suffix_dedup, token_count)
+                         ngram_join, packing, shards, suffix_dedup, token_count)
 from popcorr.llm.oracle import SQL  # noqa: F401
 
 
@@ -18,11 +18,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vocabulary_path() -> str:
     """The byte-level vocabulary file; TOKENIZER_FILE overrides where the package keeps it."""
-    if path := os.environ.get("TOKENIZER_FILE"):
-        return path
+    return os.environ.get("TOKENIZER_FILE") or public_path("byte_bpe_50k.json")
+
+
+def public_path(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +84,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(documents(spark, sf_dir), public_path("word_bpe_49k.json"), keep_ids=False)
+    return packing.number(parts).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -97,5 +104,6 @@ REGISTRY = {
     "op8_ngram_join": op8_ngram_join,
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
+    "op11_packing": op11_packing,
     "op13_filter_audit": op13_filter_audit,
 }
