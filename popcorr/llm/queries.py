@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popcorr.llm import (decontaminate, filter_audit, lang_id, license_scan, lm_score, merkle, mixture,
-                         ngram_join, packing, shards, suffix_dedup, token_count)
+                         ngram_join, packing, pair_bitmaps, shards, suffix_dedup, token_count)
 from popcorr.llm.oracle import SQL  # noqa: F401
 
 
@@ -89,6 +89,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.number(parts).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_bitmaps.alignment(documents(spark, sf_dir), public_path("byte_bpe_50k.json"), public_path("piece_bpe_32k.model"))[0]
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -105,5 +109,6 @@ REGISTRY = {
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
     "op11_packing": op11_packing,
+    "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_filter_audit": op13_filter_audit,
 }
