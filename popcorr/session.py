@@ -125,6 +125,20 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Deletes the folders that ``cut_lineage`` wrote for ``frames``, once whatever reads them is written itself.
+
+    Only folders below the session's own part of the shared checkpoint folder are touched.
+    """
+    for df in frames:
+        spark = df.sparkSession
+        own = f"{checkpoint_root(spark).rstrip('/')}/popcorr/"
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if re.sub(r"^\w+:/*", "/", own) in re.sub(r"^\w+:/*", "/", folder) + "/":
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
