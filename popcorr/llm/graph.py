@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popcorr.session import cut_lineage
+from popcorr.session import cut_lineage, release
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
         new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             break
-        mark = new
+        mark, old = new, now
         now = cut_lineage(_star(_star(now, True), False), "components")
+        release(old)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

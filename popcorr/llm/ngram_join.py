@@ -3,37 +3,46 @@
 A document's set is its distinct five-word shingles (words as runs of anything
 but space and U+0009 to U+000D, A-Z lowered; fewer words: the whole sequence as
 one shingle).  Two documents link when 100 x |common| >= 75 x |union|.
-Shingles and sets are 64-bit hashes; documents of equal sets are one set here.
-
-Token classes.  A survey of all documents finds the frequent shingles; the
-threshold is raised until at most ``MOST_FREQUENT`` remain, so their list has a
-proven bound and is broadcast.  The global order puts rare shingles first.
+Shingles are 64-bit hashes.  Documents of equal sets are one node: sets are
+equal by a 126-bit key; 64 bits of it (``ref``) name a set until its links are
+verified, so two linked sets of one ref are the only ones a collision can part.
+
+Token classes.  All occurrences of all shingles meet by shingle once, packed as
+(32-bit head, ref) in hash buckets that grow in number with the input, which
+tells three classes exactly for every task alike: shingles of one set only,
+rare ones, and frequent ones (in ``FREQUENT`` sets or more).  A task that itself
+meets a shingle in that many sets says so once and keeps the occurrences out of
+the bucket, so no bucket gets a hot shingle's rows.  The order of prefixes is:
+shingles of one set, rare, frequent, each by hash.
+- A set with more than a quarter of its shingles to itself can link with none
+  and ends here; most documents do.
 - Rare shingles are indexed singly.
 - Frequent ones are dealt into classes by hash, and within a class pairs of
   shingles (2-combinations) are indexed; a prefix that has k shingles of such a
   class counts only k - 1 of them, so it is extended until
-      rare + sum over classes of (k - 1) >= |x| - ceil(0.75 |x|) + 1.
+      before + sum over classes of (k - 1) >= |x| - ceil(0.75 |x|) + 1.
   Sets that share fewer than one rare and two of each class in the shorter
   prefix have too many unshared shingles to link, so no link is lost.
   The number of classes depends on the size band of the smaller set of a pair;
   sizes that link are at most one band apart, so a set indexes its own band and
   the one below.
 
-Joining.  Never all pairs of a group: in round 1 each indexed group links its
-members to its least member only (a star).  A pair's shared shingles among the
-least third of both sets (in hash order) bound its whole overlap; pairs whose
-bound is too low end there, the others are verified on their whole sets.  Components of the links follow.  In round 2 only pairs of a
-group that lie in different components are left to verify.  Groups of more than
-``LARGE`` members first get a second star around their most shared member: the
-one with the most shingles that occur elsewhere among the members of all large
-groups.  That number also bounds the overlap of a set with any other member, so
-pairs whose smaller number is too low for a link need no test.  A group of
-thousands of near copies is thus settled by a few pairs a member, and every
-pair between components that could link is still tested.
+Joining.  Never all pairs of a group first: each indexed group links its members
+to one of them only (a star around the one with the largest shared part), and the
+components of the verified links follow.  Only pairs of a group that lie in
+different components are left then; while those are many, further stars around
+members of other components come first.  What is left is tested pair by pair,
+large groups by blocks of members.  The shared part of a set bounds its overlap
+with any other, and a pair's common shingles among the least third of both sets
+bound theirs; only pairs that pass are verified on whole sets.  A group of
+thousands of near copies is thus settled by a few pairs a member, and every pair
+between components that could link is still tested.
 
 Null or empty texts and texts without words have an empty set, 0 shingles,
 and are linked with nothing.  Repeated rows are linked like equal texts.
-Null ids keep their row; they never name a component that has another id.
+Null ids keep their row and its links; they never name a component that has
+another id.  Very long texts are one row of shingles in the tasks that compare
+them.  Empty table: empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,38 +56,70 @@ from pyspark.sql import functions as F
 
 from popcorr.llm import textops as T
 from popcorr.llm.graph import components
-from popcorr.session import cut_lineage
+from popcorr.session import cut_lineage, release
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
-#: A shingle is frequent from this count on; the count is doubled until so many are left at most.
-FREQUENT, MOST_FREQUENT = 24, 1_000_000
-#: Members of an index group from which on it is large.
-LARGE = 32
-#: Frequent shingles a class has on average; index rows and set bytes that a task works on.
-CLASS_SIZE, ROWS_PER_TASK, BYTES_PER_TASK = 16, 400_000, 32 << 20
-#: Of each set the survey keeps this part, by hash order, as 32-bit heads.
+#: A shingle is frequent from this number of sets on.
+FREQUENT = 24
+#: Frequent shingles a class has on average; members of a group from which on it is large, and of a block of a group.
+CLASS_SIZE, LARGE, BLOCK = 16, 64, 2048
+#: Shingles of a bucket on average, and the least number of buckets (a power of two).
+BUCKET_SHINGLES, LEAST_BUCKETS = 2_000_000, 64
+#: Shingles a task packs together, and sets it remembers to skip repeats; rows of an Arrow batch; rows a later task gathers.
+TASK_SHINGLES, TASK_SETS, BATCH_ROWS, TASK_ROWS = 2_000_000, 500_000, 1000, 400_000
+#: Of each set this part, by hash order, is compared first.
 PREFIX_PART = 3
-#: Rows (key, id) that may be broadcast to fetch sets.
+#: Rows that may be broadcast (two numbers each).
 BROADCAST_ROWS = 1_000_000
-#: Shingles that a survey task holds, sets it remembers to skip repeats, and rows of an Arrow batch.
-TASK_SHINGLES, TASK_SETS, BATCH_ROWS = 1_000_000, 500_000, 1000
+#: Pairs between components for every row of large groups up to which they are tested at once; stars at most before that.
+OPEN_PAIRS, STARS = 4, 4
 
 
-def set_keys(value: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(size, key) of each document's set; equal sets have equal keys."""
+def set_keys(value: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(size, ref, further 62 bits of the key) of each document's set; equal sets have equal keys."""
     n = np.bincount(doc, minlength=docs)
     ends = np.cumsum(n)
-    sums = np.concatenate((np.zeros(1, T.U64), np.cumsum(T.mix(value * T._BASE + T._GOLD), dtype=T.U64)))
-    key = T.mix(sums[ends] - sums[ends - n] + n.astype(T.U64) * T._GOLD)
-    return n, key.view(np.int64)
+
+    def total(x: np.ndarray) -> np.ndarray:
+        sums = np.concatenate((np.zeros(1, T.U64), np.cumsum(x, dtype=T.U64)))
+        return T.mix(sums[ends] - sums[ends - n] + n.astype(T.U64) * T._GOLD)
+
+    return n, total(T.mix(value * T._BASE + T._GOLD)).view(np.int64), total(T.mix(value * T._BASE_INV ^ T._GOLD)) >> T.U64(2)
+
+
+def wide(low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """126-bit keys as decimals."""
+    both = np.stack((low.view(T.U64), high), 1)
+    return pa.Array.from_buffers(pa.decimal128(38, 0), len(low), [None, pa.py_buffer(np.ascontiguousarray(both).tobytes())])
 
 
-def _sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, size, key, set starts, shingles) of each slice of a batch."""
+KEY = "decimal(38,0)"
+
+
+def _sets(batch: pa.RecordBatch, column: int):
+    """(first row, size, ref, rest of the key, set starts, shingles, their row) of each slice of a batch."""
     for start, stop, data, offsets in T.slices(batch.column(column)):
         doc, value = T.shingles(data, offsets, WORDS)
-        n, key = set_keys(value, doc, stop - start)
-        yield start, n, key, np.concatenate(([0], np.cumsum(n))), value
+        n, ref, high = set_keys(value, doc, stop - start)
+        yield start, n, ref, high, np.concatenate(([0], np.cumsum(n))), value, doc
+
+
+def survey(thin: DataFrame, bits: int) -> DataFrame:
+    """(id, n, heads, ref, key, text_hash) of every row of (id, text, text_hash); heads: distinct codes of the set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for start, n, ref, high, at, value, doc in _sets(b, 1):
+                code = value >> T.U64(32 - bits)
+                again = np.zeros(len(code), bool)
+                again[1:] = (code[1:] == code[:-1]) & (doc[1:] == doc[:-1])
+                heads = n - np.bincount(doc[again], minlength=len(n))
+                rows = slice(start, start + len(n))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0)[rows], pa.array(n, pa.int64()), pa.array(heads, pa.int64()), pa.array(ref), wide(ref, high), b.column(2)[rows]],
+                    ["id", "n", "heads", "ref", "key", "text_hash"])
+
+    kind = thin.schema["id"].dataType.simpleString()
+    return thin.mapInArrow(run, f"id {kind}, n bigint, heads bigint, ref bigint, key {KEY}, text_hash bigint")
 
 
 class _New:
@@ -87,9 +128,9 @@ class _New:
     def __init__(self):
         self.seen: set[int] = set()
 
-    def __call__(self, keys: np.ndarray, n: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys), bool)
-        for i, k in enumerate(keys.tolist()):
+    def __call__(self, refs: np.ndarray, n: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(refs), bool)
+        for i, k in enumerate(refs.tolist()):
             if n[i] and k not in self.seen:
                 if len(self.seen) >= TASK_SETS:
                     self.seen.clear()
@@ -98,45 +139,132 @@ class _New:
         return out
 
 
-def survey(thin: DataFrame) -> DataFrame:
-    """One pass over (id, text).  kind 0: id, n (size), key (set), and where a task first met the set
-    its prefix (packed).  kind 1: key (a shingle that a task met in two different sets or more), n (in how many)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new, held, size, names = _New(), [], 0, ["kind", "id", "n", "key", "prefix"]
-        kind_type = None
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows of sorted columns begins."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _packed(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Runs of numbers, each as the bytes of one value."""
+    offsets = np.append(first, len(values)).astype(np.int64) * values.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())]).cast(pa.binary())
+
+
+#: Kinds of packed rows: occurrences; shingles that a task found frequent itself; their occurrences (dealt by set).
+SEEN, FOUND, GIVEN = 0, 1, 2
+_PACKED = "bucket int, kind tinyint, refs binary, counts binary, codes binary"
 
-        def folded():
-            value, n = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            order = np.argsort(value, kind="stable")
-            value, n = value[order], n[order]
-            at = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-            n = np.add.reduceat(n, at)
-            return value[at][n > 1], n[n > 1]
+
+def occurrences(thin: DataFrame, bits: int) -> DataFrame:
+    """The shingles of every set by bucket, packed: refs, codes of each ref, codes (low 32 bits; whole for GIVEN)."""
+    frequent = FREQUENT
+
+    def rows(kind: int, bucket: np.ndarray, ref: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((ref, bucket))
+        bucket, ref, code = bucket[order], ref[order], code[order]
+        sets, first = _runs(bucket, ref), _runs(bucket)
+        counts = np.diff(np.append(sets, len(ref))).astype("<u4")
+        in_sets = np.searchsorted(sets, first)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[first].astype(np.int32)), pa.array(np.full(len(first), kind, np.int8)), _packed(ref[sets], in_sets),
+             _packed(counts, in_sets), _packed(code if kind == GIVEN else code.astype("<u4"), first)],
+            ["bucket", "kind", "refs", "counts", "codes"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new, held, size = _New(), [], 0
+
+        def packed():
+            code, ref = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(code)
+            code, ref = code[order], ref[order]
+            first = _runs(code)
+            many = np.diff(np.append(first, len(code)))
+            often = np.repeat(many >= frequent, many)
+            if often.any():
+                own = code[first[many >= frequent]]
+                yield rows(FOUND, own >> T.U64(32), np.zeros(len(own), np.int64), own)
+                yield rows(GIVEN, ref[often].view(T.U64) >> T.U64(64 - bits), ref[often], code[often])
+            if not often.all():
+                yield rows(SEEN, code[~often] >> T.U64(32), ref[~often], code[~often])
 
         for b in batches:
-            kind_type = b.column(0).type
-            ns, keys = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
-            heads: list[bytes | None] = [None] * b.num_rows
-            for start, n, key, at, value in _sets(b, 1):
-                ns[start:start + len(n)], keys[start:start + len(n)] = n, key
-                fresh = new(key, n)
-                for i in np.flatnonzero(fresh):
-                    heads[start + i] = (value[at[i]:at[i] + n[i] // PREFIX_PART + 1] >> T.U64(32)).astype("<u4").tobytes()
-                part = np.repeat(fresh, n)
-                held.append((value[part], np.ones(int(part.sum()), np.int64)))
-                size += len(held[-1][0])
-                if size > TASK_SHINGLES:
-                    held = [folded()]
-                    size = len(held[0][0])
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int8)), b.column(0), pa.array(ns), pa.array(keys),
-                                              pa.array(heads, pa.binary())], names)
+            for _, n, ref, _, at, value, doc in _sets(b, 0):
+                code = value >> T.U64(32 - bits)
+                part = np.repeat(new(ref, n), n)
+                part[1:] &= (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])
+                held.append((code[part], ref[doc[part]]))
+                size += int(part.sum())
+                if size >= TASK_SHINGLES:
+                    yield from packed()
+                    held, size = [], 0
         if size:
-            value, n = folded()
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(value), np.int8)), pa.nulls(len(value), kind_type),
-                                              pa.array(n), pa.array(value.view(np.int64)), pa.nulls(len(value), pa.binary())], names)
+            yield from packed()
 
-    kind = thin.schema["id"].dataType.simpleString()
-    return thin.mapInArrow(run, f"kind tinyint, id {kind}, n bigint, key bigint, prefix binary")
+    return thin.select("text").mapInArrow(run, _PACKED)
+
+
+def shared(packed: DataFrame, bits: int) -> DataFrame:
+    """(ref, m, rare, often): per set and bucket the codes that other sets have too, by class; m: how many."""
+    frequent = FREQUENT
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        refs, codes, found, given = [], [], [], []
+        for b in batches:
+            bucket, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for i in range(b.num_rows):
+                raw = b.column(4)[i].as_buffer()
+                ref = np.repeat(np.frombuffer(b.column(2)[i].as_buffer(), np.int64), np.frombuffer(b.column(3)[i].as_buffer(), "<u4"))
+                if kind[i] == GIVEN:
+                    given.append((ref, np.frombuffer(raw, T.U64)))
+                    continue
+                code = np.frombuffer(raw, "<u4").astype(T.U64) | T.U64(int(bucket[i]) << 32)
+                if kind[i] == FOUND:
+                    found.append(code)
+                else:
+                    refs.append(ref)
+                    codes.append(code)
+        out = [(r, c, np.ones(len(c), bool)) for r, c in given]
+        if codes:
+            code, ref = np.concatenate(codes), np.concatenate(refs)
+            del codes, refs
+            order = np.argsort(code)
+            code, ref = code[order], ref[order]
+            first = _runs(code)
+            many = np.diff(np.append(first, len(code)))
+            known = np.isin(code[first], np.concatenate(found)) if found else np.zeros(len(first), bool)
+            keep = np.repeat((many > 1) | known, many)
+            known, code, ref = np.repeat(known, many)[keep], code[keep], ref[keep]
+            order = np.lexsort((ref, code))
+            known, code, ref = known[order], code[order], ref[order]
+            once = _runs(code, ref)                                     # repeats of a set by different tasks
+            known, code, ref = known[once], code[once], ref[once]
+            first = _runs(code)
+            many = np.diff(np.append(first, len(code)))
+            keep = np.repeat(many > 1, many) | known
+            out.append((ref[keep], code[keep], (np.repeat(many >= frequent, many) | known)[keep]))
+        if not out:
+            return
+        ref, code, often = (np.concatenate(x) for x in zip(*out))
+        order = np.lexsort((code, often, ref))
+        ref, code, often = ref[order], code[order], often[order]
+        once = _runs(ref, code)
+        ref, code, often = ref[once], code[once], often[once]
+        first = _runs(ref)
+        for lo in range(0, len(first), 50_000):
+            f = first[lo:lo + 50_000]
+            end = first[lo + 50_000] if lo + 50_000 < len(first) else len(ref)
+            n = np.diff(np.append(f, end))
+            r = n - np.add.reduceat(often[f[0]:end].astype(np.int64), f - f[0])
+            side = [code[f[0]:end][~often[f[0]:end]], code[f[0]:end][often[f[0]:end]]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ref[f]), pa.array(n.astype(np.int64)), _packed(side[0], np.cumsum(r) - r), _packed(side[1], np.cumsum(n - r) - (n - r))],
+                ["ref", "m", "rare", "often"])
+
+    return packed.repartitionById(1 << bits, F.col("bucket")).mapInArrow(run, "ref bigint, m bigint, rare binary, often binary")
 
 
 def band(n: int) -> int:
@@ -161,22 +289,17 @@ def combinations(frequent: np.ndarray, want: int, b: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, T.U64)
 
 
-def signatures(n: np.ndarray, at: np.ndarray, value: np.ndarray, wanted: np.ndarray, frequent: np.ndarray):
-    """(signature, row) of the wanted rows of a slice."""
-    often = np.zeros(len(value), bool)
-    if len(frequent) and len(value):
-        k = np.minimum(np.searchsorted(frequent, value), len(frequent) - 1)
-        often = frequent[k] == value
-    row = np.repeat(np.arange(len(n)), n)
-    order = np.argsort(row * 2 + often, kind="stable")          # per set: rare ones first, each by hash
-    rank = np.arange(len(value)) - at[row]
+def signatures(n: np.ndarray, own: np.ndarray, at: np.ndarray, code: np.ndarray, often: np.ndarray):
+    """(signature, row) of sets of n shingles, ``own`` of them in no other set, with the shared codes at[i]:at[i + 1]
+    (rare ones first, each class by hash)."""
     need = n // 4 + 1                                           # |x| - ceil(0.75 |x|) + 1
-    value, often = value[order], often[order]
-    single = wanted[row] & ~often & (rank < need[row])
-    sig, who = [value[single]], [row[single]]
-    rare = n - np.bincount(row[often], minlength=len(n))
-    for i in np.flatnonzero(wanted & (rare < need) & (n > 1)):
-        f = value[at[i] + rare[i]:at[i + 1]]
+    row = np.repeat(np.arange(len(n)), np.diff(at))
+    rank = own[row] + np.arange(len(code)) - at[row]
+    single = ~often & (rank < need[row])
+    sig, who = [code[single]], [row[single]]
+    rare = own + np.diff(at) - np.bincount(row[often], minlength=len(n))
+    for i in np.flatnonzero((rare < need) & (n > 1)):
+        f = code[at[i] + rare[i] - own[i]:at[i + 1]]
         b = band(int(n[i]))
         for level in (b, b - 1) if b else (b,):
             s = combinations(f, int(need[i] - rare[i]), level)
@@ -185,128 +308,123 @@ def signatures(n: np.ndarray, at: np.ndarray, value: np.ndarray, wanted: np.ndar
     return np.concatenate(sig), np.concatenate(who)
 
 
-def index(thin: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(signature, key, n): the prefix index of all sets; a task indexes equal sets once."""
-    often = thin.sparkSession.sparkContext.broadcast(frequent)
-
+def index(rows: DataFrame, tasks: int) -> DataFrame:
+    """(signature, ref, n, m): the prefix index of the sets of ``rows`` (ref, n, own, total, rare, often)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new, known = _New(), often.value
+        parts = []
         for b in batches:
-            for _, n, key, at, value in _sets(b, 0):
-                sig, who = signatures(n, at, value, new(key, n), known)
-                for k in range(0, len(sig), 1 << 18):
-                    part = slice(k, k + (1 << 18))
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[part].view(np.int64)), pa.array(key[who[part]]),
-                                                      pa.array(n[who[part]].astype(np.int32))], ["signature", "key", "n"])
-
-    return thin.select("text").mapInArrow(run, "signature bigint, key bigint, n int")
-
-
-def _groups(batches: Iterator[pa.RecordBatch], extra: int = 0):
-    """All rows of a task by (signature, key), repeats dropped, groups of one dropped: columns and group starts."""
-    parts = [[b.column(i).to_numpy() for i in range(3 + extra)] for b in batches if b.num_rows]
-    if not parts:
-        return None
-    cols = [np.concatenate(c) for c in zip(*parts)]
-    order = np.lexsort((cols[1], cols[0]))
-    cols = [c[order] for c in cols]
-    keep = np.ones(len(order), bool)
-    keep[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
-    cols = [c[keep] for c in cols]
-    first = np.flatnonzero(np.concatenate(([True], cols[0][1:] != cols[0][:-1])))
-    size = np.diff(np.append(first, len(cols[0])))
-    many = np.repeat(size > 1, size)
-    cols = [c[many] for c in cols]
-    size = size[size > 1]
-    return cols, np.cumsum(size) - size, size
-
-
-def shared(indexed: DataFrame, tasks: int) -> DataFrame:
-    """The index without signatures that only one set has: (signature, key, n, pivot, pivot_n), pivot the group's least key."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (g := _groups(batches)) is None:
+            ref, n, own, m = (b.column(i).to_numpy() for i in range(4))
+            for side in (4, 5):
+                many = np.array([len(x) // 8 if x is not None else 0 for x in b.column(side).to_pylist()], np.int64)
+                code = np.frombuffer(b"".join(b.column(side).to_pylist()), T.U64)
+                parts.append([np.repeat(x, many) for x in (ref, n, own, m)] + [code, np.full(len(code), side == 5)])
+        if not parts:
             return
-        (sig, key, n), first, size = g
-        pivot, pivot_n = np.repeat(key[first], size), np.repeat(n[first], size)
-        for k in range(0, len(sig), 1 << 18):
-            p = slice(k, k + (1 << 18))
-            yield pa.RecordBatch.from_arrays([pa.array(x[p]) for x in (sig, key, n, pivot, pivot_n)],
-                                             ["signature", "key", "n", "pivot", "pivot_n"])
+        ref, n, own, m, code, often = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((code, often, ref))
+        ref, n, own, m, code, often = (x[order] for x in (ref, n, own, m, code, often))
+        once = _runs(ref, code)
+        ref, n, own, m, code, often = (x[once] for x in (ref, n, own, m, code, often))
+        first = _runs(ref)
+        for lo in range(0, len(first), 20_000):
+            f = first[lo:lo + 20_000]
+            end = first[lo + 20_000] if lo + 20_000 < len(first) else len(ref)
+            sig, who = signatures(n[f], own[f], np.append(f, end) - f[0], code[f[0]:end], often[f[0]:end])
+            who = f[who]
+            for k in range(0, len(sig), 1 << 18):
+                p = slice(k, k + (1 << 18))
+                yield pa.RecordBatch.from_arrays([pa.array(sig[p].view(np.int64)), pa.array(ref[who[p]]), pa.array(n[who[p]]), pa.array(m[who[p]])],
+                                                 ["signature", "ref", "n", "m"])
+
+    return (rows.select("ref", "n", "own", "total", "rare", "often").repartition(tasks, "ref")
+            .mapInArrow(run, "signature bigint, ref bigint, n bigint, m bigint"))
+
+
+def fits(n1, m1, n2, m2):
+    """Whether sets of sizes n with shared parts m can link: sizes, and the overlap that the shared parts allow."""
+    return ((F.least(n1, n2) * DENOMINATOR >= F.greatest(n1, n2) * NUMERATOR)
+            & (F.least(m1, m2) * (NUMERATOR + DENOMINATOR) >= (n1 + n2) * NUMERATOR))
+
 
-    return indexed.repartition(tasks, "signature").mapInArrow(
-        run, "signature bigint, key bigint, n int, pivot bigint, pivot_n int")
+def _ordered(a, b):
+    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def open_pairs(rows: DataFrame, tasks: int, size: int | None = None) -> DataFrame:
-    """(a, b) of groups: pairs in different components, of fitting sizes, without the pivot (its pairs were tested).
+def stars(rows: DataFrame, again: int = 0) -> DataFrame:
+    """(a, b): members of each group with one of them, where the two can link; only pairs of different components.
 
-    ``rows``: signature, key, n, component, pivot, most (a bound on the set's overlap with any other member); groups
-    of more than ``size`` members are left out.  Pairs come as they are made; a task holds its rows, not its pairs.
+    ``rows``: signature, ref, n, m, component.  The one is the member of the largest shared part; ``again`` and again,
+    it is another member of the group's largest component, for those outside of it.
     """
+    if again:
+        per = rows.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("c"))
+        main = per.groupBy("signature").agg(F.max(F.struct("c", "component")).alias("x")).select("signature", F.col("x.component").alias("main"))
+        main = cut_lineage(main, "join_main")
+        choice = rows.join(main, "signature").where(F.col("component") == F.col("main"))
+        first = F.xxhash64("ref", F.lit(again))
+    else:
+        choice, first = rows, (F.col("m") * 1000 / F.col("n")).cast("long")
+    best = F.max(F.struct(first.alias("first"), "ref", "n", "m", "component"))
+    hubs = cut_lineage(choice.groupBy("signature").agg(best.alias("hub")), "join_hubs")
+    both = rows.join(hubs, "signature").where((F.col("ref") != F.col("hub.ref")) & (F.col("component") != F.col("hub.component"))
+                                              & fits(F.col("n"), F.col("m"), F.col("hub.n"), F.col("hub.m")))
+    out = cut_lineage(both.select(*_ordered(F.col("ref"), F.col("hub.ref"))).distinct(), "join_stars")
+    release(hubs, *([main] if again else []))
+    return out
+
+
+def open_pairs(rows: DataFrame, sizes: DataFrame, tasks: int) -> DataFrame:
+    """(a, b): pairs of groups that lie in different components and can link.
+
+    ``rows``: signature, ref, n, m, component; ``sizes``: signature, size.  Groups above ``BLOCK`` members are dealt in
+    blocks, each pair of blocks by itself, so a task holds two blocks of a group at most.
+    """
+    least = BLOCK
+    blocks = F.ceil(F.col("size") / least).cast("int")
+    rows = rows.join(sizes, "signature").withColumn("blocks", blocks)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("ref", F.lit(7)), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("signature", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "ref", "n", "m",
+                       F.xxhash64("component").alias("component"), "own")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (g := _groups(batches, 3)) is None:
+        parts = [[b.column(i).to_numpy() for i in range(8)] for b in batches if b.num_rows]
+        if not parts:
             return
-        (_, key, n, part, pivot, most), first, sizes = g
+        sig, x, y, ref, n, m, part, own = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((n, y, x, sig))
+        sig, x, y, ref, n, m, part, own = (c[order] for c in (sig, x, y, ref, n, m, part, own))
+        first = _runs(sig, x, y)
         a, b, held = [], [], 0
 
         def out():
             both = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
 
-        for f, s in zip(first, sizes):
-            rows = slice(f, f + s)
-            c = part[rows]
-            if s < 3 or (size and s > size) or (c == c[0]).all():
+        for lo, hi in zip(first, np.append(first[1:], len(sig))):
+            if hi - lo < 2 or (part[lo:hi] == part[lo]).all():
                 continue
-            own = (key[rows] != pivot[rows]) & (most[rows] * DENOMINATOR >= n[rows].astype(np.int64) * NUMERATOR)
-            k, m, c, o = key[rows][own], n[rows][own].astype(np.int64), c[own], most[rows][own]
-            order = np.argsort(m, kind="stable")
-            k, m, c, o = k[order], m[order], c[order], o[order]
-            upto = np.searchsorted(m * NUMERATOR, m * DENOMINATOR, "right")      # sizes 75 |y| <= 100 |x|
-            for lo in range(0, len(k), 512):
-                i = np.repeat(np.arange(lo, min(lo + 512, len(k))), np.maximum(upto[lo:lo + 512] - np.arange(lo, min(lo + 512, len(k))) - 1, 0))
-                j = T.ragged(np.arange(lo, min(lo + 512, len(k))) + 1, np.maximum(upto[lo:lo + 512] - np.arange(lo, min(lo + 512, len(k))) - 1, 0))
-                apart = (c[i] != c[j]) & (np.minimum(o[i], o[j]) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (m[i] + m[j]))
-                a.append(np.minimum(k[i[apart]], k[j[apart]]))
-                b.append(np.maximum(k[i[apart]], k[j[apart]]))
-                held += int(apart.sum())
+            k, s, o, c, w = ref[lo:hi], n[lo:hi], m[lo:hi], part[lo:hi], own[lo:hi]
+            upto = np.searchsorted(s * NUMERATOR, s * DENOMINATOR, "right")         # sizes 75 |y| <= 100 |x|
+            for at in range(0, len(k), 512):
+                mine = np.arange(at, min(at + 512, len(k)))
+                many = np.maximum(upto[mine] - mine - 1, 0)
+                i, j = np.repeat(mine, many), T.ragged(mine + 1, many)
+                # two blocks: only pairs across them; one block: all
+                good = (c[i] != c[j]) & (np.minimum(o[i], o[j]) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (s[i] + s[j]))
+                if x[lo] != y[lo]:
+                    good &= w[i] != w[j]
+                i, j = i[good], j[good]
+                a.append(np.minimum(k[i], k[j]))
+                b.append(np.maximum(k[i], k[j]))
+                held += len(i)
                 if held > 1 << 19:
                     yield out()
                     a, b, held = [], [], 0
         if held:
             yield out()
 
-    return (rows.select("signature", "key", "n", "component", "pivot", F.col("most").cast("long").alias("most"))
-            .repartition(tasks, "signature").mapInArrow(run, "a bigint, b bigint").distinct())
-
-
-def large_groups(rows: DataFrame, tasks: int) -> DataFrame:
-    """(signature, key, n, component) of the groups of more than ``LARGE`` members that hold several components."""
-    least = LARGE
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (g := _groups(batches, 1)) is None:
-            return
-        cols, first, size = g
-        mixed = np.minimum.reduceat(cols[3], first) != np.maximum.reduceat(cols[3], first) if len(first) else np.zeros(0, bool)
-        keep = np.repeat((size > least) & mixed, size)
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], ["signature", "key", "n", "component"])
-
-    return (rows.select("signature", "key", "n", "component").repartition(tasks, "signature")
-            .mapInArrow(run, "signature bigint, key bigint, n int, component bigint"))
-
-
-def shared_counts(sets: DataFrame) -> DataFrame:
-    """(key, most): of each set (key, shingles) how many shingles occur in another of the sets too."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for key, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                value = np.frombuffer(raw.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), key)), pa.array(value)], ["key", "shingle"])
-
-    each = sets.mapInArrow(run, "key bigint, shingle bigint")
-    several = each.groupBy("shingle").agg(F.min("key").alias("x"), F.max("key").alias("y")).where("x <> y").select("shingle")
-    return each.join(several, "shingle", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("most"))
+    return rows.repartition(tasks, "signature", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def overlap_bound(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> int:
@@ -320,52 +438,54 @@ def overlap_bound(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> int:
     return max(int(in_y.sum()), int(in_x.sum())) + min(nx - len(x), ny - len(y))
 
 
-def plausible(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose prefixes (key, n, prefix) leave room for a link."""
-    side = lambda k, x: prefixes.select(F.col("key").alias(k), F.col("n").alias(f"n{x}"), F.col("prefix").alias(x))
-    both = pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "nx", "x", "ny", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nx, ny = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            rows = [i for i in range(batch.num_rows) if (NUMERATOR + DENOMINATOR) * overlap_bound(
-                np.frombuffer(batch.column(3)[i].as_buffer(), "<u4"), int(nx[i]),
-                np.frombuffer(batch.column(5)[i].as_buffer(), "<u4"), int(ny[i])) >= NUMERATOR * int(nx[i] + ny[i])]
-            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(rows, pa.int64())) for k in (0, 1)], ["a", "b"])
-
-    return both.mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def shingle_sets(thin: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, shingles): the packed sorted set of each wanted key; ``wanted`` (written) has key and the id of a
-    document that has it, and is broadcast when counted to be small, so that no text is shuffled."""
-    kind = wanted.select("id", F.col("key").alias("want"))
-    texts = thin.join(F.broadcast(kind) if wanted.count() <= BROADCAST_ROWS else kind, "id").select("want", "text")
+def fetch(thin: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(ref, key, n, shingles): the packed sorted set of each wanted ref; ``wanted`` (written) has ref and the hash of a
+    text that has it, and is broadcast when counted to be small, so that no text is shuffled."""
+    names = wanted.select("text_hash", F.col("ref").alias("want"))
+    texts = thin.join(F.broadcast(names) if wanted.count() <= BROADCAST_ROWS else names, "text_hash").select("want", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for b in batches:
+            b = b.take(pa.array([i for i, w in enumerate(b.column(0).to_pylist()) if w not in done], pa.int64()))
             want = b.column(0).to_numpy()
-            for start, n, key, at, value in _sets(b, 1):
-                rows = [i for i in range(len(n)) if key[i] == want[start + i]]
-                yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array([value[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())],
-                                                 ["key", "shingles"])
+            for start, n, ref, high, at, value, _ in _sets(b, 1):
+                rows = np.flatnonzero(ref == want[start:start + len(n)])
+                rows = rows[np.unique(ref[rows], return_index=True)[1]]
+                done.update(ref[rows].tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ref[rows]), wide(ref[rows], high[rows]), pa.array(n[rows], pa.int64()),
+                     pa.array([value[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())], ["ref", "key", "n", "shingles"])
+            if len(done) > TASK_SETS:
+                done.clear()
 
-    return texts.mapInArrow(run, "key bigint, shingles binary")
+    return texts.mapInArrow(run, f"ref bigint, key {KEY}, n bigint, shingles binary").dropDuplicates(["ref", "key"])
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, common, united) of the pairs that link, by their whole sets."""
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
+    """(a, b, common, united) of the pairs of refs that link, a and b as keys: by the least third of both sets, then whole ones."""
+    third = F.expr(f"substring(shingles, 1, cast(8 * (n div {PREFIX_PART} + 1) as int))")
+    side = lambda k, x, what: sets.select(F.col("ref").alias(k), F.col("key").alias(f"{k}_key"), F.col("n").alias(f"n{x}"), what.alias(x))
+    both = pairs.join(side("b", "y", third), "b").join(side("a", "x", third), "a").select("a", "b", "nx", "x", "ny", "y")
+
+    def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nx, ny = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            rows = [i for i in range(batch.num_rows) if (NUMERATOR + DENOMINATOR) * overlap_bound(
+                np.frombuffer(batch.column(3)[i].as_buffer(), T.U64), int(nx[i]),
+                np.frombuffer(batch.column(5)[i].as_buffer(), T.U64), int(ny[i])) >= NUMERATOR * int(nx[i] + ny[i])]
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(rows, pa.int64())) for k in (0, 1)], ["a", "b"])
+
+    near = cut_lineage(both.mapInArrow(plausible, "a bigint, b bigint").distinct(), "join_near")
+    whole = F.col("shingles")
+    both = near.join(side("b", "y", whole), "b").join(side("a", "x", whole), "a").select("a_key", "b_key", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             rows, common, united = [], [], []
             for i in range(batch.num_rows):
-                x = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint64)
-                y = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64)
+                x = np.frombuffer(batch.column(2)[i].as_buffer(), T.U64)
+                y = np.frombuffer(batch.column(3)[i].as_buffer(), T.U64)
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -375,84 +495,99 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     rows.append(i)
                     common.append(c)
                     united.append(u)
-            yield pa.RecordBatch.from_arrays([pa.array(a[rows]), pa.array(b[rows]), pa.array(common, pa.int64()), pa.array(united, pa.int64())],
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(common, pa.int64()), pa.array(united, pa.int64())],
                                              ["a", "b", "common", "united"])
 
-    return both.mapInArrow(run, "a bigint, b bigint, common bigint, united bigint").distinct()
+    out = cut_lineage(both.mapInArrow(run, f"a {KEY}, b {KEY}, common bigint, united bigint").distinct(), "join_links")
+    release(near)
+    return out
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``_join`` with small Arrow batches: its rows carry whole texts and sets."""
+    """(members, links): members are (id, n_shingles, key), links verified pairs (a, b, common, united) of set keys.
+
+    Links hold a spanning set for each class of sets, and every link between sets that the stars left in different classes.
+    Arrow batches are small: rows carry whole texts and sets.
+    """
     with T.arrow_rows(docs.sparkSession, BATCH_ROWS):
         return _join(docs, id_col, text_col)
 
 
 def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(members, links): members are (id, n_shingles, key), links verified pairs (a, b, common, united) of set keys.
-
-    Links hold a spanning set for each class of sets, and every link between sets that round 1 left in different classes.
-    """
-    thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    seen = cut_lineage(survey(thin), "join_survey")
-    members = seen.where("kind = 0").select("id", F.col("n").alias("n_shingles"), "key")
-    total = members.agg(F.sum("n_shingles")).first()[0] or 0
-    counted = seen.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
-    least = FREQUENT
-    while counted.where(F.col("n") >= least).count() > MOST_FREQUENT:
-        least *= 2
-    often = counted.where(F.col("n") >= least).select("key").collect()
-    frequent = np.sort(np.array([r[0] for r in often], np.int64).view(T.U64))       # at most MOST_FREQUENT
-    tasks = max(8, -(-total // (3 * ROWS_PER_TASK)))
-    groups = cut_lineage(shared(index(thin, frequent), tasks), "join_index")
-
-    prefixes = seen.where("kind = 0 and prefix is not null").select("key", "n", "prefix")
-    ids = members.where("n_shingles > 0 and id is not null").groupBy("key").agg(F.min("id").alias("id"))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        near = cut_lineage(plausible(pairs, prefixes), "join_near")
-        keys = near.select(F.col("a").alias("key")).union(near.select(F.col("b").alias("key"))).distinct()
-        sets = cut_lineage(shingle_sets(thin, cut_lineage(keys.join(ids, "key"), "join_keys")), "join_sets")
-        return cut_lineage(verify(near, sets), "join_links")
-
-    stars = (groups.where("key <> pivot and least(n, pivot_n) * 100L >= greatest(n, pivot_n) * 75L")
-             .select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct())
-    stars = cut_lineage(stars, "join_pairs")
-    links = linked(stars)
-    few = max(8, tasks // 4)
-
-    def parted(rows: DataFrame, links: DataFrame) -> DataFrame:
-        parts = cut_lineage(components(links.select("a", "b")), "join_parts").withColumnRenamed("node", "key")
-        return rows.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
-
-    rows = cut_lineage(parted(groups, links).withColumn("most", F.col("n")), "join_open")
-    small = linked(open_pairs(rows, few, LARGE).join(stars, ["a", "b"], "left_anti"))
-    links = cut_lineage(links.unionByName(small), "join_links")
-
-    large = cut_lineage(large_groups(rows, few), "join_large")
-    if large.isEmpty():
-        return members, links
-    keys = cut_lineage(large.select("key").distinct().join(ids, "key"), "join_keys")
-    most = cut_lineage(shared_counts(cut_lineage(shingle_sets(thin, keys).dropDuplicates(["key"]), "join_sets")), "join_most")
-    large = large.join(most, "key")
-    hub = large.groupBy("signature").agg(F.max("most").alias("most"))       # the most shared member of each group
-    hub = large.join(hub, ["signature", "most"]).groupBy("signature").agg(F.min("key").alias("pivot"))
-    large = cut_lineage(large.join(hub, "signature"), "join_large")
-    hubs = (large.where("key <> pivot and most * 100L >= n * 75L")
-            .select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct())
-    hubs = cut_lineage(hubs.join(stars, ["a", "b"], "left_anti"), "join_pairs")
-    links = cut_lineage(links.unionByName(linked(hubs)), "join_links")
-    rest = open_pairs(parted(large.drop("component"), links), few)
-    rest = rest.join(stars, ["a", "b"], "left_anti").join(hubs, ["a", "b"], "left_anti")
-    return members, cut_lineage(links.unionByName(linked(rest)), "join_links")
+    thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    size = thin.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    # a shingle has about six bytes of text; buckets are a power of two
+    bits = min(24, max(LEAST_BUCKETS, size // 6 // BUCKET_SHINGLES).bit_length() - 1)
+    seen = cut_lineage(survey(thin, bits), "join_survey")
+    members = seen.select("id", F.col("n").alias("n_shingles"), "key")
+    nothing = docs.sparkSession.createDataFrame([], f"a {KEY}, b {KEY}, common bigint, united bigint")
+
+    common = cut_lineage(shared(occurrences(thin, bits), bits), "join_shared")
+    sizes = seen.where("n > 0").groupBy("ref").agg(F.min("n").alias("n"), F.max("heads").alias("heads"), F.min("text_hash").alias("text_hash"))
+    # sets with more than a quarter of their shingles to themselves link with none
+    opened = (common.groupBy("ref").agg(F.sum("m").alias("total")).join(sizes, "ref")
+              .withColumn("own", F.greatest(F.lit(0), F.col("heads") - F.col("total"))).where("own < n div 4 + 1"))
+    opened = cut_lineage(opened, "join_opened")
+    sets_open, left = opened.agg(F.count(F.lit(1)), F.sum("total")).first()
+    few = F.broadcast(opened) if sets_open <= BROADCAST_ROWS else opened
+    tasks = max(8, -(-(left or 0) // TASK_ROWS))
+    found = cut_lineage(index(common.join(few.drop("heads", "text_hash"), "ref"), tasks), "join_index")
+    release(common)
+
+    groups = cut_lineage(found.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "join_groups")
+    rows = cut_lineage(found.join(groups.drop("size"), "signature").withColumn("component", F.col("ref").cast(KEY)), "join_rows")
+    release(found)
+    wanted = cut_lineage(opened.join(rows.select("ref").distinct(), "ref").select("ref", "text_hash"), "join_wanted")
+    sets = cut_lineage(fetch(thin, wanted), "join_sets")
+    release(opened, wanted)
+
+    tested, links, parts, now = [], nothing, None, rows
+    for k in range(STARS + 1):
+        if k:
+            parts = cut_lineage(components(links.select("a", "b")), "join_parts")
+            named = (sets.select("ref", "key").join(parts.withColumnRenamed("node", "key"), "key", "left")
+                     .select("ref", F.coalesce("component", "key").alias("component")))
+            now = rows.drop("component").join(named, "ref")
+            per = now.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("c"))
+            per = per.groupBy("signature").agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count(F.lit(1)).alias("parts"))
+            mixed = cut_lineage(per.where("parts > 1").withColumn("open", F.expr("(size * size - same) div 2")), "join_mixed")
+            now = cut_lineage(now.join(mixed.select("signature"), "signature"), "join_open")
+            large = F.col("size") > LARGE
+            count, of_large, pairs = mixed.agg(F.sum("size"), F.sum(F.when(large, F.col("size"))), F.sum(F.when(large, F.col("open")))).first()
+            if not count:
+                release(now, mixed, parts)
+                break
+            if k == STARS or (pairs or 0) <= OPEN_PAIRS * (of_large or 0):
+                rest = open_pairs(now, mixed.select("signature", "size"), max(8, -(-count // TASK_ROWS)))
+                for t in tested:
+                    rest = rest.join(t, ["a", "b"], "left_anti")
+                rest = cut_lineage(rest, "join_pairs")
+                links = links.unionByName(verify(rest, sets))
+                release(rest, now, mixed, parts)
+                break
+        star = stars(now.join(mixed.where(large).select("signature"), "signature"), k) if k else stars(now)
+        for t in tested:
+            star = star.join(t, ["a", "b"], "left_anti")
+        star = cut_lineage(star, "join_pairs") if tested else star
+        tested.append(star)
+        links = links.unionByName(verify(star, sets))
+        if k:
+            release(now, mixed, parts)
+    release(rows, groups, sets, *tested)
+    return members, links
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row: component_id is the least id that links reach."""
     members, links = join(docs, id_col, text_col)
-    parts = cut_lineage(components(links.select("a", "b")), "join_classes")
-    linked = (members.where("n_shingles > 0").join(parts.withColumnRenamed("node", "key"), "key", "left")
-              .select("id", "n_shingles", F.coalesce("component", "key").alias("component")))
-    least = linked.groupBy("component").agg(F.min("id").alias("component_id"))
-    out = linked.join(least, "component").select("id", "n_shingles", "component_id")
+    parts = components(links.select("a", "b")).withColumnRenamed("node", "key")
+    nodes = (members.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least")).join(parts, "key", "left")
+             .select("key", "least", F.coalesce("component", "key").alias("component")))
+    nodes = cut_lineage(nodes, "join_nodes")
+    least = cut_lineage(nodes.groupBy("component").agg(F.min("least").alias("component_id")), "join_classes")
+    named = cut_lineage(nodes.join(least, "component").select("key", "component_id"), "join_named")
+    release(nodes, least)
+    out = members.where("n_shingles > 0").join(named, "key").select("id", "n_shingles", "component_id")
     alone = members.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
     return out.unionByName(alone).withColumnRenamed("id", id_col)

@@ -86,13 +86,67 @@ def test_prefixes_of_linked_sets_meet():
         x = rng.integers(1, 2**63, n, dtype=np.uint64)
         y = np.concatenate((x[int(n * 0.12):], rng.integers(1, 2**63, int(n * 0.1), dtype=np.uint64)))
         x, y = np.unique(x), np.unique(y)
-        c = len(np.intersect1d(x, y))
-        if 100 * c < 75 * (len(x) + len(y) - c):
+        common = np.intersect1d(x, y)
+        if 100 * len(common) < 75 * (len(x) + len(y) - len(common)):
             continue
-        both = np.concatenate((x, y))
-        frequent = np.unique(rng.choice(both, int(rng.integers(0, len(both) + 1)), replace=False))
-        sig, who = ngram_join.signatures(np.array([len(x), len(y)]), np.array([0, len(x), len(both)]), both, np.array([True, True]), frequent)
-        assert np.intersect1d(sig[who == 0], sig[who == 1]).size
+        # some of the shingles that one of the two has alone are in third sets
+        both = np.unique(np.concatenate((x, y)))
+        known = np.union1d(common, rng.choice(both, int(rng.integers(0, len(both) + 1)), replace=False))
+        frequent = np.unique(rng.choice(known, int(rng.integers(0, len(known) + 1)), replace=False))
+        found = []
+        for s in (x, y):
+            own = s[np.isin(s, known)]
+            often = np.isin(own, frequent)
+            code = np.concatenate((own[~often], own[often]))
+            sig, _ = ngram_join.signatures(np.array([len(s)]), np.array([len(s) - len(own)]), np.array([0, len(own)]), code, np.sort(often))
+            found.append(sig)
+        assert np.intersect1d(*found).size
+
+
+def test_every_shared_shingle_is_found_once_by_class(spark, monkeypatch):
+    """The classes of all shingles equal a count over all sets, whatever tasks met them, copies included."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 4)
+    rows = copies(9, 10, 14)
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(rows[:60])]
+    for tasks in (1, 7):
+        docs = spark.createDataFrame(rows, "id long, text string").repartition(tasks)
+        bits = 6
+        got = {}
+        for r in ngram_join.shared(ngram_join.occurrences(docs, bits), bits).collect():
+            for side, often in ((r.rare, False), (r.often, True)):
+                for c in np.frombuffer(side, np.uint64).tolist():
+                    got[r.ref, c] = often
+        sets = {}
+        for _, t in rows:
+            data = np.frombuffer(t.encode(), np.uint8)
+            doc, value = ngram_join.T.shingles(data, np.array([0, len(data)]), 5)
+            n, ref, _ = ngram_join.set_keys(value, doc, 1)
+            sets[int(ref[0])] = set((value >> np.uint64(32 - bits)).tolist())
+        count = defaultdict(int)
+        for s in sets.values():
+            for c in s:
+                count[c] += 1
+        assert {k for k in got} == {(r, c) for r, s in sets.items() for c in s if count[c] > 1}
+        wrong = [(c, often, count[c]) for (_, c), often in got.items() if often != (count[c] >= 4)]
+        assert not [x for x in wrong if not x[1]]                    # a class may only be too high, for all sets alike
+        assert all(len({o for (_, c), o in got.items() if c == x}) == 1 for x, _, _ in wrong)
+
+
+def test_null_ids_link_like_others(spark):
+    rng = random.Random(21)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
+    edit = lambda words, *at: [f"edit{i}" if i in at else w for i, w in enumerate(words)]
+    bridge = edit(base, 10)
+    rows = [(1, " ".join(base)), (None, " ".join(edit(base, 50))), (7, "x y z"), (None, "x y z"), (None, None),
+            (2, " ".join(edit(bridge, 30))), (None, " ".join(bridge)), (3, " ".join(edit(base, 10, 55))), (None, " ".join(edit(base, 5, 25, 45)))]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+
+
+def test_blocks_and_stars_change_nothing(spark, monkeypatch):
+    rows = copies(31, 8, 20)
+    for name, value in (("BLOCK", 3), ("LARGE", 4), ("OPEN_PAIRS", 0)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
 
 
 def test_overlap_bound_is_never_below_the_overlap():
