@@ -43,6 +43,8 @@ from popcorr.operators.rank import rank_within
 from popcorr.session import cut_lineage
 
 LIMIT, END = 2048, 1
+#: What stands between words that are encoded together, and signs that are looked up apart from the word they follow.
+MARK, TAILS = "\x01", (b".", b",")
 #: Bytes of a text looked up together, words in a task's table, and the longest word (bytes) kept there.
 BLOCK_BYTES, TABLE_WORDS, TABLE_BYTES = 1 << 18, 1_000_000, 64
 #: Rows of an Arrow batch of texts, and tokens a task gathers before it sends pieces on.
@@ -55,15 +57,18 @@ def decompose(n: int, limit: int = LIMIT) -> list[int]:
     return [limit] * (n // limit) + [1 << k for k in range(limit.bit_length() - 2, -1, -1) if rest >> k & 1]
 
 
-def words_are_apart(path: str) -> bool:
-    """Whether the file's normalizer and split drop white space, so that words can be encoded one by one."""
+def words_are_apart(path: str) -> tuple[bool, bool]:
+    """Whether the file's normalizer and split drop white space and part letters from signs, so that words can be encoded
+    one by one; and whether letters are lowered."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
-    drops = any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert") and r"[^\s" in (s.get("pattern") or {}).get("Regex", "") for s in steps)
-    kinds = {s.get("type") for s in ((spec.get("normalizer") or {}).get("normalizers") or [])}
-    marks = all(not (a["lstrip"] or a["rstrip"] or a["single_word"]) and a["content"].split() == [a["content"]] for a in spec.get("added_tokens") or [])
-    return drops and marks and kinds <= {"NFC", "Replace", "Lowercase"}
+    drops = any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert")
+                and {r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} <= set((s.get("pattern") or {}).get("Regex", "").split("|")) for s in steps)
+    kinds = [s.get("type") for s in ((spec.get("normalizer") or {}).get("normalizers") or [])]
+    marks = all(not (a["lstrip"] or a["rstrip"] or a["single_word"]) and a["content"].split() == [a["content"]]
+                and a["content"].startswith("<|") for a in spec.get("added_tokens") or [])
+    return drops and marks and set(kinds) <= {"NFC", "Replace", "Lowercase"}, "Lowercase" in kinds
 
 
 class WordIds:
@@ -76,35 +81,64 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.apart = words_are_apart(path)
+        self.apart, self.lowers = words_are_apart(path)
+        mark = self.encode([MARK])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
         self.clear()
 
     def clear(self):
         self.place: dict[bytes, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.count = np.zeros(TABLE_WORDS, np.int64), np.zeros(TABLE_WORDS, np.int64)
+        self.start, self.count, self.hits = (np.zeros(TABLE_WORDS, np.int64) for _ in range(3))
+
+    def shrink(self):
+        """Keeps the words that came again, if they fill less than half of the table; else the more frequent of them."""
+        words = list(self.place)
+        hits = self.hits[:len(words)]
+        keep = np.flatnonzero(hits > 1)
+        if 2 * len(keep) > TABLE_WORDS:
+            keep = np.flatnonzero(hits > np.median(hits[keep]))
+        start, count = self.start[keep], self.count[keep]
+        ids = self.ids[T.ragged(start, count)]
+        self.clear()
+        self.place = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.ids, self.used = np.concatenate((ids, self.ids)), len(ids)
+        self.start[:len(keep)], self.count[:len(keep)], self.hits[:len(keep)] = np.cumsum(count) - count, count, 1
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[bytes]):
-        for w, ids in zip(words, self.encode([w.decode("utf-8") for w in words])):          # a set keeps its order
-            k = self.place[w] = len(self.place)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.start[k], self.count[k] = self.used, len(ids)
-            self.used += len(ids)
+    def learn(self, words: list[bytes]):
+        """Gives new words to the library as one text, with a mark between them that is a word and a token of its own."""
+        texts = [w.decode("utf-8") for w in words]
+        ids = np.array(self.encode([f" {MARK} ".join(texts)])[0], np.uint32)
+        cuts = np.flatnonzero(ids == self.mark) if self.mark is not None else []
+        if len(cuts) != len(words) - 1:                       # a word holds the mark itself
+            each = self.encode(texts)
+            ids, count = np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each], np.int64)
+        else:
+            count = np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1
+            ids = np.delete(ids, cuts)
+        first = len(self.place)
+        self.place.update(zip(words, range(first, first + len(words))))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.start[first:first + len(words)], self.count[first:first + len(words)] = self.used + np.cumsum(count) - count, count
+        self.used += len(ids)
 
     def of_words(self, words: list[bytes]) -> np.ndarray:
         new = set(words).difference(self.place)
         if any(len(w) > TABLE_BYTES for w in new):                 # long words are not kept
             return np.array([i for w in words for i in self.encode([w.decode("utf-8")])[0]], np.uint32)
-        if len(self.place) + len(new) > TABLE_WORDS:
-            self.clear()
-            new = set(words)
-        self.learn(new)
+        for forget in (self.shrink, self.clear):
+            if len(self.place) + len(new) > TABLE_WORDS:
+                forget()
+                new = set(words).difference(self.place)
+        if new:
+            self.learn(list(new))
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self.hits[at] += 1
         return self.ids[T.ragged(self.start[at], self.count[at])]
 
     def blocks(self, raw: bytes) -> Iterator[np.ndarray]:
@@ -117,8 +151,20 @@ class WordIds:
             # a block ends before a space; one without any goes on to the next (one word)
             stop = at + BLOCK_BYTES
             stop = len(raw) if stop >= len(raw) or (stop := raw.find(b" ", stop)) < 0 else stop
+            part = raw[at:stop]
+            # the tokenizer lowers letters itself, after composing them with marks (U+0300 to U+037F) that follow
+            if self.lowers and not any(x in part for x in (b"<|", b"\xcc", b"\xcd")):
+                part = part.lower()
             # bytes.split cuts at space and U+0009 to U+000D, all of which the tokenizer drops
-            yield self.of_words(raw[at:stop].split())
+            words = []
+            for w in part.split():
+                # a comma or stop after a letter is a token of its own
+                if w[-1:] in TAILS and w[-2:-1].isalpha():
+                    words.append(w[:-1])
+                    words.append(w[-1:])
+                else:
+                    words.append(w)
+            yield self.of_words(words)
             at = stop
 
 

@@ -32,7 +32,7 @@ def test_ids_equal_the_library_on_odd_texts(library):
     rng = random.Random(3)
     parts = [chr(i) for a, b in ((0, 0x180), (0x300, 0x330), (0x1680, 0x1681), (0x2000, 0x2070), (0x3000, 0x3010), (0x1100, 0x1110),
                                  (0x1F600, 0x1F610), (0xAC00, 0xAC10)) for i in range(a, b)]
-    parts += ["<|endoftext|>", "<|startoftext|>", " ", "  ", "\n", "\t", "'s", "'S", "É", "İ", "word", "Word"] * 8
+    parts += ["<|endoftext|>", "<|startoftext|>", " ", "  ", "\n", "\t", "'s", "'S", "É", "İ", "word", "Word", "J\u030c", "I\u0307", "T\u0308", "ΟΔΟΣ", "Σ", "\u212a", "\x01", "word,", "Word.", "é,", "»,", "a).", "<|ENDOFTEXT|>"] * 8
     words = P.WordIds(PATH)
     assert words.apart
     for _ in range(4000):
@@ -74,10 +74,13 @@ def test_pieces_of_every_row(spark, edge, edge_list, library):
 def test_blocks_and_tables_change_nothing(spark, edge, edge_list, library, monkeypatch):
     monkeypatch.setattr(P, "BLOCK_BYTES", 50)
     monkeypatch.setattr(P, "TABLE_WORDS", 40)
-    monkeypatch.setattr(P, "TABLE_BYTES", 12)
+    monkeypatch.setattr(P, "TABLE_BYTES", 40)
     words = P.WordIds(PATH)
-    for _, text, *_ in edge_list:
+    shrunk = []
+    monkeypatch.setattr(words, "shrink", lambda f=words.shrink: (f(), shrunk.append(len(words.place))))
+    for _, text, *_ in edge_list * 2:
         assert [i for b in words.blocks((text or "").encode()) for i in b] == whole(library, text)[:-1]
+    assert max(shrunk) > 0
 
 
 def test_files_of_buckets(spark, edge, tmp_path):
