@@ -41,7 +41,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +64,7 @@ SHIFT = 1 << 24
 #: Pairs of a group from which on ids that repeat in it are counted (a long run without a common end has many).
 GROUP_PAIRS = 1 << 12
 
+SIGNS = (".", ",")
 #: Where a text may be cut: before a space, unless a space precedes it or white space follows.
 CUT = re.compile(r"(?<! ) (?=\S)")
 
@@ -92,12 +93,31 @@ class Tokenizers:
                         for p in pieces]
         #: Whether B never joins a character with a space after it.
         self.apart = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
+        #: Signs that neither tokenizer joins with a letter before them (A's split parts all signs from letters): their own ids.
+        self.tails = {}
+        for c in SIGNS if self.apart else ():
+            (a, b), (stem_a, stem_b) = self.encode([" a" + c])[0], self.encode([" a"])[0]
+            if (not any(re.search(r"[^\W\d_]" + re.escape(c), p) for p in pieces)
+                    and a[:-1] == stem_a and b[:-1] == stem_b and self.bytes_a[a[-1]] == self.bytes_b[b[-1]] == c.encode()):
+                self.tails[c] = a[-1:], b[-1:]
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """(A ids, B ids) of texts that begin with a space."""
         a = self.a.encode_batch_fast(texts, add_special_tokens=False)
         return list(zip([e.ids for e in a], self.b.encode([t[1:] for t in texts], num_threads=1)))
 
+    def encode_units(self, units: list[str]) -> list[tuple[list[int], list[int]]]:
+        """As ``encode`` for units, which do not depend on their neighbours: A reads them as one text."""
+        ids = np.array(self.a.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.cumsum(self.size_a[ids])
+        wanted = np.cumsum([len(u.encode("utf-8")) for u in units])
+        cut = np.searchsorted(ends, wanted)
+        if not len(ids) or cut[-1] >= len(ids) or (ends[cut] != wanted).any():
+            return self.encode(units)
+        ids, cut = ids.tolist(), [0, *(cut + 1).tolist()]
+        return list(zip([ids[i:j] for i, j in zip(cut, cut[1:])], self.b.encode([u[1:] for u in units], num_threads=1)))
+
 
 def linked(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     """(pairs, links) of one group; a small group may give a pair again, a large one gives each pair once."""
@@ -155,8 +175,28 @@ class UnitTable:
         self.place: dict[str, int] = {}
         self.text: list[bytes | None] = []
         self.counts = np.zeros((TABLE_UNITS, 4), np.int64)
-        self.start, self.many = np.zeros(TABLE_UNITS, np.int64), np.zeros(TABLE_UNITS, np.int64)
+        self.start, self.many, self.hits = (np.zeros(TABLE_UNITS, np.int64) for _ in range(3))
         self.pairs, self.links, self.used = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64), 0
+        self.add(list(self.tools.tails), [Unit(self.tools, c, *ids) for c, ids in self.tools.tails.items()])
+
+    def shrink(self):
+        """Keeps the units that came again, if they fill less than half of the table; else the more frequent of them."""
+        units, hits = list(self.place), self.hits[:len(self.text)]
+        keep = np.flatnonzero(hits > 1)
+        if 2 * len(keep) > TABLE_UNITS:
+            keep = np.flatnonzero(hits > np.median(hits[keep]))
+        keep = keep[keep >= len(self.tools.tails)]                # these are there anyway
+        text, counts, start, many = [self.text[k] for k in keep.tolist()], self.counts[keep], self.start[keep], self.many[keep]
+        rows = T.ragged(start, many)
+        pairs, links = self.pairs[rows], self.links[rows]
+        self.clear()
+        first, n = len(self.text), len(keep)
+        self.place.update((units[k], first + i) for i, k in enumerate(keep.tolist()))
+        self.text += text
+        self.pairs, self.links = (np.concatenate((x[:self.used], y, x)) for x, y in ((self.pairs, pairs), (self.links, links)))
+        self.counts[first:first + n], self.many[first:first + n], self.hits[first:first + n] = counts, many, 1
+        self.start[first:first + n] = self.used + np.cumsum(many) - many
+        self.used += len(pairs)
 
     def add(self, keys: list[str], units: list[Unit]):
         first = len(self.text)
@@ -175,21 +215,42 @@ class UnitTable:
             self.counts[first + np.array(good)] = [units[k].counts for k in good]
         self.used += total
 
-    def block(self, units: list[str]) -> list:
+    def block(self, units: list[str]) -> list | None:
         """[counts, groups as bytes, pairs, links] of consecutive units, or None where some do not spell their text."""
-        new = set(units).difference(self.place)
-        if any(len(u) > UNIT_CHARS for u in new) or len(units) > TABLE_UNITS:
-            own = [Unit(self.tools, u, *self.tools.encode([u])[0]) for u in units]        # long units are not kept
-            if not all(u.good for u in own):
-                return None
-            return [np.array([u.counts for u in own], np.int64).sum(0), b";".join(u.text for u in own),
-                    np.array([p for u in own for p in u.pairs], np.int64), np.array([n for u in own for n in u.links], np.int64)]
-        if len(self.text) + len(new) > TABLE_UNITS:
-            self.clear()
-            new = set(units)
+        found = []
+        for long, run in groupby(units, lambda u: len(u) > UNIT_CHARS):
+            if long:                                                # not kept
+                for u in run:
+                    unit = Unit(self.tools, u, *self.tools.encode([u])[0])
+                    found.append([np.array(unit.counts), unit.text, np.array(unit.pairs, np.int64), np.array(unit.links, np.int64)]
+                                 if unit.good else None)
+            else:
+                run, step = list(run), max(1, TABLE_UNITS // 4)
+                found += [self.known(run[k:k + step]) for k in range(0, len(run), step)]
+        if None in found:
+            return None
+        if len(found) == 1:
+            return found[0]
+        counts, text, pairs, links = zip(*found)
+        return [np.sum(counts, 0), b";".join(text), np.concatenate(pairs), np.concatenate(links)]
+
+    def known(self, units: list[str]) -> list | None:
+        """As ``block``, through the table."""
+        parts = []
+        for u in units:
+            if u[-1] in self.tools.tails and u[-2:-1].isalpha():
+                parts += u[:-1], u[-1]
+            else:
+                parts.append(u)
+        new = set(parts).difference(self.place)
+        for forget in (self.shrink, self.clear):
+            if len(self.text) + len(new) > TABLE_UNITS:
+                forget()
+                new = set(parts).difference(self.place)
         if new := list(new):
-            self.add(new, [Unit(self.tools, u, a, b) for u, (a, b) in zip(new, self.tools.encode(new))])
-        at = np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+            self.add(new, [Unit(self.tools, u, a, b) for u, (a, b) in zip(new, self.tools.encode_units(new))])
+        at = np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
+        self.hits[at] += 1
         texts = [self.text[i] for i in at.tolist()]
         if None in texts:
             return None
