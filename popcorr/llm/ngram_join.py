@@ -28,15 +28,19 @@ shingles of one set, rare, frequent, each by hash.
   the one below.
 
 Joining.  Never all pairs of a group first: each indexed group links its members
-to one of them only (a star around the one with the largest shared part), and the
-components of the verified links follow.  Only pairs of a group that lie in
-different components are left then; while those are many, further stars around
-members of other components come first.  What is left is tested pair by pair,
-large groups by blocks of members.  The shared part of a set bounds its overlap
-with any other, and a pair's common shingles among the least third of both sets
-bound theirs; only pairs that pass are verified on whole sets.  A group of
-thousands of near copies is thus settled by a few pairs a member, and every pair
-between components that could link is still tested.
+to one of them only (a star around its hub, the member with the largest shared
+part), and the components of the verified links follow.  Only pairs of a group
+that lie in different components are left then; large groups of one hub are one
+bundle, so that their pairs are made once.  While the pairs of bundles are many,
+further stars around members of their largest components come first.  What is left
+is tested pair by pair, large groups by blocks of members.  The shared part of a
+set bounds its overlap with any other; with the exact overlaps c of both with
+their hub, and the shared parts outside of it, the bound of a pair x, y is
+    min(c(x), c(y)) + min(m(x) - c(x), m(y) - c(y));
+and a pair's common shingles among the least third of both sets bound theirs; only
+pairs that pass are verified on whole sets.  A group of thousands of near copies
+is thus settled by a few pairs a member, and every pair between components that
+could link is still tested.
 
 Null or empty texts and texts without words have an empty set, 0 shingles,
 and are linked with nothing.  Repeated rows are linked like equal texts.
@@ -66,13 +70,13 @@ CLASS_SIZE, LARGE, BLOCK = 16, 64, 2048
 #: Shingles of a bucket on average, and the least number of buckets (a power of two).
 BUCKET_SHINGLES, LEAST_BUCKETS = 2_000_000, 64
 #: Shingles a task packs together, and sets it remembers to skip repeats; rows of an Arrow batch; rows a later task gathers.
-TASK_SHINGLES, TASK_SETS, BATCH_ROWS, TASK_ROWS = 2_000_000, 500_000, 1000, 400_000
+TASK_SHINGLES, TASK_SETS, BATCH_ROWS, TASK_ROWS = 1_000_000, 500_000, 1000, 400_000
 #: Of each set this part, by hash order, is compared first.
 PREFIX_PART = 3
 #: Rows that may be broadcast (two numbers each).
 BROADCAST_ROWS = 1_000_000
-#: Pairs between components for every row of large groups up to which they are tested at once; stars at most before that.
-OPEN_PAIRS, STARS = 4, 4
+#: Pairs between components for every member of a bundle up to which they are tested at once; further stars before that.
+OPEN_PAIRS, STARS = 32, 2
 
 
 def set_keys(value: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -350,70 +354,72 @@ def _ordered(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def stars(rows: DataFrame, again: int = 0) -> DataFrame:
-    """(a, b): members of each group with one of them, where the two can link; only pairs of different components.
+def hubs(rows: DataFrame) -> DataFrame:
+    """(hub, ref, n, m, hub_n, hub_m, large): every member of a group (signature, size, ref, n, m) with the group's hub, once."""
+    best = F.max(F.struct((F.col("m") * 1000 / F.col("n")).cast("long").alias("share"), "ref", "n", "m"))
+    chosen = cut_lineage(rows.groupBy("signature").agg(best.alias("hub")), "join_hubs")
+    both = rows.join(chosen, "signature").where(F.col("ref") != F.col("hub.ref"))
+    out = (both.groupBy(F.col("hub.ref").alias("hub"), "ref")
+           .agg(*[F.min(c).alias(c) for c in ("n", "m")], F.min("hub.n").alias("hub_n"), F.min("hub.m").alias("hub_m"),
+                F.max(F.col("size") > LARGE).alias("large")))
+    out = cut_lineage(out, "join_stars")
+    release(chosen)
+    return out
 
-    ``rows``: signature, ref, n, m, component.  The one is the member of the largest shared part; ``again`` and again,
-    it is another member of the group's largest component, for those outside of it.
-    """
-    if again:
-        per = rows.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("c"))
-        main = per.groupBy("signature").agg(F.max(F.struct("c", "component")).alias("x")).select("signature", F.col("x.component").alias("main"))
-        main = cut_lineage(main, "join_main")
-        choice = rows.join(main, "signature").where(F.col("component") == F.col("main"))
-        first = F.xxhash64("ref", F.lit(again))
-    else:
-        choice, first = rows, (F.col("m") * 1000 / F.col("n")).cast("long")
-    best = F.max(F.struct(first.alias("first"), "ref", "n", "m", "component"))
-    hubs = cut_lineage(choice.groupBy("signature").agg(best.alias("hub")), "join_hubs")
-    both = rows.join(hubs, "signature").where((F.col("ref") != F.col("hub.ref")) & (F.col("component") != F.col("hub.component"))
-                                              & fits(F.col("n"), F.col("m"), F.col("hub.n"), F.col("hub.m")))
-    out = cut_lineage(both.select(*_ordered(F.col("ref"), F.col("hub.ref"))).distinct(), "join_stars")
-    release(hubs, *([main] if again else []))
+
+def again(rows: DataFrame, seed: int) -> DataFrame:
+    """(a, b): the members of each bundle outside of its largest component with one member of that, where the two can link."""
+    per = rows.groupBy("grp", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = cut_lineage(per.groupBy("grp").agg(F.max(F.struct("c", "component")).alias("x")).select("grp", F.col("x.component").alias("main")), "join_main")
+    both = rows.join(main, "grp")
+    one = both.where(F.col("component") == F.col("main")).groupBy("grp").agg(
+        F.max(F.struct(F.xxhash64("ref", F.lit(seed)).alias("first"), "ref", "n", "m")).alias("hub"))
+    one = cut_lineage(one, "join_hubs")
+    out = both.where(F.col("component") != F.col("main")).join(one, "grp").where(fits(F.col("n"), F.col("m"), F.col("hub.n"), F.col("hub.m")))
+    out = cut_lineage(out.select(*_ordered(F.col("ref"), F.col("hub.ref"))).distinct(), "join_pairs")
+    release(main, one)
     return out
 
 
-def open_pairs(rows: DataFrame, sizes: DataFrame, tasks: int) -> DataFrame:
+def open_pairs(rows: DataFrame, tasks: int) -> DataFrame:
     """(a, b): pairs of groups that lie in different components and can link.
 
-    ``rows``: signature, ref, n, m, component; ``sizes``: signature, size.  Groups above ``BLOCK`` members are dealt in
-    blocks, each pair of blocks by itself, so a task holds two blocks of a group at most.
+    ``rows``: kind, grp, size, ref, n, m, c (the overlap with the group's hub, 0 for no bound by it), component.  Groups
+    above ``BLOCK`` members are dealt in blocks, each pair of blocks by itself, so a task holds two blocks of a group at most.
     """
-    least = BLOCK
-    blocks = F.ceil(F.col("size") / least).cast("int")
-    rows = rows.join(sizes, "signature").withColumn("blocks", blocks)
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("ref", F.lit(7)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("signature", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "ref", "n", "m",
+    rows = rows.select("kind", "grp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "ref", "n", "m", "c",
                        F.xxhash64("component").alias("component"), "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(i).to_numpy() for i in range(8)] for b in batches if b.num_rows]
+        parts = [[b.column(i).to_numpy() for i in range(10)] for b in batches if b.num_rows]
         if not parts:
             return
-        sig, x, y, ref, n, m, part, own = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((n, y, x, sig))
-        sig, x, y, ref, n, m, part, own = (c[order] for c in (sig, x, y, ref, n, m, part, own))
-        first = _runs(sig, x, y)
+        kind, grp, x, y, ref, n, m, c, part, own = (np.concatenate(z) for z in zip(*parts))
+        order = np.lexsort((n, y, x, grp, kind))
+        kind, grp, x, y, ref, n, m, c, part, own = (z[order] for z in (kind, grp, x, y, ref, n, m, c, part, own))
+        first = _runs(kind, grp, x, y)
         a, b, held = [], [], 0
 
         def out():
             both = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
 
-        for lo, hi in zip(first, np.append(first[1:], len(sig))):
+        for lo, hi in zip(first, np.append(first[1:], len(grp))):
             if hi - lo < 2 or (part[lo:hi] == part[lo]).all():
                 continue
-            k, s, o, c, w = ref[lo:hi], n[lo:hi], m[lo:hi], part[lo:hi], own[lo:hi]
+            k, s, o, h, p, w = ref[lo:hi], n[lo:hi], m[lo:hi] - c[lo:hi], c[lo:hi], part[lo:hi], own[lo:hi]
             upto = np.searchsorted(s * NUMERATOR, s * DENOMINATOR, "right")         # sizes 75 |y| <= 100 |x|
             for at in range(0, len(k), 512):
                 mine = np.arange(at, min(at + 512, len(k)))
                 many = np.maximum(upto[mine] - mine - 1, 0)
                 i, j = np.repeat(mine, many), T.ragged(mine + 1, many)
-                # two blocks: only pairs across them; one block: all
-                good = (c[i] != c[j]) & (np.minimum(o[i], o[j]) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (s[i] + s[j]))
+                most = np.minimum(h[i], h[j]) + np.minimum(o[i], o[j])
+                good = (p[i] != p[j]) & (most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (s[i] + s[j]))
                 if x[lo] != y[lo]:
-                    good &= w[i] != w[j]
+                    good &= w[i] != w[j]                                            # one block each
                 i, j = i[good], j[good]
                 a.append(np.minimum(k[i], k[j]))
                 b.append(np.maximum(k[i], k[j]))
@@ -424,7 +430,7 @@ def open_pairs(rows: DataFrame, sizes: DataFrame, tasks: int) -> DataFrame:
         if held:
             yield out()
 
-    return rows.repartition(tasks, "signature", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.repartition(tasks, "kind", "grp", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def overlap_bound(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> int:
@@ -462,44 +468,49 @@ def fetch(thin: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, f"ref bigint, key {KEY}, n bigint, shingles binary").dropDuplicates(["ref", "key"])
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame, what) -> DataFrame:
+    """``pairs`` (a, b) with the keys, sizes and a part of both sets: a, b, a_key, b_key, nx, ny, x, y."""
+    side = lambda k, x: sets.select(F.col("ref").alias(k), F.col("key").alias(f"{k}_key"), F.col("n").alias(f"n{x}"), what.alias(x))
+    return pairs.select("a", "b").join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "a_key", "b_key", "nx", "ny", "x", "y")
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, a_key, b_key, common, united) of all pairs of refs, by whole sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            common = np.zeros(batch.num_rows, np.int64)
+            for i in range(batch.num_rows):
+                x = np.frombuffer(batch.column(6)[i].as_buffer(), T.U64)
+                y = np.frombuffer(batch.column(7)[i].as_buffer(), T.U64)
+                if len(x) > len(y):
+                    x, y = y, x
+                common[i] = (y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()
+            united = batch.column(4).to_numpy() + batch.column(5).to_numpy() - common
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(common), pa.array(united)], ["a", "b", "a_key", "b_key", "common", "united"])
+
+    return _with_sets(pairs, sets, F.col("shingles")).mapInArrow(run, f"a bigint, b bigint, a_key {KEY}, b_key {KEY}, common bigint, united bigint")
+
+
+def linked(tested: DataFrame) -> DataFrame:
+    """(a, b, common, united), a and b as keys, of the tested pairs that link."""
+    return (tested.where(F.col("common") * DENOMINATOR >= F.col("united") * NUMERATOR)
+            .select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), "common", "united"))
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, common, united) of the pairs of refs that link, a and b as keys: by the least third of both sets, then whole ones."""
+    """The links among pairs of refs: by the least third of both sets, then by whole ones."""
     third = F.expr(f"substring(shingles, 1, cast(8 * (n div {PREFIX_PART} + 1) as int))")
-    side = lambda k, x, what: sets.select(F.col("ref").alias(k), F.col("key").alias(f"{k}_key"), F.col("n").alias(f"n{x}"), what.alias(x))
-    both = pairs.join(side("b", "y", third), "b").join(side("a", "x", third), "a").select("a", "b", "nx", "x", "ny", "y")
 
     def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nx, ny = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            nx, ny = batch.column(4).to_numpy(), batch.column(5).to_numpy()
             rows = [i for i in range(batch.num_rows) if (NUMERATOR + DENOMINATOR) * overlap_bound(
-                np.frombuffer(batch.column(3)[i].as_buffer(), T.U64), int(nx[i]),
-                np.frombuffer(batch.column(5)[i].as_buffer(), T.U64), int(ny[i])) >= NUMERATOR * int(nx[i] + ny[i])]
+                np.frombuffer(batch.column(6)[i].as_buffer(), T.U64), int(nx[i]),
+                np.frombuffer(batch.column(7)[i].as_buffer(), T.U64), int(ny[i])) >= NUMERATOR * int(nx[i] + ny[i])]
             yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(rows, pa.int64())) for k in (0, 1)], ["a", "b"])
 
-    near = cut_lineage(both.mapInArrow(plausible, "a bigint, b bigint").distinct(), "join_near")
-    whole = F.col("shingles")
-    both = near.join(side("b", "y", whole), "b").join(side("a", "x", whole), "a").select("a_key", "b_key", "x", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, common, united = [], [], []
-            for i in range(batch.num_rows):
-                x = np.frombuffer(batch.column(2)[i].as_buffer(), T.U64)
-                y = np.frombuffer(batch.column(3)[i].as_buffer(), T.U64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                c = int((y[at] == x).sum())
-                u = len(x) + len(y) - c
-                if DENOMINATOR * c >= NUMERATOR * u:
-                    rows.append(i)
-                    common.append(c)
-                    united.append(u)
-            take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(common, pa.int64()), pa.array(united, pa.int64())],
-                                             ["a", "b", "common", "united"])
-
-    out = cut_lineage(both.mapInArrow(run, f"a {KEY}, b {KEY}, common bigint, united bigint").distinct(), "join_links")
+    near = cut_lineage(_with_sets(pairs, sets, third).mapInArrow(plausible, "a bigint, b bigint").distinct(), "join_near")
+    out = cut_lineage(linked(overlaps(near, sets)), "join_links")
     release(near)
     return out
 
@@ -521,8 +532,6 @@ def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     bits = min(24, max(LEAST_BUCKETS, size // 6 // BUCKET_SHINGLES).bit_length() - 1)
     seen = cut_lineage(survey(thin, bits), "join_survey")
     members = seen.select("id", F.col("n").alias("n_shingles"), "key")
-    nothing = docs.sparkSession.createDataFrame([], f"a {KEY}, b {KEY}, common bigint, united bigint")
-
     common = cut_lineage(shared(occurrences(thin, bits), bits), "join_shared")
     sizes = seen.where("n > 0").groupBy("ref").agg(F.min("n").alias("n"), F.max("heads").alias("heads"), F.min("text_hash").alias("text_hash"))
     # sets with more than a quarter of their shingles to themselves link with none
@@ -536,45 +545,55 @@ def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     release(common)
 
     groups = cut_lineage(found.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "join_groups")
-    rows = cut_lineage(found.join(groups.drop("size"), "signature").withColumn("component", F.col("ref").cast(KEY)), "join_rows")
-    release(found)
+    rows = cut_lineage(found.join(groups, "signature"), "join_rows")
+    release(found, groups)
     wanted = cut_lineage(opened.join(rows.select("ref").distinct(), "ref").select("ref", "text_hash"), "join_wanted")
     sets = cut_lineage(fetch(thin, wanted), "join_sets")
     release(opened, wanted)
 
-    tested, links, parts, now = [], nothing, None, rows
+    star = hubs(rows)
+    can = fits(F.col("n"), F.col("m"), F.col("hub_n"), F.col("hub_m"))
+    tested = cut_lineage(overlaps(star.where(can).select(F.col("hub").alias("a"), F.col("ref").alias("b")), sets), "join_tested")
+    links = cut_lineage(linked(tested), "join_links")
+    done = [cut_lineage(tested.select(*_ordered(F.col("a"), F.col("b"))).distinct(), "join_pairs")]
+
+    # small groups as they are, large ones by hub with the overlaps with it
+    small = rows.where(F.col("size") <= LARGE).select(F.lit(0).alias("kind"), F.col("signature").alias("grp"), "ref", "n", "m", F.lit(0).cast("long").alias("c"))
+    least = F.coalesce(F.col("common"), F.least("m", "hub_m"))
+    known = tested.groupBy(F.col("a").alias("hub"), F.col("b").alias("ref")).agg(F.max("common").alias("common"))
+    large = star.where("large").join(known, ["hub", "ref"], "left").select(
+        F.lit(1).alias("kind"), F.col("hub").alias("grp"), "ref", "n", "m", F.least(least, F.col("m")).alias("c"))
+    members_of = cut_lineage(small.unionByName(large), "join_bundles")
+    release(rows, star, tested)
+
     for k in range(STARS + 1):
-        if k:
-            parts = cut_lineage(components(links.select("a", "b")), "join_parts")
-            named = (sets.select("ref", "key").join(parts.withColumnRenamed("node", "key"), "key", "left")
-                     .select("ref", F.coalesce("component", "key").alias("component")))
-            now = rows.drop("component").join(named, "ref")
-            per = now.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("c"))
-            per = per.groupBy("signature").agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count(F.lit(1)).alias("parts"))
-            mixed = cut_lineage(per.where("parts > 1").withColumn("open", F.expr("(size * size - same) div 2")), "join_mixed")
-            now = cut_lineage(now.join(mixed.select("signature"), "signature"), "join_open")
-            large = F.col("size") > LARGE
-            count, of_large, pairs = mixed.agg(F.sum("size"), F.sum(F.when(large, F.col("size"))), F.sum(F.when(large, F.col("open")))).first()
-            if not count:
-                release(now, mixed, parts)
-                break
-            if k == STARS or (pairs or 0) <= OPEN_PAIRS * (of_large or 0):
-                rest = open_pairs(now, mixed.select("signature", "size"), max(8, -(-count // TASK_ROWS)))
-                for t in tested:
-                    rest = rest.join(t, ["a", "b"], "left_anti")
-                rest = cut_lineage(rest, "join_pairs")
-                links = links.unionByName(verify(rest, sets))
-                release(rest, now, mixed, parts)
-                break
-        star = stars(now.join(mixed.where(large).select("signature"), "signature"), k) if k else stars(now)
-        for t in tested:
-            star = star.join(t, ["a", "b"], "left_anti")
-        star = cut_lineage(star, "join_pairs") if tested else star
-        tested.append(star)
-        links = links.unionByName(verify(star, sets))
-        if k:
-            release(now, mixed, parts)
-    release(rows, groups, sets, *tested)
+        parts = cut_lineage(components(links.select("a", "b")), "join_parts")
+        named = (sets.select("ref", "key").join(parts.withColumnRenamed("node", "key"), "key", "left")
+                 .select("ref", F.coalesce("component", "key").alias("component")))
+        now = cut_lineage(members_of.join(named, "ref"), "join_named")
+        per = now.groupBy("kind", "grp", "component").agg(F.count(F.lit(1)).alias("c"))
+        per = per.groupBy("kind", "grp").agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count(F.lit(1)).alias("parts"))
+        mixed = cut_lineage(per.where("parts > 1").select("kind", "grp", "size", F.expr("(size * size - same) div 2").alias("open")), "join_mixed")
+        bundles = F.col("kind") == 1
+        count, of_bundles, pairs = mixed.agg(F.sum("size"), F.sum(F.when(bundles, F.col("size"))), F.sum(F.when(bundles, F.col("open")))).first()
+        now_open = cut_lineage(now.join(mixed.drop("open"), ["kind", "grp"]), "join_open")
+        release(parts, now, mixed)
+        if not count:
+            release(now_open)
+            break
+        if last := k == STARS or (pairs or 0) <= OPEN_PAIRS * (of_bundles or 0):
+            more = open_pairs(now_open, max(8, -(-count // TASK_ROWS)))
+        else:
+            more = again(now_open.where(bundles), k + 1)
+        for d in done:
+            more = more.join(d, ["a", "b"], "left_anti")
+        more = cut_lineage(more, "join_pairs")
+        done.append(more)
+        links = links.unionByName(verify(more, sets))
+        release(now_open)
+        if last:
+            break
+    release(members_of, sets, *done)
     return members, links
 
 
