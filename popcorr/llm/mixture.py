@@ -12,8 +12,6 @@ skipped.  When none that is left fits, one closing document - the one whose size
 is nearest to the words still missing - is added if that brings the source nearer
 to its target.  U is a hash of the document id, so reruns agree.  The source's
 own odds are the same for all its documents and cancel in the order.
-With ``skip=False`` the order ends for good at the first document that does not
-fit, as the SQL of ``op6_mixing`` says; a source may then stay far from its target.
 
 A source may hold a third of all rows, so no source is ever sorted in one
 task: words are summed per (source, rank bucket) first, the bucket in which
@@ -109,7 +107,7 @@ def _gaps(chosen: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        seed: str = SEED, skip: bool = True) -> DataFrame:
+        seed: str = SEED) -> DataFrame:
     """(id, source, size, source_size, target, copies) for every row of ``docs``."""
     sizes = cut_lineage(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                                     word_count(F.col(text_col)).alias("size"),
@@ -133,7 +131,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ranked = ranked.withColumn("extra", F.lit(0))
     chosen = cut_lineage(_take(ranked.withColumn("room", F.col("rest")), F.col("size") > 0, small).select(*keep), "mix_chosen")
     gap = cut_lineage(_gaps(chosen), "mix_gaps")
-    while skip:
+    while True:
         fits = (F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("room"))
         rows = chosen.join(small(gap), chosen["source"].eqNullSafe(gap["_s"])).drop("_s").withColumnRenamed("gap", "room")
         if rows.where(fits).isEmpty():

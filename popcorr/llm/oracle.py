@@ -39,7 +39,7 @@ JOIN f n ON n.doc_id = e.next_id AND n.kind = 0"""
 _WEIGHT = "CAST(CASE " + " ".join(f"WHEN (i - 1) % {len(mixture.WEIGHTS)} = {k} THEN {w}" for k, w in enumerate(mixture.WEIGHTS)) + " END AS BIGINT)"
 
 MIXING = f"""
-WITH sizes AS (
+WITH RECURSIVE sizes AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
          (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || '|{mixture.SEED}'), 1, 13) AS BIGINT)::DOUBLE + 0.5::DOUBLE)
            / 4503599627370496.0::DOUBLE AS u FROM documents),
@@ -56,8 +56,13 @@ per AS (SELECT *, CASE WHEN s > 0 THEN CAST(floor(target / s) AS BIGINT) ELSE 0
 r AS (SELECT z.doc_id, z.source, z.size, p.s, p.target, p.base, p.target - p.base * p.s AS rest,
              (z.u / (1 - z.u)) / sqrt(z.size / (p.s / p.n)) AS rank
       FROM sizes z JOIN per p ON z.source IS NOT DISTINCT FROM p.source),
-ranked AS (SELECT *, CAST(sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM r WHERE size > 0),
-chosen AS (SELECT *, upto <= rest AS extra FROM ranked),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY rank, doc_id) AS k FROM r WHERE size > 0),
+walk AS (SELECT source, rest, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS got, CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS BIGINT) AS size, false AS extra
+         FROM (SELECT source, any_value(rest) AS rest FROM ranked GROUP BY source)
+         UNION ALL
+         SELECT w.source, w.rest, n.k, w.got + CASE WHEN n.size <= w.rest - w.got THEN n.size ELSE 0 END, n.doc_id, n.size, n.size <= w.rest - w.got
+         FROM walk w JOIN ranked n ON n.source IS NOT DISTINCT FROM w.source AND n.k = w.k + 1),
+chosen AS (SELECT * FROM walk WHERE k > 0),
 gap AS (SELECT source, any_value(rest) - CAST(coalesce(sum(size) FILTER (extra), 0) AS BIGINT) AS gap FROM chosen GROUP BY source),
 closing AS (SELECT doc_id FROM (
   SELECT c.doc_id, row_number() OVER (PARTITION BY c.source ORDER BY abs(g.gap - c.size), c.doc_id) AS k
