@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -43,10 +44,10 @@ from popcorr.operators.rank import rank_within
 from popcorr.session import cut_lineage
 
 LIMIT, END = 2048, 1
-#: What stands between words that are encoded together, and signs that are looked up apart from the word they follow.
-MARK, TAILS = "\x01", (b".", b",")
-#: Bytes of a text looked up together, words in a task's table, and the longest word (bytes) kept there.
-BLOCK_BYTES, TABLE_WORDS, TABLE_BYTES = 1 << 18, 1_000_000, 64
+#: What stands between words that are encoded together; a comma or stop after a letter, a token of its own, at a word's end.
+MARK, TAIL = "\x01", re.compile(rb"(?<=[A-Za-z])[.,](?![^\x20\x09-\x0D])")
+#: Bytes of a text looked up together, words in a task's table, and their bytes.
+BLOCK_BYTES, TABLE_WORDS, TABLE_BYTES = 1 << 18, 1_000_000, 32 << 20
 #: Rows of an Arrow batch of texts, and tokens a task gathers before it sends pieces on.
 BATCH_ROWS, BATCH_TOKENS = 500, 1 << 20
 
@@ -71,6 +72,17 @@ def words_are_apart(path: str) -> tuple[bool, bool]:
     return drops and marks and set(kinds) <= {"NFC", "Replace", "Lowercase"}, "Lowercase" in kinds
 
 
+class Places(dict):
+    """word -> its place; a new word gets the next one and is noted in ``new``."""
+
+    new: list[bytes]
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
+
+
 class WordIds:
     """The ids of texts by a table of words; ``blocks`` gives them part by part."""
 
@@ -87,7 +99,8 @@ class WordIds:
         self.clear()
 
     def clear(self):
-        self.place: dict[bytes, int] = {}
+        self.place = Places()
+        self.place.new, self.bytes = [], 0
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.count, self.hits = (np.zeros(TABLE_WORDS, np.int64) for _ in range(3))
 
@@ -101,7 +114,8 @@ class WordIds:
         start, count = self.start[keep], self.count[keep]
         ids = self.ids[T.ragged(start, count)]
         self.clear()
-        self.place = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.place.update((words[k], i) for i, k in enumerate(keep.tolist()))
+        self.bytes = sum(map(len, self.place))
         self.ids, self.used = np.concatenate((ids, self.ids)), len(ids)
         self.start[:len(keep)], self.count[:len(keep)], self.hits[:len(keep)] = np.cumsum(count) - count, count, 1
 
@@ -109,7 +123,7 @@ class WordIds:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[bytes]):
-        """Gives new words to the library as one text, with a mark between them that is a word and a token of its own."""
+        """Gives the words that got the last places to the library as one text, with a mark between them that is a word and a token of its own."""
         texts = [w.decode("utf-8") for w in words]
         ids = np.array(self.encode([f" {MARK} ".join(texts)])[0], np.uint32)
         cuts = np.flatnonzero(ids == self.mark) if self.mark is not None else []
@@ -119,8 +133,8 @@ class WordIds:
         else:
             count = np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1
             ids = np.delete(ids, cuts)
-        first = len(self.place)
-        self.place.update(zip(words, range(first, first + len(words))))
+        first = len(self.place) - len(words)
+        self.bytes += sum(map(len, words))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         self.ids[self.used:self.used + len(ids)] = ids
@@ -128,16 +142,17 @@ class WordIds:
         self.used += len(ids)
 
     def of_words(self, words: list[bytes]) -> np.ndarray:
-        new = set(words).difference(self.place)
-        if any(len(w) > TABLE_BYTES for w in new):                 # long words are not kept
-            return np.array([i for w in words for i in self.encode([w.decode("utf-8")])[0]], np.uint32)
-        for forget in (self.shrink, self.clear):
-            if len(self.place) + len(new) > TABLE_WORDS:
-                forget()
-                new = set(words).difference(self.place)
-        if new:
-            self.learn(list(new))
+        if len(self.place) + len(words) > TABLE_WORDS:
+            self.shrink()
+        if len(self.place) + len(words) > TABLE_WORDS or self.bytes > TABLE_BYTES:
+            self.clear()
+        if len(words) > TABLE_WORDS:
+            half = len(words) // 2
+            return np.concatenate((self.of_words(words[:half]), self.of_words(words[half:])))
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        if self.place.new:
+            self.learn(self.place.new)
+            self.place.new = []
         self.hits[at] += 1
         return self.ids[T.ragged(self.start[at], self.count[at])]
 
@@ -156,15 +171,7 @@ class WordIds:
             if self.lowers and not any(x in part for x in (b"<|", b"\xcc", b"\xcd")):
                 part = part.lower()
             # bytes.split cuts at space and U+0009 to U+000D, all of which the tokenizer drops
-            words = []
-            for w in part.split():
-                # a comma or stop after a letter is a token of its own
-                if w[-1:] in TAILS and w[-2:-1].isalpha():
-                    words.append(w[:-1])
-                    words.append(w[-1:])
-                else:
-                    words.append(w)
-            yield self.of_words(words)
+            yield self.of_words(TAIL.sub(rb" \g<0>", part).split())
             at = stop
 
 

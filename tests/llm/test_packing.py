@@ -73,8 +73,8 @@ def test_pieces_of_every_row(spark, edge, edge_list, library):
 
 def test_blocks_and_tables_change_nothing(spark, edge, edge_list, library, monkeypatch):
     monkeypatch.setattr(P, "BLOCK_BYTES", 50)
-    monkeypatch.setattr(P, "TABLE_WORDS", 40)
-    monkeypatch.setattr(P, "TABLE_BYTES", 40)
+    monkeypatch.setattr(P, "TABLE_WORDS", 30)
+    monkeypatch.setattr(P, "TABLE_BYTES", 500)
     words = P.WordIds(PATH)
     shrunk = []
     monkeypatch.setattr(words, "shrink", lambda f=words.shrink: (f(), shrunk.append(len(words.place))))
