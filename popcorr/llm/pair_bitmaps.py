@@ -41,7 +41,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, groupby
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +64,6 @@ SHIFT = 1 << 24
 #: Pairs of a group from which on ids that repeat in it are counted (a long run without a common end has many).
 GROUP_PAIRS = 1 << 12
 
-SIGNS = (".", ",")
 #: Where a text may be cut: before a space, unless a space precedes it or white space follows.
 CUT = re.compile(r"(?<! ) (?=\S)")
 
@@ -93,30 +92,22 @@ class Tokenizers:
                         for p in pieces]
         #: Whether B never joins a character with a space after it.
         self.apart = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        #: Signs that neither tokenizer joins with a letter before them (A's split parts all signs from letters): their own ids.
-        self.tails = {}
-        for c in SIGNS if self.apart else ():
-            (a, b), (stem_a, stem_b) = self.encode([" a" + c])[0], self.encode([" a"])[0]
-            if (not any(re.search(r"[^\W\d_]" + re.escape(c), p) for p in pieces)
-                    and a[:-1] == stem_a and b[:-1] == stem_b and self.bytes_a[a[-1]] == self.bytes_b[b[-1]] == c.encode()):
-                self.tails[c] = a[-1:], b[-1:]
+        self.size_a, self.size_b = (np.array([len(x) for x in y], np.int64) for y in (self.bytes_a, self.bytes_b))
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """(A ids, B ids) of texts that begin with a space."""
         a = self.a.encode_batch_fast(texts, add_special_tokens=False)
         return list(zip([e.ids for e in a], self.b.encode([t[1:] for t in texts], num_threads=1)))
 
-    def encode_units(self, units: list[str]) -> list[tuple[list[int], list[int]]]:
-        """As ``encode`` for units, which do not depend on their neighbours: A reads them as one text."""
-        ids = np.array(self.a.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, np.int64)
-        ends = np.cumsum(self.size_a[ids])
-        wanted = np.cumsum([len(u.encode("utf-8")) for u in units])
-        cut = np.searchsorted(ends, wanted)
-        if not len(ids) or cut[-1] >= len(ids) or (ends[cut] != wanted).any():
-            return self.encode(units)
-        ids, cut = ids.tolist(), [0, *(cut + 1).tolist()]
-        return list(zip([ids[i:j] for i, j in zip(cut, cut[1:])], self.b.encode([u[1:] for u in units], num_threads=1)))
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The A ids and B ids of units, which do not depend on their neighbours, read as one text; None if they do not spell it."""
+        text = "".join(units)
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text[1:])
+        raw = text.encode("utf-8")
+        if b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b)):
+            return np.array(a, np.int64), np.array(b, np.int64)
+        return None
 
 
 def linked(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
@@ -164,20 +155,31 @@ class Unit:
         self.counts = len(a), len(b), len(parts), sum(self.links)
 
 
+class Places(dict):
+    """unit -> its place; a new unit gets the next one and is noted in ``new``."""
+
+    new: list[str]
+
+    def __missing__(self, unit: str) -> int:
+        place = self[unit] = len(self)
+        self.new.append(unit)
+        return place
+
+
 class UnitTable:
-    """Units met so far, their pairs in one array; emptied when full."""
+    """Units met so far, their pairs in one array; when full, it keeps those that came again."""
 
     def __init__(self, path_a: str, path_b: str):
         self.tools = Tokenizers(path_a, path_b)
         self.clear()
 
     def clear(self):
-        self.place: dict[str, int] = {}
+        self.place = Places()
+        self.place.new = []
         self.text: list[bytes | None] = []
         self.counts = np.zeros((TABLE_UNITS, 4), np.int64)
         self.start, self.many, self.hits = (np.zeros(TABLE_UNITS, np.int64) for _ in range(3))
         self.pairs, self.links, self.used = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64), 0
-        self.add(list(self.tools.tails), [Unit(self.tools, c, *ids) for c, ids in self.tools.tails.items()])
 
     def shrink(self):
         """Keeps the units that came again, if they fill less than half of the table; else the more frequent of them."""
@@ -185,38 +187,58 @@ class UnitTable:
         keep = np.flatnonzero(hits > 1)
         if 2 * len(keep) > TABLE_UNITS:
             keep = np.flatnonzero(hits > np.median(hits[keep]))
-        keep = keep[keep >= len(self.tools.tails)]                # these are there anyway
         text, counts, start, many = [self.text[k] for k in keep.tolist()], self.counts[keep], self.start[keep], self.many[keep]
         rows = T.ragged(start, many)
         pairs, links = self.pairs[rows], self.links[rows]
         self.clear()
-        first, n = len(self.text), len(keep)
-        self.place.update((units[k], first + i) for i, k in enumerate(keep.tolist()))
-        self.text += text
-        self.pairs, self.links = (np.concatenate((x[:self.used], y, x)) for x, y in ((self.pairs, pairs), (self.links, links)))
-        self.counts[first:first + n], self.many[first:first + n], self.hits[first:first + n] = counts, many, 1
-        self.start[first:first + n] = self.used + np.cumsum(many) - many
-        self.used += len(pairs)
-
-    def add(self, keys: list[str], units: list[Unit]):
-        first = len(self.text)
-        good = [k for k, u in enumerate(units) if u.good]
-        self.place.update(zip(keys, range(first, first + len(keys))))
-        self.text += [u.text if u.good else None for u in units]
-        many = np.zeros(len(units), np.int64)
-        many[good] = [len(units[k].pairs) for k in good]
-        rows, total = slice(first, first + len(units)), int(many.sum())
+        self.place.update((units[k], i) for i, k in enumerate(keep.tolist()))
+        self.put(text, counts, many, pairs, links)
+        self.hits[:len(keep)] = 1
+
+    def put(self, text: list[bytes | None], counts, many: np.ndarray, pairs, links):
+        """What belongs to the units of the next places."""
+        rows, total = slice(len(self.text), len(self.text) + len(text)), len(pairs)
         while self.used + total > len(self.pairs):
             self.pairs, self.links = (np.concatenate((x, np.zeros_like(x))) for x in (self.pairs, self.links))
-        self.pairs[self.used:self.used + total] = np.fromiter(chain.from_iterable(units[k].pairs for k in good), np.int64, total)
-        self.links[self.used:self.used + total] = np.fromiter(chain.from_iterable(units[k].links for k in good), np.int64, total)
-        self.many[rows], self.start[rows] = many, self.used + np.cumsum(many) - many
-        if good:
-            self.counts[first + np.array(good)] = [units[k].counts for k in good]
+        self.pairs[self.used:self.used + total], self.links[self.used:self.used + total] = pairs, links
+        self.counts[rows], self.many[rows], self.start[rows] = counts, many, self.used + np.cumsum(many) - many
+        self.text += text
         self.used += total
 
+    def learn(self, units: list[str]):
+        """The units that got the last places, all at once: where tokens of both end, groups end."""
+        ids = self.tools.encode_units(units) if self.tools.apart else None
+        if ids is None:
+            own = [Unit(self.tools, u, *x) for u, x in zip(units, self.tools.encode(units))]
+            return self.put([u.text if u.good else None for u in own], [u.counts if u.good else (0, 0, 0, 0) for u in own],
+                            np.array([len(u.pairs) if u.good else 0 for u in own]), [p for u in own if u.good for p in u.pairs],
+                            [n for u in own if u.good for n in u.links])
+        a, b = ids
+        end_a, end_b = np.cumsum(self.tools.size_a[a]), np.cumsum(self.tools.size_b[b])
+        ends = np.intersect1d(end_a, end_b, assume_unique=True)
+        to_a, to_b = np.searchsorted(end_a, ends) + 1, np.searchsorted(end_b, ends) + 1
+        from_a, from_b = (np.concatenate(([0], x[:-1])) for x in (to_a, to_b))
+        many_a, many_b = to_a - from_a, to_b - from_b
+        links = many_a * many_b
+        group = np.repeat(np.arange(len(ends)), links)
+        k = np.arange(len(group)) - np.repeat(np.cumsum(links) - links, links)
+        pairs = a[from_a[group] + k // many_b[group]] * SHIFT + b[from_b[group] + k % many_b[group]]
+        # groups of each unit
+        last = np.searchsorted(ends, np.cumsum([len(u.encode("utf-8")) for u in units])) + 1
+        first = np.concatenate(([0], last[:-1]))
+        named_a, named_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        spans = zip(from_a.tolist(), to_a.tolist(), from_b.tolist(), to_b.tolist())
+        parts = [f"{named_a[i]}|{named_b[x]}" if j - i == y - x == 1 else f"{','.join(named_a[i:j])}|{','.join(named_b[x:y])}"
+                 for i, j, x, y in spans]
+        text = [";".join(parts[i:j]).encode() for i, j in zip(first.tolist(), last.tolist())]
+        sums = lambda x: np.add.reduceat(x, first)
+        per = sums(links)
+        self.put(text, np.stack((sums(many_a), sums(many_b), last - first, per), 1), per, pairs, 1)
+
     def block(self, units: list[str]) -> list | None:
         """[counts, groups as bytes, pairs, links] of consecutive units, or None where some do not spell their text."""
+        if max(map(len, units)) <= UNIT_CHARS and len(units) <= TABLE_UNITS // 4:
+            return self.known(units)
         found = []
         for long, run in groupby(units, lambda u: len(u) > UNIT_CHARS):
             if long:                                                # not kept
@@ -229,29 +251,20 @@ class UnitTable:
                 found += [self.known(run[k:k + step]) for k in range(0, len(run), step)]
         if None in found:
             return None
-        if len(found) == 1:
-            return found[0]
         counts, text, pairs, links = zip(*found)
         return [np.sum(counts, 0), b";".join(text), np.concatenate(pairs), np.concatenate(links)]
 
     def known(self, units: list[str]) -> list | None:
         """As ``block``, through the table."""
-        parts = []
-        for u in units:
-            if u[-1] in self.tools.tails and u[-2:-1].isalpha():
-                parts += u[:-1], u[-1]
-            else:
-                parts.append(u)
-        new = set(parts).difference(self.place)
         for forget in (self.shrink, self.clear):
-            if len(self.text) + len(new) > TABLE_UNITS:
+            if len(self.text) + len(units) > TABLE_UNITS:
                 forget()
-                new = set(parts).difference(self.place)
-        if new := list(new):
-            self.add(new, [Unit(self.tools, u, a, b) for u, (a, b) in zip(new, self.tools.encode_units(new))])
-        at = np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
+        at = np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+        if self.place.new:
+            self.learn(self.place.new)
+            self.place.new = []
         self.hits[at] += 1
-        texts = [self.text[i] for i in at.tolist()]
+        texts = list(map(self.text.__getitem__, at.tolist()))
         if None in texts:
             return None
         rows = T.ragged(self.start[at], self.many[at])
