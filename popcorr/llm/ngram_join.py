@@ -33,10 +33,10 @@ part), and the components of the verified links follow.  Only pairs of a group
 that lie in different components are left then; large groups of one hub are one
 bundle, so that their pairs are made once.  While the pairs of bundles are many,
 further stars around members of their largest components come first.  What is left
-is tested pair by pair, large groups by blocks of members.  The shared part of a
-set bounds its overlap with any other; with the exact overlaps c of both with
-their hub, and the shared parts outside of it, the bound of a pair x, y is
-    min(c(x), c(y)) + min(m(x) - c(x), m(y) - c(y));
+is tested pair by pair, large groups by blocks of members.  The shared part m of a
+set bounds its overlap with any other; in a bundle each member has a bitmap of the
+hub's shingles that it holds (c of them), and the bound of a pair x, y is
+    popcount(bitmap(x) & bitmap(y)) + min(m(x) - c(x), m(y) - c(y));
 and a pair's common shingles among the least third of both sets bound theirs; only
 pairs that pass are verified on whole sets.  A group of thousands of near copies
 is thus settled by a few pairs a member, and every pair between components that
@@ -76,7 +76,7 @@ PREFIX_PART = 3
 #: Rows that may be broadcast (two numbers each).
 BROADCAST_ROWS = 1_000_000
 #: Pairs between components for every member of a bundle up to which they are tested at once; further stars before that.
-OPEN_PAIRS, STARS = 32, 2
+OPEN_PAIRS, STARS = 4096, 3
 
 
 def set_keys(value: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -381,25 +381,36 @@ def again(rows: DataFrame, seed: int) -> DataFrame:
     return out
 
 
+def bit_rows(bitmaps: np.ndarray) -> np.ndarray | None:
+    """Bitmaps of one length as rows of 64-bit words; all ones where there is none."""
+    size = max((len(x) for x in bitmaps if x is not None), default=0)
+    if not size:
+        return None
+    words = -(-size // 8) * 8
+    raw = b"".join(b"\xff" * words if x is None else x.ljust(words, b"\0") for x in bitmaps)
+    return np.frombuffer(raw, T.U64).reshape(len(bitmaps), -1)
+
+
 def open_pairs(rows: DataFrame, tasks: int) -> DataFrame:
     """(a, b): pairs of groups that lie in different components and can link.
 
-    ``rows``: kind, grp, size, ref, n, m, c (the overlap with the group's hub, 0 for no bound by it), component.  Groups
-    above ``BLOCK`` members are dealt in blocks, each pair of blocks by itself, so a task holds two blocks of a group at most.
+    ``rows``: kind, grp, size, ref, n, m, c and held (the group's hub's shingles in the set, and their bitmap; 0 and null for
+    no bound by a hub), component.  Groups above ``BLOCK`` members are dealt in blocks, each pair of blocks by itself, so a
+    task works on two blocks of a group at a time.
     """
     rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("ref", F.lit(7)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("kind", "grp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "ref", "n", "m", "c",
-                       F.xxhash64("component").alias("component"), "own")
+                       F.xxhash64("component").alias("component"), "own", "held")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(i).to_numpy() for i in range(10)] for b in batches if b.num_rows]
+        parts = [[*(b.column(i).to_numpy() for i in range(10)), np.array(b.column(10).to_pylist() + [None], object)[:-1]] for b in batches if b.num_rows]
         if not parts:
             return
-        kind, grp, x, y, ref, n, m, c, part, own = (np.concatenate(z) for z in zip(*parts))
+        kind, grp, x, y, ref, n, m, c, part, own, held_of = (np.concatenate(z) for z in zip(*parts))
         order = np.lexsort((n, y, x, grp, kind))
-        kind, grp, x, y, ref, n, m, c, part, own = (z[order] for z in (kind, grp, x, y, ref, n, m, c, part, own))
+        kind, grp, x, y, ref, n, m, c, part, own, held_of = (z[order] for z in (kind, grp, x, y, ref, n, m, c, part, own, held_of))
         first = _runs(kind, grp, x, y)
         a, b, held = [], [], 0
 
@@ -412,15 +423,22 @@ def open_pairs(rows: DataFrame, tasks: int) -> DataFrame:
                 continue
             k, s, o, h, p, w = ref[lo:hi], n[lo:hi], m[lo:hi] - c[lo:hi], c[lo:hi], part[lo:hi], own[lo:hi]
             upto = np.searchsorted(s * NUMERATOR, s * DENOMINATOR, "right")         # sizes 75 |y| <= 100 |x|
+            bits = bit_rows(held_of[lo:hi]) if kind[lo] else None
             for at in range(0, len(k), 512):
                 mine = np.arange(at, min(at + 512, len(k)))
                 many = np.maximum(upto[mine] - mine - 1, 0)
                 i, j = np.repeat(mine, many), T.ragged(mine + 1, many)
-                most = np.minimum(h[i], h[j]) + np.minimum(o[i], o[j])
-                good = (p[i] != p[j]) & (most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (s[i] + s[j]))
+                least = NUMERATOR * (s[i] + s[j])
+                good = (p[i] != p[j]) & ((np.minimum(h[i], h[j]) + np.minimum(o[i], o[j])) * (NUMERATOR + DENOMINATOR) >= least)
                 if x[lo] != y[lo]:
                     good &= w[i] != w[j]                                            # one block each
-                i, j = i[good], j[good]
+                i, j, least = i[good], j[good], least[good]
+                if bits is not None and len(i):
+                    step = max(1, (32 << 20) // (8 * bits.shape[1]))
+                    both = np.concatenate([np.bitwise_count(bits[i[z:z + step]] & bits[j[z:z + step]]).sum(1, dtype=np.int64)
+                                           for z in range(0, len(i), step)])
+                    good = (np.minimum(both, np.minimum(h[i], h[j])) + np.minimum(o[i], o[j])) * (NUMERATOR + DENOMINATOR) >= least
+                    i, j = i[good], j[good]
                 a.append(np.minimum(k[i], k[j]))
                 b.append(np.maximum(k[i], k[j]))
                 held += len(i)
@@ -475,20 +493,22 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, what) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, a_key, b_key, common, united) of all pairs of refs, by whole sets."""
+    """(a, b, a_key, b_key, common, united, held) of all pairs of refs, by whole sets; held: bitmap of a's shingles that b has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            common = np.zeros(batch.num_rows, np.int64)
+            common, held = np.zeros(batch.num_rows, np.int64), []
             for i in range(batch.num_rows):
                 x = np.frombuffer(batch.column(6)[i].as_buffer(), T.U64)
                 y = np.frombuffer(batch.column(7)[i].as_buffer(), T.U64)
-                if len(x) > len(y):
-                    x, y = y, x
-                common[i] = (y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()
+                in_y = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                common[i] = in_y.sum()
+                held.append(np.packbits(in_y).tobytes())
             united = batch.column(4).to_numpy() + batch.column(5).to_numpy() - common
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(common), pa.array(united)], ["a", "b", "a_key", "b_key", "common", "united"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(common), pa.array(united), pa.array(held, pa.binary())],
+                                             ["a", "b", "a_key", "b_key", "common", "united", "held"])
 
-    return _with_sets(pairs, sets, F.col("shingles")).mapInArrow(run, f"a bigint, b bigint, a_key {KEY}, b_key {KEY}, common bigint, united bigint")
+    return _with_sets(pairs, sets, F.col("shingles")).mapInArrow(
+        run, f"a bigint, b bigint, a_key {KEY}, b_key {KEY}, common bigint, united bigint, held binary")
 
 
 def linked(tested: DataFrame) -> DataFrame:
@@ -558,11 +578,12 @@ def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     done = [cut_lineage(tested.select(*_ordered(F.col("a"), F.col("b"))).distinct(), "join_pairs")]
 
     # small groups as they are, large ones by hub with the overlaps with it
-    small = rows.where(F.col("size") <= LARGE).select(F.lit(0).alias("kind"), F.col("signature").alias("grp"), "ref", "n", "m", F.lit(0).cast("long").alias("c"))
+    small = rows.where(F.col("size") <= LARGE).select(F.lit(0).alias("kind"), F.col("signature").alias("grp"), "ref", "n", "m", F.lit(0).cast("long").alias("c"),
+                                                      F.lit(None).cast("binary").alias("held"))
     least = F.coalesce(F.col("common"), F.least("m", "hub_m"))
-    known = tested.groupBy(F.col("a").alias("hub"), F.col("b").alias("ref")).agg(F.max("common").alias("common"))
+    known = tested.groupBy(F.col("a").alias("hub"), F.col("b").alias("ref")).agg(F.max("common").alias("common"), F.max("held").alias("held"))
     large = star.where("large").join(known, ["hub", "ref"], "left").select(
-        F.lit(1).alias("kind"), F.col("hub").alias("grp"), "ref", "n", "m", F.least(least, F.col("m")).alias("c"))
+        F.lit(1).alias("kind"), F.col("hub").alias("grp"), "ref", "n", "m", F.least(least, F.col("m")).alias("c"), "held")
     members_of = cut_lineage(small.unionByName(large), "join_bundles")
     release(rows, star, tested)
 

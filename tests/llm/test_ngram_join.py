@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from popcorr.llm import ngram_join
 from popcorr.llm.graph import components
@@ -60,6 +61,11 @@ def copies(seed, groups=12, each=12):
     return rows
 
 
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAST_BUCKETS", 4)
+
+
 def test_edge_rows(edge, edge_list):
     assert found(edge) == brute([(d, t) for d, t, _, _ in edge_list])
 
@@ -132,6 +138,23 @@ def test_every_shared_shingle_is_found_once_by_class(spark, monkeypatch):
         assert all(len({o for (_, c), o in got.items() if c == x}) == 1 for x, _, _ in wrong)
 
 
+def test_pairs_left_open_by_hub_bitmaps_are_few_and_lose_no_link(spark, monkeypatch):
+    """A large group around one text: what is tested pair by pair holds every link between components, and little else."""
+    monkeypatch.setattr(ngram_join, "LARGE", 8)
+    rng = random.Random(17)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(150)]
+    rows = []
+    for i in range(160):
+        now = list(base)
+        for k in rng.sample(range(150), 1 + i % 11):
+            now[k] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(now)))
+    made = []
+    monkeypatch.setattr(ngram_join, "open_pairs", lambda *a, f=ngram_join.open_pairs: made.append(f(*a).cache()) or made[-1])
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+    assert sum(m.count() for m in made) < 400                                   # of 12,720 pairs
+
+
 def test_null_ids_link_like_others(spark):
     rng = random.Random(21)
     base = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
