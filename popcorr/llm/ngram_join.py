@@ -541,11 +541,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     Links hold a spanning set for each class of sets, and every link between sets that the stars left in different classes.
     Arrow batches are small: rows carry whole texts and sets.
     """
+    return _join(docs, id_col, text_col)[:2]
+
+
+def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """members, links, and (node, component) of the keys that links reach."""
     with T.arrow_rows(docs.sparkSession, BATCH_ROWS):
-        return _join(docs, id_col, text_col)
+        return _found(docs, id_col, text_col)
 
 
-def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _found(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     size = thin.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     # a shingle has about six bytes of text; buckets are a power of two
@@ -587,8 +592,8 @@ def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     members_of = cut_lineage(small.unionByName(large), "join_bundles")
     release(rows, star, tested)
 
+    parts = cut_lineage(components(links.select("a", "b")), "join_parts")
     for k in range(STARS + 1):
-        parts = cut_lineage(components(links.select("a", "b")), "join_parts")
         named = (sets.select("ref", "key").join(parts.withColumnRenamed("node", "key"), "key", "left")
                  .select("ref", F.coalesce("component", "key").alias("component")))
         now = cut_lineage(members_of.join(named, "ref"), "join_named")
@@ -598,7 +603,7 @@ def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
         bundles = F.col("kind") == 1
         count, of_bundles, pairs = mixed.agg(F.sum("size"), F.sum(F.when(bundles, F.col("size"))), F.sum(F.when(bundles, F.col("open")))).first()
         now_open = cut_lineage(now.join(mixed.drop("open"), ["kind", "grp"]), "join_open")
-        release(parts, now, mixed)
+        release(now, mixed)
         if not count:
             release(now_open)
             break
@@ -610,18 +615,22 @@ def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
             more = more.join(d, ["a", "b"], "left_anti")
         more = cut_lineage(more, "join_pairs")
         done.append(more)
-        links = links.unionByName(verify(more, sets))
+        new = verify(more, sets)
         release(now_open)
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            release(parts)
+            parts = cut_lineage(components(links.select("a", "b")), "join_parts")
         if last:
             break
     release(members_of, sets, *done)
-    return members, links
+    return members, links, parts
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row: component_id is the least id that links reach."""
-    members, links = join(docs, id_col, text_col)
-    parts = components(links.select("a", "b")).withColumnRenamed("node", "key")
+    members, _, parts = _join(docs, id_col, text_col)
+    parts = parts.withColumnRenamed("node", "key")
     nodes = (members.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least")).join(parts, "key", "left")
              .select("key", "least", F.coalesce("component", "key").alias("component")))
     nodes = cut_lineage(nodes, "join_nodes")
