@@ -20,8 +20,8 @@ from popcorr.operators import correlate, expand, metrics, model, prep, serve
 from popcorr.operators.joins import bounded_broadcast
 from popcorr.plans import combine as cmb
 from popcorr.plans import enrich, formats, inputs, layered
-from popcorr.session import cut_lineage, shared_dir
-from popcorr.sources import layers, schemas, testbed
+from popcorr.session import cut_lineage, listing, shared_dir, table_path
+from popcorr.sources import layers, pages, schemas, testbed
 from popcorr.streaming import live
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -507,13 +507,14 @@ def q_label_index(spark, sf):
 
 # ── model (not SQL-expressible: rows-only check) ─────────────────────────────
 MODEL_CFG = model.ModelConfig(estimator="gbt")          # all boosting rounds
-_TRAINED: dict[tuple[str, str], tuple[DataFrame, list]] = {}
+_TRAINED: dict[tuple, tuple[DataFrame, list]] = {}
 
 
 def trained(spark, sf) -> tuple[DataFrame, list]:
     """(scored usage, feature importances) of the one daily training run; the
-    scored rows are a written table that all model queries of a session read."""
-    key = (spark.sparkContext.applicationId, sf)
+    scored rows are a written table that all model queries of a session read
+    as long as the tables they come from are the same files."""
+    key = (spark.sparkContext.applicationId, *[listing(spark, table_path(sf, t)) for t in ("part", "lineitem", "events")])
     if key not in _TRAINED:
         scored, fitted = model.fit_and_score(usage_core(spark, sf), MODEL_CFG)
         _TRAINED[key] = cut_lineage(scored, "scored"), model.importances(fitted) if fitted else []
@@ -649,9 +650,7 @@ def q_partition_inventory(spark, sf):
     inv = []
     for _, _, (group, entity), _, _ in layered.SPECS:
         path = layers.layer_path(f["root"], "formatted", group, entity)
-        inv.append(layers.partition_inventory(spark, path)
-                   .groupBy(layers.RUN_DATE_COL).agg(F.sum("rows").alias("rows"))
-                   .withColumn("entity", F.lit(f"{group}/{entity}")))
+        inv.append(layers.partition_rows(spark, path).withColumn("entity", F.lit(f"{group}/{entity}")))
     out = inv[0]
     for x in inv[1:]:
         out = out.unionByName(x)
@@ -734,6 +733,22 @@ def q_layer_sort_order(spark, sf):
     return out
 
 
+@register("paged_top_n")
+def q_paged_top_n(spark, sf):
+    """Pages of the streams' list, followed by cursor: one list with an empty page, one that loses its cursor, one whole."""
+    prepare(spark)
+    ranked = inputs.raw_streams(spark, sf).select(
+        "rank", "game_id", (F.floor((F.col("rank") - 1) / pages.PAGE_RECORDS) + 1).cast("int").alias("page"))
+    lists = F.explode(F.array(*[F.lit(x) for x in ("gap", "no_cursor", "whole")]))
+    hole = (F.col("list") == "gap") & (F.col("page") == testbed.PAGE_WITHOUT_RECORDS)
+    rows = ranked.withColumn("list", lists).withColumns({c: F.when(~hole, F.col(c)) for c in ("rank", "game_id")})
+    made = pages.paginate(rows, "page", ["rank", "game_id"])
+    lost = (F.col("list") == "no_cursor") & (F.col("cursor") == f"p{testbed.PAGE_WITHOUT_CURSOR}")
+    path = shared_dir(spark, "raw_pages")
+    pages.write_pages(made.withColumn("next_cursor", F.when(~F.coalesce(lost, F.lit(False)), F.col("next_cursor"))), path)
+    return pages.follow(pages.read_pages(spark, path, "rank: int, game_id: string"))
+
+
 @register("union_batches")
 def q_union_batches(spark, sf):
     """Per-ticker record lists (one folder each), concatenated by one multi-path read."""
@@ -872,6 +887,22 @@ def q_stream_refresh_multi_batch(spark, sf):
     return _multi_batch(spark, sf, live.start_live_refresh)
 
 
+@register("stream_skipped_quotes")
+def q_stream_skipped_quotes(spark, sf):
+    """Ticks of which some have no ticker or no timestamp: what the stream skipped, by reason, as observed and as kept."""
+    prepare(spark)
+    table, kept, ckpt = (shared_dir(spark, x) for x in ("live_counted", "live_quarantine", "live_counted_ckpt"))
+    k = F.col("seq")
+    ticks = _events_stream(spark, sf).withColumns({"ticker": F.when(k % 7 != 0, F.col("ticker")), "timestamp": F.when(k % 11 != 0, F.col("timestamp"))})
+    q = live.start_counted_refresh(ticks, bar_context(spark, sf), table, kept, ckpt, available_now=True)
+    q.awaitTermination()
+    seen = live.skipped_counts(q)
+    rows = live.read_quarantine(spark, kept, ticks.schema).groupBy("reason").agg(F.count(F.lit(1)).alias("ticks"))
+    observed = F.coalesce(*[F.when(F.col("reason") == r, F.lit(seen[r])) for r in live.SKIP_REASONS]).cast("long")
+    written = live.read_live(spark, table).agg(F.lit("written").alias("reason"), F.count(F.lit(1)).alias("ticks"))
+    return rows.withColumn("observed", observed).unionByName(written.withColumn("observed", F.lit(None).cast("long")))
+
+
 @register("live_dirty_quotes")
 def q_live_dirty_quotes(spark, sf):
     """Ticks with NaN, infinite, NULL and 0 prices and caps, caps beyond a long, and some with currency or exchange."""

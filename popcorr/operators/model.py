@@ -2,35 +2,34 @@
 
 M1 feature matrix (10 features, fixed order, NULL -> 0) via VectorAssembler
 M2 label index, alphabetical (StringIndexer alphabetAsc)
-M3 multi-class boosted trees: OneVsRest(GBTClassifier) - GBT is binary-only;
-   RandomForestClassifier is the cheap native multi-class alternative
+M3 multi-class boosted trees: one softmax booster on feature histograms
+   (``operators.boosting``); RandomForestClassifier is MLlib's multi-class alternative
 M4 score every row: predicted label, confidence = max class probability
 M5 stratified k folds, k = min(5, smallest class), only when k >= 2
 M6 training-set metrics repeated on every row
 M7 fallback: fewer than 10 training rows -> NEUTRAL, confidence 0, NULL metrics
-M8 feature importances (mean over the per-class models)
+M8 feature importances (mean gain of a feature's splits, as a share)
 
-The fits are MLlib jobs over partitioned data; the driver only orchestrates
-the k folds and reads one-row metric aggregates.
+All classes and, in cross-validation, all folds are boosted in the same jobs;
+the driver holds trees, histograms of fixed size and one-row metric aggregates.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popcorr.functions import kpi
-from popcorr.operators import metrics, prep
+from popcorr.operators import boosting, metrics, prep
 from popcorr.operators.rank import rank_within
-from popcorr.session import cut_lineage
+from popcorr.session import cut_lineage, release
 
 # ── fixed values ─────────────────────────────────────────────────────────────
 FEATURES = [
@@ -53,7 +52,6 @@ SEED = 42
 DEFAULT_TREES = 150          # boosting rounds of the reference model
 LEARNING_RATE = 0.1
 MAX_DEPTH = 3
-OVR_PARALLELISM = 5
 METRIC_COLUMNS = {"accuracy": "ml_accuracy", "f1_weighted": "ml_f1_weighted",
                   "f1_macro": "ml_f1_macro", "precision_weighted": "ml_precision",
                   "recall_weighted": "ml_recall"}
@@ -61,7 +59,7 @@ METRIC_COLUMNS = {"accuracy": "ml_accuracy", "f1_weighted": "ml_f1_weighted",
 
 @dataclass
 class ModelConfig:
-    estimator: str = "gbt"      # "gbt" (one-vs-rest boosted trees) or "rf"
+    estimator: str = "gbt"      # "gbt" (boosted trees) or "rf"
     trees: int = DEFAULT_TREES
     learning_rate: float = LEARNING_RATE
     max_depth: int = MAX_DEPTH
@@ -81,51 +79,40 @@ def label_index(train: DataFrame, label: str = LABEL) -> StringIndexer:
                          handleInvalid="keep")
 
 
-def _estimator(cfg: ModelConfig):
-    if cfg.estimator == "rf":
-        return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=cfg.trees,
-                                      maxDepth=cfg.max_depth, seed=cfg.seed)
-    gbt = GBTClassifier(maxIter=cfg.trees, stepSize=cfg.learning_rate, maxDepth=cfg.max_depth,
-                        seed=cfg.seed)
-    # the per-class binary models are independent: fit them concurrently
-    return OneVsRest(classifier=gbt, featuresCol="features", labelCol="label",
-                     parallelism=OVR_PARALLELISM)
+def boost(train: DataFrame, cfg: ModelConfig, fold: str | None = None, k: int = 1) -> tuple[boosting.Booster, DataFrame]:
+    """The boosted trees of the feature-matrix rows of ``train`` and their training blocks.
 
+    With a ``fold`` column, ``k`` models, each without its own fold.  Rows are reduced to features, label and fold.
+    """
+    labels = sorted(r[0] for r in train.select(LABEL).distinct().collect())            # the five signals
+    number = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(LABEL)) - 1
+    rows = train.select(*FEATURES, number.alias("_label"), (F.col(fold) if fold else F.lit(boosting.ALL_LEFT)).alias("_fold"))
+    return boosting.train(rows, FEATURES, labels, cfg.trees, cfg.learning_rate, cfg.max_depth, k)
 
-def fit(train: DataFrame, cfg: ModelConfig):
-    """Fit indexer + assembler + classifier on the feature-matrix rows of ``train``.
 
-    The boosting rounds and the per-class models all iterate over the
-    training rows: they are cached for the duration of the fit (and released
-    after), so the source is scanned once, not once per pass.
-    """
-    stages = [label_index(train),
-              VectorAssembler(inputCols=FEATURES, outputCol="features"),
-              _estimator(cfg)]
+def fit(train: DataFrame, cfg: ModelConfig):
+    """The trained booster, or the pipeline of the MLlib alternative (its training rows cached for the fit)."""
+    if cfg.estimator != "rf":
+        booster, trained = boost(train, cfg)
+        release(trained)
+        return booster
+    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=cfg.trees, maxDepth=cfg.max_depth, seed=cfg.seed)
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=stages).fit(cached)
+        return Pipeline(stages=[label_index(train), VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(cached)
     finally:
         cached.unpersist()
 
 
-def _labels(model) -> list[str]:
-    return list(model.stages[0].labels)
-
-
-def predict(model, df: DataFrame, cfg: ModelConfig) -> DataFrame:
+def predict(model, df: DataFrame) -> DataFrame:
     """Adds ``ml_prediction`` and ``ml_confidence`` (max class probability, 4 places)."""
+    if isinstance(model, boosting.Booster):
+        out = boosting.predict(df, model)
+        return (out.withColumn("ml_prediction", F.col("_class")).withColumn("ml_confidence", F.round("_probability", 4))
+                   .drop("_class", "_probability"))
     out = model.transform(df)
-    labels = _labels(model)
-    out = IndexToString(inputCol="prediction", outputCol="ml_prediction", labels=labels).transform(out)
-    if cfg.estimator == "rf":
-        conf = F.array_max(vector_to_array("probability"))
-    else:
-        # one-vs-rest returns each boosted model's margin m_k; its own class
-        # probability is sigmoid(2 m_k); normalise over the classes
-        p = F.transform(vector_to_array("rawPrediction"), lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
-        conf = F.array_max(p) / F.aggregate(p, F.lit(0.0), lambda a, b: a + b)
-    return (out.withColumn("ml_confidence", F.round(conf, 4))
+    out = IndexToString(inputCol="prediction", outputCol="ml_prediction", labels=list(model.stages[0].labels)).transform(out)
+    return (out.withColumn("ml_confidence", F.round(F.array_max(vector_to_array("probability")), 4))
                .drop("features", "rawPrediction", "probability", "prediction", "label"))
 
 
@@ -153,7 +140,7 @@ def train_and_score(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFra
 
 
 def fit_and_score(usage: DataFrame, cfg: ModelConfig | None = None):
-    """(``train_and_score`` rows, the fitted pipeline or None for the fallback)."""
+    """(``train_and_score`` rows, the fitted model or None for the fallback)."""
     cfg = cfg or ModelConfig()
     # fit, training-set scoring and full scoring all read it: materialise it
     # once (a written table in the shared folder, nothing pinned in memory)
@@ -163,7 +150,7 @@ def fit_and_score(usage: DataFrame, cfg: ModelConfig | None = None):
     if train.limit(MIN_TRAIN_ROWS).count() < MIN_TRAIN_ROWS:
         return fallback(fm), None
     model = fit(train, cfg)
-    scored = cut_lineage(predict(model, fm, cfg))
+    scored = cut_lineage(predict(model, fm))
     in_train = scored.where(F.col("date") >= F.lit(cutoff))
     scores = metrics.classification_scores(in_train, LABEL, "ml_prediction").first()
     for k, c in METRIC_COLUMNS.items():
@@ -201,18 +188,20 @@ def cross_validate(usage: DataFrame, id_cols: list[str], cfg: ModelConfig | None
              "precision_weighted double, recall_weighted double"
     if k < 2:
         return spark.createDataFrame([], schema)
-    folded = cut_lineage(fold_assignment(train, k, id_cols), "cv_folds")
-
-    def run_fold(f: int):
-        model = fit(folded.where(F.col("fold") != f), cfg)
-        s = metrics.classification_scores(
-            predict(model, folded.where(F.col("fold") == f), cfg), LABEL, "ml_prediction").first()
-        return (f, *[float(s[m]) for m in METRIC_COLUMNS])
-
-    # the k fits are independent Spark jobs: submit them concurrently
-    with ThreadPoolExecutor(max_workers=k) as pool:
-        rows = list(pool.map(run_fold, range(k)))
-    return spark.createDataFrame(rows, schema)
+    folded = cut_lineage(fold_assignment(train, k, id_cols).select(*FEATURES, LABEL, "fold"), "cv_folds")
+    if cfg.estimator != "rf":
+        booster, trained = boost(folded, cfg, "fold", k)
+        told = cut_lineage(boosting.held_out(trained, booster), "cv_held_out")
+        release(trained)
+    else:
+        told = None
+        for f in range(k):
+            own = predict(fit(folded.where(F.col("fold") != f), cfg), folded.where(F.col("fold") == f))
+            own = own.select("fold", F.col(LABEL).alias("actual"), F.col("ml_prediction").alias("predicted"))
+            told = own if told is None else told.unionByName(own)
+        told = cut_lineage(told, "cv_held_out")
+    scores = [(f, metrics.classification_scores(told.where(F.col("fold") == f), "actual", "predicted").first()) for f in range(k)]
+    return spark.createDataFrame([(f, *[float(s[m]) for m in METRIC_COLUMNS]) for f, s in scores], schema)
 
 
 def cv_summary(folds: DataFrame) -> DataFrame:
@@ -224,14 +213,14 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 
 
 def feature_importance(usage: DataFrame, cfg: ModelConfig | None = None) -> DataFrame:
-    """Importance per feature, averaged over the per-class models (one-vs-rest)."""
+    """Importance per feature of the model of the training window."""
     cfg = cfg or ModelConfig()
     train = training_rows(cut_lineage(feature_matrix(usage)))
     return usage.sparkSession.createDataFrame(importances(fit(train, cfg)), "feature string, importance double")
 
 
 def importances(fitted) -> list[tuple[str, float]]:
-    """(feature, importance) of a fitted pipeline, in feature order."""
-    clf = fitted.stages[-1]
-    vecs = [m.featureImportances for m in clf.models] if hasattr(clf, "models") else [clf.featureImportances]
-    return [(name, round(float(sum(v[i] for v in vecs) / len(vecs)), 4)) for i, name in enumerate(FEATURES)]
+    """(feature, importance) of a fitted model, in feature order."""
+    if isinstance(fitted, boosting.Booster):
+        return fitted.importances()
+    return [(name, round(float(fitted.stages[-1].featureImportances[i]), 4)) for i, name in enumerate(FEATURES)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from popcorr.sources import pages as _pg
 from popcorr.sources import testbed as _tb
 from popcorr.oracle import (BARS, GAMES, RAW_GAMES, RAW_STREAMS, STREAMS, combine_ctes, corr_sql, d, j_stream, j_viewers,
                             signal_sql, ts, with_)
@@ -232,6 +233,10 @@ UNION ALL SELECT '20240131', count(*), 'twitch/TopGames' FROM streams
 UNION ALL SELECT '20240131', count(*), 'yahoo/GamingStocks' FROM bars
 UNION ALL SELECT '20240131', count(*), 'dims/StreamNames' FROM smap""")
 SQL["scan_json_envelope"] = with_(BARS_RAW, "SELECT ticker, date, open, high, low, close, volume FROM bars_raw")
+SQL["paged_top_n"] = with_(RAW_STREAMS, f"""
+SELECT list, CAST((rank - 1) // {_pg.PAGE_RECORDS} + 1 AS INTEGER) AS page, rank, game_id FROM raw_streams,
+  (SELECT 'gap' AS list, {_tb.PAGE_WITHOUT_RECORDS - 1} AS pages UNION ALL SELECT 'no_cursor', {_tb.PAGE_WITHOUT_CURSOR} UNION ALL SELECT 'whole', {_pg.MAX_PAGES})
+WHERE (rank - 1) // {_pg.PAGE_RECORDS} + 1 <= pages""")
 SQL["union_batches"] = SQL["scan_json_envelope"]
 SQL["sink_json_envelope"] = with_(BARS_RAW + "," + TRACKED, """
 SELECT 'yahoo_finance' AS source, '20240131' AS date, count(*) AS records,
@@ -274,6 +279,12 @@ _LIVE_OUT = (f"doc_id, ticker, {ts('timestamp')} AS timestamp, current_price, pr
              f"currency, exchange, seq, {d('date')} AS date")
 SQL["stream_live_quotes"] = with_(BARS + "," + LIVE_CTX, f"SELECT {_LIVE_OUT} FROM latest")
 SQL["stream_latest_per_minute"] = SQL["stream_live_quotes"]
+SQL["stream_skipped_quotes"] = """
+WITH t AS (SELECT event_id, event_type, ts, CASE WHEN event_id % 7 = 0 THEN 'no ticker' WHEN event_id % 11 = 0 THEN 'no timestamp' END AS reason
+           FROM events)
+SELECT reason, count(*) AS ticks, count(*) AS observed FROM t WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL
+SELECT 'written', count(DISTINCT (event_type, date_trunc('minute', ts))), NULL FROM t WHERE reason IS NULL"""
 SQL["live_upsert"] = SQL["stream_live_quotes"]
 SQL["stream_latest_multi_batch"] = SQL["stream_live_quotes"]
 SQL["stream_refresh_multi_batch"] = SQL["stream_live_quotes"]

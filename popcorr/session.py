@@ -148,3 +148,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def listing(spark: SparkSession, path: str) -> tuple:
+    """(file, bytes, modification time) of all files below ``path``: changes when the data there do."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files, out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))

@@ -28,6 +28,8 @@ RUN_DATE = "20240131"                      # snapshot day (yyyyMMdd); bars end t
 RUN_EXTRACTED_AT = "2024-01-31T08:00:00.123456+00:00"
 TOP_GAMES = 100
 TOP_STREAMS = 300
+#: In lists that come in pages: the page that is empty, and the one that loses its cursor.
+PAGE_WITHOUT_RECORDS, PAGE_WITHOUT_CURSOR = 3, 2
 BLANK_NAME_REST = 7                        # streams of parts with p_partkey % 50 = 7 have a blank name
 RECENT_PLAY_SINCE = "2001-07-01 00:00:00"  # lower bound of the "last two weeks" play column
 # Publisher/developer -> ticker map, in match order ("Brand#1" is a substring of Brand#10..19).

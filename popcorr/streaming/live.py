@@ -4,9 +4,11 @@ T1  a stream of quote ticks, triggered every 5 minutes (``availableNow`` in test
 T3  per-tick KPI: change vs previous close (NULL when either is NULL or 0), every
     number cleaned first (NaN and infinite -> NULL), market cap 0 -> NULL,
     defaults currency 'USD', exchange '' where the quote carries none
-T4  ticks without ticker or timestamp are skipped; an empty batch writes nothing
-T2  one document per (ticker, minute): the later tick replaces the earlier one,
-    also when it comes in a later micro-batch or out of order
+T4  ticks without ticker or timestamp are skipped, counted by reason and kept in a
+    quarantine table; an empty batch writes nothing
+T2  one document per (ticker, minute): keyed state holds the place of each minute's
+    last tick, and only a later one is passed on; state expires, and a tick that comes
+    after that still meets its minute's document in the table
 S10/T5  keyed upsert into the live table, never delete (series kept forever)
 
 The live table is a list of (date, version): each date's documents are Parquet
@@ -169,17 +171,99 @@ def start_live_refresh(ticks_stream: DataFrame, context: DataFrame, table_path:
     return w.start()
 
 
-def start_latest_per_minute(ticks_stream: DataFrame, context: DataFrame, table_path: str,
-                            checkpoint: str, available_now: bool = False):
-    """Per micro-batch the last tick of each (ticker, minute), then an upsert by that document id.
+#: How long a minute's state outlives its last change; rows of one micro-batch arrive together, so none is ever late.
+KEEP_MS, ARRIVAL_DELAY = 60 * 60 * 1000, "1 millisecond"
+
+
+def newest_of_minute(docs: DataFrame, keep_ms: int = KEEP_MS) -> DataFrame:
+    """Of a stream of documents those that are later than all before them of their (ticker, minute).
 
-    No watermark and no state that expires: a tick that comes late, in any
-    later micro-batch, still meets its minute's document in the table, and the
-    later one by (timestamp, seq) stays.
+    The state of a key is (timestamp, seq) of its last tick.  The watermark follows the time at which ticks arrive, not
+    their own, so it drops none however late, and state expires ``keep_ms`` after it changed: it holds the minutes of
+    about that time, however long the stream runs.  A tick that comes when its minute's state has expired is passed on;
+    the keyed upsert then keeps the later of the two.  Whole numbers go through as text, because pandas has none with
+    nulls.
     """
-    def last_of_minute(batch: DataFrame, batch_id: int) -> None:
-        upsert(latest_per_key(batch.select(*LIVE_COLUMNS), DOC_KEY), table_path)
+    longs = [f.name for f in docs.schema.fields if f.dataType == LongType()]
+    wide = docs.select(*[F.col(c).cast("string") if c in longs else F.col(c) for c in docs.columns])
+    columns = docs.columns
+
+    def step(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known, best, arrived = state.get if state.exists else None, None, 0
+        for rows in batches:
+            place = [(t.to_pydatetime(), s is not None, int(s) if s is not None else 0) for t, s in zip(rows["timestamp"], rows["seq"])]
+            k = max(range(len(place)), key=place.__getitem__)
+            arrived = max(arrived, int(rows["arrived"].max().timestamp() * 1000))
+            if (known is None or place[k] > tuple(known)) and (best is None or place[k] > best[0]):
+                best = place[k], rows[columns].iloc[[k]]
+        if best:
+            state.update(best[0])
+        state.setTimeoutTimestamp(max(arrived, state.getCurrentWatermarkMs()) + keep_ms)
+        if best:
+            yield best[1]
+
+    out = (wide.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", ARRIVAL_DELAY).groupBy(DOC_KEY)
+           .applyInPandasWithState(step, wide.schema, "timestamp timestamp, known boolean, seq long", "update", "EventTimeTimeout"))
+    return out.select(*[F.col(c).cast("long") if c in longs else F.col(c) for c in columns])
 
-    w = quote_docs(ticks_stream, context).writeStream.foreachBatch(last_of_minute).option("checkpointLocation", checkpoint)
+
+def start_latest_per_minute(ticks_stream: DataFrame, context: DataFrame, table_path: str,
+                            checkpoint: str, available_now: bool = False, keep_ms: int = KEEP_MS):
+    """Ticks -> documents -> last of each minute by state -> keyed upsert of what changed."""
+    docs = newest_of_minute(quote_docs(ticks_stream, context).select(*LIVE_COLUMNS), keep_ms)
+    w = docs.writeStream.outputMode("update").foreachBatch(upsert_sink(table_path)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=TRIGGER)
     return w.start()
+
+
+# ── skipped ticks ────────────────────────────────────────────────────────────
+SKIPPED = "skipped"
+SKIP_REASONS = ("no ticker", "no timestamp")
+
+
+def skip_reason() -> F.Column:
+    """Why a tick is skipped (the first reason that holds); null for a good one."""
+    return (F.when(F.col("ticker").isNull(), F.lit(SKIP_REASONS[0]))
+             .when(F.col("timestamp").isNull(), F.lit(SKIP_REASONS[1])))
+
+
+def start_counted_refresh(ticks_stream: DataFrame, context: DataFrame, table_path: str, quarantine_path: str,
+                          checkpoint: str, available_now: bool = False):
+    """As ``start_live_refresh``; skipped ticks are observed by reason and written to the quarantine table.
+
+    A micro-batch writes its own folder there, so a batch that is run again replaces what it wrote.
+    """
+    ticks = ticks_stream.withColumn("reason", skip_reason())
+    counts = [F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in SKIP_REASONS]
+    ticks = ticks.observe(SKIPPED, F.count(F.lit(1)).alias("ticks"), *counts)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()                     # read, and observed, once
+        try:
+            batch.where(F.col("reason").isNotNull()).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+            upsert(quote_docs(batch.where(F.col("reason").isNull()).drop("reason"), context), table_path)
+        finally:
+            batch.unpersist()
+
+    w = ticks.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=TRIGGER)
+    return w.start()
+
+
+def skipped_counts(query) -> dict[str, int]:
+    """Skipped ticks by reason over the query's recent micro-batches, as observed while they ran."""
+    total = dict.fromkeys(("ticks", *SKIP_REASONS), 0)
+    for progress in query.recentProgress:
+        seen = progress["observedMetrics"].get(SKIPPED)
+        if seen is not None:
+            for k in total:
+                total[k] += seen[k] or 0
+    return total
+
+
+def read_quarantine(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The ticks that were skipped, with their reason."""
+    return spark.read.schema(schema.add("reason", "string")).option("recursiveFileLookup", True).parquet(path)

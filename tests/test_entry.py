@@ -12,7 +12,7 @@ import __spark_entry__ as E
 FAST_KEYS = ["bars_format", "signal_label", "steam_format", "twitch_format", "ticker_resolution",
              "combine_core", "stream_only_candidates", "classification_scores", "cv_folds",
              "serving_full_refresh", "live_change_pct", "stream_live_quotes", "top_stream_per_game",
-             "unresolved_report", "drop_bad_dates", "parse_timestamps", "clean_numeric"]
+             "unresolved_report", "paged_top_n", "stream_skipped_quotes", "stream_latest_multi_batch", "drop_bad_dates", "parse_timestamps", "clean_numeric"]
 
 
 def _norm(v):
