@@ -11,7 +11,11 @@ return the columns of ``documents``.  Lists of ids are broadcast only when
 counted to be small, and joined otherwise.  Rows with a null id stay as long as
 no stage finds a reason against their text; rows that repeat an id with another
 text are documents of their own, except that the mix takes them equally often
-and a test item in one is held against both.  Empty tables give empty results.
+and a test item in one is held against both.  Ties go to the least id, or to the
+order that the operator's module states.  Texts of any length go through whole.
+Columns other than those of ``documents`` are left out by the first stage,
+whatever their names.  Where no row tells a language, none is rejected for it.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -45,9 +49,12 @@ def _without(docs: DataFrame, gone: DataFrame, by: str = "doc_id") -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language that can be told."""
+    """Documents of a language that can be told; all with a letter where no language could be learned."""
     docs = docs.select(*COLUMNS)
     profiles = lang_id.learn(docs.where(~lang_id.held_out(F.col("doc_id"))), F.col("text"), F.col("lang"))
+    profiles = cut_lineage(profiles, "pipeline_profiles")
+    if profiles.isEmpty():
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     told = lang_id.predict(docs, profiles)
     return told.where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 

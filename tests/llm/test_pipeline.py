@@ -2,8 +2,11 @@ import os
 import subprocess
 import sys
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from popcorr.llm import mixture
+from popcorr.llm import mixture, ngram_join
 from popcorr.session import cut_lineage
 
 from test_decontaminate import cases
@@ -13,6 +16,11 @@ from test_ngram_join import brute as classes
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAST_BUCKETS", 4)
+
+
 def _rows(df):
     return sorted(map(tuple, df.select(*corpus_pipeline.COLUMNS).collect()), key=str)
 
@@ -51,6 +59,16 @@ def test_stages_against_brute_force(spark, edge, edge_list, tmp_path):
     assert sorted(map(tuple, run), key=str) == sorted(map(tuple, last), key=str)
 
 
+def test_clashing_columns_and_missing_labels(spark, edge, tmp_path):
+    plain = edge.select(*corpus_pipeline.COLUMNS)
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.mixing):
+        out = stage(spark, edge, str(tmp_path))
+        assert out.columns == corpus_pipeline.COLUMNS and _rows(out) == _rows(stage(spark, plain, str(tmp_path)))
+    untold = corpus_pipeline.language_id(spark, plain.withColumn("lang", F.lit(None).cast("string")), str(tmp_path))
+    letters = [r for r in plain.collect() if any(c.isalpha() for c in r.text or "")]
+    assert sorted(str(r.doc_id) for r in untold.collect()) == sorted(str(r.doc_id) for r in letters)
+
+
 def test_an_empty_table_goes_through(spark, empty, tmp_path):
     empty.select(*corpus_pipeline.COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -76,4 +94,4 @@ def test_every_operator_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 14)) and "pipeline" in names
