@@ -46,6 +46,8 @@ from popcorr.session import cut_lineage
 LIMIT, END = 2048, 1
 #: What stands between words that are encoded together; a comma or stop after a letter, a token of its own, at a word's end.
 MARK, TAIL = "\x01", re.compile(rb"(?<=[A-Za-z])[.,](?![^\x20\x09-\x0D])")
+#: One before a space that stands elsewhere.
+ODD_TAIL = re.compile(rb"(?<![a-z])[.,](?= )")
 #: Bytes of a text looked up together, words in a task's table, and their bytes.
 BLOCK_BYTES, TABLE_WORDS, TABLE_BYTES = 1 << 18, 1_000_000, 32 << 20
 #: Rows of an Arrow batch of texts, and tokens a task gathers before it sends pieces on.
@@ -141,20 +143,34 @@ class WordIds:
         self.start[first:first + len(words)], self.count[first:first + len(words)] = self.used + np.cumsum(count) - count, count
         self.used += len(ids)
 
-    def of_words(self, words: list[bytes]) -> np.ndarray:
+    def of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, and how many each has."""
         if len(self.place) + len(words) > TABLE_WORDS:
             self.shrink()
         if len(self.place) + len(words) > TABLE_WORDS or self.bytes > TABLE_BYTES:
             self.clear()
         if len(words) > TABLE_WORDS:
             half = len(words) // 2
-            return np.concatenate((self.of_words(words[:half]), self.of_words(words[half:])))
+            return tuple(np.concatenate(x) for x in zip(self.of_words(words[:half]), self.of_words(words[half:])))
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         if self.place.new:
             self.learn(self.place.new)
             self.place.new = []
         self.hits[at] += 1
-        return self.ids[T.ragged(self.start[at], self.count[at])]
+        count = self.count[at]
+        return self.ids[T.ragged(self.start[at], count)], count
+
+    def words(self, part: bytes) -> list[bytes]:
+        """A text's words as they are looked up."""
+        # the tokenizer lowers letters itself, after composing them with marks (U+0300 to U+037F) that follow
+        if self.lowers and not any(x in part for x in (b"<|", b"\xcc", b"\xcd")):
+            part = part.lower()
+        if ODD_TAIL.search(part):
+            part = TAIL.sub(rb" \g<0>", part)
+        else:                                                   # all of them stand after a letter
+            part = part.replace(b", ", b" , ").replace(b". ", b" . ")
+        # bytes.split cuts at space and U+0009 to U+000D, all of which the tokenizer drops
+        return part.split()
 
     def blocks(self, raw: bytes) -> Iterator[np.ndarray]:
         """The ids of one text."""
@@ -166,14 +182,27 @@ class WordIds:
             # a block ends before a space; one without any goes on to the next (one word)
             stop = at + BLOCK_BYTES
             stop = len(raw) if stop >= len(raw) or (stop := raw.find(b" ", stop)) < 0 else stop
-            part = raw[at:stop]
-            # the tokenizer lowers letters itself, after composing them with marks (U+0300 to U+037F) that follow
-            if self.lowers and not any(x in part for x in (b"<|", b"\xcc", b"\xcd")):
-                part = part.lower()
-            # bytes.split cuts at space and U+0009 to U+000D, all of which the tokenizer drops
-            yield self.of_words(TAIL.sub(rb" \g<0>", part).split())
+            yield self.of_words(self.words(raw[at:stop]))[0]
             at = stop
 
+    def texts(self, raws: list[bytes]) -> Iterator[Iterator[np.ndarray]]:
+        """The ids of each of several texts, in parts; short ones are looked up together."""
+        k = 0
+        while k < len(raws):
+            words, ends, size = [], [0], 0
+            while self.apart and k < len(raws) and size + len(raws[k]) <= BLOCK_BYTES:
+                words += self.words(raws[k])
+                ends.append(len(words))
+                size += len(raws[k])
+                k += 1
+            if len(ends) > 1:
+                ids, count = self.of_words(words)
+                bounds = np.concatenate(([0], np.cumsum(count)))[ends]
+                yield from (iter([ids[i:j]]) for i, j in zip(bounds, bounds[1:]))
+            else:
+                yield self.blocks(raws[k])
+                k += 1
+
 
 @lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
@@ -208,10 +237,10 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
         for b in batches:
             kind = b.column(0).type
-            for key, text in zip(b.column(0).to_pylist(), b.column(1)):
-                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+            raws = [x or b"" for x in b.column(1).to_pylist()]
+            for key, parts in zip(b.column(0).to_pylist(), words.texts(raws)):
                 total, done, rest, own = 0, 0, [], []
-                for part in chain(words.blocks(raw), [np.array([end], np.uint32)]):
+                for part in chain(parts, [np.array([end], np.uint32)]):
                     rest.append(part)
                     total += len(part)
                     if (whole := (total - done) // limit):
