@@ -23,15 +23,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popcorr.llm import decontaminate, lang_id, mixture, ngram_join, shards
+from popcorr.llm import decontaminate, lang_id, mixture, ngram_join, shards, textops
 from popcorr.session import cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Likeness to the nearest language under which a document is rejected (prose of any length has about 0.4 or more).
 LEAST_SCORE = 0.25
 SHARDS = 16
-#: Ids that may be broadcast (16 bytes each).
-BROADCAST_IDS = 1_000_000
+#: Ids that may be broadcast (16 bytes each), and rows of an Arrow batch of texts.
+BROADCAST_IDS, BATCH_ROWS = 1_000_000, 500
 
 #: SQL cannot express rank-order language profiles or alignments; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -77,7 +77,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
     docs = docs.select(*COLUMNS)
-    return _without(docs, decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    with textops.arrow_rows(spark, BATCH_ROWS):
+        return _without(docs, decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,9 +68,9 @@ FREQUENT = 24
 #: Frequent shingles a class has on average; members of a group from which on it is large, and of a block of a group.
 CLASS_SIZE, LARGE, BLOCK = 16, 64, 2048
 #: Shingles of a bucket on average, and the least number of buckets (a power of two).
-BUCKET_SHINGLES, LEAST_BUCKETS = 2_000_000, 64
+BUCKET_SHINGLES, LEAST_BUCKETS = 1_000_000, 64
 #: Shingles a task packs together, and sets it remembers to skip repeats; rows of an Arrow batch; rows a later task gathers.
-TASK_SHINGLES, TASK_SETS, BATCH_ROWS, TASK_ROWS = 1_000_000, 500_000, 1000, 400_000
+TASK_SHINGLES, TASK_SETS, BATCH_ROWS, TASK_ROWS = 500_000, 200_000, 500, 250_000
 #: Of each set this part, by hash order, is compared first.
 PREFIX_PART = 3
 #: Rows that may be broadcast (two numbers each).
