@@ -546,7 +546,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
 
 def _join(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """members, links, and (node, component) of the keys that links reach."""
-    with T.arrow_rows(docs.sparkSession, BATCH_ROWS):
+    with T.arrow_rows(docs.sparkSession, BATCH_ROWS), T.written_steps(docs.sparkSession):
         return _found(docs, id_col, text_col)
 
 

@@ -31,15 +31,27 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 
 
 @contextmanager
-def arrow_rows(spark, n: int):
-    """Arrow batches of at most ``n`` rows for the jobs run inside, so that rows of some 10 KB stay a few MB a batch."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(name)
-    spark.conf.set(name, str(n))
+def settings(spark, wanted: dict[str, str]):
+    """Session settings for the jobs run inside."""
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(name, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def arrow_rows(spark, n: int):
+    """Arrow batches of at most ``n`` rows for the jobs run inside, so that rows of some 10 KB stay a few MB a batch."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(n)})
+
+
+def written_steps(spark):
+    """For steps that are each written and read again: a query's shuffle files go when it ends, not when the driver
+    happens to collect its garbage."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 def mix(x: np.ndarray) -> np.ndarray:
