@@ -24,9 +24,10 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from popcorr.functions import kpi
 from popcorr.sources import schemas, versions
@@ -181,33 +182,39 @@ def newest_of_minute(docs: DataFrame, keep_ms: int = KEEP_MS) -> DataFrame:
     The state of a key is (timestamp, seq) of its last tick.  The watermark follows the time at which ticks arrive, not
     their own, so it drops none however late, and state expires ``keep_ms`` after it changed: it holds the minutes of
     about that time, however long the stream runs.  A tick that comes when its minute's state has expired is passed on;
-    the keyed upsert then keeps the later of the two.  Whole numbers go through as text, because pandas has none with
-    nulls.
+    the keyed upsert then keeps the later of the two.
+
+    What a group costs in Python grows with its columns, timestamps above all: it gets one text, of its place as whole
+    numbers and the document as JSON (timestamps in it as microseconds), and hands it on as it is.
     """
-    longs = [f.name for f in docs.schema.fields if f.dataType == LongType()]
-    wide = docs.select(*[F.col(c).cast("string") if c in longs else F.col(c) for c in docs.columns])
-    columns = docs.columns
+    times = [f.name for f in docs.schema.fields if f.dataType == TimestampType()]
+    packed = F.to_json(F.struct(*[F.unix_micros(c).alias(c) if c in times else F.col(c) for c in docs.columns]))
+    place = (F.unix_micros("timestamp"), F.col("seq").isNotNull().cast("int"), F.coalesce("seq", F.lit(0)))
+    narrow = docs.select(DOC_KEY, F.concat_ws(" ", *place, packed).alias("doc"), F.current_timestamp().alias("arrived"))
 
     def step(key, batches, state):
         if state.hasTimedOut:
             state.remove()
             return
-        known, best, arrived = state.get if state.exists else None, None, 0
+        before = tuple(state.get) if state.exists else None
+        best, doc = before, None
         for rows in batches:
-            place = [(t.to_pydatetime(), s is not None, int(s) if s is not None else 0) for t, s in zip(rows["timestamp"], rows["seq"])]
-            k = max(range(len(place)), key=place.__getitem__)
-            arrived = max(arrived, int(rows["arrived"].max().timestamp() * 1000))
-            if (known is None or place[k] > tuple(known)) and (best is None or place[k] > best[0]):
-                best = place[k], rows[columns].iloc[[k]]
-        if best:
-            state.update(best[0])
-        state.setTimeoutTimestamp(max(arrived, state.getCurrentWatermarkMs()) + keep_ms)
-        if best:
-            yield best[1]
-
-    out = (wide.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", ARRIVAL_DELAY).groupBy(DOC_KEY)
-           .applyInPandasWithState(step, wide.schema, "timestamp timestamp, known boolean, seq long", "update", "EventTimeTimeout"))
-    return out.select(*[F.col(c).cast("long") if c in longs else F.col(c) for c in columns])
+            for own in rows["doc"]:
+                at = tuple(map(int, own.split(" ", 3)[:3]))
+                if best is None or at > best:
+                    best, doc = at, own
+        if doc is not None:
+            state.update(best)
+        # the time of the micro-batch is what its rows have as ``arrived``
+        state.setTimeoutTimestamp(max(state.getCurrentProcessingTimeMs(), state.getCurrentWatermarkMs()) + keep_ms)
+        if doc is not None:
+            yield pd.DataFrame({"doc": [doc]})
+
+    out = (narrow.withWatermark("arrived", ARRIVAL_DELAY).groupBy(DOC_KEY)
+           .applyInPandasWithState(step, "doc string", "at long, known int, number long", "update", "EventTimeTimeout"))
+    fields = StructType([StructField(f.name, LongType() if f.name in times else f.dataType) for f in docs.schema.fields])
+    doc = out.select(F.from_json(F.split("doc", " ", 4)[3], fields).alias("d"))
+    return doc.select(*[(F.timestamp_micros(F.col(f"d.{c}")) if c in times else F.col(f"d.{c}")).alias(c) for c in docs.columns])
 
 
 def start_latest_per_minute(ticks_stream: DataFrame, context: DataFrame, table_path: str,
