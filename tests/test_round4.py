@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from popcorr.operators import serve
 from popcorr.plans import combine
@@ -11,6 +12,7 @@ from popcorr.session import cut_lineage
 from popcorr.sources import schemas
 
 _D0 = dt.date(2024, 1, 1)
+_GAMES = StructType([f for f in schemas.STEAM_FORMATTED if f.name != "run_date"])          # another test adds one in place
 
 
 def _snapshots(spark, n=60, days=10):
@@ -20,7 +22,7 @@ def _snapshots(spark, n=60, days=10):
          for k, t in enumerate("AB") for i in range(days)], schemas.BARS_FORMATTED)
     games = spark.createDataFrame(
         [(i, str(i), f"g{i}", "d", "p", 1, 1, "", 1, 1, 1, 0.0, ("A", "B", "UNKNOWN")[i // 2 % 3], None, _D0, 0.5, 100 - i)
-         for i in range(n)], schemas.STEAM_FORMATTED)
+         for i in range(n)], _GAMES)
     streams = spark.createDataFrame(
         [(i, f"s{i}", f" G{i} " if i % 2 else f"G{i}", "", 50 + i, None, _D0, 100 - i, 1.0) for i in range(2 * n)]
         + [(500, "x", "g6", "", 7, None, _D0, 1, 1.0)], schemas.TWITCH_FORMATTED)
