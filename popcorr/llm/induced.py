@@ -39,6 +39,8 @@ def _deal(queues: list[list[np.ndarray]], symbols: np.ndarray, suffixes: np.ndar
     """Append suffixes to the queues of their first symbols, in order."""
     if not len(suffixes):
         return
+    if len(queues) < 1 << 15:
+        symbols = symbols.astype(np.int16)                     # sorted by radix
     order = np.argsort(symbols, kind="stable")
     symbols, suffixes = symbols[order], suffixes[order]
     cuts = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1

@@ -18,6 +18,9 @@ Texts are UTF-8 bytes (null: empty); a string never crosses documents.
    concatenation, block by block.  The permuted common prefixes tell which
    neighbours agree in 50 bytes: runs of these are equal strings, and a string
    is covered if the least id in its run is smaller than its own document's.
+   A frequent anchor's shard grows with the input: beyond ``SPLIT_BYTES`` its
+   strings are dealt again, in the task, by the 29 bytes at their anchor too,
+   and of the shard only compressed rows are held whole.
 3. Documents.  Covered spans are merged per document and cut out.
 
 Merged spans are broadcast only when counted to be small (``BROADCAST_BYTES``);
@@ -48,6 +51,10 @@ LENGTH, ANCHOR = 50, 8
 SIDE = ANCHOR + (LENGTH - ANCHOR) // 2
 #: Text that a task packs together, a piece of a long text, raw segment bytes of a shard, and of a suffix array.
 PACK_BYTES, PIECE, SHARD_BYTES, ARRAY_BYTES = 16 << 20, 1 << 20, 4 << 20, 2 << 20
+#: Raw segment bytes beyond which a shard is dealt to finer ones, and that are hashed at a time.
+SPLIT_BYTES, RUN_BYTES = 8 << 20, 1 << 18
+#: Rows of an Arrow batch.
+BATCH_ROWS = 500
 #: Segment bytes for a byte of text: each segment has some 22 strings of its own.
 BLOWUP = 3.3
 BROADCAST_BYTES = 32 << 20
@@ -113,6 +120,7 @@ class Pack:
             return
         shard, ids, tags, start, length, key = (np.concatenate([h[i] for h in self.held]) for i in range(6))
         data = np.concatenate([h[6] for h in self.held])
+        self.held, self.size = [], 0
         place = np.cumsum(length) - length
         # of equal segments, those of the least id travel; the others are covered
         order = np.lexsort((ids, key))
@@ -138,7 +146,6 @@ class Pack:
                 out = []
         if out:
             yield self._batch(out)
-        self.held, self.size = [], 0
 
     @staticmethod
     def _batch(out) -> pa.RecordBatch:
@@ -175,31 +182,91 @@ def _several(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def _runs(length: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first segment, bytes, lengths) of runs of segments of about ``RUN_BYTES``, so that what is computed for every byte stays small."""
+    ends = np.cumsum(length)
+    a = 0
+    while a < len(length):
+        begin = int(ends[a] - length[a])
+        z = max(a + 1, int(np.searchsorted(ends, begin + RUN_BYTES, "right")))
+        yield a, data[begin:int(ends[z - 1])], length[a:z]
+        a = z
+
+
+def marks(length: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor's hash of every segment; segment and place in ``data`` of everywhere a segment's anchor stands in it; ``words8``)."""
+    ends, eight = np.cumsum(length), words8(data)
+    hashed = T.mix(eight * T._GOLD + T._BASE)
+    firsts = np.stack((ends - length, np.minimum(ends - length + LENGTH - ANCHOR + 1, len(hashed))), 1).ravel()
+    hashed = np.append(hashed, np.full(max(0, len(data) + 1 - len(hashed)), np.iinfo(np.uint64).max, T.U64))
+    anchor = np.minimum.reduceat(hashed, firsts)[::2]
+    hit = np.flatnonzero(hashed[:len(data)] == np.repeat(anchor, length))
+    who = np.searchsorted(ends, hit, "right")
+    inside = hit + ANCHOR <= ends[who]
+    return anchor, who[inside], hit[inside], eight
+
+
+def contexts(eight: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the ``SIDE`` bytes at each place."""
+    out = eight[at]
+    for k in (*range(8, SIDE - 8, 8), SIDE - 8):
+        out = T.mix(out * T._BASE + eight[at + k])
+    return out
+
+
+def finer(length: np.ndarray, data: np.ndarray):
+    """(segment, start in it, length, place in ``data``, key) of segments cut further: strings of one key have their anchor
+    first at the same side, with the same ``SIDE`` bytes up to its end (21 before it or more) or from its start.
+
+    Equal strings have equal keys, and each string is in one of the segments.
+    """
+    out = []
+    for a, part, own in _runs(length, data):
+        _, who, mark, eight = marks(own, part)
+        begin = np.cumsum(own) - own
+        q = mark - begin[who]
+        before = np.full(len(q), -1)
+        same = who[1:] == who[:-1]
+        before[1:][same] = q[:-1][same]
+        lo, hi = np.maximum(np.maximum(before + 1, q - (LENGTH - ANCHOR)), 0), np.minimum(q, own[who] - LENGTH)
+        far = q - (SIDE - ANCHOR)                                # the last start with so many bytes before the anchor
+        base = int(length[:a].sum()) if a else 0
+        for side, (s, e, first) in enumerate(((lo, np.minimum(hi, far), mark - (SIDE - ANCHOR)), (np.maximum(lo, far + 1), hi, mark))):
+            some = np.flatnonzero(s <= e)
+            if len(some):
+                key = T.mix(contexts(eight, first[some]) + T.U64(side))
+                out.append((who[some] + a, s[some], e[some] - s[some] + LENGTH, base + begin[who[some]] + s[some], key))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def shard_spans(ids, tags, start, length, data) -> list[np.ndarray]:
     """Covered spans (id, tag, start, end) of a shard's segments."""
     place = np.cumsum(length) - length
-    hashed = T.mix(words8(data) * T._GOLD + T._BASE)
-    ends = np.stack((place, np.minimum(place + LENGTH - ANCHOR + 1, len(hashed))), 1).ravel()
-    hashed = np.append(hashed, np.full(max(0, len(data) + 1 - len(hashed)), np.iinfo(np.uint64).max, T.U64))
-    anchor = np.minimum.reduceat(hashed, ends)[::2]
-    keep = _several(anchor, ids)
+    anchor, around = [], [[], []]
+    for a, part, own in _runs(length, data):
+        least, at, mark, eight = marks(own, part)
+        begin, end = np.cumsum(own) - own, np.cumsum(own)
+        anchor.append(least)
+        # everywhere the anchor stands: the bytes to its left and to its right
+        for side, first in enumerate((mark - (SIDE - ANCHOR), mark)):
+            inside = np.flatnonzero((first >= begin[at]) & (first + SIDE <= end[at]))
+            around[side].append((at[inside] + a, contexts(eight, first[inside])))
+    anchor = np.concatenate(anchor) if anchor else np.zeros(0, T.U64)
+    keep = _several(anchor, ids) if len(ids) else np.zeros(0, bool)
     if not keep.any():
         return []
-    ids, tags, start, length, place, anchor = (x[keep] for x in (ids, tags, start, length, place, anchor))
-    # everywhere the anchor stands: the bytes to its left and to its right
-    at = T.ragged(place, np.maximum(length - ANCHOR + 1, 0))
-    who = np.repeat(np.arange(len(ids)), np.maximum(length - ANCHOR + 1, 0))
-    hit = np.flatnonzero(hashed[at] == anchor[who])
-    mark, who = at[hit], who[hit]
     shared = np.zeros(len(ids), bool)
-    for a, inside in ((mark - (SIDE - ANCHOR), mark - (SIDE - ANCHOR) >= place[who]), (mark, mark + SIDE <= (place + length)[who])):
-        rows = np.flatnonzero(inside)
-        if len(rows):
-            key = T.span_hashes(data, a[rows], a[rows] + SIDE)
-            shared[who[rows[_several(key, ids[who[rows]])]]] = True
+    for side in around:
+        who, key = (np.concatenate(x) for x in zip(*side))
+        kept = np.flatnonzero(keep[who])
+        who, key = who[kept], key[kept]
+        if len(who):
+            shared[who[_several(key, ids[who])]] = True
     if not shared.any():
         return []
-    ids, tags, start, length, place, anchor = (x[shared] for x in (ids, tags, start, length, place, anchor))
+    data = data[T.ragged(place[shared], length[shared])]
+    ids, tags, start, length, anchor = (x[shared] for x in (ids, tags, start, length, anchor))
+    place = np.cumsum(length) - length
     # equal segments are one: all but those of the least id are covered
     key = T.mix(T.span_hashes(data, place, place + length) * T._BASE + anchor)
     order = np.lexsort((ids, key, anchor))
@@ -265,6 +332,51 @@ def covered_runs(data, place, length, least):
     return who, covered[first] - begin[who], covered[last] + LENGTH - begin[who]
 
 
+def unpacked(parts: list) -> tuple:
+    """(ids, tags, start, length, data) of packed rows (head, text, n, size) of segments."""
+    codec = pa.Codec("zstd")
+    heads = [np.frombuffer(codec.decompress(h, 32 * n, asbytes=True), "<i8").reshape(4, -1) for h, _, n, _ in parts]
+    data = np.concatenate([np.frombuffer(codec.decompress(t, size, asbytes=True), np.uint8) for _, t, _, size in parts])
+    return *np.concatenate(heads, axis=1), data
+
+
+def part_spans(parts: list) -> Iterator[np.ndarray]:
+    """Covered spans (id, tag, start, end) of a shard's packed rows (emptied).
+
+    The segments of a frequent anchor grow with the input.  A shard of more than ``SPLIT_BYTES`` is dealt by finer
+    keys, row by row, to packed shards of about ``ARRAY_BYTES``, so only what is compressed grows with it.
+    """
+    total = sum(size for _, _, _, size in parts)
+    if total <= SPLIT_BYTES:
+        spans = shard_spans(*unpacked(parts))
+        if spans:
+            yield merged(np.concatenate(spans))
+        return
+    few: dict[int, list] = {}
+    held = Pack(int(total * 1.5) // ARRAY_BYTES + 1)
+
+    def dealt() -> Iterator[np.ndarray]:
+        for b in held.rows():
+            for shard, kind, head, text, n, size in zip(*(c.to_pylist() for c in b.columns)):
+                if kind == 1:
+                    yield np.frombuffer(head, "<i8").reshape(-1, 4)
+                else:
+                    few.setdefault(shard, []).append((head, text, n, size))
+
+    parts.reverse()
+    while parts:
+        ids, tags, start, length, data = unpacked([parts.pop()])
+        row, first, size, place, key = finer(length, data)
+        held.add(ids, tags, (row, start[row] + first, size, place, key), data, 0)
+        if held.size >= SPLIT_BYTES:
+            yield from dealt()
+    yield from dealt()
+    while few:
+        spans = shard_spans(*unpacked(few.popitem()[1]))
+        if spans:
+            yield merged(np.concatenate(spans))
+
+
 def covered_spans(thin: DataFrame, total_bytes: int) -> DataFrame:
     """(id, tag, start, end) of covered bytes; spans of a document may overlap.  ``thin``: id, tag, text."""
     shards = max(8, int(total_bytes * BLOWUP) // SHARD_BYTES + 1)
@@ -295,14 +407,9 @@ def covered_spans(thin: DataFrame, total_bytes: int) -> DataFrame:
                     yield from rows(np.frombuffer(head, "<i8").reshape(-1, 4))
                 else:
                     parts.setdefault(shard, []).append((head, text, n, size))
-        codec = pa.Codec("zstd")
         for shard in sorted(parts):
-            got = parts.pop(shard)
-            heads = [np.frombuffer(codec.decompress(h, 32 * n, asbytes=True), "<i8").reshape(4, -1) for h, _, n, _ in got]
-            data = np.concatenate([np.frombuffer(codec.decompress(t, size, asbytes=True), np.uint8) for _, t, _, size in got])
-            spans = shard_spans(*np.concatenate(heads, axis=1), data)
-            if spans:
-                yield from rows(merged(np.concatenate(spans)))
+            for spans in part_spans(parts.pop(shard)):
+                yield from rows(spans)
 
     packed = thin.where("id is not null").mapInArrow(pack, "shard int, kind tinyint, head binary, text binary, n long, size long")
     return packed.repartition(shards, "shard").mapInArrow(search, "id bigint, tag bigint, start bigint, end bigint")
@@ -330,7 +437,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 ["id", "tag", "spans"])
 
     per = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("s"))      # at most a document's length
-    per = cut_lineage(per.mapInArrow(join_up, "id bigint, tag bigint, spans binary"), "dedup_spans")
+    with T.arrow_rows(docs.sparkSession, BATCH_ROWS):
+        per = cut_lineage(per.mapInArrow(join_up, "id bigint, tag bigint, spans binary"), "dedup_spans")
     volume = per.agg(F.sum(F.octet_length("spans") + F.lit(32))).first()[0] or 0
     both = thin.join(F.broadcast(per) if volume <= BROADCAST_BYTES else per, ["id", "tag"], "left").select("id", "text", "spans")
 
